@@ -117,7 +117,8 @@ def json_normalise(c) -> Column:
     invalid JSON and plain text are returned as they are.
     """
     c = _col(c)
-    looks_json = F.ltrim(c).startswith("{") | F.ltrim(c).startswith("[")
+    lead = F.btrim(c, F.lit(WHITESPACE))
+    looks_json = lead.startswith("{") | lead.startswith("[")
     return F.when(looks_json, F.coalesce(F.to_json(F.try_parse_json(c)), c)).otherwise(c)
 
 

@@ -183,3 +183,171 @@ ORACLE = {
     "candidate_preconditions": O_CANDIDATE_PRECONDITIONS,
     "code_audit": O_CODE_AUDIT,
 }
+
+
+# ── process status ────────────────────────────────────────────────────────
+from sluice.operators import status as st  # noqa: E402
+
+
+def _status_inputs(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    return c["splits"], c["process_status"], c["payload_response"]
+
+
+def q_split_status(spark, sf_dir):
+    splits, status, _ = _status_inputs(spark, sf_dir)
+    return st.split_results(splits, status)
+
+
+_SPLIT_SQL = """
+cls AS (SELECT process_id, upper(trim(COALESCE(status, ''))) AS s FROM process_status),
+cnt AS (SELECT process_id, count(*) AS total,
+               count(*) FILTER (WHERE s = 'COMPLETED') AS completed,
+               count(*) FILTER (WHERE s IN ('FAILED', 'ERROR')) AS errored,
+               count(*) FILTER (WHERE s NOT IN ('COMPLETED', 'FAILED', 'ERROR')) AS stuck
+        FROM cls GROUP BY process_id),
+split_res AS (
+  SELECT sp.position, sp.split_process_id,
+         CAST(COALESCE(total, 0) AS BIGINT) AS total_sub_processes,
+         CAST(COALESCE(completed, 0) AS BIGINT) AS completed,
+         CAST(COALESCE(errored, 0) AS BIGINT) AS errored,
+         CAST(COALESCE(stuck, 0) AS BIGINT) AS stuck,
+         CASE WHEN COALESCE(total, 0) > 0 AND COALESCE(errored, 0) = 0 AND COALESCE(stuck, 0) = 0
+              THEN 'PASS' ELSE 'FAIL' END AS status,
+         CASE WHEN COALESCE(total, 0) = 0 THEN 'No records in process_status' END AS reason
+  FROM splits sp LEFT JOIN cnt ON cnt.process_id = sp.split_process_id)"""
+
+O_SPLIT_STATUS = _with("splits", "process_status", extra=_SPLIT_SQL) + "SELECT * FROM split_res"
+
+_TOTALS_SQL = """
+totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS total_splits,
+         CAST(count(*) FILTER (WHERE status = 'PASS') AS BIGINT) AS splits_passed,
+         CAST(count(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS splits_failed,
+         CAST(COALESCE(sum(total_sub_processes), 0) AS BIGINT) AS total_sub_processes,
+         CAST(COALESCE(sum(completed), 0) AS BIGINT) AS total_completed,
+         CAST(COALESCE(sum(errored), 0) AS BIGINT) AS total_errored,
+         CAST(COALESCE(sum(stuck), 0) AS BIGINT) AS total_stuck
+  FROM split_res)"""
+
+
+def q_split_totals(spark, sf_dir):
+    return st.split_totals(q_split_status(spark, sf_dir))
+
+
+O_SPLIT_TOTALS = _with("splits", "process_status", extra=_SPLIT_SQL + "," + _TOTALS_SQL) + """
+SELECT *, CASE WHEN splits_failed = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status FROM totals"""
+
+
+def q_error_details(spark, sf_dir):
+    splits, status, payloads = _status_inputs(spark, sf_dir)
+    return st.error_details(splits, status, payloads)
+
+
+_ERRORS_SQL = """
+e AS (
+  SELECT sp.position, sp.split_process_id, ps.id, ps.sub_process_name, ps.business_value, ps.status, ps.notes,
+         trim(COALESCE(ps.error, '')) AS err, COALESCE(ps.payload_response_id, '') AS pr
+  FROM process_status ps JOIN splits sp ON sp.split_process_id = ps.process_id
+  WHERE upper(trim(COALESCE(ps.status, ''))) IN ('FAILED', 'ERROR')),
+pl AS (SELECT payload_response_id, arg_min(response, COALESCE(response, '')) AS response
+       FROM payload_response GROUP BY payload_response_id),
+details AS (
+  SELECT e.position, e.split_process_id, e.id,
+         COALESCE(NULLIF(trim(COALESCE(e.sub_process_name, '')), ''), 'unknown') AS sub_process,
+         e.sub_process_name,
+         COALESCE(e.business_value, '') AS business_value,
+         trim(COALESCE(e.status, '')) AS status,
+         CASE WHEN lower(e.err) = 'schema-validation-error' THEN 'schema-validation-error'
+              ELSE COALESCE(NULLIF(e.err, ''), 'unknown') END AS error_type,
+         e.err AS raw_error,
+         CASE WHEN lower(e.err) <> 'schema-validation-error' THEN COALESCE(NULLIF(e.err, ''), '(error field is empty)')
+              WHEN e.pr = '' THEN '(no payload_response_id available)'
+              WHEN pl.payload_response_id IS NULL THEN '(no payload_response record for id=' || e.pr || ')'
+              WHEN COALESCE(pl.response, '') = '' THEN '(response field is empty)'
+              WHEN (trim(pl.response) LIKE '{%' OR trim(pl.response) LIKE '[%') AND json_valid(pl.response)
+                   THEN CAST(json(pl.response) AS VARCHAR)
+              ELSE pl.response END AS detailed_reason,
+         e.pr AS payload_response_id,
+         COALESCE(e.notes, '') AS notes
+  FROM e LEFT JOIN pl ON lower(e.err) = 'schema-validation-error' AND e.pr <> '' AND pl.payload_response_id = e.pr)"""
+
+O_ERROR_DETAILS = _with("splits", "process_status", "payload_response", extra=_ERRORS_SQL) + "SELECT * FROM details"
+
+
+def q_failure_breakdown(spark, sf_dir):
+    return st.failure_breakdown(q_error_details(spark, sf_dir))
+
+
+O_FAILURE_BREAKDOWN = _with("splits", "process_status", "payload_response", extra=_ERRORS_SQL) + """
+SELECT error_type, occurrences, first_position, sample_sub_process, sample_business_value, sample_reason
+FROM (
+  SELECT error_type, CAST(count(*) OVER (PARTITION BY error_type) AS BIGINT) AS occurrences,
+         position AS first_position, sub_process AS sample_sub_process, business_value AS sample_business_value,
+         left(detailed_reason, 300) AS sample_reason,
+         row_number() OVER (PARTITION BY error_type ORDER BY position, sub_process_name NULLS LAST, id) AS rn
+  FROM details) x
+WHERE rn = 1"""
+
+
+def q_stuck_top10(spark, sf_dir):
+    splits, status, _ = _status_inputs(spark, sf_dir)
+    return st.stuck_details(splits, status, 10)
+
+
+O_STUCK_TOP10 = _with("splits", "process_status") + """
+SELECT position, split_process_id, CAST(rank AS INT) AS rank, id, sub_process, business_value, status
+FROM (
+  SELECT sp.position, sp.split_process_id, ps.id,
+         COALESCE(NULLIF(trim(COALESCE(ps.sub_process_name, '')), ''), 'unknown') AS sub_process,
+         COALESCE(ps.business_value, '') AS business_value,
+         COALESCE(NULLIF(trim(COALESCE(ps.status, '')), ''), '(null)') AS status,
+         row_number() OVER (PARTITION BY sp.position, sp.split_process_id
+                            ORDER BY ps.sub_process_name ASC NULLS LAST, ps.id) AS rank
+  FROM process_status ps JOIN splits sp ON sp.split_process_id = ps.process_id
+  WHERE upper(trim(COALESCE(ps.status, ''))) NOT IN ('COMPLETED', 'FAILED', 'ERROR')) x
+WHERE rank <= 10"""
+
+
+def q_terminal_state(spark, sf_dir):
+    _, status, _ = _status_inputs(spark, sf_dir)
+    return st.terminal_state(status)
+
+
+O_TERMINAL_STATE = _with("process_status") + """
+SELECT *, CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict
+FROM (
+  SELECT *, CASE WHEN n_errors > 0 THEN 'status rows report errors'
+                 WHEN n_in_progress > 0 THEN 'still IN-PROGRESS'
+                 WHEN n_loader = 0 THEN 'no Data-Loader-File row'
+                 WHEN NOT loader_done THEN 'loader did not complete' END AS reason
+  FROM (
+    SELECT process_id,
+           CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(*) FILTER (WHERE s IN ('FAILED', 'ERROR')) AS BIGINT) AS n_errors,
+           CAST(count(*) FILTER (WHERE s = 'IN-PROGRESS') AS BIGINT) AS n_in_progress,
+           CAST(count(*) FILTER (WHERE sub_process_name = 'Data-Loader-File') AS BIGINT) AS n_loader,
+           CAST(count(*) FILTER (WHERE sub_process_name = 'File-Record') AS BIGINT) AS n_record,
+           COALESCE(bool_or(sub_process_name = 'Data-Loader-File' AND s IN ('COMPLETED', 'SUCCESS')), false)
+             AS loader_done,
+           COALESCE(array_to_string(list_sort(list(DISTINCT s) FILTER (WHERE sub_process_name = 'Data-Loader-File')), ','), '')
+             AS loader_statuses
+    FROM (SELECT *, upper(trim(COALESCE(status, ''))) AS s FROM process_status) t
+    GROUP BY process_id) a) b"""
+
+QUERIES.update({
+    "split_status": q_split_status,
+    "split_totals": q_split_totals,
+    "error_details": q_error_details,
+    "failure_breakdown": q_failure_breakdown,
+    "stuck_top10": q_stuck_top10,
+    "terminal_state": q_terminal_state,
+})
+ORACLE.update({
+    "split_status": O_SPLIT_STATUS,
+    "split_totals": O_SPLIT_TOTALS,
+    "error_details": O_ERROR_DETAILS,
+    "failure_breakdown": O_FAILURE_BREAKDOWN,
+    "stuck_top10": O_STUCK_TOP10,
+    "terminal_state": O_TERMINAL_STATE,
+})

@@ -103,7 +103,10 @@ STATUS_VIEWS = {
     "process_status": f"""
         SELECT event_id AS id,
                {_PROCESS_ID} AS process_id,
-               event_type AS sub_process_name,
+               CASE event_type WHEN 'purchase' THEN 'Data-Loader-File' WHEN 'view' THEN 'File-Record'
+                    WHEN 'click' THEN 'Validation' WHEN 'signup' THEN 'DL-Integration'
+                    ELSE CASE WHEN event_id % 3 = 0 THEN 'Data-Loader-File'
+                              WHEN event_id % 3 = 1 THEN NULL ELSE 'File-Record' END END AS sub_process_name,
                CASE event_type
                     WHEN 'purchase' THEN 'Completed'
                     WHEN 'view' THEN ' completed '
