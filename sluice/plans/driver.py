@@ -351,3 +351,203 @@ ORACLE.update({
     "stuck_top10": O_STUCK_TOP10,
     "terminal_state": O_TERMINAL_STATE,
 })
+
+
+# ── run logs ──────────────────────────────────────────────────────────────
+from sluice.operators import logs as lg  # noqa: E402
+from sluice.rules import rules_frame  # noqa: E402
+
+OUTBOUND_BUCKET = "outbound-bucket"
+C = lg.DEFAULT_CONTRACT
+
+
+def _logs(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    caps, runs = c["run_log_captures"], c["runs"]
+    picks = lg.pick_source(caps, C)
+    parsed = lg.parse_lines(lg.picked_lines(caps, picks), C)
+    return caps, runs, picks, parsed
+
+
+def _entity(spark, sf_dir):
+    caps, runs, picks, parsed = _logs(spark, sf_dir)
+    rules = rules_frame(spark, DRIVER_RULES)
+    arts = lg.artifacts_by_rule(lg.log_artifacts(parsed, C), runs, rules, OUTBOUND_BUCKET)
+    return runs, parsed, rules, arts
+
+
+def q_log_source_pick(spark, sf_dir):
+    return _logs(spark, sf_dir)[2]
+
+
+def q_log_report(spark, sf_dir):
+    return lg.run_report(_logs(spark, sf_dir)[3])
+
+
+def q_log_rule_counts(spark, sf_dir):
+    return lg.rule_counts(_logs(spark, sf_dir)[3])
+
+
+def q_artifact_by_rule(spark, sf_dir):
+    return _entity(spark, sf_dir)[3]
+
+
+def q_process_id_unique(spark, sf_dir):
+    runs, _, rules, arts = _entity(spark, sf_dir)
+    return lg.process_id_check(arts, runs, rules)
+
+
+def q_log_verdict(spark, sf_dir):
+    runs, parsed, rules, arts = _entity(spark, sf_dir)
+    pid = lg.process_id_check(arts, runs, rules)
+    return lg.log_verdict(spark, runs, lg.run_report(parsed), lg.rule_counts(parsed), pid, rules, DRIVER_RULES)
+
+
+def q_rule_count_recon(spark, sf_dir):
+    runs, parsed, rules, _ = _entity(spark, sf_dir)
+    counts = cand.candidate_counts(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+    return lg.reconcile_counts(spark, runs, lg.rule_counts(parsed), counts, rules, DRIVER_RULES, enforce=True)
+
+
+def _re(p: str) -> str:
+    return p.replace("'", "''")
+
+
+_ALIASES_SQL = _sql_values([(r.key, a) for r in DRIVER_RULES for a in sorted(r.rule_ids_accepted)],
+                           ["rule_key", "alias"])
+_LOG_SQL = f"""
+h AS (
+  SELECT run_id, source, count(*) AS n_lines,
+         COALESCE(bool_or(regexp_matches(message, '{_re(C.sentinel)}')), false) AS has_sentinel,
+         COALESCE(bool_or(contains(message, run_id)), false) AS text_has_run,
+         COALESCE(bool_or(contains(message, run_id) OR contains(file_name, run_id)), false) AS mentions_run,
+         min(CASE WHEN declared_stream IS NOT NULL AND trim(declared_stream) <> trim(run_id) THEN declared_stream END)
+           AS wrong_stream,
+         COALESCE(bool_or(trim(declared_stream) = trim(run_id)), false) AS stream_ok
+  FROM run_log_captures GROUP BY run_id, source),
+h2 AS (
+  SELECT run_id, source, CASE source WHEN 'api' THEN 1 WHEN 'manager' THEN 2 WHEN 'file' THEN 3 END AS rk, n_lines,
+         CASE WHEN source = 'api' THEN true WHEN source = 'manager' THEN text_has_run
+              WHEN stream_ok THEN true ELSE mentions_run END AS verified,
+         CASE WHEN n_lines = 0 THEN 'no lines'
+              WHEN NOT has_sentinel THEN 'completion line never appeared'
+              WHEN source = 'file' AND wrong_stream IS NOT NULL
+                   THEN 'declared stream ''' || wrong_stream || ''' is not run ''' || run_id || '''' END AS failure
+  FROM h),
+pk AS (SELECT run_id, min(rk) FILTER (WHERE failure IS NULL) AS picked FROM h2 GROUP BY run_id),
+picks AS (
+  SELECT pk.run_id, h2.source, COALESCE(h2.verified, false) AS run_verified,
+         CAST(COALESCE(h2.n_lines, 0) AS BIGINT) AS n_lines,
+         COALESCE((SELECT string_agg(x.source || ': ' || x.failure, '; ' ORDER BY x.rk) FROM h2 x
+                   WHERE x.run_id = pk.run_id AND x.failure IS NOT NULL AND (pk.picked IS NULL OR x.rk < pk.picked)), '')
+           AS failures,
+         CASE WHEN pk.picked IS NULL THEN 'FAIL' ELSE 'OK' END AS state
+  FROM pk LEFT JOIN h2 ON h2.run_id = pk.run_id AND h2.rk = pk.picked),
+parsed AS (
+  SELECT c.run_id, c.line_no, c.message,
+         NULLIF(regexp_extract(message, '{_re(C.applied_rule)}', 1), '') AS applied_rule,
+         TRY_CAST(NULLIF(regexp_extract(message, '{_re(C.rule_count)}', 1), '') AS BIGINT) AS rule_count,
+         TRY_CAST(NULLIF(regexp_extract(message, '{_re(C.records)}', 1), '') AS BIGINT) AS records,
+         TRY_CAST(NULLIF(regexp_extract(message, '{_re(C.chunk)}', 1), '') AS INT) AS chunk,
+         NULLIF(regexp_extract(message, '{_re(C.chunk)}', 2), '') AS bucket,
+         NULLIF(regexp_extract(message, '{_re(C.chunk)}', 3), '') AS key,
+         regexp_matches(message, '{_re(C.error)}') AS is_error,
+         regexp_matches(message, '{_re(C.sentinel)}') AS is_sentinel
+  FROM run_log_captures c JOIN picks p ON p.run_id = c.run_id AND p.source = c.source AND p.state = 'OK'),
+rc AS (SELECT run_id, applied_rule, arg_max(rule_count, line_no) AS rule_count, CAST(count(*) AS BIGINT) AS n_reports
+       FROM parsed WHERE applied_rule IS NOT NULL GROUP BY run_id, applied_rule),
+report AS (
+  SELECT run_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(records) AS BIGINT) AS records_to_s3,
+         CAST(count(chunk) AS BIGINT) AS total_chunks,
+         CAST(count(DISTINCT CASE WHEN key IS NOT NULL THEN bucket || chr(1) || key END) AS BIGINT) AS n_artifacts,
+         CAST(count(DISTINCT applied_rule) AS BIGINT) AS n_rules,
+         CAST(count(*) FILTER (WHERE is_error) AS BIGINT) AS error_lines,
+         arg_min(left(message, 160), CASE WHEN is_error THEN line_no END) AS first_error,
+         COALESCE(bool_or(is_sentinel), false) AS has_sentinel
+  FROM parsed GROUP BY run_id),
+arts AS (
+  SELECT run_id, bucket, key, min(line_no) AS position, arg_min(chunk, line_no) AS chunk,
+         string_split(key, '/')[-1] AS filename,
+         NULLIF(regexp_extract(string_split(key, '/')[-1], '{_re(C.process_id_in_filename)}', 0), '') AS process_id
+  FROM parsed WHERE key IS NOT NULL GROUP BY run_id, bucket, key),
+rr AS (SELECT r.run_id, u.rule_key, u.rule_id, u.outbound_prefix AS prefix
+       FROM runs r JOIN {RULES_SQL} u ON u.flow_name = r.flow_name),
+ent AS (
+  SELECT a.run_id, rr.rule_key, a.position, a.chunk, a.bucket, a.key, a.filename, a.process_id,
+         a.bucket = '{OUTBOUND_BUCKET}' AS bucket_ok, starts_with(a.key, rr.prefix) AS prefix_ok
+  FROM arts a JOIN rr ON rr.run_id = a.run_id
+  WHERE starts_with(ltrim(a.key, '/'), rr.prefix)),
+pidg AS (
+  SELECT run_id, rule_key, count(*) AS n_files, count(DISTINCT process_id) AS n_pids,
+         min(process_id) AS min_pid, max(process_id) AS max_pid,
+         bool_and(bucket_ok) AS bucket_ok, bool_and(prefix_ok) AS prefix_ok
+  FROM ent GROUP BY run_id, rule_key),
+pid AS (
+  SELECT rr.run_id, rr.rule_key, CAST(COALESCE(n_files, 0) AS BIGINT) AS n_files,
+         CAST(COALESCE(n_pids, 0) AS BIGINT) AS n_process_ids,
+         CASE WHEN n_pids = 1 THEN min_pid END AS process_id,
+         CASE WHEN n_pids > 1 THEN min_pid || ' .. ' || max_pid END AS process_id_range,
+         COALESCE(g.bucket_ok, true) AS bucket_ok, COALESCE(g.prefix_ok, true) AS prefix_ok,
+         CASE WHEN COALESCE(n_files, 0) = 0 THEN 'no output file under the rule prefix'
+              WHEN COALESCE(n_pids, 0) = 0 THEN 'no process UUID in the output file names'
+              WHEN n_pids > 1 THEN 'more than one process UUID' END AS reason
+  FROM rr LEFT JOIN pidg g ON g.run_id = rr.run_id AND g.rule_key = rr.rule_key),
+rep AS (SELECT rc.run_id, al.rule_key, max(rc.rule_count) AS log_count
+        FROM rc JOIN {_ALIASES_SQL} al ON lower(rc.applied_rule) = lower(al.alias) GROUP BY rc.run_id, al.rule_key)"""
+
+_LOG_VIEWS = ("run_log_captures", "runs")
+O_LOG_SOURCE_PICK = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM picks"
+O_LOG_REPORT = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM report"
+O_LOG_RULE_COUNTS = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM rc"
+O_ARTIFACT_BY_RULE = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM ent"
+O_PROCESS_ID_UNIQUE = _with(*_LOG_VIEWS, extra=_LOG_SQL) + """
+SELECT run_id, rule_key, n_files, n_process_ids, process_id, process_id_range, bucket_ok, prefix_ok,
+       CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict, reason FROM pid"""
+O_LOG_VERDICT = _with(*_LOG_VIEWS, extra=_LOG_SQL) + """
+SELECT run_id, rule_key, log_count, records_to_s3, n_artifacts, n_entity_files, process_id,
+       CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict, reason
+FROM (
+  SELECT rr.run_id, rr.rule_key, rep.log_count, report.records_to_s3,
+         CAST(COALESCE(report.n_artifacts, 0) AS BIGINT) AS n_artifacts,
+         CAST(COALESCE(pid.n_files, 0) AS BIGINT) AS n_entity_files, pid.process_id,
+         CASE WHEN rep.log_count IS NULL THEN 'log does not report AppliedRule=' || CAST(rr.rule_id AS VARCHAR)
+              WHEN rep.log_count < 1 THEN 'rule_count below 1'
+              WHEN COALESCE(report.records_to_s3, 0) < 1 THEN 'no output records written'
+              WHEN COALESCE(report.n_artifacts, 0) = 0 THEN 'no output artifacts in the log'
+              WHEN pid.reason IS NOT NULL THEN pid.reason
+              WHEN NOT pid.bucket_ok THEN 'artifact bucket is not the configured bucket'
+              WHEN NOT pid.prefix_ok THEN 'artifact key is outside the prefix' END AS reason
+  FROM rr LEFT JOIN rep ON rep.run_id = rr.run_id AND rep.rule_key = rr.rule_key
+          LEFT JOIN report ON report.run_id = rr.run_id
+          LEFT JOIN pid ON pid.run_id = rr.run_id AND pid.rule_key = rr.rule_key) x"""
+O_RULE_COUNT_RECON = _with(*_LOG_VIEWS, *DIRECTORY_TABLES, extra=_LOG_SQL + "," + _QUALIFYING_SQL) + """,
+counts AS (SELECT rule_key, count(DISTINCT LocationID) AS n FROM qualifying GROUP BY rule_key)
+SELECT rr.run_id, rr.rule_key, rep.log_count, CAST(COALESCE(counts.n, 0) AS BIGINT) AS source_count,
+       CASE WHEN rep.log_count IS NULL OR rep.log_count < 1 THEN 'FAIL'
+            WHEN rep.log_count <> COALESCE(counts.n, 0) THEN 'FAIL' ELSE 'PASS' END AS verdict,
+       CASE WHEN rep.log_count IS NULL THEN 'rule not reported in the log'
+            WHEN rep.log_count < 1 THEN 'rule_count below 1'
+            WHEN rep.log_count <> COALESCE(counts.n, 0)
+                 THEN 'log rule_count ' || CAST(rep.log_count AS VARCHAR) || ' != source count '
+                      || CAST(COALESCE(counts.n, 0) AS VARCHAR) END AS reason
+FROM rr LEFT JOIN rep ON rep.run_id = rr.run_id AND rep.rule_key = rr.rule_key
+        LEFT JOIN counts ON counts.rule_key = rr.rule_key"""
+
+QUERIES.update({
+    "log_source_pick": q_log_source_pick,
+    "log_report": q_log_report,
+    "log_rule_counts": q_log_rule_counts,
+    "artifact_by_rule": q_artifact_by_rule,
+    "process_id_unique": q_process_id_unique,
+    "log_verdict": q_log_verdict,
+    "rule_count_recon": q_rule_count_recon,
+})
+ORACLE.update({
+    "log_source_pick": O_LOG_SOURCE_PICK,
+    "log_report": O_LOG_REPORT,
+    "log_rule_counts": O_LOG_RULE_COUNTS,
+    "artifact_by_rule": O_ARTIFACT_BY_RULE,
+    "process_id_unique": O_PROCESS_ID_UNIQUE,
+    "log_verdict": O_LOG_VERDICT,
+    "rule_count_recon": O_RULE_COUNT_RECON,
+})

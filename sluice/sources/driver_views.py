@@ -153,13 +153,18 @@ _UUID_SRC = ("md5('run-' || CAST(o_custkey % 40 AS STRING) || CASE WHEN o_custke
              "THEN '-' || CAST(o_orderkey % 2 AS STRING) ELSE '' END)")
 _UUID = (f"substr({_UUID_SRC}, 1, 8) || '-' || substr({_UUID_SRC}, 9, 4) || '-' || "
          f"substr({_UUID_SRC}, 13, 4) || '-' || substr({_UUID_SRC}, 17, 4) || '-' || substr({_UUID_SRC}, 21, 12)")
-_BUCKET = "CASE WHEN o_orderkey % 13 = 0 THEN 'other-bucket' ELSE 'outbound-bucket' END"
-_PREFIX = ("CASE o_orderkey % 5 WHEN 0 THEN '/outbound/practice_update/' "
-           "WHEN 1 THEN 'outbound/practitioner_update/' WHEN 2 THEN 'archive/practice_update/' "
-           "ELSE 'outbound/practice_update/' END")
+_BUCKET = "CASE WHEN o_custkey % 40 = 13 AND o_orderkey % 2 = 0 THEN 'other-bucket' ELSE 'outbound-bucket' END"
+_PREFIX = ("CASE WHEN o_orderkey % 5 = 0 AND o_custkey % 40 = 17 THEN '/outbound/practice_update/' "
+           "WHEN o_orderkey % 5 = 1 THEN 'outbound/practitioner_update/' "
+           "WHEN o_orderkey % 5 = 2 THEN 'archive/practice_update/' ELSE 'outbound/practice_update/' END")
 _FILE = (f"CASE WHEN o_custkey % 40 = 9 THEN 'practice_batch_part' || CAST(o_orderkey % 3 AS STRING) || '.csv' "
          f"ELSE 'practice_' || {_UUID} || '_part' || CAST(o_orderkey % 3 AS STRING) || '.csv' END")
 
+# Runs whose completion line is missing in some sources: 7 (api), 8 and 28
+# (api, manager), 12 (everywhere).
+_QUEUED = ("((o_custkey % 40 = 7 AND o_orderkey % 3 = 0) OR (o_custkey % 40 IN (8, 28) AND o_orderkey % 3 <> 2) "
+           "OR o_custkey % 40 = 12)")
+
 LOG_VIEWS = {
     "run_log_captures": f"""
         SELECT {_RUN} AS run_id,
@@ -168,10 +173,12 @@ LOG_VIEWS = {
                o_orderdate AS modified_at,
                o_orderkey AS line_no,
                CASE o_orderpriority
-                    WHEN '1-URGENT' THEN 'INFO AppliedRule=' || CAST(o_orderkey % 20 AS STRING)
+                    WHEN '1-URGENT' THEN 'INFO AppliedRule=' || CASE CAST(floor(o_orderkey / 3) AS BIGINT) % 5
+                         WHEN 0 THEN '15' WHEN 1 THEN 'rule-7' WHEN 2 THEN '3' WHEN 3 THEN 'Rule_15'
+                         ELSE CAST(o_orderkey % 20 AS STRING) END
                          || ' rule_count=' || CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS STRING)
                     WHEN '2-HIGH' THEN 'INFO records_to_s3=' || CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING)
-                    WHEN '3-MEDIUM' THEN CASE WHEN o_custkey % 40 = 7 AND o_orderkey % 3 <> 0
+                    WHEN '3-MEDIUM' THEN CASE WHEN {_QUEUED}
                          THEN 'INFO Chunk ' || CAST(o_orderkey % 3 + 1 AS STRING) || ' queued'
                          ELSE 'INFO Chunk ' || CAST(o_orderkey % 3 + 1 AS STRING) || ' written to s3://'
                               || {_BUCKET} || '/' || {_PREFIX} || {_FILE} END
