@@ -551,3 +551,244 @@ ORACLE.update({
     "log_verdict": O_LOG_VERDICT,
     "rule_count_recon": O_RULE_COUNT_RECON,
 })
+
+
+# ── artifacts and object search ───────────────────────────────────────────
+from sluice.operators import artifacts as ar  # noqa: E402
+
+
+def q_artifact_state(spark, sf_dir):
+    runs, _, _, arts = _entity(spark, sf_dir)
+    picks = _logs(spark, sf_dir)[2]
+    inv = catalog(spark, sf_dir)["object_inventory"]
+    out = ar.check_artifacts(arts, inv, runs, picks, enforce_freshness=False)
+    return out.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
+
+
+O_ARTIFACT_STATE = _with(*_LOG_VIEWS, "object_inventory", extra=_LOG_SQL) + f"""
+SELECT run_id, rule_key, position, bucket, key, exists, size, strftime(last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified,
+       CASE WHEN NOT exists THEN 'not found' WHEN COALESCE(size, 0) = 0 THEN '0 bytes'
+            WHEN stale THEN 'stale' ELSE 'ok' END AS state,
+       CASE WHEN NOT exists OR COALESCE(size, 0) = 0 THEN 'FAIL'
+            WHEN stale THEN CASE WHEN verified THEN 'WARN' ELSE 'FAIL' END ELSE 'PASS' END AS verdict
+FROM (
+  SELECT ent.run_id, ent.rule_key, ent.position, ent.bucket, ent.key, i.key IS NOT NULL AS exists, i.size,
+         i.last_modified, COALESCE(i.key IS NOT NULL AND i.last_modified < r.started_at, false) AS stale,
+         COALESCE(p.run_verified, false) AS verified
+  FROM ent LEFT JOIN object_inventory i ON i.bucket = ent.bucket AND i.key = ent.key
+           LEFT JOIN runs r ON r.run_id = ent.run_id
+           LEFT JOIN picks p ON p.run_id = ent.run_id) x"""
+
+
+def q_object_search(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    rules = rules_frame(spark, DRIVER_RULES)
+    targets = (lg.runs_rules(c["runs"].where(F.col("state") == "SKIPPED_TRIGGER"), rules)
+               .select(F.concat_ws("/", "run_id", "rule_key").alias("search_id"),
+                       F.lit(OUTBOUND_BUCKET).alias("target_bucket"), F.col("outbound_prefix").alias("prefix"),
+                       F.col("started_at").alias("since")))
+    out = ar.search_objects(c["object_inventory"], targets, [r.outbound_prefix for r in DRIVER_RULES])
+    return out.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
+
+
+O_OBJECT_SEARCH = _with("runs", "object_inventory") + f"""
+SELECT r.run_id || '/' || u.rule_key AS search_id, i.bucket, i.key, i.size,
+       strftime(i.last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified
+FROM runs r JOIN {RULES_SQL} u ON u.flow_name = r.flow_name
+JOIN object_inventory i ON i.bucket = '{OUTBOUND_BUCKET}' AND starts_with(ltrim(i.key, '/'), u.outbound_prefix)
+WHERE r.state = 'SKIPPED_TRIGGER' AND i.last_modified >= r.started_at
+  AND regexp_matches(string_split(i.key, '/')[-1], '.*\\.csv$')"""
+
+
+# ── outbound files ────────────────────────────────────────────────────────
+from sluice.operators import outbound as ob  # noqa: E402
+
+
+def _outbound(spark, sf_dir):
+    rows = catalog(spark, sf_dir)["outbound_rows"]
+    return rows.withColumn("missing_columns", F.array().cast("array<string>"))
+
+
+def _match(spark, sf_dir, mode):
+    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+    return ob.match_outbound(cands, _outbound(spark, sf_dir), DRIVER_RULES, rules_frame(spark, DRIVER_RULES),
+                             OUTBOUND_BUCKET, value_mode=mode)
+
+
+def q_outbound_match(spark, sf_dir):
+    m = _match(spark, sf_dir, "any")
+    return m.select("rule_key", "PracticeID", "LocationID", "n_files_checked", "files_matched", "matched_rows",
+                    F.when(F.col("files_matched") > 0, "PASS").otherwise("FAIL").alias("identity_verdict"))
+
+
+def q_outbound_expected_any(spark, sf_dir):
+    return _match(spark, sf_dir, "any").select("rule_key", "PracticeID", "LocationID",
+                                               F.col("value_any").alias("value_ok"), "verdict", "reason")
+
+
+def q_outbound_expected_all(spark, sf_dir):
+    return _match(spark, sf_dir, "all").select("rule_key", "PracticeID", "LocationID",
+                                               F.col("value_all").alias("value_ok"), "verdict", "reason")
+
+
+def _canon_sql(t: str) -> str:
+    return f"CASE WHEN regexp_full_match({t}, '[0-9]+') THEN COALESCE(NULLIF(ltrim({t}, '0'), ''), '0') ELSE {t} END"
+
+
+def _num_text_sql(c: str) -> str:
+    return f"(CASE WHEN {c} = 0 OR {c} IS NULL THEN '' ELSE CAST({c} AS VARCHAR) END)"
+
+
+def _str_text_sql(c: str) -> str:
+    return f"trim(COALESCE({c}, ''))"
+
+
+_OUTBOUND_SQL = f"""
+ck AS (SELECT DISTINCT rule_key, PracticeID, LocationID,
+              {_canon_sql(_num_text_sql('PracticeID'))} AS k0, {_canon_sql(_num_text_sql('LocationID'))} AS k1
+       FROM qualifying),
+orow AS (SELECT u.rule_key, o.*,
+                {_canon_sql(_str_text_sql('o.PracticeID'))} AS k0, {_canon_sql(_str_text_sql('o.BillingLocationID'))} AS k1,
+                lower(upper(trim(COALESCE(o.DataSource, '')))) = 'directory-auto' AS good
+         FROM outbound_rows o JOIN {RULES_SQL} u
+           ON starts_with(regexp_replace(o.file_path, '^[a-z0-9]+://[^/]+/', ''), u.outbound_prefix)
+          AND regexp_extract(o.file_path, '^[a-z0-9]+://([^/]+)/', 1) = '{OUTBOUND_BUCKET}'),
+files AS (SELECT rule_key, count(DISTINCT file_path) AS files_checked FROM orow GROUP BY rule_key),
+pf AS (SELECT c.rule_key, c.k0, c.k1, o.file_path, count(*) AS n, bool_or(o.good) AS any_f, bool_and(o.good) AS all_f
+       FROM ck c JOIN orow o ON o.rule_key = c.rule_key AND o.k0 = c.k0 AND o.k1 = c.k1
+       GROUP BY c.rule_key, c.k0, c.k1, o.file_path),
+pc AS (SELECT rule_key, k0, k1, count(*) AS files_matched, sum(n) AS matched_rows,
+              bool_and(any_f) AS value_any, bool_and(all_f) AS value_all
+       FROM pf GROUP BY rule_key, k0, k1),
+m AS (SELECT c.rule_key, CAST(c.PracticeID AS VARCHAR) AS PracticeID, CAST(c.LocationID AS VARCHAR) AS LocationID,
+             CAST(COALESCE(f.files_checked, 0) AS BIGINT) AS n_files_checked,
+             CAST(COALESCE(pc.files_matched, 0) AS BIGINT) AS files_matched,
+             CAST(COALESCE(pc.matched_rows, 0) AS BIGINT) AS matched_rows, pc.value_any, pc.value_all
+      FROM ck c LEFT JOIN pc ON pc.rule_key = c.rule_key AND pc.k0 = c.k0 AND pc.k1 = c.k1
+                LEFT JOIN files f ON f.rule_key = c.rule_key)"""
+
+
+def _expected_sql(mode: str) -> str:
+    v = f"value_{mode}"
+    return (_with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + f"""
+SELECT rule_key, PracticeID, LocationID, {v} AS value_ok,
+       CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict, reason
+FROM (SELECT *, CASE WHEN n_files_checked = 0 THEN 'no outbound files were checked'
+                     WHEN files_matched = 0 THEN 'record not found in any outbound file'
+                     WHEN NOT COALESCE({v}, false) THEN 'unexpected value in a matched file' END AS reason
+      FROM m) x""")
+
+
+O_OUTBOUND_MATCH = _with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + """
+SELECT rule_key, PracticeID, LocationID, n_files_checked, files_matched, matched_rows,
+       CASE WHEN files_matched > 0 THEN 'PASS' ELSE 'FAIL' END AS identity_verdict FROM m"""
+O_OUTBOUND_EXPECTED_ANY = _expected_sql("any")
+O_OUTBOUND_EXPECTED_ALL = _expected_sql("all")
+
+
+def q_outbound_first3(spark, sf_dir):
+    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+    return ob.first_matching_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES[0],
+                                  rules_frame(spark, DRIVER_RULES), OUTBOUND_BUCKET, 3)
+
+
+O_OUTBOUND_FIRST3 = _with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + f"""
+SELECT rule_key, key_PracticeID, key_LocationID, file_path, CAST(rank AS INT) AS rank, row_no,
+       PracticeID, BillingLocationID, DataSource
+FROM (SELECT c.rule_key, c.k0 AS key_PracticeID, c.k1 AS key_LocationID, o.file_path, o.row_no,
+             o.PracticeID, o.BillingLocationID, o.DataSource,
+             row_number() OVER (PARTITION BY c.rule_key, c.k0, c.k1, o.file_path ORDER BY o.row_no) AS rank
+      FROM (SELECT DISTINCT rule_key, k0, k1 FROM ck) c
+      JOIN orow o ON o.rule_key = c.rule_key AND o.k0 = c.k0 AND o.k1 = c.k1
+      WHERE c.rule_key = '{DRIVER_RULES[0].key}') x
+WHERE rank <= 3"""
+
+
+def q_outbound_rowcount(spark, sf_dir):
+    report = lg.run_report(_logs(spark, sf_dir)[3])
+    return ob.reconcile_rows(_outbound(spark, sf_dir), report, enforce=True)
+
+
+O_OUTBOUND_ROWCOUNT = _with(*_LOG_VIEWS, "outbound_rows", extra=_LOG_SQL) + """,
+fr AS (SELECT run_id, count(*) AS n FROM outbound_rows GROUP BY run_id)
+SELECT COALESCE(fr.run_id, report.run_id) AS run_id, CAST(COALESCE(fr.n, 0) AS BIGINT) AS file_rows,
+       report.records_to_s3 AS reported_rows,
+       CASE WHEN report.records_to_s3 IS NULL THEN 'SKIPPED'
+            WHEN COALESCE(fr.n, 0) = report.records_to_s3 THEN 'PASS' ELSE 'FAIL' END AS verdict
+FROM fr FULL JOIN report ON report.run_id = fr.run_id"""
+
+
+def _overlap(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    src = (c["practice_locations"].where((F.col("Archived") == "N") & F.col("InDirectory").isin("F", "O"))
+           .select(F.col("LocationID").cast("string").alias("id")))
+    out = c["outbound_rows"].select(F.col("BillingLocationID").alias("id"))
+    return ob.id_overlap(src, out)
+
+
+def q_id_overlap(spark, sf_dir):
+    return _overlap(spark, sf_dir)
+
+
+_OVERLAP_SQL = f"""
+s AS (SELECT DISTINCT {_canon_sql(_str_text_sql('CAST(LocationID AS VARCHAR)'))} AS id FROM practice_locations
+      WHERE Archived = 'N' AND InDirectory IN ('F', 'O')),
+o AS (SELECT DISTINCT {_canon_sql(_str_text_sql('BillingLocationID'))} AS id FROM outbound_rows),
+ocnt AS (SELECT (SELECT count(*) FROM s) AS ns, (SELECT count(*) FROM o) AS no,
+               (SELECT count(*) FROM s JOIN o ON s.id = o.id) AS nc),
+ovl AS (
+  SELECT CAST(ns AS BIGINT) AS n_source, CAST(no AS BIGINT) AS n_output, CAST(nc AS BIGINT) AS n_common,
+         CASE WHEN ns > 0 THEN CAST(floor((nc * 2000 + ns) / (ns * 2)) AS BIGINT) END AS overlap_tenths,
+         CASE WHEN ns > 0 THEN CAST(floor((abs(no - ns) * 2000 + ns) / (ns * 2)) AS BIGINT) END AS diff_tenths
+  FROM ocnt),
+ovl2 AS (
+  SELECT *, CAST(floor(overlap_tenths / 10) AS BIGINT) || '.' || CAST(overlap_tenths % 10 AS VARCHAR) || '%' AS overlap_pct_text,
+         CAST(floor(diff_tenths / 10) AS BIGINT) || '.' || CAST(diff_tenths % 10 AS VARCHAR) || '%' AS diff_pct_text,
+         CASE WHEN n_source > 0 AND overlap_tenths >= 1000 AND diff_tenths <= 0 THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM ovl)"""
+
+O_ID_OVERLAP = _with("practice_locations", "outbound_rows", extra=_OVERLAP_SQL) + "SELECT * FROM ovl2"
+
+
+def q_consolidated_verdict(spark, sf_dir):
+    return st.consolidated_verdict(q_split_totals(spark, sf_dir), _overlap(spark, sf_dir))
+
+
+O_CONSOLIDATED_VERDICT = _with("splits", "process_status", "practice_locations", "outbound_rows",
+                               extra=_SPLIT_SQL + "," + _TOTALS_SQL + "," + _OVERLAP_SQL) + """
+SELECT total_splits, splits_failed, total_errored, total_stuck,
+       CASE WHEN problems = '' THEN 'PASS' ELSE 'FAIL' END AS verdict,
+       CASE WHEN problems = '' THEN '' ELSE 'validation FAILED:' || chr(10) || '  ' || problems END AS message
+FROM (
+  SELECT t.*, concat_ws(chr(10) || '  ',
+           CASE WHEN v.status = 'FAIL' THEN 'source/output count mismatch - overlap ' || v.overlap_pct_text
+                                            || ', diff ' || v.diff_pct_text END,
+           CASE WHEN t.splits_failed > 0 THEN CAST(t.splits_failed AS VARCHAR) || '/' || CAST(t.total_splits AS VARCHAR)
+                || ' split(s) FAILED - '
+                || concat_ws(', ', CASE WHEN t.total_errored > 0 THEN CAST(t.total_errored AS VARCHAR) || ' errored' END,
+                                   CASE WHEN t.total_stuck > 0 THEN CAST(t.total_stuck AS VARCHAR) || ' stuck' END)
+                || ' sub-process(es).' END) AS problems
+  FROM totals t CROSS JOIN ovl2 v) x"""
+
+QUERIES.update({
+    "artifact_state": q_artifact_state,
+    "object_search": q_object_search,
+    "outbound_match": q_outbound_match,
+    "outbound_expected_any": q_outbound_expected_any,
+    "outbound_expected_all": q_outbound_expected_all,
+    "outbound_first3": q_outbound_first3,
+    "outbound_rowcount": q_outbound_rowcount,
+    "id_overlap": q_id_overlap,
+    "consolidated_verdict": q_consolidated_verdict,
+})
+ORACLE.update({
+    "artifact_state": O_ARTIFACT_STATE,
+    "object_search": O_OBJECT_SEARCH,
+    "outbound_match": O_OUTBOUND_MATCH,
+    "outbound_expected_any": O_OUTBOUND_EXPECTED_ANY,
+    "outbound_expected_all": O_OUTBOUND_EXPECTED_ALL,
+    "outbound_first3": O_OUTBOUND_FIRST3,
+    "outbound_rowcount": O_OUTBOUND_ROWCOUNT,
+    "id_overlap": O_ID_OVERLAP,
+    "consolidated_verdict": O_CONSOLIDATED_VERDICT,
+})
