@@ -792,3 +792,141 @@ ORACLE.update({
     "id_overlap": O_ID_OVERLAP,
     "consolidated_verdict": O_CONSOLIDATED_VERDICT,
 })
+
+
+# ── final state, before/after, payload echo ───────────────────────────────
+from sluice.operators import finalstate as fs  # noqa: E402
+
+
+def q_final_state(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+    state = fs.final_state_rows(c["practices"], c["practice_locations_after"], c["practice_types"])
+    return fs.final_state(spark, cands, state, DRIVER_RULES)
+
+
+O_FINAL_STATE = _with(*DIRECTORY_TABLES, "practice_locations_after", extra=_QUALIFYING_SQL) + """,
+fstate AS (
+  SELECT p2.LocationID, COALESCE(p2.InDirectory, '') AS InDirectory
+  FROM practices p JOIN practice_locations_after p2 ON p2.PracticeID = p.PracticeID
+  JOIN practice_types pt ON pt.PracticeTypeID = p2.LocationTypeID
+  WHERE p.Archived = 'N' AND p2.Archived = 'N'),
+fj AS (
+  SELECT c.rule_key, c.LocationID, f.LocationID IS NOT NULL AS found, upper(trim(COALESCE(f.InDirectory, ''))) AS v
+  FROM (SELECT DISTINCT rule_key, LocationID FROM qualifying) c LEFT JOIN fstate f ON f.LocationID = c.LocationID)
+SELECT rule_key, CAST(LocationID AS VARCHAR) AS LocationID, found,
+       CASE WHEN NOT found THEN NULL WHEN v = '' THEN 'NULL' ELSE v END AS actual_value,
+       CASE WHEN found AND v IN ('N') THEN 'PASS' ELSE 'FAIL' END AS verdict,
+       CASE WHEN NOT found THEN 'final row not found'
+            WHEN v NOT IN ('N') THEN 'expected InDirectory in [''N''], found ' || CASE WHEN v = '' THEN 'NULL' ELSE v END
+       END AS reason
+FROM fj"""
+
+
+def _before_after(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    before, after = c["practitioner_locations_before"], c["practitioner_locations_after"]
+    return before, fs.before_after_rows(before, after, "InDirectory", ("N",))
+
+
+def q_before_after(spark, sf_dir):
+    return _before_after(spark, sf_dir)[1]
+
+
+_BA_SQL = """
+ba AS (
+  SELECT a.PractitionerID, a.PractitionerLocationRecID, a.LocationID,
+         CASE WHEN b.PractitionerLocationRecID IS NULL THEN '—' ELSE upper(trim(COALESCE(b.InDirectory, ''))) END
+           AS before_flag,
+         upper(trim(COALESCE(a.InDirectory, ''))) AS after_flag,
+         upper(trim(COALESCE(a.InDirectory, ''))) NOT IN ('N') AS offender,
+         COALESCE(a.AuditUser, '') AS audit_user
+  FROM practitioner_locations_after a
+  LEFT JOIN practitioner_locations_before b ON b.PractitionerLocationRecID = a.PractitionerLocationRecID)"""
+_BA_VIEWS = ("practitioner_locations_before", "practitioner_locations_after")
+O_BEFORE_AFTER = _with(*_BA_VIEWS, extra=_BA_SQL) + "SELECT * FROM ba"
+
+
+def q_before_after_summary(spark, sf_dir):
+    before, rows = _before_after(spark, sf_dir)
+    return fs.before_after_summary(before, rows, "dataloader", enforce_modified_by=False)
+
+
+O_BEFORE_AFTER_SUMMARY = _with(*_BA_VIEWS, extra=_BA_SQL) + """,
+base AS (SELECT PractitionerID, count(*) AS nb,
+                count(*) FILTER (WHERE upper(trim(COALESCE(InDirectory, ''))) = 'Y') AS nv
+         FROM practitioner_locations_before GROUP BY PractitionerID),
+aft AS (SELECT PractitionerID, count(*) AS na, count(*) FILTER (WHERE offender) AS n_off,
+               COALESCE(bool_or(contains(lower(audit_user), 'dataloader')), false) AS attributed
+        FROM ba GROUP BY PractitionerID),
+j AS (SELECT COALESCE(base.PractitionerID, aft.PractitionerID) AS PractitionerID,
+             CAST(COALESCE(nb, 0) AS BIGINT) AS n_baseline, CAST(COALESCE(nv, 0) AS BIGINT) AS n_visible_before,
+             CAST(COALESCE(na, 0) AS BIGINT) AS n_after, CAST(COALESCE(n_off, 0) AS BIGINT) AS n_offenders,
+             COALESCE(attributed, false) AS attributed
+      FROM base FULL JOIN aft ON aft.PractitionerID = base.PractitionerID)
+SELECT *, CASE WHEN reason IS NULL THEN 'PASS'
+               WHEN NOT attributed AND n_offenders = 0 AND n_after > 0 AND n_visible_before > 0 THEN 'WARN'
+               ELSE 'FAIL' END AS verdict
+FROM (SELECT *, CASE WHEN n_baseline = 0 THEN 'no baseline locations'
+                     WHEN n_visible_before = 0 THEN 'no location visible before'
+                     WHEN n_after = 0 THEN 'no active locations after'
+                     WHEN n_offenders > 0 THEN 'flag not suppressed'
+                     WHEN NOT attributed THEN 'change not attributed to ''dataloader''' END AS reason
+      FROM j) x"""
+
+
+def q_payload_rule_echo(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    return fs.payload_echo(spark, c["process_status"], c["payload_response"], c["status_targets"], DRIVER_RULES,
+                           rules_frame(spark, DRIVER_RULES), C.applied_rule)
+
+
+_ENTITY_RULES_SQL = _sql_values([(r.key, r.entity_type, r.final_column.lower()) for r in DRIVER_RULES],
+                                ["rule_key", "entity_type", "flag"])
+O_PAYLOAD_RULE_ECHO = _with("process_status", "payload_response", "status_targets") + f""",
+rows AS (SELECT * FROM process_status WHERE process_id IN (SELECT process_id FROM status_targets)),
+ids AS (SELECT DISTINCT process_id, trim(payload_response_id) AS payload_response_id FROM rows
+        WHERE COALESCE(trim(payload_response_id), '') <> ''),
+pl AS (SELECT payload_response_id, arg_min({{'payload': payload, 'response': response}}, COALESCE(payload, '')) AS p
+       FROM payload_response GROUP BY payload_response_id),
+pp AS (SELECT ids.process_id, ids.payload_response_id,
+              COALESCE(pl.p.payload, '') <> '' AS present,
+              COALESCE(pl.p.payload, '') || chr(10) || COALESCE(pl.p.response, '') AS txt
+       FROM ids LEFT JOIN pl ON pl.payload_response_id = ids.payload_response_id),
+pr AS (SELECT DISTINCT r.process_id, u.rule_key, u.flag FROM rows r JOIN {_ENTITY_RULES_SQL} u
+         ON lower(r.entity_name) = lower(u.entity_type)),
+tok AS (SELECT pp.process_id, pp.payload_response_id, unnest(regexp_extract_all(txt, '{_re(C.applied_rule)}', 1)) AS t
+        FROM pp),
+echo AS (SELECT DISTINCT tok.process_id, al.rule_key FROM tok JOIN {_ALIASES_SQL} al ON lower(tok.t) = lower(al.alias)),
+agg AS (SELECT pr.process_id, pr.rule_key, count(pp.payload_response_id) AS n_payloads,
+               count(*) FILTER (WHERE pp.payload_response_id IS NOT NULL AND NOT pp.present) AS n_empty,
+               COALESCE(bool_or(contains(lower(pp.txt), pr.flag)), false) AS flag_mentioned
+        FROM pr LEFT JOIN pp ON pp.process_id = pr.process_id GROUP BY pr.process_id, pr.rule_key),
+bv AS (SELECT DISTINCT process_id, trim(COALESCE(business_value, '')) AS bv FROM rows),
+guard AS (SELECT t.process_id, bool_and(bv.bv IS NOT NULL) AS identity_confirmed
+          FROM (SELECT DISTINCT process_id, trim(expected_value) AS bv FROM status_targets) t
+          LEFT JOIN bv ON bv.process_id = t.process_id AND bv.bv = t.bv GROUP BY t.process_id),
+out AS (SELECT agg.process_id, agg.rule_key, CAST(n_payloads AS BIGINT) AS n_payloads, CAST(n_empty AS BIGINT) AS n_empty,
+               echo.rule_key IS NOT NULL AS rule_echoed, flag_mentioned,
+               COALESCE(guard.identity_confirmed, false) AS identity_confirmed
+        FROM agg LEFT JOIN echo ON echo.process_id = agg.process_id AND echo.rule_key = agg.rule_key
+                 LEFT JOIN guard ON guard.process_id = agg.process_id)
+SELECT *, CASE WHEN reason IS NULL THEN 'PASS' WHEN n_payloads = 0 OR n_empty > 0 THEN 'FAIL' ELSE 'WARN' END AS verdict
+FROM (SELECT *, CASE WHEN n_payloads = 0 THEN 'no payload_response_id' WHEN n_empty > 0 THEN 'payload empty'
+                     WHEN NOT rule_echoed THEN 'rule not echoed in payload'
+                     WHEN NOT flag_mentioned THEN 'flag column not named in payload'
+                     WHEN NOT identity_confirmed THEN 'batch-level process row' END AS reason
+      FROM out) x"""
+
+QUERIES.update({
+    "final_state": q_final_state,
+    "before_after": q_before_after,
+    "before_after_summary": q_before_after_summary,
+    "payload_rule_echo": q_payload_rule_echo,
+})
+ORACLE.update({
+    "final_state": O_FINAL_STATE,
+    "before_after": O_BEFORE_AFTER,
+    "before_after_summary": O_BEFORE_AFTER_SUMMARY,
+    "payload_rule_echo": O_PAYLOAD_RULE_ECHO,
+})

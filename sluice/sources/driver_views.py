@@ -135,6 +135,14 @@ STATUS_VIEWS = {
                CASE WHEN item_id % 5 = 0 THEN '' ELSE text || ' AppliedRule=rule-' || CAST(item_id % 20 AS STRING)
                     || CASE WHEN item_id % 3 = 0 THEN ' InDirectory=N' ELSE '' END END AS payload
         FROM {benchmark}""",
+    # The entity each process is expected to be about (JOIN-11): usually one
+    # of its rows' business values, sometimes an id it never mentions.
+    "status_targets": f"""
+        SELECT {_PROCESS_ID} AS process_id,
+               CASE WHEN event_id % 3 = 0 THEN CAST(user_id + 1000 AS STRING) ELSE CAST(user_id AS STRING) END
+                 AS expected_value
+        FROM {{events}}
+        WHERE event_id % 4 = 1""",
     # The split manifest: one split per process, some splits without any
     # status row, and some listed twice.
     "splits": f"""
