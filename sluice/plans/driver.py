@@ -44,8 +44,15 @@ DRIVER_RULES = [
 ]
 
 
+_CATALOGS: dict[tuple, Catalog] = {}
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog(spark, sf_dir, ALL_VIEWS)
+    """One catalog per (session, folder): view SQL is parsed once."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _CATALOGS:
+        _CATALOGS[key] = Catalog(spark, sf_dir, ALL_VIEWS)
+    return _CATALOGS[key]
 
 
 def directory(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -3,14 +3,21 @@
 A *binding* maps each logical table an operator expects (for example
 ``practice_locations``) to a SQL template over physical tables and other
 views, written with ``{name}`` placeholders.  Spark resolves a placeholder to
-a parquet scan (``parquet.`path```) or to the sub-query of another view and
-runs it with ``spark.sql`` — Catalyst then prunes columns and pushes filters
-into the scans.  The DuckDB oracle resolves the same text to CTEs, so both
+a registered scan of the table (or to the sub-query of another view) and runs
+it with ``spark.sql`` — Catalyst prunes columns and pushes filters into the
+parquet scans.  The DuckDB oracle resolves the same text to CTEs, so both
 sides derive identical inputs from the driver tables.
+
+Under-partitioned inputs: a table stored as a single row group scans as one
+task however many cores there are.  When a scan yields fewer partitions than
+the session's default parallelism, the catalog spreads it with a round-robin
+``repartition`` (filters and column pruning still reach the scan).  On a
+cluster, where inputs are many files and splits, this never triggers.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,20 +30,38 @@ def _refs(template: str) -> list[str]:
 
 
 class Catalog:
-    """Parquet tables under one folder plus named derived views."""
+    """Tables under one folder plus named derived views."""
 
     def __init__(self, spark: SparkSession, root: str, views: dict[str, str] | None = None,
-                 fmt: str = "parquet"):
+                 fmt: str = "parquet", spread_small_inputs: bool | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.views = dict(views or {})
+        if spread_small_inputs is None:
+            spread_small_inputs = spark.conf.get("sluice.spreadSmallInputs", "true").lower() == "true"
+        self.spread = spread_small_inputs
+        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:8]
+        self._tables: dict[str, DataFrame] = {}
+        self._view_dfs: dict[str, DataFrame] = {}
 
-    def table_ref(self, name: str) -> str:
-        return f"{self.fmt}.`{self.root}/{name}.{self.fmt}`"
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}.{self.fmt}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(f"{self.root}/{name}.{self.fmt}")
+        if name not in self._tables:
+            df = self.spark.read.format(self.fmt).load(self.path(name))
+            if self.spread:
+                target = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < target:
+                    df = df.repartition(target)
+            self._tables[name] = df
+        return self._tables[name]
+
+    def table_ref(self, name: str) -> str:
+        view = f"sluice_{self._tag}_{name}"
+        self.table(name).createOrReplaceTempView(view)
+        return view
 
     def _resolve(self, name: str) -> str:
         template = self.views[name]
@@ -48,7 +73,9 @@ class Catalog:
     def view(self, name: str) -> DataFrame:
         if name not in self.views:
             return self.table(name)
-        return self.spark.sql(self._resolve(name))
+        if name not in self._view_dfs:
+            self._view_dfs[name] = self.spark.sql(self._resolve(name))
+        return self._view_dfs[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.view(name)

@@ -159,8 +159,12 @@ STATUS_VIEWS = {
 _RUN = "'jr_' || lpad(CAST(o_custkey % 40 AS STRING), 3, '0')"
 _UUID_SRC = ("md5('run-' || CAST(o_custkey % 40 AS STRING) || CASE WHEN o_custkey % 40 = 5 "
              "THEN '-' || CAST(o_orderkey % 2 AS STRING) ELSE '' END)")
-_UUID = (f"substr({_UUID_SRC}, 1, 8) || '-' || substr({_UUID_SRC}, 9, 4) || '-' || "
-         f"substr({_UUID_SRC}, 13, 4) || '-' || substr({_UUID_SRC}, 17, 4) || '-' || substr({_UUID_SRC}, 21, 12)")
+# Orders with the run's hash computed once per row (an inner projection, so
+# the expression is not repeated in every place the UUID is rendered).
+_ORDERS_H = (f"(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, "
+             f"{_UUID_SRC} AS _h FROM {{orders}})")
+_UUID = ("substr(_h, 1, 8) || '-' || substr(_h, 9, 4) || '-' || "
+         "substr(_h, 13, 4) || '-' || substr(_h, 17, 4) || '-' || substr(_h, 21, 12)")
 _BUCKET = "CASE WHEN o_custkey % 40 = 13 AND o_orderkey % 2 = 0 THEN 'other-bucket' ELSE 'outbound-bucket' END"
 _PREFIX = ("CASE WHEN o_orderkey % 5 = 0 AND o_custkey % 40 = 17 THEN '/outbound/practice_update/' "
            "WHEN o_orderkey % 5 = 1 THEN 'outbound/practitioner_update/' "
@@ -197,7 +201,7 @@ LOG_VIEWS = {
                CASE WHEN o_orderkey % 3 <> 2 THEN NULL
                     WHEN o_custkey % 40 = 11 THEN 'jr_999'
                     WHEN o_custkey % 40 < 20 THEN {_RUN} END AS declared_stream
-        FROM {{orders}}""",
+        FROM {_ORDERS_H} AS o""",
     "runs": f"""
         SELECT {_RUN} AS run_id,
                CASE WHEN o_custkey % 2 = 0 THEN 'practice' ELSE 'practitioner' END AS flow_name,
@@ -214,7 +218,7 @@ LOG_VIEWS = {
                {_PREFIX} || {_FILE} AS key,
                CASE WHEN min(o_orderkey) % 17 = 0 THEN 0 ELSE sum(CAST(floor(o_totalprice) AS BIGINT)) END AS size,
                max(o_orderdate) + INTERVAL 1500 DAY AS last_modified
-        FROM {{orders}}
+        FROM {_ORDERS_H} AS o
         WHERE o_orderpriority = '3-MEDIUM'
         GROUP BY {_BUCKET}, {_PREFIX} || {_FILE}
         HAVING min(o_orderkey) % 19 <> 0""",
@@ -238,7 +242,7 @@ OUTBOUND_VIEWS = {
                'Service' AS BillingServiceTypeName,
                o_orderpriority AS BillingServiceCategoryTypeName,
                CASE o_orderkey % 6 WHEN 0 THEN 'Directory-Auto ' WHEN 1 THEN 'manual' ELSE 'directory-auto' END AS DataSource
-        FROM {{orders}}
+        FROM {_ORDERS_H} AS o
         WHERE o_orderstatus <> 'P' AND o_orderkey % 10 <> 3""",
 }
 
