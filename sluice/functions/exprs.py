@@ -31,6 +31,8 @@ MISSING_SUB_PROCESS = "unknown"
 MISSING_STATUS = "(null)"
 MISSING_ERROR_TYPE = "unknown"
 EMPTY_ERROR_REASON = "(error field is empty)"
+# Full case folding where it differs from lower-casing (the common cases).
+CASEFOLD_EXTRA = (("ß", "ss"), ("ẞ", "ss"), ("ς", "σ"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬅ", "st"), ("ﬆ", "st"))
 # Rule-id spellings accepted when a payload or log echoes a rule.
 RULE_ALIAS_FORMATS = ("{}", "rule-{}", "rule_{}", "prac-{}", "practice-{}", "facility-{}")
 
@@ -66,8 +68,12 @@ def ci_equal(a, b) -> Column:
 
 
 def casefold(c) -> Column:
-    """EXP-3: case folding; ``lower(upper(x))`` folds ß like Python casefold."""
-    return F.lower(F.upper(text_norm(c)))
+    """EXP-3: case folding: lower case plus the multi-character foldings
+    (ß → ss, ...) that lower-casing alone misses."""
+    v = F.lower(text_norm(c))
+    for src, dst in CASEFOLD_EXTRA:
+        v = F.replace(v, F.lit(src), F.lit(dst))
+    return v
 
 
 def canon_id(c) -> Column:
