@@ -937,3 +937,52 @@ ORACLE.update({
     "before_after_summary": O_BEFORE_AFTER_SUMMARY,
     "payload_rule_echo": O_PAYLOAD_RULE_ECHO,
 })
+
+
+# ── streaming monitors (rows-only checks: no oracle) ─────────────────────
+from sluice.streaming import monitors as mon  # noqa: E402
+
+
+def q_stream_terminal(spark, sf_dir):
+    ev = catalog(spark, sf_dir).stream_view("process_status").select(
+        "id", "process_id", "sub_process_name", "status", F.col("updated_at").cast("timestamp").alias("event_time"))
+    return mon.run_available_now(spark, mon.terminal_monitor(ev, mon.LOADER_DEADLINE), "terminal")
+
+
+def q_stream_log_done(spark, sf_dir):
+    lines = catalog(spark, sf_dir).stream_view("run_log_captures").withColumn(
+        "event_time", F.col("modified_at").cast("timestamp") + F.make_dt_interval(secs=F.col("line_no") % 86400))
+    return mon.run_available_now(spark, mon.log_completion_monitor(lines, C.sentinel, 3 * 86400), "log_done")
+
+
+def q_stream_objects(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    rules = rules_frame(spark, DRIVER_RULES)
+    targets = (lg.runs_rules(c["runs"].where(F.col("state") == "SKIPPED_TRIGGER"), rules)
+               .select(F.concat_ws("/", "run_id", "rule_key").alias("search_id"),
+                       F.lit(OUTBOUND_BUCKET).alias("target_bucket"), F.col("outbound_prefix").alias("prefix"),
+                       F.col("started_at").cast("timestamp").alias("since")))
+    objs = c.stream_view("object_events").withColumn("last_modified", F.col("last_modified").cast("timestamp"))
+    found = mon.run_available_now(
+        spark, mon.object_arrivals(objs, targets, [r.outbound_prefix for r in DRIVER_RULES]), "objects")
+    clock = c["object_events"].agg(F.max("last_modified").cast("timestamp")).first()[0]
+    return mon.object_verdicts(found, targets, clock, mon.OBJECT_DEADLINE)
+
+
+def q_stream_flag(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    cands = (cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+             .select(F.col("LocationID").alias("record_key")).distinct())
+    changes = (c.stream_view("practice_locations_after")
+               .select(F.col("LocationID").alias("record_key"), F.col("InDirectory").alias("value"),
+                       F.col("ModifiedAt").cast("timestamp").alias("event_time"))
+               .join(cands, "record_key", "left_semi"))
+    return mon.run_available_now(spark, mon.flag_monitor(changes, ("N",), mon.LOADER_DEADLINE), "flag")
+
+
+QUERIES.update({
+    "stream_terminal": q_stream_terminal,
+    "stream_log_done": q_stream_log_done,
+    "stream_objects": q_stream_objects,
+    "stream_flag": q_stream_flag,
+})

@@ -77,6 +77,22 @@ class Catalog:
             self._view_dfs[name] = self.spark.sql(self._resolve(name))
         return self._view_dfs[name]
 
+    def stream_view(self, name: str) -> DataFrame:
+        """The view over *streaming* scans of its tables (files of the table
+        arriving in the folder); views over other views are not streamed."""
+        template = self.views[name]
+        subs = {}
+        for ref in _refs(template):
+            if ref in self.views:
+                raise ValueError(f"view {name} reads view {ref}; stream the base view instead")
+            schema = self.spark.read.format(self.fmt).load(self.path(ref)).schema
+            sdf = (self.spark.readStream.format(self.fmt).schema(schema)
+                   .option("pathGlobFilter", f"{ref}.{self.fmt}").load(self.root))
+            vname = f"sluice_s_{self._tag}_{ref}"
+            sdf.createOrReplaceTempView(vname)
+            subs[ref] = f"{vname} AS {ref}"
+        return self.spark.sql(_PLACEHOLDER.sub(lambda m: subs[m.group(1)], template))
+
     def __getitem__(self, name: str) -> DataFrame:
         return self.view(name)
 

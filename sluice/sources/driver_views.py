@@ -67,7 +67,8 @@ DIRECTORY_VIEWS = {
                     WHEN '3-MEDIUM' THEN NULL ELSE o_orderstatus END AS InDirectory,
                CAST(o_custkey % 25 AS INT) AS LocationTypeID,
                CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END AS Archived,
-               CASE WHEN o_orderkey % 3 = 0 THEN 'svc-DataLoader' ELSE 'jsmith' END AS ModifiedBy
+               CASE WHEN o_orderkey % 3 = 0 THEN 'svc-DataLoader' ELSE 'jsmith' END AS ModifiedBy,
+               o_orderdate + INTERVAL 2000 DAY AS ModifiedAt
         FROM {orders}
         WHERE o_orderkey % 11 <> 0""",
 }
@@ -224,6 +225,14 @@ LOG_VIEWS = {
         HAVING min(o_orderkey) % 19 <> 0""",
 }
 
+# Object write events (one per chunk written; a key written twice is
+# overwritten): the streaming form of the inventory.
+LOG_VIEWS["object_events"] = f"""
+        SELECT {_BUCKET} AS bucket, {_PREFIX} || {_FILE} AS key, CAST(floor(o_totalprice) AS BIGINT) AS size,
+               o_orderdate + INTERVAL 1500 DAY AS last_modified
+        FROM {_ORDERS_H} AS o
+        WHERE o_orderpriority = '3-MEDIUM'"""
+
 # ── outbound file rows (FIXTURES.md "Outbound files") ─────────────────────
 # One row per written record: all values are strings; ids are zero-padded on
 # some rows; TaxIDNumber sometimes in scientific notation.
