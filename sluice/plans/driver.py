@@ -986,3 +986,218 @@ QUERIES.update({
     "stream_objects": q_stream_objects,
     "stream_flag": q_stream_flag,
 })
+
+
+# ── stage-gated scenario verdict ─────────────────────────────────────────
+from sluice.functions.exprs import canon_id, text_norm  # noqa: E402
+from sluice.operators import verdict as vd  # noqa: E402
+
+
+def q_stage_verdict(spark, sf_dir):
+    c = catalog(spark, sf_dir)
+    tables = directory(spark, sf_dir)
+    rules = rules_frame(spark, DRIVER_RULES)
+    keys = ["rule_key", "PracticeID", "LocationID"]
+    q = cand.qualifying_for(spark, tables, DRIVER_RULES, AS_OF)
+    pre = (cand.check_preconditions(spark, q, DRIVER_RULES)
+           .groupBy("rule_key", "PracticeID", "LocationID")
+           .agg(F.bool_and("passed").alias("_ok"),
+                F.min(F.when(~F.col("passed"), F.array_join("failed_checks", ","))).alias("_why")))
+    recs = pre.select(
+        "rule_key", F.col("PracticeID").cast("string").alias("PracticeID"),
+        F.col("LocationID").cast("string").alias("LocationID"),
+        canon_id(text_norm(F.col("PracticeID"), pre.schema["PracticeID"].dataType)).alias("_k0"),
+        canon_id(text_norm(F.col("LocationID"), pre.schema["LocationID"].dataType)).alias("_k1"),
+        F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("candidate_verdict"),
+        F.when(~F.col("_ok"), F.concat(F.lit("failed checks: "), F.col("_why"))).alias("candidate_reason"))
+    # the run that wrote each record: the run of the outbound rows holding it
+    orows = ob.rule_files(_outbound(spark, sf_dir), rules, OUTBOUND_BUCKET).select(
+        "rule_key", "run_id", canon_id(text_norm(F.col("PracticeID"))).alias("_k0"),
+        canon_id(text_norm(F.col("BillingLocationID"))).alias("_k1"))
+    runmap = orows.groupBy("rule_key", "_k0", "_k1").agg(F.min("run_id").alias("run_id"))
+    recs = recs.join(runmap, ["rule_key", "_k0", "_k1"], "left").drop("_k0", "_k1")
+
+    runs = c["runs"]
+    runs_v = runs.select("run_id", "state")
+    caps, _, picks, parsed = _logs(spark, sf_dir)
+    arts = lg.artifacts_by_rule(lg.log_artifacts(parsed, C), runs, rules, OUTBOUND_BUCKET)
+    pid = lg.process_id_check(arts, runs, rules)
+    logv = lg.log_verdict(spark, runs, lg.run_report(parsed), lg.rule_counts(parsed), pid, rules, DRIVER_RULES)
+    found = q_object_search(spark, sf_dir).select(
+        F.split("search_id", "/")[0].alias("run_id"), F.split("search_id", "/")[1].alias("rule_key")).distinct() \
+        .withColumn("_found", F.lit(True))
+    astate = (ar.check_artifacts(arts, c["object_inventory"], runs, picks)
+              .groupBy("run_id", "rule_key")
+              .agg(vd.worst("verdict").alias("outbound_file_verdict"),
+                   F.min(F.when(F.col("verdict") != "PASS", F.concat_ws(": ", "key", "state"))).alias("outbound_file_reason")))
+    content = _match(spark, sf_dir, "any").select(*keys, F.col("verdict").alias("outbound_content_verdict"),
+                                                  F.col("reason").alias("outbound_content_reason"))
+    term = st.terminal_state(c["process_status"], process_ids=pid.where(F.col("process_id").isNotNull()))
+    fstate = fs.final_state(spark, q, fs.final_state_rows(c["practices"], c["practice_locations_after"],
+                                                          c["practice_types"]), DRIVER_RULES)
+
+    j = (recs.join(runs_v, "run_id", "left")
+         .join(logv.select("run_id", "rule_key", F.col("verdict").alias("_lv"), F.col("reason").alias("_lr")),
+               ["run_id", "rule_key"], "left")
+         .join(found, ["run_id", "rule_key"], "left")
+         .join(astate, ["run_id", "rule_key"], "left")
+         .join(content, keys, "left")
+         .join(pid.select("run_id", "rule_key", "process_id"), ["run_id", "rule_key"], "left")
+         .join(term.select("process_id", F.col("verdict").alias("dataloader_verdict"),
+                           F.col("reason").alias("_dr")), "process_id", "left")
+         .join(fstate.select("rule_key", "LocationID", F.col("verdict").alias("final_state_verdict"),
+                             F.col("reason").alias("final_state_reason")), ["rule_key", "LocationID"], "left"))
+    job_v, job_r = vd.job_stage(F.col("state"))
+    fallback = F.col("state") == "SKIPPED_TRIGGER"
+    j = j.select(
+        *keys, "run_id", "candidate_verdict", "candidate_reason",
+        job_v.alias("job_verdict"), job_r.alias("job_reason"),
+        F.when(fallback, F.when(F.col("_found"), "PASS").otherwise("FAIL")).otherwise(F.col("_lv")).alias("run_log_verdict"),
+        F.when(fallback, F.when(F.col("_found").isNull(), F.lit("no object found by prefix search")))
+         .otherwise(F.col("_lr")).alias("run_log_reason"),
+        "outbound_file_verdict", "outbound_file_reason", "outbound_content_verdict", "outbound_content_reason",
+        F.when(F.col("process_id").isNull(), "FAIL").otherwise(F.coalesce("dataloader_verdict", F.lit("FAIL")))
+         .alias("dataloader_verdict"),
+        F.when(F.col("process_id").isNull(), F.lit("no process id for the run"))
+         .when(F.col("dataloader_verdict").isNull(), F.lit("no status rows for the process"))
+         .otherwise(F.col("_dr")).alias("dataloader_reason"),
+        "final_state_verdict", "final_state_reason")
+    return vd.fold_stages(j)
+
+
+_STAGE_SQL = f"""
+pre AS (
+  SELECT rule_key, PracticeID, LocationID,
+         bool_and(fc = '') AS ok, min(CASE WHEN fc <> '' THEN fc END) AS why
+  FROM (SELECT rule_key, PracticeID, LocationID,
+               concat_ws(',',
+                 CASE WHEN PracticeID = 0 OR PracticeID IS NULL THEN 'identity:PracticeID' END,
+                 CASE WHEN LocationID = 0 OR LocationID IS NULL THEN 'identity:LocationID' END,
+                 CASE WHEN trim(COALESCE(TaxIDNumber, '')) = '' THEN 'identity:TaxIDNumber' END) AS fc
+        FROM qualifying) x
+  GROUP BY rule_key, PracticeID, LocationID),
+recs AS (
+  SELECT pre.rule_key, CAST(pre.PracticeID AS VARCHAR) AS PracticeID, CAST(pre.LocationID AS VARCHAR) AS LocationID,
+         CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS candidate_verdict,
+         CASE WHEN NOT ok THEN 'failed checks: ' || why END AS candidate_reason,
+         (SELECT min(o.run_id) FROM orow o WHERE o.rule_key = pre.rule_key
+             AND o.k0 = {_canon_sql(_num_text_sql('pre.PracticeID'))}
+             AND o.k1 = {_canon_sql(_num_text_sql('pre.LocationID'))}) AS run_id
+  FROM pre),
+osearch AS (
+  SELECT DISTINCT r.run_id, u.rule_key
+  FROM runs r JOIN {RULES_SQL} u ON u.flow_name = r.flow_name
+  JOIN object_inventory i ON i.bucket = '{OUTBOUND_BUCKET}' AND starts_with(ltrim(i.key, '/'), u.outbound_prefix)
+  WHERE r.state = 'SKIPPED_TRIGGER' AND i.last_modified >= r.started_at
+    AND regexp_matches(string_split(i.key, '/')[-1], '.*\\.csv$')),
+astate0 AS (
+  SELECT ent.run_id, ent.rule_key, ent.key,
+         CASE WHEN i.key IS NULL THEN 'not found' WHEN COALESCE(i.size, 0) = 0 THEN '0 bytes'
+              WHEN i.last_modified < r.started_at THEN 'stale' ELSE 'ok' END AS state,
+         CASE WHEN i.key IS NULL OR COALESCE(i.size, 0) = 0 THEN 'FAIL'
+              WHEN i.last_modified < r.started_at THEN CASE WHEN COALESCE(p.run_verified, false) THEN 'WARN' ELSE 'FAIL' END
+              ELSE 'PASS' END AS verdict
+  FROM ent LEFT JOIN object_inventory i ON i.bucket = ent.bucket AND i.key = ent.key
+           LEFT JOIN runs r ON r.run_id = ent.run_id LEFT JOIN picks p ON p.run_id = ent.run_id),
+astate AS (
+  SELECT run_id, rule_key,
+         CASE WHEN bool_or(verdict = 'FAIL') THEN 'FAIL' WHEN bool_or(verdict = 'WARN') THEN 'WARN' ELSE 'PASS' END
+           AS outbound_file_verdict,
+         min(CASE WHEN verdict <> 'PASS' THEN key || ': ' || state END) AS outbound_file_reason
+  FROM astate0 GROUP BY run_id, rule_key),
+logv AS (
+  SELECT rr.run_id, rr.rule_key,
+         CASE WHEN rep.log_count IS NULL THEN 'log does not report AppliedRule=' || CAST(rr.rule_id AS VARCHAR)
+              WHEN rep.log_count < 1 THEN 'rule_count below 1'
+              WHEN COALESCE(report.records_to_s3, 0) < 1 THEN 'no output records written'
+              WHEN COALESCE(report.n_artifacts, 0) = 0 THEN 'no output artifacts in the log'
+              WHEN pid.reason IS NOT NULL THEN pid.reason
+              WHEN NOT pid.bucket_ok THEN 'artifact bucket is not the configured bucket'
+              WHEN NOT pid.prefix_ok THEN 'artifact key is outside the prefix' END AS lr
+  FROM rr LEFT JOIN rep ON rep.run_id = rr.run_id AND rep.rule_key = rr.rule_key
+          LEFT JOIN report ON report.run_id = rr.run_id
+          LEFT JOIN pid ON pid.run_id = rr.run_id AND pid.rule_key = rr.rule_key),
+content AS (
+  SELECT rule_key, PracticeID, LocationID,
+         CASE WHEN n_files_checked = 0 THEN 'no outbound files were checked'
+              WHEN files_matched = 0 THEN 'record not found in any outbound file'
+              WHEN NOT COALESCE(value_any, false) THEN 'unexpected value in a matched file' END AS cr
+  FROM m),
+term AS (
+  SELECT process_id,
+         CASE WHEN n_err > 0 THEN 'status rows report errors' WHEN n_ip > 0 THEN 'still IN-PROGRESS'
+              WHEN n_ld = 0 THEN 'no Data-Loader-File row' WHEN NOT done THEN 'loader did not complete' END AS tr
+  FROM (SELECT process_id, count(*) FILTER (WHERE s IN ('FAILED', 'ERROR')) AS n_err,
+               count(*) FILTER (WHERE s = 'IN-PROGRESS') AS n_ip,
+               count(*) FILTER (WHERE sub_process_name = 'Data-Loader-File') AS n_ld,
+               COALESCE(bool_or(sub_process_name = 'Data-Loader-File' AND s IN ('COMPLETED', 'SUCCESS')), false) AS done
+        FROM (SELECT *, upper(trim(COALESCE(status, ''))) AS s FROM process_status) t
+        WHERE process_id IN (SELECT process_id FROM pid WHERE process_id IS NOT NULL)
+        GROUP BY process_id) a),
+fstate AS (
+  SELECT p2.LocationID, COALESCE(p2.InDirectory, '') AS InDirectory
+  FROM practices p JOIN practice_locations_after p2 ON p2.PracticeID = p.PracticeID
+  JOIN practice_types pt ON pt.PracticeTypeID = p2.LocationTypeID
+  WHERE p.Archived = 'N' AND p2.Archived = 'N'),
+fin AS (
+  SELECT c.rule_key, CAST(c.LocationID AS VARCHAR) AS LocationID,
+         CASE WHEN f.LocationID IS NULL THEN 'final row not found'
+              WHEN upper(trim(f.InDirectory)) NOT IN ('N')
+              THEN 'expected InDirectory in [''N''], found '
+                   || CASE WHEN upper(trim(f.InDirectory)) = '' THEN 'NULL' ELSE upper(trim(f.InDirectory)) END END AS fr
+  FROM (SELECT DISTINCT rule_key, LocationID FROM qualifying) c LEFT JOIN fstate f ON f.LocationID = c.LocationID),
+st0 AS (
+  SELECT recs.rule_key, recs.PracticeID, recs.LocationID, recs.run_id,
+         candidate_verdict, candidate_reason,
+         CASE WHEN r.state IN ('SUCCEEDED', 'SKIPPED_TRIGGER') THEN 'PASS' ELSE 'FAIL' END AS job_verdict,
+         CASE WHEN r.state IS NULL THEN 'no run wrote the record'
+              WHEN r.state NOT IN ('SUCCEEDED', 'SKIPPED_TRIGGER') THEN 'job state ' || r.state END AS job_reason,
+         CASE WHEN r.state = 'SKIPPED_TRIGGER' THEN CASE WHEN os.run_id IS NOT NULL THEN 'PASS' ELSE 'FAIL' END
+              WHEN logv.run_id IS NULL THEN NULL
+              WHEN logv.lr IS NULL THEN 'PASS' ELSE 'FAIL' END AS run_log_verdict,
+         CASE WHEN r.state = 'SKIPPED_TRIGGER' THEN CASE WHEN os.run_id IS NULL THEN 'no object found by prefix search' END
+              ELSE logv.lr END AS run_log_reason,
+         a.outbound_file_verdict, a.outbound_file_reason,
+         CASE WHEN ct.rule_key IS NULL THEN NULL WHEN ct.cr IS NULL THEN 'PASS' ELSE 'FAIL' END AS outbound_content_verdict,
+         ct.cr AS outbound_content_reason,
+         CASE WHEN pid.process_id IS NULL OR term.process_id IS NULL THEN 'FAIL'
+              WHEN term.tr IS NULL THEN 'PASS' ELSE 'FAIL' END AS dataloader_verdict,
+         CASE WHEN pid.process_id IS NULL THEN 'no process id for the run'
+              WHEN term.process_id IS NULL THEN 'no status rows for the process' ELSE term.tr END AS dataloader_reason,
+         CASE WHEN fin.rule_key IS NULL THEN NULL WHEN fin.fr IS NULL THEN 'PASS' ELSE 'FAIL' END AS final_state_verdict,
+         fin.fr AS final_state_reason
+  FROM recs LEFT JOIN runs r ON r.run_id = recs.run_id
+            LEFT JOIN logv ON logv.run_id = recs.run_id AND logv.rule_key = recs.rule_key
+            LEFT JOIN osearch os ON os.run_id = recs.run_id AND os.rule_key = recs.rule_key
+            LEFT JOIN astate a ON a.run_id = recs.run_id AND a.rule_key = recs.rule_key
+            LEFT JOIN content ct ON ct.rule_key = recs.rule_key AND ct.PracticeID = recs.PracticeID
+                                AND ct.LocationID = recs.LocationID
+            LEFT JOIN pid ON pid.run_id = recs.run_id AND pid.rule_key = recs.rule_key
+            LEFT JOIN term ON term.process_id = pid.process_id
+            LEFT JOIN fin ON fin.rule_key = recs.rule_key AND fin.LocationID = recs.LocationID),
+st1 AS (SELECT *, COALESCE(candidate_verdict, 'FAIL') AS candidate FROM st0),
+st2 AS (SELECT *, CASE WHEN candidate IN ('PASS', 'WARN') THEN COALESCE(job_verdict, 'FAIL') ELSE 'SKIPPED' END AS job FROM st1),
+st3 AS (SELECT *, CASE WHEN job IN ('PASS', 'WARN') THEN COALESCE(run_log_verdict, 'FAIL') ELSE 'SKIPPED' END AS run_log FROM st2),
+st4 AS (SELECT *, CASE WHEN run_log IN ('PASS', 'WARN') THEN COALESCE(outbound_file_verdict, 'FAIL') ELSE 'SKIPPED' END
+                  AS outbound_file FROM st3),
+st5 AS (SELECT *, CASE WHEN outbound_file IN ('PASS', 'WARN') THEN COALESCE(outbound_content_verdict, 'FAIL')
+                       ELSE 'SKIPPED' END AS outbound_content FROM st4),
+st6 AS (SELECT *, CASE WHEN outbound_content IN ('PASS', 'WARN') THEN COALESCE(dataloader_verdict, 'FAIL')
+                       ELSE 'SKIPPED' END AS dataloader FROM st5),
+st7 AS (SELECT *, CASE WHEN dataloader IN ('PASS', 'WARN') THEN COALESCE(final_state_verdict, 'FAIL')
+                       ELSE 'SKIPPED' END AS final_state FROM st6)"""
+
+_STAGE_NAMES = ["candidate", "job", "run_log", "outbound_file", "outbound_content", "dataloader", "final_state"]
+O_STAGE_VERDICT = _with(*DIRECTORY_TABLES, *_LOG_VIEWS, "object_inventory", "outbound_rows", "process_status",
+                        "practice_locations_after",
+                        extra=_QUALIFYING_SQL + "," + _LOG_SQL + "," + _OUTBOUND_SQL + "," + _STAGE_SQL) + f"""
+SELECT rule_key, PracticeID, LocationID, run_id, {', '.join(_STAGE_NAMES)},
+       COALESCE({', '.join(f"CASE WHEN {s} = 'FAIL' THEN '{s}' END" for s in _STAGE_NAMES)}) AS first_failed_stage,
+       COALESCE({', '.join(f"CASE WHEN {s} = 'FAIL' THEN COALESCE({s}_reason, 'no result') END" for s in _STAGE_NAMES)})
+         AS reason,
+       CASE WHEN {' OR '.join(f"{s} = 'FAIL'" for s in _STAGE_NAMES)} THEN 'FAIL'
+            WHEN {' OR '.join(f"{s} = 'WARN'" for s in _STAGE_NAMES)} THEN 'WARN' ELSE 'PASS' END AS verdict
+FROM st7"""
+
+QUERIES["stage_verdict"] = q_stage_verdict
+ORACLE["stage_verdict"] = O_STAGE_VERDICT

@@ -97,7 +97,15 @@ PRACTITIONER_VIEWS = {
 }
 
 # ── process status, payloads and splits (FIXTURES.md "Process status") ───
-_PROCESS_ID = "'proc-' || lpad(CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING), 7, '0')"
+# One process in 50 is a run's own load process, keyed by the run's UUID (the
+# same hash the log renders into file names), so status rows can be traced
+# back to runs; the others are plain ids.
+_EVENTS_H = ("(SELECT *, md5('run-' || CAST(CAST(floor(event_id / 200) AS BIGINT) % 40 AS STRING)) AS _h "
+             "FROM {events})")
+_PROCESS_ID = ("CASE WHEN CAST(floor(event_id / 4) AS BIGINT) % 50 = 0 THEN "
+               "substr(_h, 1, 8) || '-' || substr(_h, 9, 4) || '-' || substr(_h, 13, 4) || '-' || "
+               "substr(_h, 17, 4) || '-' || substr(_h, 21, 12) "
+               "ELSE 'proc-' || lpad(CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING), 7, '0') END")
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 
 STATUS_VIEWS = {
@@ -124,7 +132,7 @@ STATUS_VIEWS = {
                CASE WHEN event_id % 7 = 3 THEN NULL ELSE CAST({_K} AS STRING) END AS payload_response_id,
                CASE WHEN event_id % 3 = 0 THEN 'retry ' || CAST(event_id AS STRING) END AS notes,
                ts AS updated_at
-        FROM {{events}}""",
+        FROM {_EVENTS_H} AS e""",
     "payload_response": """
         SELECT CAST(item_id AS STRING) AS payload_response_id,
                CASE item_id % 4
@@ -142,7 +150,7 @@ STATUS_VIEWS = {
         SELECT {_PROCESS_ID} AS process_id,
                CASE WHEN event_id % 3 = 0 THEN CAST(user_id + 1000 AS STRING) ELSE CAST(user_id AS STRING) END
                  AS expected_value
-        FROM {{events}}
+        FROM {_EVENTS_H} AS e
         WHERE event_id % 4 = 1""",
     # The split manifest: one split per process, some splits without any
     # status row, and some listed twice.
@@ -150,7 +158,7 @@ STATUS_VIEWS = {
         SELECT event_id AS position,
                CASE WHEN event_id % 4 = 1 THEN 'proc-missing-' || CAST(event_id AS STRING)
                     ELSE {_PROCESS_ID} END AS split_process_id
-        FROM {{events}}
+        FROM {_EVENTS_H} AS e
         WHERE event_id % 4 = 0
            OR (event_id % 4 = 1 AND user_id % 10 = 0)
            OR (event_id % 4 = 2 AND user_id % 15 = 0)""",

@@ -33,6 +33,11 @@ LOG_DEADLINE = 600
 POLL_SECONDS = 15
 
 
+def _millis(ts: pd.Series) -> list[int]:
+    """Event times as epoch milliseconds (vectorised)."""
+    return (pd.to_datetime(ts).astype("datetime64[ns]").astype("int64") // 1_000_000).tolist()
+
+
 def attempts_deadline(timeout_seconds: int, poll_seconds: int = POLL_SECONDS, share: int = 1) -> int:
     """Deadline arithmetic of the poll loops: max(3, timeout // poll // share)
     attempts, one poll apart."""
@@ -80,9 +85,10 @@ def _terminal_fn(loader: str, deadline_s: int):
         else:
             first_ms, n_final, n_err, n_loader, done, decided, opened = None, 0, 0, 0, False, False, {}
         for pdf in pdfs:
-            pdf = pdf.sort_values(["event_time", "id"], kind="stable")
-            for rid, sub, status, ts in zip(pdf["id"], pdf["sub_process_name"], pdf["status"], pdf["event_time"]):
-                ms = int(pd.Timestamp(ts).value // 1_000_000)
+            if len(pdf) > 1:
+                pdf = pdf.sort_values(["event_time", "id"], kind="stable")
+            millis = _millis(pdf["event_time"])
+            for rid, sub, status, ms in zip(pdf["id"], pdf["sub_process_name"], pdf["status"], millis):
                 first_ms = ms if first_ms is None else min(first_ms, ms)
                 if ms > first_ms + deadline_s * 1000:
                     continue        # after the deadline: the wait has already ended
@@ -152,8 +158,7 @@ def _flag_fn(expected: set[str], deadline_s: int):
             return
         first_ms, last_ms, last, decided = state.get if state.exists else (None, None, None, False)
         for pdf in pdfs:
-            for v, ts in sorted(zip(pdf["value"], pdf["event_time"]), key=lambda x: x[1]):
-                ms = int(pd.Timestamp(ts).value // 1_000_000)
+            for v, ms in sorted(zip(pdf["value"], _millis(pdf["event_time"])), key=lambda x: x[1]):
                 first_ms = ms if first_ms is None else min(first_ms, ms)
                 if ms > first_ms + deadline_s * 1000:
                     continue
@@ -200,7 +205,7 @@ def _log_fn(deadline_s: int):
         seen_ms = None
         for pdf in pdfs:
             n += len(pdf)
-            ts = pdf["event_time"].map(lambda t: int(pd.Timestamp(t).value // 1_000_000))
+            ts = pd.Series(_millis(pdf["event_time"]), index=pdf.index)
             first_ms = int(ts.min()) if first_ms is None else min(first_ms, int(ts.min()))
             hits = ts[pdf["is_sentinel"].fillna(False).astype(bool) & (ts <= first_ms + deadline_s * 1000)]
             if len(hits):
