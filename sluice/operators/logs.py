@@ -314,3 +314,56 @@ def incremental(df: DataFrame, ts_col: str, watermark: str) -> DataFrame:
         return df
     return df.where(F.col(ts_col) > F.to_timestamp(F.lit(watermark)))
 
+
+
+# ── ORD-5: which saved log file to read ──────────────────────────────────
+def _glob_to_like(pattern: str) -> str:
+    out = []
+    for ch in pattern:
+        out.append("%" if ch == "*" else "_" if ch == "?" else "\\" + ch if ch in "%_\\" else ch)
+    return "".join(out)
+
+
+def newest_log_files(listing: DataFrame, runs: DataFrame, directories: list[str], patterns: list[str],
+                     run_id_pattern: str) -> DataFrame:
+    """ORD-5 for every run: the newest non-empty file of the first
+    (directory, pattern) pair, in order, that has any; an earlier directory or
+    pattern wins over a newer file elsewhere.
+
+    ``listing``: (path, size, modified_at); ``patterns`` are file-name globs,
+    ``{run_id}`` standing for the run.  That pattern is matched by an
+    equi-join on the run id taken from the file name with ``run_id_pattern``;
+    the other patterns do not depend on the run, so their best file is one
+    row, computed once and compared with each run's own best.
+    """
+    spark = listing.sparkSession
+    files = listing.where(F.col("size") > 0).withColumn("name", F.substring_index("path", "/", -1))
+    pairs = [(di, d.rstrip("/") + "/", pi, p) for di, d in enumerate(directories) for pi, p in enumerate(patterns)]
+    generic = [(di, d, pi, _glob_to_like(p)) for di, d, pi, p in pairs if "{run_id}" not in p]
+    specific = [(di, d, pi) for di, d, pi, p in pairs if "{run_id}" in p]
+    gen_rank, gen_path = None, None
+    if generic:
+        cfg = F.broadcast(spark.createDataFrame(generic, "dir_rank int, dir string, pat_rank int, pat string"))
+        g = (files.join(cfg, files["path"].startswith(cfg["dir"]) & F.expr("name LIKE pat"))
+             .groupBy("dir_rank", "pat_rank").agg(F.max_by("path", "modified_at").alias("path")))
+        top = g.orderBy("dir_rank", "pat_rank").first()        # one row: bounded by the configuration
+        if top is not None:
+            gen_rank, gen_path = (top["dir_rank"], top["pat_rank"]), top["path"]
+    out = runs.select("run_id").distinct()
+    if specific:
+        cfg = F.broadcast(spark.createDataFrame(specific, "dir_rank int, dir string, pat_rank int"))
+        f = files.withColumn("run_id", F.nullif(F.regexp_extract("name", run_id_pattern, 1), F.lit("")))
+        s = (f.join(out, "run_id").join(cfg, f["path"].startswith(cfg["dir"]))
+             .groupBy("run_id", "dir_rank", "pat_rank").agg(F.max_by("path", "modified_at").alias("path"))
+             .groupBy("run_id").agg(F.min(F.struct("dir_rank", "pat_rank")).alias("_r"),
+                                    F.min_by("path", F.struct("dir_rank", "pat_rank")).alias("_p")))
+        out = out.join(s, "run_id", "left")
+    else:
+        out = out.select("run_id", F.lit(None).cast("struct<dir_rank:int,pat_rank:int>").alias("_r"),
+                         F.lit(None).cast("string").alias("_p"))
+    if gen_rank is None:
+        path = F.col("_p")
+    else:
+        gr = F.struct(F.lit(gen_rank[0]).alias("dir_rank"), F.lit(gen_rank[1]).alias("pat_rank"))
+        path = F.when(F.col("_p").isNotNull() & (F.col("_r") < gr), F.col("_p")).otherwise(F.lit(gen_path))
+    return out.select("run_id", path.alias("path"))

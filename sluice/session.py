@@ -52,3 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "table"):
+    """Cut the lineage of a result that several plan branches reuse: write it
+    once as a parquet table in the shared ``spark.checkpoint.dir`` and read
+    it back (computed once, survives executor loss; never a local
+    checkpoint)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = checkpoint_dir(spark).rstrip("/") + f"/sluice-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
