@@ -27,3 +27,13 @@ def json_indent(s: pd.Series) -> pd.Series:
     """Valid JSON text re-rendered with a 2-space indent (key order kept);
     other text unchanged."""
     return s.map(_indent)
+
+
+def json_indent_col(c):
+    """``json_indent`` as a column, with the package shipped to the workers."""
+    from pyspark.sql import SparkSession
+
+    from sluice.session import ship_package
+
+    ship_package(SparkSession.getActiveSession())
+    return json_indent(c)

@@ -40,27 +40,31 @@ def _live(df: DataFrame) -> DataFrame:
 
 
 def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
-               trigger_fields: list[str] | None = None) -> DataFrame:
+               trigger_fields: list[str] | None = None, values: list[str] | None = None,
+               fields: list[str] | None = None) -> DataFrame:
     """JOIN-1 + FLT-1..4 + PRJ-3 for every rule: one row per qualifying attribute.
 
     ``rule_values`` has (rule_key, udf_field_name, trigger_value, qualifying_value).
+    ``values`` / ``fields`` are the distinct qualifying codes and attribute
+    names of the registry (known on the driver): as literal IN lists they
+    reach the parquet scans as pushed filters before any join.
     ``trigger_fields`` names the location columns rules trigger on (default
     ``InDirectory``); the flag is compared exactly, as the source query does.
     """
     trigger_fields = trigger_fields or ["InDirectory"]
     rv = rule_values
 
-    uf = (_live(tables["user_fields"])
-          .where(active_on("DateFrom", "DateTo", as_of))
-          .join(rv.select(F.col("qualifying_value").alias("Value")).distinct(), "Value", "left_semi")
-          .select("UserFieldRecID", "ParentRecID", "UserDefinedFieldID", "Value", "DateFrom", "DateTo"))
+    uf = _live(tables["user_fields"]).where(active_on("DateFrom", "DateTo", as_of))
+    uf = (uf.where(F.col("Value").isin(values)) if values is not None else
+          uf.join(rv.select(F.col("qualifying_value").alias("Value")).distinct(), "Value", "left_semi"))
+    uf = uf.select("UserFieldRecID", "ParentRecID", "UserDefinedFieldID", "Value", "DateFrom", "DateTo")
 
     rt = (_live(tables["record_types"]).where(F.col("TableName") == RECORD_TABLE_NAME)
           .select("RecordTypeID"))
-    udf = (_live(tables["user_defined_fields"])
-           .join(rv.select(F.col("udf_field_name").alias("FieldName")).distinct(), "FieldName", "left_semi")
-           .join(rt, "RecordTypeID", "left_semi")
-           .select("UserDefinedFieldID", "FieldName"))
+    udf = _live(tables["user_defined_fields"])
+    udf = (udf.where(F.col("FieldName").isin(fields)) if fields is not None else
+           udf.join(rv.select(F.col("udf_field_name").alias("FieldName")).distinct(), "FieldName", "left_semi"))
+    udf = udf.join(rt, "RecordTypeID", "left_semi").select("UserDefinedFieldID", "FieldName")
 
     attrs = (uf.join(udf, "UserDefinedFieldID")
              .join(rv.withColumnRenamed("udf_field_name", "FieldName")
@@ -102,7 +106,9 @@ def qualifying_for(spark: SparkSession, tables, rules, as_of: str) -> DataFrame:
     if len(fields) > 1:
         trig = spark.createDataFrame([(r.key, r.trigger_field) for r in rules], "rule_key string, trigger_field string")
         rv = rv.join(F.broadcast(trig), "rule_key")
-    df = qualifying(tables, rv, as_of, fields)
+    df = qualifying(tables, rv, as_of, fields,
+                    values=sorted({v for r in rules for v in r.qualifying_udf_values}),
+                    fields=sorted({r.udf_field_name for r in rules}))
     values = sorted({r.trigger_value for r in rules})
     return df.where(F.col("InDirectory").isin(values)) if fields == ["InDirectory"] else df
 

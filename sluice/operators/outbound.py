@@ -123,14 +123,17 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
         val_missing = F.array_contains("missing_columns", vcol) if vcol else F.lit(False)
         good = casefold(val) == casefold(F.lit(expected or ""))
         m = o.select(*jk, "file_path", "row_no", val.alias("_val"), val_missing.alias("_vmiss"), good.alias("_good"))
-        per_file = (c.join(m, jk).groupBy(*jk, "file_path").agg(
-            F.count(F.lit(1)).alias("_rows"),
+        # one left join from the candidates: unmatched candidates keep a row
+        # with a null file, so the candidate side is planned once
+        ident = [x for x in cand_cols]
+        per_file = (c.join(m, jk, "left").groupBy(*jk, *ident, "file_path").agg(
+            F.count("row_no").alias("_rows"),
             F.bool_or("_good").alias("_any"), F.bool_and("_good").alias("_all"), F.bool_or("_vmiss").alias("_vmiss")))
-        per_cand = per_file.groupBy(*jk).agg(
-            F.count(F.lit(1)).alias("files_matched"), F.sum("_rows").alias("matched_rows"),
+        per_cand = per_file.groupBy(*jk, *ident).agg(
+            F.count("file_path").alias("files_matched"), F.sum("_rows").alias("matched_rows"),
             F.bool_and("_any").alias("value_any"), F.bool_and("_all").alias("value_all"),
             F.bool_or("_vmiss").alias("value_column_missing"))
-        res = c.join(per_cand, jk, "left").select(
+        res = per_cand.select(
             "rule_key", *[F.col(x).cast("string").alias(x) for x in cand_cols],
             F.coalesce("files_matched", F.lit(0)).cast("long").alias("files_matched"),
             F.coalesce("matched_rows", F.lit(0)).cast("long").alias("matched_rows"),

@@ -65,3 +65,33 @@ def materialize(df, name: str = "table"):
     path = checkpoint_dir(spark).rstrip("/") + f"/sluice-tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sluice`` importable in Python workers (state functions and
+    pandas UDFs are pickled by reference): zip the package once per
+    application into the shared checkpoint folder and ``addPyFile`` it."""
+    import os
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    target_dir = checkpoint_dir(spark).rstrip("/").replace("file://", "").replace("file:", "")
+    if "://" in target_dir:
+        target_dir = tempfile.mkdtemp(prefix="sluice-pkg-")   # code only; Spark uploads it to executors
+    os.makedirs(target_dir, exist_ok=True)
+    zpath = os.path.join(target_dir, f"sluice-{app}.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)

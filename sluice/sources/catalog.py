@@ -18,11 +18,14 @@ cluster, where inputs are many files and splits, this never triggers.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 _PLACEHOLDER = re.compile(r"\{([a-z_][a-z0-9_]*)\}")
+# Inputs smaller than this are not worth a round-robin shuffle.
+SPREAD_MIN_BYTES = 1 << 20
 
 
 def _refs(template: str) -> list[str]:
@@ -51,13 +54,24 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             df = self.spark.read.format(self.fmt).load(self.path(name))
-            if self.spread:
+            if self.spread and self._local_bytes(name) > SPREAD_MIN_BYTES:
                 target = self.spark.sparkContext.defaultParallelism
                 if df.rdd.getNumPartitions() < target:
                     df = df.repartition(target)
             self._tables[name] = df
         return self._tables[name]
 
+    def _local_bytes(self, name: str) -> int:
+        """Size of a table stored on the local file system (0 elsewhere:
+        a cluster's inputs are split by the file source itself)."""
+        path = self.path(name)
+        if "://" in path and not path.startswith("file:"):
+            return 0
+        path = path.replace("file://", "").replace("file:", "")
+        if os.path.isdir(path):
+            return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
+        return os.path.getsize(path) if os.path.exists(path) else 0
+
     def table_ref(self, name: str) -> str:
         view = f"sluice_{self._tag}_{name}"
         self.table(name).createOrReplaceTempView(view)

@@ -24,7 +24,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sluice.functions.exprs import file_name, normalise_prefix
 from sluice.operators.artifacts import prefix_depth, under_prefix_join
-from sluice.session import checkpoint_dir
+from sluice.session import checkpoint_dir, ship_package
 
 # ── fixed values: deadlines (seconds) and poll interval of the reference ──
 OBJECT_DEADLINE = 900
@@ -134,6 +134,7 @@ def terminal_monitor(status_events: DataFrame, deadline_s: int = LOADER_DEADLINE
 
     ``status_events``: (id, process_id, sub_process_name, status, event_time).
     """
+    ship_package(status_events.sparkSession)
     ev = dedupe_events(status_events.select("id", "process_id", "sub_process_name", "status", "event_time"),
                        "event_time", ["id", "status"], delay)
     return ev.groupBy("process_id").applyInPandasWithState(
@@ -177,6 +178,7 @@ def flag_monitor(changes: DataFrame, expected_values, deadline_s: int = LOADER_D
                  delay: str = "10 minutes") -> DataFrame:
     """STR-4: ``changes`` (record_key, value, event_time); PASS once the latest
     value (strip, upper) is expected, FAIL at the deadline otherwise."""
+    ship_package(changes.sparkSession)
     exp = {str(v).strip().upper() for v in expected_values}
     ev = changes.select(F.col("record_key").cast("string"), F.col("value").cast("string"), "event_time")
     ev = ev.withWatermark("event_time", delay)
@@ -223,6 +225,7 @@ def log_completion_monitor(lines: DataFrame, sentinel: str, deadline_s: int = LO
                            delay: str = "10 minutes") -> DataFrame:
     """STR-2: per (run, source), COMPLETE as soon as the sentinel line
     arrives (line count so far), FAIL with the event count at the deadline."""
+    ship_package(lines.sparkSession)
     ev = lines.select("run_id", "source", "event_time", F.col("message").rlike(sentinel).alias("is_sentinel"))
     ev = ev.withWatermark("event_time", delay)
     return ev.groupBy("run_id", "source").applyInPandasWithState(
