@@ -32,10 +32,9 @@ def classify(status: DataFrame) -> DataFrame:
     """Adds ``status_norm`` and the three classes of AGG-2 (H4: only
     COMPLETED is done here; null and SUCCESS count as stuck)."""
     s = F.upper(text_norm(F.col("status")))
-    return (status.withColumn("status_norm", s)
-            .withColumn("is_completed", s == STATUS_COMPLETED)
-            .withColumn("is_errored", s.isin(*STATUS_ERRORED))
-            .withColumn("is_stuck", ~s.isin(STATUS_COMPLETED, *STATUS_ERRORED)))
+    return status.select("*", s.alias("status_norm"), (s == STATUS_COMPLETED).alias("is_completed"),
+                         s.isin(*STATUS_ERRORED).alias("is_errored"),
+                         (~s.isin(STATUS_COMPLETED, *STATUS_ERRORED)).alias("is_stuck"))
 
 
 def process_counters(status: DataFrame) -> DataFrame:
@@ -104,8 +103,8 @@ def error_details(splits: DataFrame, status: DataFrame, payloads: DataFrame) ->
     err = text_norm(F.col("error"))
     pr_id = F.coalesce(F.col("payload_response_id").cast("string"), F.lit(""))
     is_schema = F.lower(err) == SCHEMA_VALIDATION_ERROR
-    rows = (rows.withColumn("_err", err).withColumn("_pr", pr_id).withColumn("_schema", is_schema)
-            .withColumn("_key", F.when(F.col("_schema") & (F.col("_pr") != ""), F.col("_pr"))))
+    rows = rows.select("*", err.alias("_err"), pr_id.alias("_pr"), is_schema.alias("_schema"),
+                       F.when(is_schema & (pr_id != ""), pr_id).alias("_key"))
     pl = dedupe_payloads(payloads).withColumnRenamed("payload_response_id", "_key")
     j = rows.join(pl, "_key", "left")
     resp = F.col("response")
@@ -171,13 +170,12 @@ def consolidated_verdict(totals: DataFrame, comparison: DataFrame | None = None)
 
     ``comparison`` is an ``id_overlap`` row (status, overlap_pct_text, diff_pct_text).
     """
-    t = totals
-    if comparison is not None:
-        t = t.crossJoin(comparison.select(F.col("status").alias("cmp_status"), "overlap_pct_text", "diff_pct_text"))
-    else:
-        t = t.select("*", F.lit(None).cast("string").alias("cmp_status"),
-                     F.lit(None).cast("string").alias("overlap_pct_text"),
-                     F.lit(None).cast("string").alias("diff_pct_text"))
+    # the comparison is one row (a global aggregate): its three values are
+    # read on the driver and enter the plan as literals
+    cmp = comparison.select("status", "overlap_pct_text", "diff_pct_text").first() if comparison is not None else None
+    t = totals.select("*", F.lit(cmp["status"] if cmp else None).cast("string").alias("cmp_status"),
+                      F.lit(cmp["overlap_pct_text"] if cmp else None).cast("string").alias("overlap_pct_text"),
+                      F.lit(cmp["diff_pct_text"] if cmp else None).cast("string").alias("diff_pct_text"))
     details = F.concat_ws(", ",
                           F.when(F.col("total_errored") > 0, F.concat(F.col("total_errored").cast("string"), F.lit(" errored"))),
                           F.when(F.col("total_stuck") > 0, F.concat(F.col("total_stuck").cast("string"), F.lit(" stuck"))))
