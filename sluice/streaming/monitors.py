@@ -54,90 +54,104 @@ def dedupe_events(events: DataFrame, ts_col: str, keys: list[str], delay: str =
 # ── STR-3: process reaches a terminal state or the deadline ───────────────
 TERMINAL_OUT = ("process_id string, verdict string, reason string, n_rows long, n_errors long, "
                 "n_in_progress long, n_loader long, loader_done boolean, decided_at timestamp")
-TERMINAL_STATE = ("first_ms long, n_final long, n_errors long, n_loader long, loader_done boolean, "
-                  "open_json string, decided boolean")
+# State is kept per hash bucket of processes: a JSON map of the bucket's
+# in-flight processes (counters + rows still open) and of recently decided
+# ones (kept until their deadline has passed, so late rows are ignored).
+TERMINAL_STATE = "procs string"
+_FINAL = {"COMPLETED", "SUCCESS", "FAILED", "ERROR"}
+
+
+def _decide(pid, p, loader, now_ms, expired):
+    """Verdict row for one process, or None while it is still undecided."""
+    first_ms, n_final, n_err, n_loader, done, opened = p["f"], p["n"], p["e"], p["l"], p["d"], p["o"]
+    in_prog = sum(1 for st, _ in opened.values() if st == "IN-PROGRESS")
+    n_load = n_loader + sum(1 for _, ld in opened.values() if ld)
+    if n_err > 0:
+        verdict, reason = "FAIL", "status rows report errors"
+    elif in_prog == 0 and n_load > 0 and done:
+        verdict, reason = "PASS", None
+    elif expired:
+        verdict = "FAIL"
+        reason = ("still IN-PROGRESS" if in_prog else f"no {loader} row" if n_load == 0
+                  else "loader did not complete")
+    else:
+        return None
+    return {"process_id": pid, "verdict": verdict, "reason": reason, "n_rows": n_final + len(opened),
+            "n_errors": n_err, "n_in_progress": in_prog, "n_loader": n_load, "loader_done": bool(done),
+            "decided_at": pd.Timestamp(now_ms if expired and verdict == "FAIL" and n_err == 0 else first_ms, unit="ms")}
 
 
 def _terminal_fn(loader: str, deadline_s: int):
-    final = {"COMPLETED", "SUCCESS", "FAILED", "ERROR"}
+    dl = deadline_s * 1000
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         warnings.filterwarnings("ignore", category=FutureWarning)
-        (pid,) = key
-        if state.hasTimedOut:
-            first_ms, n_final, n_err, n_loader, done, open_json, decided = state.get
-            state.remove()
-            if decided:
-                return
-            opened = json.loads(open_json)
-            in_prog = sum(1 for s, _ in opened.values() if s == "IN-PROGRESS")
-            n_load = n_loader + sum(1 for _, ld in opened.values() if ld)
-            reason = ("still IN-PROGRESS" if in_prog else f"no {loader} row" if n_load == 0
-                      else "loader did not complete" if not done else "deadline passed")
-            yield pd.DataFrame([{"process_id": pid, "verdict": "FAIL", "reason": reason,
-                                 "n_rows": n_final + len(opened), "n_errors": n_err, "n_in_progress": in_prog,
-                                 "n_loader": n_load, "loader_done": bool(done),
-                                 "decided_at": pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")}])
-            return
-        if state.exists:
-            first_ms, n_final, n_err, n_loader, done, open_json, decided = state.get
-            opened = json.loads(open_json)
-        else:
-            first_ms, n_final, n_err, n_loader, done, decided, opened = None, 0, 0, 0, False, False, {}
-        for pdf in pdfs:
-            if len(pdf) > 1:
+        procs = json.loads(state.get[0]) if state.exists else {}
+        wm = state.getCurrentWatermarkMs()
+        out = []
+        if not state.hasTimedOut:
+            frames = [p for p in pdfs if len(p)]
+            if frames:
+                pdf = pd.concat(frames) if len(frames) > 1 else frames[0]
                 pdf = pdf.sort_values(["event_time", "id"], kind="stable")
-            millis = _millis(pdf["event_time"])
-            for rid, sub, status, ms in zip(pdf["id"], pdf["sub_process_name"], pdf["status"], millis):
-                first_ms = ms if first_ms is None else min(first_ms, ms)
-                if ms > first_ms + deadline_s * 1000:
-                    continue        # after the deadline: the wait has already ended
-                s = (status or "").strip().upper()
-                rid = str(rid)
-                opened.pop(rid, None)
-                is_loader = sub == loader
-                if s in final:
-                    n_final += 1
-                    if is_loader:
-                        n_loader += 1
-                        done = done or s in ("COMPLETED", "SUCCESS")
-                    if s in ("FAILED", "ERROR"):
-                        n_err += 1
-                else:
-                    opened[rid] = [s, is_loader]
-        if decided:
-            state.update((first_ms, n_final, n_err, n_loader, done, json.dumps(opened), True))
-            return
-        in_prog = sum(1 for s, _ in opened.values() if s == "IN-PROGRESS")
-        n_load = n_loader + sum(1 for _, ld in opened.values() if ld)
-        verdict = None
-        if n_err > 0:
-            verdict, reason = "FAIL", "status rows report errors"
-        elif in_prog == 0 and n_load > 0 and done:
-            verdict, reason = "PASS", None
-        state.update((first_ms, n_final, n_err, n_loader, done, json.dumps(opened), verdict is not None))
-        state.setTimeoutTimestamp(first_ms + deadline_s * 1000)
-        if verdict:
-            yield pd.DataFrame([{"process_id": pid, "verdict": verdict, "reason": reason,
-                                 "n_rows": n_final + len(opened), "n_errors": n_err, "n_in_progress": in_prog,
-                                 "n_loader": n_load, "loader_done": bool(done),
-                                 "decided_at": pd.Timestamp(first_ms, unit="ms")}])
+                for pid, rid, sub, status, ms in zip(pdf["process_id"], pdf["id"], pdf["sub_process_name"],
+                                                     pdf["status"], _millis(pdf["event_time"])):
+                    p = procs.get(pid)
+                    if p is None:
+                        p = procs[pid] = {"f": ms, "n": 0, "e": 0, "l": 0, "d": False, "o": {}, "x": False}
+                    if p["x"] or ms > p["f"] + dl:
+                        continue        # decided, or after the deadline: the wait has already ended
+                    s = (status or "").strip().upper()
+                    rid = str(rid)
+                    p["o"].pop(rid, None)
+                    is_loader = sub == loader
+                    if s in _FINAL:
+                        p["n"] += 1
+                        if is_loader:
+                            p["l"] += 1
+                            p["d"] = p["d"] or s in ("COMPLETED", "SUCCESS")
+                        if s in ("FAILED", "ERROR"):
+                            p["e"] += 1
+                    else:
+                        p["o"][rid] = [s, is_loader]
+        for pid, p in list(procs.items()):
+            if p["x"]:
+                if p["f"] + dl < wm:
+                    del procs[pid]      # tombstone no longer needed
+                continue
+            row = _decide(pid, p, loader, wm, expired=p["f"] + dl <= wm)
+            if row is not None:
+                out.append(row)
+                p["x"], p["o"] = True, {}
+        if procs:
+            state.update((json.dumps(procs, separators=(",", ":")),))
+            pending = [p["f"] + dl for p in procs.values()]
+            state.setTimeoutTimestamp(max(min(pending) + 1, wm + 1))
+        else:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out)
 
     return fn
 
 
 def terminal_monitor(status_events: DataFrame, deadline_s: int = LOADER_DEADLINE, loader: str = "Data-Loader-File",
-                     delay: str = "10 minutes") -> DataFrame:
+                     delay: str = "10 minutes", buckets: int | None = None) -> DataFrame:
     """STR-3 (+STR-5): one verdict per process — PASS when the loader
     completed with nothing running and no errors, FAIL on errors at once, and
     FAIL with the batch reason when the deadline passes first.
 
     ``status_events``: (id, process_id, sub_process_name, status, event_time).
+    Processes are grouped into ``buckets`` hash buckets (default 16 per shuffle
+    partition) so one Python call handles many processes.
     """
-    ship_package(status_events.sparkSession)
+    spark = status_events.sparkSession
+    ship_package(spark)
+    nb = buckets or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ev = dedupe_events(status_events.select("id", "process_id", "sub_process_name", "status", "event_time"),
                        "event_time", ["id", "status"], delay)
-    return ev.groupBy("process_id").applyInPandasWithState(
+    ev = ev.withColumn("bucket", F.pmod(F.xxhash64("process_id"), F.lit(nb)))
+    return ev.groupBy("bucket").applyInPandasWithState(
         _terminal_fn(loader, deadline_s), TERMINAL_OUT, TERMINAL_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
