@@ -41,7 +41,7 @@ def _live(df: DataFrame) -> DataFrame:
 
 def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
                trigger_fields: list[str] | None = None, values: list[str] | None = None,
-               fields: list[str] | None = None) -> DataFrame:
+               fields: list[str] | None = None, trigger_values: list[str] | None = None) -> DataFrame:
     """JOIN-1 + FLT-1..4 + PRJ-3 for every rule: one row per qualifying attribute.
 
     ``rule_values`` has (rule_key, udf_field_name, trigger_value, qualifying_value).
@@ -77,7 +77,10 @@ def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
           .select(F.col("PracticeTypeID").alias("LocationTypeID"),
                   F.col("PracticeTypeName").alias("LocationTypeName")))
 
-    locs = (_live(tables["practice_locations"]).select("LocationID", "PracticeID", "NationalProviderID", "InDirectory", "LocationTypeID",
+    locs = _live(tables["practice_locations"])
+    if trigger_values is not None and len(trigger_fields) == 1:
+        locs = locs.where(F.col(trigger_fields[0]).isin(trigger_values))   # raw column: reaches the scan
+    locs = (locs.select("LocationID", "PracticeID", "NationalProviderID", "InDirectory", "LocationTypeID",
                         *[f for f in trigger_fields if f != "InDirectory"])
             .join(pt, "LocationTypeID"))
     practices = _live(tables["practices"]).select("PracticeID", "TaxIDNumber")
@@ -106,11 +109,10 @@ def qualifying_for(spark: SparkSession, tables, rules, as_of: str) -> DataFrame:
     if len(fields) > 1:
         trig = spark.createDataFrame([(r.key, r.trigger_field) for r in rules], "rule_key string, trigger_field string")
         rv = rv.join(F.broadcast(trig), "rule_key")
-    df = qualifying(tables, rv, as_of, fields,
-                    values=sorted({v for r in rules for v in r.qualifying_udf_values}),
-                    fields=sorted({r.udf_field_name for r in rules}))
-    values = sorted({r.trigger_value for r in rules})
-    return df.where(F.col("InDirectory").isin(values)) if fields == ["InDirectory"] else df
+    return qualifying(tables, rv, as_of, fields,
+                      values=sorted({v for r in rules for v in r.qualifying_udf_values}),
+                      fields=sorted({r.udf_field_name for r in rules}),
+                      trigger_values=sorted({r.trigger_value for r in rules}))
 
 
 def candidates(spark: SparkSession, tables, rules, as_of: str, top_n: int = 5) -> DataFrame:
