@@ -14,7 +14,8 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.exprs import canon_id, casefold, text_norm
+from sluice.functions.exprs import canon_id, casefold, normalise_prefix, text_norm
+from sluice.operators.artifacts import prefix_depth, under_prefix_join
 
 
 # ── SRC-5 / PRJ-2: reading delimited files with per-file headers ─────────
@@ -76,15 +77,22 @@ def _finish(df: DataFrame, mapping: dict[str, str | None]) -> DataFrame:
 
 
 # ── JOIN-3 / AGG-8 / AGG-9 / RECON-3 ─────────────────────────────────────
-def rule_files(outbound: DataFrame, rules: DataFrame, bucket: str) -> DataFrame:
-    """Each outbound row with the rules whose prefix holds its file."""
+def rule_files(outbound: DataFrame, rules: DataFrame, bucket: str, prefixes: list[str] | None = None) -> DataFrame:
+    """Each outbound row with the rules whose prefix (in ``bucket``) holds its
+    file.  With the rules' ``prefixes`` known this is an equi-join on the
+    key's leading directories (one per prefix depth); without, a
+    ``startswith`` condition against the (bounded, broadcast) rule table."""
     path = F.col("file_path")
-    key = F.regexp_replace(path, r"^[a-z0-9]+://[^/]+/", "")
-    bkt = F.regexp_extract(path, r"^[a-z0-9]+://([^/]+)/", 1)
-    rows = outbound.withColumn("_key", key).withColumn("_bucket", bkt)
-    r = rules.select("rule_key", F.col("outbound_prefix").alias("_prefix"))
-    return (rows.join(r, F.ltrim(rows["_key"], F.lit("/")).startswith(r["_prefix"]) & (rows["_bucket"] == bucket))
-            .drop("_key", "_bucket", "_prefix"))
+    rows = outbound.select("*", F.regexp_extract(path, r"^[a-z0-9]+://([^/]+)/", 1).alias("bucket"),
+                           F.regexp_replace(path, r"^[a-z0-9]+://[^/]+/", "").alias("key"))
+    r = rules.select("rule_key", F.lit(bucket).alias("target_bucket"),
+                     normalise_prefix(F.col("outbound_prefix")).alias("prefix"))
+    if prefixes is not None:
+        j = under_prefix_join(rows, r, [prefix_depth(p) for p in prefixes])
+    else:
+        j = rows.join(F.broadcast(r), F.ltrim(rows["key"], F.lit("/")).startswith(r["prefix"])
+                      & (rows["bucket"] == r["target_bucket"]))
+    return j.drop("bucket", "key", "target_bucket", "prefix")
 
 
 def _keyed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
@@ -100,7 +108,7 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
     and unioned (their number is the registry's)."""
     if value_mode not in ("any", "all"):
         raise ValueError("value_mode must be 'any' or 'all'")
-    per_rule_rows = rule_files(outbound, rules, bucket)
+    per_rule_rows = rule_files(outbound, rules, bucket, [r.outbound_prefix for r in rule_list])
     by_map: dict[tuple, list] = defaultdict(list)
     for r in rule_list:
         by_map[(r.outbound_identity_map, r.outbound_column, r.outbound_expected_value)].append(r)
@@ -165,7 +173,8 @@ def first_matching_rows(candidates: DataFrame, outbound: DataFrame, rule: "objec
     cand_cols, out_cols = [a for a, _ in imap], [b for _, b in imap]
     c = _keyed(candidates.where(F.col("rule_key") == rule.key).select("rule_key", *cand_cols).distinct(),
                cand_cols, "_k")
-    o = _keyed(rule_files(outbound, rules, bucket).where(F.col("rule_key") == rule.key), out_cols, "_k")
+    o = _keyed(rule_files(outbound, rules.where(F.col("rule_key") == rule.key), bucket, [rule.outbound_prefix]),
+               out_cols, "_k")
     jk = ["rule_key"] + [f"_k{i}" for i in range(len(imap))]
     j = c.select(*jk).distinct().join(o, jk)
     w = Window.partitionBy(*jk, "file_path").orderBy("row_no")

@@ -1013,7 +1013,8 @@ def q_stage_verdict(spark, sf_dir):
         F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("candidate_verdict"),
         F.when(~F.col("_ok"), F.concat(F.lit("failed checks: "), F.col("_why"))).alias("candidate_reason"))
     # the run that wrote each record: the run of the outbound rows holding it
-    orows = ob.rule_files(_outbound(spark, sf_dir), rules, OUTBOUND_BUCKET).select(
+    orows = ob.rule_files(_outbound(spark, sf_dir), rules, OUTBOUND_BUCKET,
+                          [r.outbound_prefix for r in DRIVER_RULES]).select(
         "rule_key", "run_id", canon_id(text_norm(F.col("PracticeID"))).alias("_k0"),
         canon_id(text_norm(F.col("BillingLocationID"))).alias("_k1"))
     runmap = orows.groupBy("rule_key", "_k0", "_k1").agg(F.min("run_id").alias("run_id"))

@@ -71,7 +71,8 @@ def test_match_any_vs_all(spark, files):
 
 def test_first_rows_and_row_reconciliation(spark):
     r = rule("k")
-    rules = rules_frame(spark, [r]).withColumn("outbound_prefix", F.lit("o/"))
+    r = r.__class__(**{**r.__dict__, "outbound_prefix": "o/"})
+    rules = rules_frame(spark, [r])
     ob = spark.createDataFrame([(f"s3://b/o/f{i % 2}.csv", i, "r1", "12", "34", "auto") for i in range(9)],
                                "file_path string, row_no long, run_id string, PracticeID string, "
                                "BillingLocationID string, DataSource string")
