@@ -65,13 +65,20 @@ def prefix_depth(prefix: str) -> int:
     return len(p.rstrip("/").split("/")) if p else 0
 
 
-def under_prefix_join(objects: DataFrame, targets: DataFrame, depths: list[int]) -> DataFrame:
+def under_prefix_join(objects: DataFrame, targets: DataFrame, depths: list[int],
+                      broadcast_targets: bool = False) -> DataFrame:
     """Objects whose key (leading '/' ignored) lies under a target's
     normalised ``prefix``, as an equi-join on (bucket, leading directories):
-    one join per distinct prefix depth instead of a nested loop."""
+    one join per distinct prefix depth instead of a nested loop.
+
+    Many objects share one directory, so the join key is hot by nature: pass
+    ``broadcast_targets`` when the targets have a known bound (rule
+    prefixes), otherwise AQE picks the strategy and splits skewed keys."""
     out = None
     for d in sorted(set(depths)):
         t = targets.where(F.size(F.split(F.col("prefix"), "/")) - 1 == d)
+        if broadcast_targets:
+            t = F.broadcast(t)
         o = objects.withColumn("_dir", _dir_of_depth(F.col("key"), d))
         j = o.join(t, (o["bucket"] == t["target_bucket"]) & (o["_dir"] == t["prefix"])).drop("_dir")
         out = j if out is None else out.unionByName(j)

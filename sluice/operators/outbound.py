@@ -77,18 +77,22 @@ def _finish(df: DataFrame, mapping: dict[str, str | None]) -> DataFrame:
 
 
 # ── JOIN-3 / AGG-8 / AGG-9 / RECON-3 ─────────────────────────────────────
+# Above this many distinct rule prefixes, rows meet rules by an equi-join.
+MANY_PREFIXES = 32
+
 def rule_files(outbound: DataFrame, rules: DataFrame, bucket: str, prefixes: list[str] | None = None) -> DataFrame:
     """Each outbound row with the rules whose prefix (in ``bucket``) holds its
-    file.  With the rules' ``prefixes`` known this is an equi-join on the
-    key's leading directories (one per prefix depth); without, a
-    ``startswith`` condition against the (bounded, broadcast) rule table."""
+    file.  A registry of a few prefixes is matched with ``startswith``
+    against the broadcast rule table (cost: rows x prefixes, a bounded
+    factor); past ``MANY_PREFIXES`` distinct prefixes it becomes an equi-join
+    on the key's leading directories, one per prefix depth."""
     path = F.col("file_path")
     rows = outbound.select("*", F.regexp_extract(path, r"^[a-z0-9]+://([^/]+)/", 1).alias("bucket"),
                            F.regexp_replace(path, r"^[a-z0-9]+://[^/]+/", "").alias("key"))
     r = rules.select("rule_key", F.lit(bucket).alias("target_bucket"),
                      normalise_prefix(F.col("outbound_prefix")).alias("prefix"))
-    if prefixes is not None:
-        j = under_prefix_join(rows, r, [prefix_depth(p) for p in prefixes])
+    if prefixes is not None and len(set(prefixes)) > MANY_PREFIXES:
+        j = under_prefix_join(rows, r, [prefix_depth(p) for p in prefixes], broadcast_targets=True)
     else:
         j = rows.join(F.broadcast(r), F.ltrim(rows["key"], F.lit("/")).startswith(r["prefix"])
                       & (rows["bucket"] == r["target_bucket"]))
