@@ -33,6 +33,21 @@ def _norm_header(h: str) -> str:
     return h.strip().lstrip("﻿").strip().lower()
 
 
+def read_outbound_files(spark: SparkSession, paths, columns: list[str], sep: str = ","):
+    """Rows (as ``read_outbound``) and the checked-file table: every file with
+    a header line — header-only files included — and its missing columns."""
+    rows = read_outbound(spark, paths, columns, sep)
+    heads = file_headers(spark, paths, sep)
+    sigs = [r["header"] for r in heads.select("header").distinct().collect()]   # distinct signatures only
+    sig_rows = []
+    for head in sigs:
+        have = {_norm_header(h.strip('"')) for h in head.split(sep)}
+        sig_rows.append((head, [c for c in columns if _norm_header(c) not in have]))
+    sig_df = F.broadcast(spark.createDataFrame(sig_rows, "header string, missing_columns array<string>"))
+    files = heads.join(sig_df, "header").select("file_path", "missing_columns")
+    return rows, files
+
+
 def read_outbound(spark: SparkSession, paths, columns: list[str], sep: str = ",", header: bool = True,
                   names: list[str] | None = None) -> DataFrame:
     """All-string rows of delimited files whose column order may differ per
@@ -105,14 +120,18 @@ def _keyed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
 
 
 def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules: DataFrame, bucket: str,
-                   value_mode: str = "any") -> DataFrame:
+                   value_mode: str = "any", files: DataFrame | None = None) -> DataFrame:
     """RECON-3 per candidate: files checked and matched, identity headers,
     expected value (``any``: some matched row per matched file; ``all``: every
     matched row).  Rules with different identity maps are planned separately
-    and unioned (their number is the registry's)."""
+    and unioned (their number is the registry's).  ``files`` (file_path,
+    missing_columns), e.g. from ``read_outbound_files``, makes header-only
+    files count as checked; without it the checked files are those with rows."""
     if value_mode not in ("any", "all"):
         raise ValueError("value_mode must be 'any' or 'all'")
-    per_rule_rows = rule_files(outbound, rules, bucket, [r.outbound_prefix for r in rule_list])
+    prefixes = [r.outbound_prefix for r in rule_list]
+    per_rule_rows = rule_files(outbound, rules, bucket, prefixes)
+    per_rule_files = rule_files(files, rules, bucket, prefixes) if files is not None else per_rule_rows
     by_map: dict[tuple, list] = defaultdict(list)
     for r in rule_list:
         by_map[(r.outbound_identity_map, r.outbound_column, r.outbound_expected_value)].append(r)
@@ -125,7 +144,8 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
                    cand_cols, "_k")
         o = per_rule_rows.where(F.col("rule_key").isin(keys))
         id_missing = F.exists("missing_columns", lambda m: m.isin(out_cols))
-        files = o.groupBy("rule_key").agg(
+        checked = per_rule_files.where(F.col("rule_key").isin(keys))
+        files_agg = checked.groupBy("rule_key").agg(
             F.count_distinct("file_path").alias("files_checked"),
             F.count_distinct(F.when(id_missing, F.col("file_path"))).alias("_files_missing"))
         o = o.where(~id_missing)
@@ -153,7 +173,7 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
             (F.col("value_all") if vcol else F.lit(None).cast("boolean")).alias("value_all"),
             F.coalesce("value_column_missing", F.lit(False)).alias("value_column_missing"),
             F.lit(bool(vcol)).alias("_has_value"))
-        results.append(res.join(files, "rule_key", "left"))
+        results.append(res.join(files_agg, "rule_key", "left"))
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r, allowMissingColumns=True)

@@ -35,6 +35,31 @@ def get_spark(app: str = "sluice", cpus: int | str = "*", shuffle_partitions: in
     return spark
 
 
+def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """SQL settings sized for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least two waves of the cluster's cores); AQE then coalesces
+    small ones and splits skewed ones, so a partition stays well inside an
+    executor core's memory share.  For 100 TB on 1000 executors x 8 cores:
+    ~400k shuffle partitions, 256 MB splits.
+    """
+    cores = max(1, executor_cores * executors)
+    shuffle = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

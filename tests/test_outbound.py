@@ -41,6 +41,26 @@ def test_read_outbound_resolves_headers_per_file(spark, files):
     ]
 
 
+def test_header_only_files_count_as_checked(spark, files, tmp_path):
+    import shutil
+    d = tmp_path / "out" / "practice"
+    d.mkdir(parents=True)
+    for f in os.listdir(files):
+        shutil.copy(os.path.join(files, f), d / f)
+    (d / "a_part5.csv").write_bytes(b"PracticeID,BillingLocationID,DataSource\n")      # header only
+    rows_df, files_df = O.read_outbound_files(spark, str(d), COLS)
+    got = rows(files_df.select(F.substring_index("file_path", "/", -1).alias("f"),
+                               F.array_join("missing_columns", ",").alias("m")))
+    assert got == [("a_part1.csv", ""), ("a_part2.csv", ""), ("a_part3.csv", "TaxIDNumber,DataSource"),
+                   ("a_part5.csv", "TaxIDNumber")]
+    r = rule("k")
+    r = r.__class__(**{**r.__dict__, "outbound_prefix": "out/practice/"})
+    relabel = F.concat(F.lit("s3://bkt/out/practice/"), F.substring_index("file_path", "/", -1))
+    m = O.match_outbound(_cands(spark), rows_df.withColumn("file_path", relabel), [r], rules_frame(spark, [r]), "bkt",
+                         files=files_df.withColumn("file_path", relabel)).first()
+    assert m["n_files_checked"] == 4
+
+
 def _cands(spark):
     return spark.createDataFrame([("k", 12, 34), ("k", 5, 7), ("k", 1, 1)],
                                  "rule_key string, PracticeID long, LocationID long")
