@@ -225,7 +225,8 @@ LOG_VIEWS = {
     "object_inventory": f"""
         SELECT {_BUCKET} AS bucket,
                {_PREFIX} || {_FILE} AS key,
-               CASE WHEN min(o_orderkey) % 17 = 0 THEN 0 ELSE sum(CAST(floor(o_totalprice) AS BIGINT)) END AS size,
+               CAST(CASE WHEN min(o_orderkey) % 17 = 0 THEN 0 ELSE sum(CAST(floor(o_totalprice) AS BIGINT)) END
+                    AS BIGINT) AS size,
                max(o_orderdate) + INTERVAL 1500 DAY AS last_modified
         FROM {_ORDERS_H} AS o
         WHERE o_orderpriority = '3-MEDIUM'
