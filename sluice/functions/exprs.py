@@ -10,7 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.types import BooleanType, NumericType
 
 # ── fixed values ─────────────────────────────────────────────────────────
 # Characters that Python's str.strip() removes (str.isspace): the reference
@@ -167,7 +167,3 @@ def in_values(c, values: Iterable[str]) -> Column:
     if not values:
         raise ValueError("an IN list needs at least one value")
     return _col(c).isin(values)
-
-
-def string_type():
-    return StringType()

@@ -109,8 +109,7 @@ def error_details(splits: DataFrame, status: DataFrame, payloads: DataFrame) ->
     j = rows.join(pl, "_key", "left")
     resp = F.col("response")
     schema_reason = (F.when(F.col("_pr") == "", F.lit(NO_PAYLOAD_ID))
-                     .when(F.col("_found").isNull(), F.concat(F.lit("(no payload_response record for id="),
-                                                              F.col("_pr"), F.lit(")")))
+                     .when(F.col("_found").isNull(), F.format_string(NO_PAYLOAD_RECORD.replace("{}", "%s"), F.col("_pr")))
                      .when(F.coalesce(resp, F.lit("")) == "", F.lit(EMPTY_RESPONSE))
                      .otherwise(json_normalise(resp)))
     return j.select(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sluice.operators import candidates as cand
 from sluice.rules import SuppressionRule
 from sluice.sources.catalog import Catalog, oracle_with
-from sluice.sources.driver_views import ALL_VIEWS, AS_OF, DIRECTORY_VIEWS
+from sluice.sources.driver_views import ALL_VIEWS, AS_OF
 
 DIRECTORY_TABLES = ["practices", "practice_locations", "user_fields", "user_defined_fields",
                     "record_types", "practice_types", "status_sets"]
