@@ -155,7 +155,8 @@ def failure_breakdown(details: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("occurrences"),
         F.min(first).alias("_first"),
         F.min_by(sample, first).alias("_sample"))
-    return agg.select(
+    # most frequent first; ties in first-seen order, as the report lists them
+    return agg.orderBy(F.desc("occurrences"), F.asc("_first")).select(
         "error_type", "occurrences",
         F.col("_first.position").alias("first_position"),
         F.col("_sample.sub_process").alias("sample_sub_process"),
