@@ -97,3 +97,17 @@ def test_payload_echo(spark):
                "process_id", "n_payloads", "rule_echoed", "flag_mentioned", "identity_confirmed", "verdict")
     assert got == [("p1", 2, True, True, True, "PASS"), ("p2", 1, True, False, False, "FAIL"),
                    ("p3", 0, False, False, True, "FAIL")]
+
+
+def test_inventory_from_files(spark, scratch):
+    import os
+
+    os.makedirs(os.path.join(scratch, "out", "p"))
+    for name, data in (("out/p/a.csv", b"x,y\n1,2\n"), ("out/p/b.csv", b"z\n"), ("out/p/empty.csv", b"")):
+        with open(os.path.join(scratch, name), "wb") as fh:
+            fh.write(data)
+    inv = A.inventory_from_files(spark, scratch, "bkt")
+    got = rows(inv, "bucket", "key", "size")
+    # contents are never read; empty files are not listed by the file source (kept in a real inventory)
+    assert ("bkt", "out/p/a.csv", 8) in got and ("bkt", "out/p/b.csv", 2) in got
+    assert all(k != "out/p/empty.csv" or s == 0 for _, k, s in got)
