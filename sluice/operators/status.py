@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from sluice.functions.exprs import (
     EMPTY_ERROR_REASON, MISSING_ERROR_TYPE, MISSING_STATUS, MISSING_SUB_PROCESS,
-    SCHEMA_VALIDATION_ERROR, STATUS_COMPLETED, STATUS_ERRORED, json_normalise, label_or, text_norm,
+    SCHEMA_VALIDATION_ERROR, STATUS_COMPLETED, STATUS_ERRORED, first_lines, json_normalise, label_or,
+    text_norm,
 )
 
 # ── fixed values: report texts ────────────────────────────────────────────
@@ -125,7 +126,7 @@ def error_details(splits: DataFrame, status: DataFrame, payloads: DataFrame) ->
          .otherwise(F.coalesce(F.nullif("_err", F.lit("")), F.lit(EMPTY_ERROR_REASON))).alias("detailed_reason"),
         F.col("_pr").alias("payload_response_id"),
         F.coalesce(F.col("notes").cast("string"), F.lit("")).alias("notes"),
-    )
+    ).withColumn("reason_preview", first_lines(F.col("detailed_reason"), 20))
 
 
 def stuck_details(splits: DataFrame, status: DataFrame, n: int = 10) -> DataFrame:

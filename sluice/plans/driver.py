@@ -279,7 +279,9 @@ details AS (
          COALESCE(e.notes, '') AS notes
   FROM e LEFT JOIN pl ON lower(e.err) = 'schema-validation-error' AND e.pr <> '' AND pl.payload_response_id = e.pr)"""
 
-O_ERROR_DETAILS = _with("splits", "process_status", "payload_response", extra=_ERRORS_SQL) + "SELECT * FROM details"
+O_ERROR_DETAILS = _with("splits", "process_status", "payload_response", extra=_ERRORS_SQL) + """
+SELECT *, array_to_string(list_slice(string_split_regex(detailed_reason, '\r?\n'), 1, 20), chr(10)) AS reason_preview
+FROM details"""
 
 
 def q_failure_breakdown(spark, sf_dir):

@@ -109,3 +109,13 @@ def test_consolidated_verdict(spark, data):
     assert v["message"] == "validation FAILED:\n  3/5 split(s) FAILED - 8 errored, 3 stuck sub-process(es)."
     ok = S.split_totals(S.split_results(splits.where("position = 1"), status))
     assert S.consolidated_verdict(ok).first()["verdict"] == "PASS"
+
+
+def test_reason_preview_keeps_first_20_lines(spark):
+    status = spark.createDataFrame([(1, "p", "A", "FAILED", "x", "v", "schema-validation-error", "9", None)], STATUS_DDL)
+    payloads = spark.createDataFrame([("9", "\n".join(f"line {i}" for i in range(25)))],
+                                     "payload_response_id string, response string")
+    splits = spark.createDataFrame([(1, "p")], "position long, split_process_id string")
+    r = S.error_details(splits, status, payloads).first()
+    assert r["detailed_reason"].count("\n") == 24
+    assert r["reason_preview"] == "\n".join(f"line {i}" for i in range(20))
