@@ -34,14 +34,22 @@ CANDIDATE_COLUMNS = [
 CANDIDATE_ORDER = ["PracticeID", "LocationID", "UserFieldRecID"]
 
 
-def _live(df: DataFrame) -> DataFrame:
+def _c(col, collation: str | None):
+    """H8: string comparisons under an optional collation (e.g.
+    ``UTF8_LCASE_RTRIM`` for a case- and trailing-blank-insensitive source)."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.collate(col, collation) if collation else col
+
+
+def _live(df: DataFrame, collation: str | None = None) -> DataFrame:
     """FLT-3: soft-deleted rows never take part."""
-    return df.where(F.col("Archived") == "N")
+    return df.where(_c("Archived", collation) == "N")
 
 
 def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
                trigger_fields: list[str] | None = None, values: list[str] | None = None,
-               fields: list[str] | None = None, trigger_values: list[str] | None = None) -> DataFrame:
+               fields: list[str] | None = None, trigger_values: list[str] | None = None,
+               collation: str | None = None) -> DataFrame:
     """JOIN-1 + FLT-1..4 + PRJ-3 for every rule: one row per qualifying attribute.
 
     ``rule_values`` has (rule_key, udf_field_name, trigger_value, qualifying_value).
@@ -53,40 +61,44 @@ def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
     """
     trigger_fields = trigger_fields or ["InDirectory"]
     rv = rule_values
+    k = lambda c: _c(c, collation)
 
-    uf = _live(tables["user_fields"]).where(active_on("DateFrom", "DateTo", as_of))
-    uf = (uf.where(F.col("Value").isin(values)) if values is not None else
+    uf = _live(tables["user_fields"], collation).where(active_on("DateFrom", "DateTo", as_of))
+    uf = (uf.where(k("Value").isin(values)) if values is not None else
           uf.join(rv.select(F.col("qualifying_value").alias("Value")).distinct(), "Value", "left_semi"))
     uf = uf.select("UserFieldRecID", "ParentRecID", "UserDefinedFieldID", "Value", "DateFrom", "DateTo")
 
-    rt = (_live(tables["record_types"]).where(F.col("TableName") == RECORD_TABLE_NAME)
+    rt = (_live(tables["record_types"], collation).where(k("TableName") == RECORD_TABLE_NAME)
           .select("RecordTypeID"))
-    udf = _live(tables["user_defined_fields"])
-    udf = (udf.where(F.col("FieldName").isin(fields)) if fields is not None else
+    udf = _live(tables["user_defined_fields"], collation)
+    udf = (udf.where(k("FieldName").isin(fields)) if fields is not None else
            udf.join(rv.select(F.col("udf_field_name").alias("FieldName")).distinct(), "FieldName", "left_semi"))
     udf = udf.join(rt, "RecordTypeID", "left_semi").select("UserDefinedFieldID", "FieldName")
 
-    attrs = (uf.join(udf, "UserDefinedFieldID")
-             .join(rv.withColumnRenamed("udf_field_name", "FieldName")
-                     .withColumnRenamed("qualifying_value", "Value"),
-                   ["FieldName", "Value"]))
+    ua = uf.join(udf, "UserDefinedFieldID")
+    rvr = rv.select("rule_key", F.col("udf_field_name").alias("_rf"), "trigger_value",
+                    F.col("qualifying_value").alias("_rv"), *[c for c in rv.columns if c == "trigger_field"])
+    if collation:
+        attrs = ua.join(rvr, (k(ua["FieldName"]) == rvr["_rf"]) & (k(ua["Value"]) == rvr["_rv"])).drop("_rf", "_rv")
+    else:
+        attrs = ua.join(rvr, (ua["FieldName"] == rvr["_rf"]) & (ua["Value"] == rvr["_rv"])).drop("_rf", "_rv")
 
-    ss = tables["status_sets"].where(F.col("StatusSetName") == STATUS_SET_NAME).select("StatusSetID")
-    pt = (_live(tables["practice_types"]).where(F.col("PracticeTypeName") == LOCATION_TYPE_NAME)
+    ss = tables["status_sets"].where(k("StatusSetName") == STATUS_SET_NAME).select("StatusSetID")
+    pt = (_live(tables["practice_types"], collation).where(k("PracticeTypeName") == LOCATION_TYPE_NAME)
           .join(ss, "StatusSetID", "left_semi")
           .select(F.col("PracticeTypeID").alias("LocationTypeID"),
                   F.col("PracticeTypeName").alias("LocationTypeName")))
 
-    locs = _live(tables["practice_locations"])
+    locs = _live(tables["practice_locations"], collation)
     if trigger_values is not None and len(trigger_fields) == 1:
-        locs = locs.where(F.col(trigger_fields[0]).isin(trigger_values))   # raw column: reaches the scan
+        locs = locs.where(k(trigger_fields[0]).isin(trigger_values))   # raw column: reaches the scan
     locs = (locs.select("LocationID", "PracticeID", "NationalProviderID", "InDirectory", "LocationTypeID",
                         *[f for f in trigger_fields if f != "InDirectory"])
             .join(pt, "LocationTypeID"))
-    practices = _live(tables["practices"]).select("PracticeID", "TaxIDNumber")
+    practices = _live(tables["practices"], collation).select("PracticeID", "TaxIDNumber")
 
-    trig = (F.col(trigger_fields[0]) if len(trigger_fields) == 1 else
-            F.coalesce(*[F.when(F.col("trigger_field") == f, F.col(f)) for f in trigger_fields]))
+    trig = (k(trigger_fields[0]) if len(trigger_fields) == 1 else
+            F.coalesce(*[F.when(F.col("trigger_field") == f, k(f)) for f in trigger_fields]))
     joined = (attrs.join(locs, attrs["ParentRecID"] == locs["LocationID"])
               .where(trig == F.col("trigger_value"))
               .join(practices, "PracticeID"))
@@ -102,7 +114,7 @@ def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
     )
 
 
-def qualifying_for(spark: SparkSession, tables, rules, as_of: str) -> DataFrame:
+def qualifying_for(spark: SparkSession, tables, rules, as_of: str, collation: str | None = None) -> DataFrame:
     rules = list(rules)
     fields = sorted({r.trigger_field for r in rules})
     rv = rule_values_frame(spark, rules)
@@ -112,25 +124,26 @@ def qualifying_for(spark: SparkSession, tables, rules, as_of: str) -> DataFrame:
     return qualifying(tables, rv, as_of, fields,
                       values=sorted({v for r in rules for v in r.qualifying_udf_values}),
                       fields=sorted({r.udf_field_name for r in rules}),
-                      trigger_values=sorted({r.trigger_value for r in rules}))
+                      trigger_values=sorted({r.trigger_value for r in rules}), collation=collation)
 
 
-def candidates(spark: SparkSession, tables, rules, as_of: str, top_n: int = 5) -> DataFrame:
+def candidates(spark: SparkSession, tables, rules, as_of: str, top_n: int = 5,
+               collation: str | None = None) -> DataFrame:
     """ORD-1 + SET-1: ``DISTINCT TOP n`` per rule, ordered by practice,
     location and attribute row (remaining columns break ties)."""
     if not 1 <= top_n <= 1000:
         raise ValueError("top_n must be between 1 and 1000")
-    q = qualifying_for(spark, tables, rules, as_of).distinct()
+    q = qualifying_for(spark, tables, rules, as_of, collation).distinct()
     order = CANDIDATE_ORDER + [c for c in CANDIDATE_COLUMNS if c not in CANDIDATE_ORDER]
     w = Window.partitionBy("rule_key").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return q.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
 
 
-def candidate_counts(spark: SparkSession, tables, rules, as_of: str) -> DataFrame:
+def candidate_counts(spark: SparkSession, tables, rules, as_of: str, collation: str | None = None) -> DataFrame:
     """AGG-1: ``COUNT(DISTINCT LocationID)`` per rule; rules without any
     candidate report 0."""
     rules = list(rules)
-    counts = (qualifying_for(spark, tables, rules, as_of)
+    counts = (qualifying_for(spark, tables, rules, as_of, collation)
               .groupBy("rule_key").agg(F.countDistinct("LocationID").alias("candidate_count")))
     keys = F.broadcast(spark.createDataFrame([(r.key, r.rule_id) for r in rules], "rule_key string, rule_id int"))
     return (keys.join(counts, "rule_key", "left")

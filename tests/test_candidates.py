@@ -123,3 +123,17 @@ def test_registry():
     with pytest.raises(ValueError):
         reg.add(rule("c", values=()))
     assert rule("a").rule_ids_accepted == {"15", "rule-15", "rule_15", "prac-15", "practice-15", "facility-15"}
+
+
+def test_collation_option(spark, directory):
+    """H8: with a case- and trailing-blank-insensitive collation, differently
+    spelled names and flags still match; the default stays exact."""
+    d = dict(directory)
+    d["user_defined_fields"] = directory["user_defined_fields"].withColumn(
+        "FieldName", F.when(F.col("UserDefinedFieldID") == "D1", F.lit("claim hold REASON  ")).otherwise(F.col("FieldName")))
+    d["practice_locations"] = directory["practice_locations"].withColumn(
+        "InDirectory", F.when(F.col("LocationID") == "L1", F.lit("y")).otherwise(F.col("InDirectory")))
+    exact = rows(C.candidate_counts(spark, d, RULES, AS_OF), "rule_key", "candidate_count")
+    assert exact == [("r1", 0), ("r_none", 0)]
+    loose = rows(C.candidate_counts(spark, d, RULES, AS_OF, collation="UTF8_LCASE_RTRIM"), "rule_key", "candidate_count")
+    assert loose == [("r1", 2), ("r_none", 0)]
