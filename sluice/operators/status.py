@@ -201,7 +201,9 @@ def terminal_state(status: DataFrame, loader: str = LOADER_SUB_PROCESS, record:
     SUCCESS).  The first failing condition gives the reason."""
     c = classify(status)
     if process_ids is not None:
-        c = c.join(process_ids.select("process_id").distinct(), "process_id", "left_semi")
+        # FLT-8: by process id, or by process id + business value when given
+        keys = ["process_id"] + (["business_value"] if "business_value" in process_ids.columns else [])
+        c = c.join(process_ids.select(*keys).distinct(), keys, "left_semi")
     name = F.col("sub_process_name")
     agg = c.groupBy("process_id").agg(
         F.count(F.lit(1)).alias("n_rows"),

@@ -119,3 +119,13 @@ def test_reason_preview_keeps_first_20_lines(spark):
     r = S.error_details(splits, status, payloads).first()
     assert r["detailed_reason"].count("\n") == 24
     assert r["reason_preview"] == "\n".join(f"line {i}" for i in range(20))
+
+
+def test_terminal_state_by_process_and_business_value(spark):
+    st = spark.createDataFrame([
+        (1, "a", "Data-Loader-File", "Completed", "x", "v1", None, None, None),
+        (2, "a", "Data-Loader-File", "FAILED", "x", "v2", "boom", None, None)], STATUS_DDL)
+    only_v1 = spark.createDataFrame([("a", "v1")], "process_id string, business_value string")
+    assert rows(S.terminal_state(st, process_ids=only_v1), "process_id", "verdict") == [("a", "PASS")]
+    by_pid = spark.createDataFrame([("a",)], "process_id string")
+    assert rows(S.terminal_state(st, process_ids=by_pid), "process_id", "verdict") == [("a", "FAIL")]
