@@ -589,13 +589,17 @@ FROM (
            LEFT JOIN picks p ON p.run_id = ent.run_id) x"""
 
 
+def _search_targets(runs, rules):
+    """RULE-6 fallback: runs whose trigger was skipped search their rules' prefixes."""
+    return (lg.runs_rules(runs.where(F.col("state") == "SKIPPED_TRIGGER"), rules)
+            .select(F.concat_ws("/", "run_id", "rule_key").alias("search_id"),
+                    F.lit(OUTBOUND_BUCKET).alias("target_bucket"), F.col("outbound_prefix").alias("prefix"),
+                    F.col("started_at").alias("since")))
+
+
 def q_object_search(spark, sf_dir):
     c = catalog(spark, sf_dir)
-    rules = rules_frame(spark, DRIVER_RULES)
-    targets = (lg.runs_rules(c["runs"].where(F.col("state") == "SKIPPED_TRIGGER"), rules)
-               .select(F.concat_ws("/", "run_id", "rule_key").alias("search_id"),
-                       F.lit(OUTBOUND_BUCKET).alias("target_bucket"), F.col("outbound_prefix").alias("prefix"),
-                       F.col("started_at").alias("since")))
+    targets = _search_targets(c["runs"], rules_frame(spark, DRIVER_RULES))
     out = ar.search_objects(c["object_inventory"], targets, [r.outbound_prefix for r in DRIVER_RULES])
     return out.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
 
@@ -1029,10 +1033,11 @@ def q_stage_verdict(spark, sf_dir):
     arts = lg.artifacts_by_rule(lg.log_artifacts(parsed, C), runs, rules, OUTBOUND_BUCKET)
     pid = lg.process_id_check(arts, runs, rules)
     logv = lg.log_verdict(spark, runs, lg.run_report(parsed), lg.rule_counts(parsed), pid, rules, DRIVER_RULES)
-    found = q_object_search(spark, sf_dir).select(
-        F.split("search_id", "/")[0].alias("run_id"), F.split("search_id", "/")[1].alias("rule_key")).distinct() \
-        .withColumn("_found", F.lit(True))
-    astate = (ar.check_artifacts(arts, c["object_inventory"], runs, picks)
+    inv = materialize(c["object_inventory"], "inventory")        # read by two stages
+    found = (ar.search_objects(inv, _search_targets(runs, rules), [r.outbound_prefix for r in DRIVER_RULES])
+             .select(F.split("search_id", "/")[0].alias("run_id"), F.split("search_id", "/")[1].alias("rule_key"))
+             .distinct().withColumn("_found", F.lit(True)))
+    astate = (ar.check_artifacts(arts, inv, runs, picks)
               .groupBy("run_id", "rule_key")
               .agg(vd.worst("verdict").alias("outbound_file_verdict"),
                    F.min(F.when(F.col("verdict") != "PASS", F.concat_ws(": ", "key", "state"))).alias("outbound_file_reason")))
