@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, idfiles, packing
+from sluice.llm import bpe, fingerprints, idfiles, packing, secretscan, topk
 from sluice.session import checkpoint_dir, ship_package
 
 
@@ -29,6 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(secretscan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -43,5 +51,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read_ids(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_bpe, op9_token_files)}
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op3_secrets, op4_best_fit_packing, op5_bpe, op9_token_files, op10_top_k)}
 ORACLE: dict[str, str] = {}
