@@ -10,9 +10,11 @@ log back-off mass of each context.  A text gets the language of lowest
 cross-entropy per character.
 
 Rejection is calibrated on sample rows that the models did not see: a text is
-rejected if its cross-entropy in the best language is further above that
-language's mean than ``REJECT`` standard deviations of texts of its length,
-or if it has no letters.
+rejected if it has no letters, or if its cross-entropy in the best language is
+above that language's mean by more than ``REJECT`` standard deviations of
+texts of its length and also by more than ``FOREIGN`` of the way to the mean that
+the language's texts have in the best of the other models (so a text that is
+mixed from two languages, or mostly in one, stays).
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ SAMPLE_CHARS = 20_000
 #: Grams of the highest order that each language's model keeps, the most frequent first.
 MAX_GRAMS = 200_000
 REJECT = 8.0
+FOREIGN = 0.75
 #: Size of the character set that unseen characters are taken from.
 UNSEEN = 1 << 16
 _U = np.uint64
@@ -171,8 +174,9 @@ def training_rows(docs: DataFrame, fit_on: Column, text: str, lang: str, id_col:
 
 
 def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
-          rows: int = SAMPLE_ROWS) -> tuple[Model, dict[str, tuple[float, float]]]:
-    """(model, per language: mean cross-entropy and its spread per square root of a character)."""
+          rows: int = SAMPLE_ROWS) -> tuple[Model, dict[str, tuple[float, float, float]]]:
+    """(model, per language: mean cross-entropy, its spread per square root of
+    a character, and how far above it the best other model is)."""
     sample = training_rows(docs, fit_on, text, lang, id_col, rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,24 +207,27 @@ def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang
             h, letters = model.entropy(b.column("text").to_pylist())
             own = np.array([names.index(x) if x in names else -1 for x in b.column("lang").to_pylist()])
             at = np.flatnonzero((letters > 0) & (own >= 0))
-            yield pa.RecordBatch.from_arrays([b.column("lang").take(pa.array(at)), pa.array(h[at, own[at]]), pa.array(letters[at])], ["lang", "h", "n"])
+            other = h[at].copy()
+            other[np.arange(len(at)), own[at]] = np.inf
+            second = np.minimum(other.min(axis=1, initial=np.inf), np.log(UNSEEN))
+            yield pa.RecordBatch.from_arrays([b.column("lang").take(pa.array(at)), pa.array(h[at, own[at]]), pa.array(second), pa.array(letters[at])], ["lang", "h", "second", "n"])
 
     limits = {}
     if names:
-        spread = sample.filter("part = 0").mapInArrow(residuals, "lang string, h double, n long")
+        spread = sample.filter("part = 0").mapInArrow(residuals, "lang string, h double, second double, n long")
         for r in spread.groupBy("lang").agg(F.avg("h").alias("m"), F.sum(F.col("h") * F.col("h") * F.col("n")).alias("s2"),
-                                            F.sum(F.col("h") * F.col("n")).alias("s1"), F.sum("n").alias("s0"), F.count(F.lit(1)).alias("k")).collect():
+                                            F.sum(F.col("h") * F.col("n")).alias("s1"), F.sum("n").alias("s0"), F.avg("second").alias("other"), F.count(F.lit(1)).alias("k")).collect():
             mean = r["s1"] / r["s0"]
             # texts of n letters spread by sigma / sqrt(n): sigma^2 = mean of n (h - mean)^2
             sigma = max((r["s2"] - 2 * mean * r["s1"] + mean * mean * r["s0"]) / r["k"], 0.25) ** 0.5
-            limits[r["lang"]] = (mean, sigma)
+            limits[r["lang"]] = (mean, sigma, max(r["other"] - mean, 0.0))
     return model, limits
 
 
 RESULT = "lang_pred string, score double, rejected boolean"
 
 
-def classify(texts: list[str], model: Model, limits: dict[str, tuple[float, float]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def classify(texts: list[str], model: Model, limits: dict[str, tuple[float, float, float]]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(language, score, rejected) of each text."""
     h, letters = model.entropy(texts)
     if not model.languages:
@@ -229,14 +236,14 @@ def classify(texts: list[str], model: Model, limits: dict[str, tuple[float, floa
     low = h[np.arange(len(h)), best]
     # Posterior of the best language, with at most 200 characters' worth of evidence.
     score = 1 / np.exp(-(h - low[:, None]) * np.minimum(letters, 200)[:, None]).sum(axis=1)
-    mean = np.array([limits.get(x, (np.inf, 1.0)) for x in model.languages])
-    rejected = (letters == 0) | (low > mean[best, 0] + REJECT * mean[best, 1] / np.sqrt(np.maximum(letters, 1)) + 0.1)
+    mean, sigma, gap = np.array([limits.get(x, (np.inf, 1.0, 0.0)) for x in model.languages]).T[:, best]
+    rejected = (letters == 0) | (low > mean + np.maximum(REJECT * sigma / np.sqrt(np.maximum(letters, 1)), FOREIGN * gap))
     names = np.array(model.languages, object)[best]
     names[letters == 0] = "und"
     return names.tolist(), np.where(letters > 0, score, 0.0), rejected
 
 
-def identify(docs: DataFrame, model: Model, limits: dict[str, tuple[float, float]], text: str = "text",
+def identify(docs: DataFrame, model: Model, limits: dict[str, tuple[float, float, float]], text: str = "text",
              prefix: str = "") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (named with
     ``prefix``) appended; texts that are null or without letters are ``und``,

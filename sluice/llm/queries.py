@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, fingerprints, idfiles, langid, packing, quality, secretscan, topk
+from sluice.llm import bpe, fingerprints, idfiles, langid, packing, quality, secretscan, topk, toxicity
 from sluice.llm.text import crc_bucket
 from sluice.session import checkpoint_dir, ship_package
 
@@ -47,6 +47,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_bucket("doc_id", 3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model, limits = langid.train(docs, crc_bucket("doc_id", 5) != 0)
@@ -72,5 +79,5 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op3_secrets, op4_best_fit_packing, op5_bpe, op7_language_id, op8_quality, op9_token_files, op10_top_k)}
+    op1_fingerprints, op3_secrets, op4_best_fit_packing, op5_bpe, op6_toxicity, op7_language_id, op8_quality, op9_token_files, op10_top_k)}
 ORACLE: dict[str, str] = {}
