@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, fingerprints, idfiles, langid, packing, quality, secretscan, topk, toxicity
+from sluice.llm import bpe, fingerprints, idfiles, langid, packing, quality, secretscan, setjoin, topk, toxicity
 from sluice.llm.text import crc_bucket
 from sluice.session import checkpoint_dir, ship_package
 
@@ -35,6 +35,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.similar_sets(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest(secretscan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -79,5 +83,5 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op3_secrets, op4_best_fit_packing, op5_bpe, op6_toxicity, op7_language_id, op8_quality, op9_token_files, op10_top_k)}
+    op1_fingerprints, op2_jaccard_join, op3_secrets, op4_best_fit_packing, op5_bpe, op6_toxicity, op7_language_id, op8_quality, op9_token_files, op10_top_k)}
 ORACLE: dict[str, str] = {}
