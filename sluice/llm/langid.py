@@ -163,6 +163,7 @@ class Model:
 
 def training_rows(docs: DataFrame, fit_on: Column, text: str, lang: str, id_col: str, rows: int) -> DataFrame:
     """A bounded sample of rows with ``lang``, ``text`` and ``part`` (0..9)."""
+    docs = docs.select(id_col, text, lang)
     labelled = docs.filter(fit_on & F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (F.length(text) > 0))
     counts = labelled.groupBy(lang).count().collect()
     if not counts:
@@ -246,11 +247,12 @@ def classify(texts: list[str], model: Model, limits: dict[str, tuple[float, floa
 def identify(docs: DataFrame, model: Model, limits: dict[str, tuple[float, float, float]], text: str = "text",
              prefix: str = "") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (named with
-    ``prefix``) appended; texts that are null or without letters are ``und``,
+    ``prefix``, in place of older columns so named) appended; texts that are null or without letters are ``und``,
     score 0, rejected."""
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
     names = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
+    docs = docs.drop(*names)
     shared = docs.sparkSession.sparkContext.broadcast((model, limits))     # bounded by MAX_GRAMS a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -185,19 +185,21 @@ def _logit(q: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text", id_col: str = "doc_id",
-          label: str = "quality", rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float, float]:
+          label: str = "quality", rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float, float] | None:
     """(weights, transitions, slope, intercept) from a bounded sample of the
-    labelled rows that ``fit_on`` (over the id) admits."""
+    labelled rows that ``fit_on`` (over the id) admits; None without rows of
+    both labels."""
     known = labels.filter(F.col(label).isin(0, 1) & fit_on).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
     counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     if len(counts) < 2:
-        raise ValueError("both labels are needed to fit the quality model")
+        return None
     draw = F.pmod(F.xxhash64(F.lit("quality"), id_col), F.lit(1_000_000)) / 1_000_000
     rate = F.when(F.col("_y") == 1, min(1.0, rows / counts[1])).otherwise(min(1.0, rows / counts[0]))
     # The sample is bounded, so it may be broadcast to where the texts are.
     chosen = F.broadcast(known.filter(draw < rate).select(F.col(id_col).alias("_id"), "_y"))
-    few = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")) <= SAMPLE_LINES
-    sample = docs.join(chosen, docs[id_col] == chosen["_id"]).filter(few).select(F.coalesce(F.col(text), F.lit("")).alias("text"), "_y")
+    few = F.size(F.split(F.coalesce("text", F.lit("")), "\n")) <= SAMPLE_LINES
+    docs = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("text"))
+    sample = docs.join(chosen, F.col("_doc") == F.col("_id")).filter(few).select(F.coalesce("text", F.lit("")).alias("text"), "_y")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(batches, "text"):
@@ -208,6 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text"
                 pa.array([size[e - k: e].astype("<i4").tobytes() for k, e in zip(per_doc, ends)], pa.binary()), b.column("_y")], ["own", "size", "_y"])
 
     got = sample.mapInArrow(features, "own binary, size binary, _y int").toArrow()
+    if len(set(got["_y"].to_pylist())) < 2:
+        return None
     packed, sizes, y = got["own"].to_pylist(), got["size"].to_pylist(), np.asarray(got["_y"]).astype(np.int64)
     order = sorted(range(len(y)), key=lambda k: (y[k], packed[k]))     # the same model whatever the order of arrival
     own = np.concatenate([np.frombuffer(packed[k], "<f4").reshape(-1, OWN) for k in order]).astype(np.float64)
@@ -225,12 +229,14 @@ def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text"
     return w, t, *logistic(_logit(q), y.astype(float), balance)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float, float], text: str = "text", name: str = "score") -> DataFrame:
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float, float] | None, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the quality score (0 to 1) appended; null text is empty,
-    an empty text is one empty line."""
+    an empty text is one empty line.  Without a model every score is 0.5.  An
+    older column of that name is replaced."""
+    docs = docs.drop(name)
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    w, t, slope, intercept = model
+    w, t, slope, intercept = model or (np.zeros((WIDTH, 2)), np.zeros((2, 2)), 0.0, 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(batches, text):

@@ -113,3 +113,15 @@ def crc_bucket(column: str, modulus: int):
     from pyspark.sql import functions as F
 
     return F.crc32(F.col(column).cast("string")) % modulus
+
+
+def fresh(docs, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``docs`` has them."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -43,7 +43,7 @@ def usable(vectors: DataFrame, vector: str, id_col: str) -> DataFrame:
             .select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("v"), F.size(vector).alias("dim")))
 
 
-def _block(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Rows of a group as one vertical block."""
     pdf = pdf.sort_values("vec_id", kind="stable")
     grid = np.stack(pdf["v"].to_numpy()).astype(np.int64) if len(pdf) else np.zeros((0, 0), np.int64)
@@ -152,9 +152,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vector: str = "embedd
                 who = np.repeat([x for x, _, _ in found], size)
                 at = np.concatenate([x for _, x, _ in found])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(q_row[who]), pa.array(q_ids[who]), pa.array(ids[at]), pa.array(np.concatenate([s for _, _, s in found]))],
-                    ["row", "query_id", "vec_id", "score"])
+                    pa.array(np.full(len(who), r["dim"], np.int32)), pa.array(q_row[who]), pa.array(q_ids[who]), pa.array(ids[at]), pa.array(np.concatenate([s for _, _, s in found]))],
+                    ["dim", "row", "query_id", "vec_id", "score"])
 
-    best = met.mapInArrow(search, "row long, query_id long, vec_id long, score long")
-    w = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
+    best = met.mapInArrow(search, "dim int, row long, query_id long, vec_id long, score long")
+    w = Window.partitionBy("dim", "row").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

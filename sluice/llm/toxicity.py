@@ -36,8 +36,8 @@ from sluice.llm import text as T
 #: Bounds of the training sample (rows of each label) and of the lexicon.
 SAMPLE_ROWS = 10_000
 MAX_WORDS = 200
-#: A lexicon entry: least rows and different words before it, least ratio of its rates, least z-score.
-LEAST_ROWS, LEAST_COMPANY, LEAST_RATIO, LEAST_Z = 5, 5, 8.0, 4.0
+#: A lexicon entry: least rows and different words before it, least share of the toxic rows, least ratio of its rates, least z-score.
+LEAST_ROWS, LEAST_COMPANY, LEAST_SHARE, LEAST_RATIO, LEAST_Z = 5, 5, 0.02, 8.0, 7.0
 #: Entries that are looked at more closely (their company), the best first.
 CANDIDATES = 2000
 #: Lengths of stems, and how often a text must hold one.
@@ -54,7 +54,8 @@ def sample_rows(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str, i
     draw = F.pmod(F.xxhash64(F.lit("toxic"), id_col), F.lit(1_000_000)) / 1_000_000
     rate = F.when(F.col("y") == 1, min(1.0, rows / counts.get(1, 1))).otherwise(min(1.0, rows / counts.get(0, 1)))
     chosen = F.broadcast(known.filter(draw < rate).select(F.col(id_col).alias("_id"), "y"))   # bounded by 2 * rows
-    return docs.join(chosen, docs[id_col] == chosen["_id"]).select(F.coalesce(F.col(text), F.lit("")).alias("text"), "y")
+    docs = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return docs.join(chosen, F.col("_doc") == F.col("_id")).select("text", "y")
 
 
 #: (text, least times): a whole word is "word$", a stem "stem".
@@ -96,10 +97,11 @@ def mine_lexicon(sample: DataFrame) -> Lexicon:
                 pa.array([k for k, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int32()),
                 pa.array([rows[1][k] for k in keys], pa.int64()), pa.array([rows[0][k] for k in keys], pa.int64())], ["entry", "times", "c1", "c0"])
 
-    z = (F.col("p1") - F.col("p0")) / F.sqrt(F.col("p1") / n1 + F.col("p0") / n0)
+    both = (F.col("c1") + F.col("c0")) / (n1 + n0)
+    z = (F.col("p1") - F.col("p0")) / F.sqrt(both * (1 - both) * (1 / n1 + 1 / n0) + 1e-12)
     stats = (sample.mapInArrow(count, "entry string, times int, c1 long, c0 long").groupBy("entry", "times").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
              .filter(F.col("c1") >= LEAST_ROWS).withColumn("p1", F.col("c1") / n1).withColumn("p0", (F.col("c0") + 0.5) / n0)
-             .withColumn("z", z).filter((F.col("p1") >= LEAST_RATIO * F.col("p0")) & (F.col("z") >= LEAST_Z))
+             .withColumn("z", z).filter((F.col("p1") >= LEAST_SHARE) & (F.col("p1") >= LEAST_RATIO * F.col("p0")) & (F.col("z") >= LEAST_Z))
              .withColumn("gain", F.col("p1") * F.log(F.col("p1") / F.col("p0"))))
     ranked = [(r["entry"], r["times"]) for r in stats.orderBy(F.col("gain").desc(), "entry", "times").limit(CANDIDATES).collect()]
     wanted = {e for e, _ in ranked}
@@ -244,7 +246,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text"
 
 
 def score(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the toxicity score (0 to 1) appended; null text is empty."""
+    """``docs`` with the toxicity score (0 to 1) appended; null text is empty.
+    An older column of that name is replaced."""
+    docs = docs.drop(name)
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     words, w = model
