@@ -9,7 +9,7 @@ empty files), so sizes and times come from an inventory table
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.exprs import file_name, normalise_prefix
@@ -52,54 +52,70 @@ def check_artifacts(artifacts: DataFrame, inventory: DataFrame, runs: DataFrame,
                     "last_modified", state.alias("state"), verdict.alias("verdict"))
 
 
-def _dir_of_depth(key, depth: int):
-    if depth == 0:
-        return F.lit("")
+def ancestors(key):
+    """Every directory of a key, from the root ('') down, each with its
+    trailing '/'; a leading '/' of the key is ignored."""
     parts = F.split(F.ltrim(key, F.lit("/")), "/")
-    return F.when(F.size(parts) > depth, F.concat(F.array_join(F.slice(parts, 1, depth), "/"), F.lit("/")))
+    return F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda d: F.when(d == 0, F.lit("")).otherwise(
+        F.concat(F.array_join(F.slice(parts, F.lit(1), d), "/"), F.lit("/"))))
 
 
-def prefix_depth(prefix: str) -> int:
-    """Directory depth of a prefix after EXP-5 normalisation."""
-    p = prefix.strip().lstrip("/")
-    return len(p.rstrip("/").split("/")) if p else 0
+def under_prefix_join(objects: DataFrame, targets: DataFrame) -> DataFrame:
+    """Objects whose key (leading '/' ignored) lies under a target's
+    normalised ``prefix``: each key yields its ancestor directories, which
+    meet the targets in one equi-join on (bucket, prefix).  A normalised
+    prefix is '' or ends in '/', so this is ``startswith`` for any depth."""
+    o = objects.withColumn("_dir", F.explode(ancestors(F.col("key"))))
+    return o.join(targets, (o["bucket"] == targets["target_bucket"]) & (o["_dir"] == targets["prefix"])).drop("_dir")
 
 
-def under_prefix_join(objects: DataFrame, targets: DataFrame, depths: list[int],
-                      broadcast_targets: bool = False) -> DataFrame:
-    """Objects whose key (leading '/' ignored) lies under a target's
-    normalised ``prefix``, as an equi-join on (bucket, leading directories):
-    one join per distinct prefix depth instead of a nested loop.
-
-    Many objects share one directory, so the join key is hot by nature: pass
-    ``broadcast_targets`` when the targets have a known bound (rule
-    prefixes), otherwise AQE picks the strategy and splits skewed keys."""
-    out = None
-    for d in sorted(set(depths)):
-        t = targets.where(F.size(F.split(F.col("prefix"), "/")) - 1 == d)
-        if broadcast_targets:
-            t = F.broadcast(t)
-        o = objects.withColumn("_dir", _dir_of_depth(F.col("key"), d))
-        j = o.join(t, (o["bucket"] == t["target_bucket"]) & (o["_dir"] == t["prefix"])).drop("_dir")
-        out = j if out is None else out.unionByName(j)
-    return out
-
-
-def search_objects(inventory: DataFrame, targets: DataFrame, prefixes: list[str],
-                   pattern: str = DEFAULT_OBJECT_PATTERN, contents: DataFrame | None = None) -> DataFrame:
-    """FLT-6 for many searches at once.
-
-    ``targets``: (search_id, target_bucket, prefix, since[, must_contain]);
-    ``prefixes`` lists the prefixes the targets may use (from the rules), so
-    the plan is built without looking at the data.
+def _named(df: DataFrame, pattern: str) -> DataFrame:
+    return df.where(file_name(F.col("key")).rlike(pattern))
+
+
+def matching_objects(inventory: DataFrame, targets: DataFrame, pattern: str = DEFAULT_OBJECT_PATTERN,
+                     contents: DataFrame | None = None) -> DataFrame:
+    """Every object that each search admits (the listing behind FLT-6).
+
+    ``targets``: (search_id, target_bucket, prefix, since[, must_contain]).
     Objects match when under the prefix, modified at/after ``since``, and the
     file name matches ``pattern``; with ``contents`` (bucket, key, value) the
     object must also hold a row whose value equals ``must_contain``.
     """
     t = targets.withColumn("prefix", normalise_prefix(F.col("prefix")))
-    j = under_prefix_join(inventory, t, [prefix_depth(p) for p in prefixes])
-    j = j.where((F.col("last_modified") >= F.col("since")) & file_name(F.col("key")).rlike(pattern))
     if contents is not None and "must_contain" in targets.columns:
-        c = contents.select("bucket", "key", F.col("value").alias("must_contain")).distinct()
-        j = j.join(c, ["bucket", "key", "must_contain"], "left_semi")
-    return j.select("search_id", "bucket", "key", "size", "last_modified")
+        # the searched values pick the objects first
+        held = (contents.select("bucket", "key", F.col("value").alias("must_contain"))
+                .join(t.select("must_contain").distinct(), "must_contain", "left_semi").distinct())
+        j = under_prefix_join(_named(inventory, pattern).join(held, ["bucket", "key"]),
+                              t.withColumnRenamed("must_contain", "_wanted")).where(F.col("must_contain") == F.col("_wanted"))
+    else:
+        j = under_prefix_join(_named(inventory, pattern), t)
+    return j.where(F.col("last_modified") >= F.col("since")).select("search_id", "bucket", "key", "size", "last_modified")
+
+
+def search_objects(inventory: DataFrame, targets: DataFrame, pattern: str = DEFAULT_OBJECT_PATTERN,
+                   contents: DataFrame | None = None) -> DataFrame:
+    """FLT-6 for many searches at once: the first object (by time, then key)
+    that each search admits; searches without one give no row.
+
+    Without a content condition, searches of one prefix share its objects:
+    per (bucket, prefix) the objects and the searches' start times are walked
+    in falling time order, and a search takes the last object passed, so the
+    work is objects plus searches, never their product."""
+    if contents is not None and "must_contain" in targets.columns:
+        best = F.min_by(F.struct("bucket", "key", "size", "last_modified"), F.struct("last_modified", "key"))
+        return (matching_objects(inventory, targets, pattern, contents).groupBy("search_id").agg(best.alias("b"))
+                .select("search_id", "b.bucket", "b.key", "b.size", "b.last_modified"))
+    t = targets.select("search_id", "target_bucket", normalise_prefix(F.col("prefix")).alias("prefix"), "since")
+    j = under_prefix_join(_named(inventory, pattern), t.select("target_bucket", "prefix").distinct())
+    first = j.groupBy("target_bucket", "prefix", "last_modified").agg(F.min_by(F.struct("key", "size"), "key").alias("o"))
+    events = first.select("target_bucket", "prefix", F.col("last_modified").alias("at"), F.lit(1).alias("is_object"),
+                          F.struct("o.key", "o.size", "last_modified").alias("object"), F.lit(None).cast("string").alias("search_id"))
+    asked = t.select("target_bucket", "prefix", F.col("since").alias("at"), F.lit(0).alias("is_object"),
+                     F.lit(None).cast(events.schema["object"].dataType).alias("object"), "search_id")
+    w = (Window.partitionBy("target_bucket", "prefix").orderBy(F.desc("at"), F.desc("is_object"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = events.unionByName(asked).withColumn("object", F.last("object", ignorenulls=True).over(w))
+    return (found.where(F.col("search_id").isNotNull() & F.col("object").isNotNull())
+            .select("search_id", F.col("target_bucket").alias("bucket"), "object.key", "object.size", "object.last_modified"))

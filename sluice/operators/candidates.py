@@ -116,6 +116,9 @@ def qualifying(tables: dict[str, DataFrame], rule_values: DataFrame, as_of: str,
 
 def qualifying_for(spark: SparkSession, tables, rules, as_of: str, collation: str | None = None) -> DataFrame:
     rules = list(rules)
+    for r in rules:
+        if not r.qualifying_udf_values:
+            raise ValueError(f"rule {r.key} has no qualifying values: its IN list would be empty")
     fields = sorted({r.trigger_field for r in rules})
     rv = rule_values_frame(spark, rules)
     if len(fields) > 1:
@@ -188,9 +191,9 @@ def code_audit(tables: dict[str, DataFrame], as_of: str | None = None) -> DataFr
     if as_of:
         uf = uf.where(active_on("DateFrom", "DateTo", as_of))
     udf = _live(tables["user_defined_fields"]).select("UserDefinedFieldID", "FieldName")
-    v = F.coalesce(F.col("Value"), F.lit(""))
-    return (uf.join(udf, "UserDefinedFieldID")
-            .groupBy("FieldName")
-            .agg(F.count(F.lit(1)).alias("n_values"),
-                 F.countDistinct(v).alias("n_distinct"),
-                 F.count_if(~v.rlike("^[0-9]{5}$")).alias("n_not_code")))
+    # the attribute table is cut to one row per (definition, value) before it meets the names
+    values = uf.groupBy("UserDefinedFieldID", F.coalesce("Value", F.lit("")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return (values.join(udf, "UserDefinedFieldID").groupBy("FieldName", "v").agg(F.sum("n").alias("n"))
+            .groupBy("FieldName").agg(
+                F.sum("n").alias("n_values"), F.count(F.lit(1)).alias("n_distinct"),
+                F.coalesce(F.sum(F.when(~F.col("v").rlike("^[0-9]{5}$"), F.col("n"))), F.lit(0)).alias("n_not_code")))

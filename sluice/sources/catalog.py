@@ -7,25 +7,16 @@ a registered scan of the table (or to the sub-query of another view) and runs
 it with ``spark.sql`` — Catalyst prunes columns and pushes filters into the
 parquet scans.  The DuckDB oracle resolves the same text to CTEs, so both
 sides derive identical inputs from the driver tables.
-
-Under-partitioned inputs: a table stored as a single row group scans as one
-task however many cores there are.  When a scan yields fewer partitions than
-the session's default parallelism, the catalog spreads it with a round-robin
-``repartition`` (filters and column pruning still reach the scan).  On a
-cluster, where inputs are many files and splits, this never triggers.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 _PLACEHOLDER = re.compile(r"\{([a-z_][a-z0-9_]*)\}")
-# Inputs smaller than this are not worth a round-robin shuffle.
-SPREAD_MIN_BYTES = 1 << 20
 
 
 def _refs(template: str) -> list[str]:
@@ -36,14 +27,11 @@ class Catalog:
     """Tables under one folder plus named derived views."""
 
     def __init__(self, spark: SparkSession, root: str, views: dict[str, str] | None = None,
-                 fmt: str = "parquet", spread_small_inputs: bool | None = None):
+                 fmt: str = "parquet"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.views = dict(views or {})
-        if spread_small_inputs is None:
-            spread_small_inputs = spark.conf.get("sluice.spreadSmallInputs", "true").lower() == "true"
-        self.spread = spread_small_inputs
         self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:8]
         self._tables: dict[str, DataFrame] = {}
         self._view_dfs: dict[str, DataFrame] = {}
@@ -53,25 +41,9 @@ class Catalog:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            df = self.spark.read.format(self.fmt).load(self.path(name))
-            if self.spread and self._local_bytes(name) > SPREAD_MIN_BYTES:
-                target = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < target:
-                    df = df.repartition(target)
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.format(self.fmt).load(self.path(name))
         return self._tables[name]
 
-    def _local_bytes(self, name: str) -> int:
-        """Size of a table stored on the local file system (0 elsewhere:
-        a cluster's inputs are split by the file source itself)."""
-        path = self.path(name)
-        if "://" in path and not path.startswith("file:"):
-            return 0
-        path = path.replace("file://", "").replace("file:", "")
-        if os.path.isdir(path):
-            return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
-        return os.path.getsize(path) if os.path.exists(path) else 0
-
     def table_ref(self, name: str) -> str:
         view = f"sluice_{self._tag}_{name}"
         self.table(name).createOrReplaceTempView(view)

@@ -40,16 +40,40 @@ def test_search_objects_matches_startswith(spark):
     targets = spark.createDataFrame([("s1", "b", "/out/p", T(2024, 1, 1)), ("s2", "b", "out", T(2024, 1, 1)),
                                      ("s3", "other", "out/p/", T(2024, 1, 1))],
                                     "search_id string, target_bucket string, prefix string, since timestamp")
-    got = rows(A.search_objects(inv, targets, ["/out/p", "out", "out/p/"]), "search_id", "key")
+    got = rows(A.matching_objects(inv, targets), "search_id", "key")
     brute = sorted((sid, k) for sid, pre in (("s1", "out/p/"), ("s2", "out/")) for k in keys
                    if k.lstrip("/").startswith(pre) and k.endswith(".csv") and k != "out/p/old.csv")
     assert got == brute
     contents = spark.createDataFrame([("b", "out/p/a.csv", "12")], "bucket string, key string, value string")
     t2 = targets.withColumn("must_contain", F.lit("12"))
-    assert rows(A.search_objects(inv, t2, ["/out/p", "out"], contents=contents), "search_id", "key") == [
+    assert rows(A.matching_objects(inv, t2, contents=contents), "search_id", "key") == [
         ("s1", "out/p/a.csv"), ("s2", "out/p/a.csv")]
 
 
+def test_search_takes_the_first_object(spark):
+    inv = spark.createDataFrame([("b", "out/p/a.csv", 1, T(2024, 1, 2)), ("b", "out/p/b.csv", 2, T(2024, 1, 3)),
+                                 ("b", "out/p/a0.csv", 3, T(2024, 1, 3)), ("b", "out/p/x.txt", 4, T(2024, 1, 1))],
+                                "bucket string, key string, size long, last_modified timestamp")
+    targets = spark.createDataFrame([("s1", "b", "out/p", T(2024, 1, 1)), ("s2", "b", "out/p/", T(2024, 1, 3)), ("s3", "b", "out/p", T(2024, 1, 4)),
+                                     ("s4", "b", "", T(2024, 1, 2)), ("s5", "c", "out/p", T(2024, 1, 1))],
+                                    "search_id string, target_bucket string, prefix string, since timestamp")
+    assert rows(A.search_objects(inv, targets), "search_id", "key", "size") == [
+        ("s1", "out/p/a.csv", 1), ("s2", "out/p/a0.csv", 3), ("s4", "out/p/a.csv", 1)]
+    held = spark.createDataFrame([("b", "out/p/b.csv", "12")], "bucket string, key string, value string")
+    assert rows(A.search_objects(inv, targets.withColumn("must_contain", F.lit("12")), contents=held), "search_id", "key") == [
+        ("s1", "out/p/b.csv"), ("s2", "out/p/b.csv"), ("s4", "out/p/b.csv")]
+
+
+def test_prefix_join_is_startswith(spark):
+    """Nested, doubled and many prefixes of any depth, none declared beforehand."""
+    keys = ["out/p/a.csv", "/out/p/b.csv", "out/p//c.csv", "out/p/q/r/d.csv", "e.csv", "outer/f.csv"]
+    inv = spark.createDataFrame([("b", k) for k in keys], "bucket string, key string")
+    prefixes = ["", "out/", "out/p/", "out/p//", "out/p/q/r/", "o/"] + [f"dir{k}/" for k in range(40)]
+    targets = spark.createDataFrame([("b", p) for p in prefixes], "target_bucket string, prefix string")
+    got = rows(A.under_prefix_join(inv, targets), "prefix", "key")
+    assert got == sorted((p, k) for p in prefixes for k in keys if k.lstrip("/").startswith(p))
+
+
 def test_final_state(spark):
     r = rule("k")
     practices = spark.createDataFrame([(1, "t", "N")], "PracticeID long, TaxIDNumber string, Archived string")
