@@ -2,9 +2,12 @@
 ORD-5/6/7, RULE-3/4, JOIN-9/12, RECON-1/9, FLT-5/9/10).
 
 A *captures* table holds log lines: (run_id, source, file_name, modified_at,
-line_no, message, declared_stream).  Every step is a grouping by run (and
-source, rule or artifact) with partial aggregation, so a run holding a third
-of all lines is combined on the map side; no run's lines are ever collected.
+line_no, message, declared_stream); ``line_no`` is any orderable type.
+``scan_logs`` parses the lines once and reduces them, with partial
+aggregation, to one summary row per (run, source) and one row per fact (a
+reported rule, a written artifact).  Everything else works on these two small
+tables: no raw line is shuffled, and a run holding a third of all lines is
+combined on the map side.
 """
 
 from __future__ import annotations
@@ -44,6 +47,11 @@ DEFAULT_CONTRACT = LogContract()
 
 
 # ── SRC-4: reading captures ──────────────────────────────────────────────
+def _line_no(seq, pos):
+    """Order of a line: (place of its block or event, place in it)."""
+    return F.struct(seq.cast("long").alias("seq"), pos.cast("long").alias("pos")).alias("line_no")
+
+
 def read_log_files(spark: SparkSession, path: str, run_id: str | None = None, source: str = "file",
                    run_id_pattern: str | None = None) -> DataFrame:
     """Saved log files as captures (lossy UTF-8: bad bytes become U+FFFD).
@@ -54,7 +62,7 @@ def read_log_files(spark: SparkSession, path: str, run_id: str | None = None, so
     df = spark.read.text(path).select(
         "value", F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
-        F.col("_metadata.file_path").alias("file_path"))
+        F.col("_metadata.file_block_start").alias("block"))
     if run_id is not None:
         rid = F.lit(run_id)
     elif run_id_pattern:
@@ -63,7 +71,7 @@ def read_log_files(spark: SparkSession, path: str, run_id: str | None = None, so
         rid = F.lit(None).cast("string")
     return df.select(
         rid.alias("run_id"), F.lit(source).alias("source"), "file_name", "modified_at",
-        F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("message"),
+        _line_no(F.col("block"), F.monotonically_increasing_id()), F.col("value").alias("message"),
         F.lit(None).cast("string").alias("declared_stream"))
 
 
@@ -78,26 +86,77 @@ def events_to_captures(events: DataFrame, run_id_col: str = "run_id", source: st
     return exploded.select(
         "run_id", F.lit(source).alias("source"), F.lit(None).cast("string").alias("file_name"),
         F.lit(None).cast("timestamp").alias("modified_at"),
-        (F.col("_seq") * 1_000_000 + F.col("_pos")).alias("line_no"), "message",
+        _line_no(F.col("_seq"), F.col("_pos")), "message",
         F.lit(None).cast("string").alias("declared_stream"))
 
 
+# ── EXP-10: line parsing ─────────────────────────────────────────────────
+def parse_lines(lines: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
+    m = F.col("message")
+
+    def grp(pattern, i):
+        return F.nullif(F.regexp_extract(m, pattern, i), F.lit(""))
+
+    key = grp(contract.chunk, 3)
+    return lines.select(
+        "run_id", "source", "line_no", "message",
+        grp(contract.applied_rule, 1).alias("applied_rule"),
+        grp(contract.rule_count, 1).try_cast("long").alias("rule_count"),
+        grp(contract.records, 1).try_cast("long").alias("records"),
+        grp(contract.chunk, 1).try_cast("int").alias("chunk"),
+        grp(contract.chunk, 2).alias("bucket"),
+        key.alias("key"),
+        m.rlike(contract.error).alias("is_error"),
+        m.rlike(contract.sentinel).alias("is_sentinel"),
+        *[c for c in ("file_name", "declared_stream") if c in lines.columns],
+    )
+
+
+def log_summary(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
+    """One row per (run, source): line counts, completion, ownership evidence
+    and the line-level figures of AGG-5."""
+    msg, rid = F.col("message"), F.col("run_id")
+    in_text = F.coalesce(msg.contains(rid), F.lit(False))
+    in_name = F.coalesce(F.col("file_name").contains(rid), F.lit(False))
+    stream = F.btrim("declared_stream")
+    return parse_lines(captures, contract).groupBy("run_id", "source").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.coalesce(F.bool_or("is_sentinel"), F.lit(False)).alias("has_sentinel"),
+        F.bool_or(in_text).alias("text_has_run"),
+        F.bool_or(in_text | in_name).alias("mentions_run"),
+        F.min(F.when(stream != F.btrim(rid), F.col("declared_stream"))).alias("wrong_stream"),
+        F.coalesce(F.bool_or(stream == F.btrim(rid)), F.lit(False)).alias("stream_ok"),
+        F.sum("records").alias("records_to_s3"),
+        F.count("chunk").alias("total_chunks"),
+        F.count_if("is_error").alias("error_lines"),
+        F.min_by(F.left("message", F.lit(160)), F.when(F.col("is_error"), F.col("line_no"))).alias("first_error"))
+
+
+def log_facts(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
+    """One row per (run, source, fact): a reported rule (``kind`` rule, ``a``
+    its spelling) or a written artifact (``kind`` artifact, ``a`` bucket,
+    ``b`` key), with first and last places and values."""
+    rule = F.when(F.col("applied_rule").isNotNull(), F.struct(
+        F.lit("rule").alias("kind"), F.col("applied_rule").alias("a"), F.lit(None).cast("string").alias("b"), F.col("rule_count").alias("value")))
+    artifact = F.when(F.col("key").isNotNull(), F.struct(
+        F.lit("artifact").alias("kind"), F.col("bucket").alias("a"), F.col("key").alias("b"), F.col("chunk").cast("long").alias("value")))
+    facts = parse_lines(captures, contract).select("run_id", "source", "line_no", F.explode(F.filter(F.array(rule, artifact), lambda f: f.isNotNull())).alias("f"))
+    valued = F.when(F.col("f.value").isNotNull(), F.col("line_no"))
+    return facts.groupBy("run_id", "source", "f.kind", "f.a", "f.b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("line_no").alias("position"), F.min_by("f.value", "line_no").alias("first_value"),
+        F.max_by("f.value", valued).alias("last_value"), F.max(valued).alias("value_line"))
+
+
+def scan_logs(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> tuple[DataFrame, DataFrame]:
+    """(summary, facts) of all captures: the only two passes over the lines."""
+    return log_summary(captures, contract), log_facts(captures, contract)
+
+
 # ── RULE-3/4, ORD-6: which source is used per run ─────────────────────────
-def source_health(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
+def source_health(summary: DataFrame) -> DataFrame:
     """Per (run, source): lines, completion line present, ownership proven,
     and why the source cannot be used."""
-    msg, rid = F.col("message"), F.col("run_id")
-    mentions = F.coalesce(msg.contains(rid), F.lit(False)) | F.coalesce(F.col("file_name").contains(rid), F.lit(False))
-    agg = captures.groupBy("run_id", "source").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.coalesce(F.bool_or(msg.rlike(contract.sentinel)), F.lit(False)).alias("has_sentinel"),
-        F.coalesce(F.bool_or(F.coalesce(msg.contains(rid), F.lit(False))), F.lit(False)).alias("text_has_run"),
-        F.coalesce(F.bool_or(mentions), F.lit(False)).alias("mentions_run"),
-        F.min(F.when(F.col("declared_stream").isNotNull() & (F.btrim("declared_stream") != F.btrim(rid)),
-                     F.col("declared_stream"))).alias("wrong_stream"),
-        F.coalesce(F.bool_or(F.btrim("declared_stream") == F.btrim(rid)), F.lit(False)).alias("stream_ok"),
-    )
-    src = F.col("source")
+    rid, src = F.col("run_id"), F.col("source")
     verified = (F.when(src == "api", F.lit(True))
                 .when(src == "manager", F.col("text_has_run"))
                 .when(F.col("stream_ok"), F.lit(True))
@@ -108,23 +167,23 @@ def source_health(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT)
                      F.concat(F.lit("declared stream '"), F.col("wrong_stream"), F.lit("' is not run '"),
                               rid, F.lit("'"))))
     rank = F.when(src == "api", 1).when(src == "manager", 2).when(src == "file", 3)
-    return agg.select("run_id", "source", rank.alias("source_rank"), "n_lines", "has_sentinel",
+    return summary.select("run_id", "source", rank.alias("source_rank"), "n_lines", "has_sentinel",
                       verified.alias("run_verified"), failure.alias("failure"))
 
 
-def pick_source(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT, mode: str = "auto") -> DataFrame:
+def pick_source(summary: DataFrame, mode: str = "auto") -> DataFrame:
     """ORD-6: the first usable source per run (api, manager, file); without a
     run id only ``file``; an explicit mode uses that source only.  Skipped
     sources are listed with their reason, in source order."""
     mode = (mode or "auto").strip().lower()
     if mode not in VALID_MODES:
-        raise ValueError(f"Unknown log source '{mode}'; expected one of {VALID_MODES}")
+        raise ValueError(f"log source {mode!r} is none of {', '.join(VALID_MODES)}")
     expected = SOURCE_ORDER if mode == "auto" else (mode,)
-    health = source_health(captures, contract).select(
+    health = source_health(summary).select(
         F.col("run_id").alias("h_run"), F.col("source").alias("h_source"), "n_lines", "run_verified", "failure")
     # Every run is tried on every expected source; a source without lines
     # fails with "no lines" (a constant list exploded per run, not a join).
-    grid = (captures.select("run_id").distinct()
+    grid = (summary.select("run_id").distinct()
             .select("run_id", F.explode(F.array(*[F.lit(x) for x in expected])).alias("source"))
             .where(F.col("run_id").isNotNull() | (F.col("source") == "file")))
     j = grid.join(health, F.col("run_id").eqNullSafe(F.col("h_run")) & (F.col("source") == F.col("h_source")), "left")
@@ -153,63 +212,35 @@ def pick_source(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT, m
     )
 
 
-def picked_lines(captures: DataFrame, picks: DataFrame) -> DataFrame:
-    """The lines of the source chosen for each run."""
-    return captures.join(picks.where(F.col("state") == "OK").select("run_id", "source"), ["run_id", "source"],
-                         "left_semi")
+def picked(df: DataFrame, picks: DataFrame) -> DataFrame:
+    """The rows of the source chosen for each run (summary or facts)."""
+    return df.join(picks.where(F.col("state") == "OK").select("run_id", "source"), ["run_id", "source"], "left_semi").drop("source")
 
 
-# ── EXP-10: line parsing ─────────────────────────────────────────────────
-def parse_lines(lines: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
-    m = F.col("message")
-
-    def grp(pattern, i):
-        return F.nullif(F.regexp_extract(m, pattern, i), F.lit(""))
-
-    key = grp(contract.chunk, 3)
-    return lines.select(
-        "run_id", "source", "line_no", "message",
-        grp(contract.applied_rule, 1).alias("applied_rule"),
-        grp(contract.rule_count, 1).try_cast("long").alias("rule_count"),
-        grp(contract.records, 1).try_cast("long").alias("records"),
-        grp(contract.chunk, 1).try_cast("int").alias("chunk"),
-        grp(contract.chunk, 2).alias("bucket"),
-        key.alias("key"),
-        m.rlike(contract.error).alias("is_error"),
-        m.rlike(contract.sentinel).alias("is_sentinel"),
-    )
-
-
-def run_report(parsed: DataFrame) -> DataFrame:
-    """AGG-5 per run: records written (sum of reported values), chunk lines,
-    distinct artifacts, rules reported, error lines and the first of them."""
-    return parsed.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("records").alias("records_to_s3"),
-        F.count("chunk").alias("total_chunks"),
-        F.count_distinct(F.when(F.col("key").isNotNull(), F.struct("bucket", "key"))).alias("n_artifacts"),
-        F.count_distinct("applied_rule").alias("n_rules"),
-        F.count_if("is_error").alias("error_lines"),
-        F.min_by(F.left("message", F.lit(160)), F.when(F.col("is_error"), F.col("line_no"))).alias("first_error"),
-        F.coalesce(F.bool_or("is_sentinel"), F.lit(False)).alias("has_sentinel"),
-    )
+def run_report(summary: DataFrame, facts: DataFrame) -> DataFrame:
+    """AGG-5 per run (picked tables): records written (sum of reported values),
+    chunk lines, distinct artifacts, rules reported, error lines and the first of them."""
+    kinds = facts.groupBy("run_id").agg(F.count_if(F.col("kind") == "artifact").alias("_a"), F.count_if(F.col("kind") == "rule").alias("_r"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return summary.join(kinds, "run_id", "left").select(
+        "run_id", "n_lines", "records_to_s3", "total_chunks", zero("_a").alias("n_artifacts"), zero("_r").alias("n_rules"),
+        "error_lines", "first_error", "has_sentinel")
 
 
-def rule_counts(parsed: DataFrame) -> DataFrame:
-    """Per (run, reported rule): the count of the last line that reports it."""
-    r = parsed.where(F.col("applied_rule").isNotNull())
-    return r.groupBy("run_id", "applied_rule").agg(
-        F.max_by("rule_count", "line_no").alias("rule_count"), F.count(F.lit(1)).alias("n_reports"))
+def rule_counts(facts: DataFrame) -> DataFrame:
+    """Per (run, reported spelling): the count of the last line that gives one
+    (a later line without a count leaves it), and where that line is."""
+    return facts.where(F.col("kind") == "rule").select(
+        "run_id", F.col("a").alias("applied_rule"), F.col("last_value").alias("rule_count"), F.col("n").alias("n_reports"), "value_line")
 
 
-def log_artifacts(parsed: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
+def log_artifacts(facts: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:
     """ORD-7 + EXP-6/9: each (bucket, key) once per run, at its first position."""
-    a = parsed.where(F.col("key").isNotNull())
-    g = a.groupBy("run_id", "bucket", "key").agg(
-        F.min("line_no").alias("position"), F.min_by("chunk", "line_no").alias("chunk"))
-    fname = file_name(F.col("key"))
+    fname = file_name(F.col("b"))
     pid = F.nullif(F.regexp_extract(fname, contract.process_id_in_filename, 0), F.lit(""))
-    return g.select("run_id", "position", "chunk", "bucket", "key", fname.alias("filename"), pid.alias("process_id"))
+    return facts.where(F.col("kind") == "artifact").select(
+        "run_id", "position", F.col("first_value").cast("int").alias("chunk"), F.col("a").alias("bucket"), F.col("b").alias("key"),
+        fname.alias("filename"), pid.alias("process_id"))
 
 
 def runs_rules(runs: DataFrame, rules: DataFrame) -> DataFrame:
@@ -256,10 +287,11 @@ def process_id_check(entity_artifacts: DataFrame, runs: DataFrame, rules: DataFr
 
 
 def _reported(rc: DataFrame, spark: SparkSession, rule_list) -> DataFrame:
-    """Reported rule tokens matched to rule ids through the alias table."""
+    """Reported rule tokens matched to rule ids through the alias table; of
+    several spellings of a rule, the last line with a count wins."""
     aliases = rule_alias_frame(spark, rule_list)
     return (rc.join(aliases, F.lower(rc["applied_rule"]) == F.lower(aliases["alias"]))
-            .groupBy("run_id", "rule_key").agg(F.max("rule_count").alias("log_count")))
+            .groupBy("run_id", "rule_key").agg(F.max_by("rule_count", "value_line").alias("log_count")))
 
 
 def log_verdict(spark: SparkSession, runs: DataFrame, report: DataFrame, rc: DataFrame, pid: DataFrame,
@@ -331,30 +363,33 @@ def newest_log_files(listing: DataFrame, runs: DataFrame, directories: list[str]
     pattern wins over a newer file elsewhere.
 
     ``listing``: (path, size, modified_at); ``patterns`` are file-name globs,
-    ``{run_id}`` standing for the run.  That pattern is matched by an
-    equi-join on the run id taken from the file name with ``run_id_pattern``;
-    the other patterns do not depend on the run, so their best file is one
+    ``{run_id}`` standing for the run.  Such a pattern is tried only on files
+    that carry the run's id (an equi-join on the id taken from the file name with
+    ``run_id_pattern``), and the whole name must fit it; the other patterns do not depend on the run, so their best file is one
     row, computed once and compared with each run's own best.
     """
     spark = listing.sparkSession
     files = listing.where(F.col("size") > 0).withColumn("name", F.substring_index("path", "/", -1))
     pairs = [(di, d.rstrip("/") + "/", pi, p) for di, d in enumerate(directories) for pi, p in enumerate(patterns)]
     generic = [(di, d, pi, _glob_to_like(p)) for di, d, pi, p in pairs if "{run_id}" not in p]
-    specific = [(di, d, pi) for di, d, pi, p in pairs if "{run_id}" in p]
+    specific = [(di, d, pi, _glob_to_like(p)) for di, d, pi, p in pairs if "{run_id}" in p]
+    newest = F.max_by("path", F.struct("modified_at", "path")).alias("path")      # equal times: the greater path
     gen_rank, gen_path = None, None
     if generic:
         cfg = F.broadcast(spark.createDataFrame(generic, "dir_rank int, dir string, pat_rank int, pat string"))
         g = (files.join(cfg, files["path"].startswith(cfg["dir"]) & F.expr("name LIKE pat"))
-             .groupBy("dir_rank", "pat_rank").agg(F.max_by("path", "modified_at").alias("path")))
+             .groupBy("dir_rank", "pat_rank").agg(newest))
         top = g.orderBy("dir_rank", "pat_rank").first()        # one row: bounded by the configuration
         if top is not None:
             gen_rank, gen_path = (top["dir_rank"], top["pat_rank"]), top["path"]
     out = runs.select("run_id").distinct()
     if specific:
-        cfg = F.broadcast(spark.createDataFrame(specific, "dir_rank int, dir string, pat_rank int"))
+        cfg = F.broadcast(spark.createDataFrame(specific, "dir_rank int, dir string, pat_rank int, pat string"))
         f = files.withColumn("run_id", F.nullif(F.regexp_extract("name", run_id_pattern, 1), F.lit("")))
-        s = (f.join(out, "run_id").join(cfg, f["path"].startswith(cfg["dir"]))
-             .groupBy("run_id", "dir_rank", "pat_rank").agg(F.max_by("path", "modified_at").alias("path"))
+        # the whole name must fit the pattern with this run's id in it
+        own = F.expr(r"name LIKE replace(pat, '{run\\_id}', replace(replace(run_id, '_', r'\_'), '%', r'\%'))")
+        s = (f.join(out, "run_id").join(cfg, f["path"].startswith(cfg["dir"])).where(own)
+             .groupBy("run_id", "dir_rank", "pat_rank").agg(newest)
              .groupBy("run_id").agg(F.min(F.struct("dir_rank", "pat_rank")).alias("_r"),
                                     F.min_by("path", F.struct("dir_rank", "pat_rank")).alias("_p")))
         out = out.join(s, "run_id", "left")

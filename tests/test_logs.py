@@ -37,6 +37,36 @@ def test_events_to_captures_splits_multiline(spark):
     assert got == ["a", "b", "c"]
 
 
+def test_line_order_holds_in_late_partitions(spark):
+    # ids of partition 1,100 and up are beyond 2^43; order must not be arithmetic on them
+    ev = spark.range(3000, numPartitions=1200).selectExpr("'r1' AS run_id", "concat('m', id, '\\nsecond') AS message")
+    got = [r["message"] for r in L.events_to_captures(ev).orderBy("line_no").collect()]
+    assert got == [x for k in range(3000) for x in (f"m{k}", "second")]
+
+
+def test_newest_log_file_fits_the_whole_pattern(spark):
+    import datetime as dt
+
+    listing = spark.createDataFrame([("/d/junk-jr_1.tmp", 5, dt.datetime(2024, 1, 9)), ("/d/output-jr_1-a.log", 5, dt.datetime(2024, 1, 2)),
+                                     ("/d/output-jr_1-b.log", 5, dt.datetime(2024, 1, 2)), ("/d/output-jrX1-c.log", 5, dt.datetime(2024, 1, 5))],
+                                    "path string, size long, modified_at timestamp")
+    runs = spark.createDataFrame([("jr_1",), ("jr_2",)], "run_id string")
+    got = rows(L.newest_log_files(listing, runs, ["/d"], ["output-{run_id}-*.log"], r"(jr.\d+)"), "run_id", "path")
+    assert got == [("jr_1", "/d/output-jr_1-b.log"), ("jr_2", None)]
+
+
+def test_log_verdict_scans_the_lines_twice(spark):
+    import contextlib
+    import io
+
+    c = caps(spark, [("r1", "api", None, "AppliedRule=15 rule_count=3", None)])
+    summary, facts = picked(c)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        L.run_report(summary, facts).explain()
+    assert "Expand" not in out.getvalue()
+
+
 def test_pick_source_order_and_ownership(spark):
     chunk = "Chunk 1 written to s3://b/out/x.csv"
     c = caps(spark, [
@@ -47,7 +77,7 @@ def test_pick_source_order_and_ownership(spark):
         ("r4", "file", "x.log", chunk, "r5"),                        # declared stream mismatch
         ("r5", "file", "y.log", chunk, "r5"),
     ])
-    got = rows(L.pick_source(c), "run_id", "source", "run_verified", "failures", "state")
+    got = rows(L.pick_source(L.log_summary(c)), "run_id", "source", "run_verified", "failures", "state")
     assert got == [
         ("r1", "manager", False, "api: completion line never appeared", "OK"),
         ("r2", "api", True, "", "OK"),
@@ -55,16 +85,24 @@ def test_pick_source_order_and_ownership(spark):
         ("r4", None, False, "api: no lines; manager: no lines; file: declared stream 'r5' is not run 'r4'", "FAIL"),
         ("r5", "file", True, "api: no lines; manager: no lines", "OK"),
     ]
-    only_file = rows(L.pick_source(c, mode="file"), "run_id", "source", "failures")
+    only_file = rows(L.pick_source(L.log_summary(c), mode="file"), "run_id", "source", "failures")
     assert [r for r in only_file if r[0] == "r1"] == [("r1", None, "file: no lines")]
     with pytest.raises(ValueError):
-        L.pick_source(c, mode="cloud")
+        L.pick_source(L.log_summary(c), mode="cloud")
+
+
+def picked(captures):
+    """(summary, facts) of the chosen sources."""
+    summary, facts = L.scan_logs(captures)
+    picks = L.pick_source(summary)
+    return L.picked(summary, picks), L.picked(facts, picks)
 
 
 def test_parse_report_artifacts_and_verdict(spark):
     lines = [
-        ("r1", "api", None, "AppliedRule=15 rule_count=3", None),
-        ("r1", "api", None, "AppliedRule=rule-15 rule_count=2", None),           # last report wins
+        ("r1", "api", None, "AppliedRule=rule-15 rule_count=2", None),
+        ("r1", "api", None, "AppliedRule=15 rule_count=3", None),                # the last count wins, whatever the spelling
+        ("r1", "api", None, "AppliedRule=15 done", None),                        # a line without a count leaves it
         ("r1", "api", None, "records_to_s3=5", None),
         ("r1", "api", None, f"Chunk 1 written to s3://out/out/practice/p_{U1}_1.csv", None),
         ("r1", "api", None, f"Chunk 1 written to s3://out/out/practice/p_{U1}_1.csv", None),   # repeated
@@ -77,14 +115,14 @@ def test_parse_report_artifacts_and_verdict(spark):
         ("r3", "api", None, "records_to_s3=4", None),
         ("r3", "api", None, f"Chunk 1 written to s3://other/out/practice/p_{U1}.csv", None),
     ]
-    parsed = L.parse_lines(caps(spark, lines))
-    rep = {r["run_id"]: r for r in L.run_report(parsed).collect()}
+    summary, facts = picked(caps(spark, lines))
+    rep = {r["run_id"]: r for r in L.run_report(summary, facts).collect()}
     assert (rep["r1"]["records_to_s3"], rep["r1"]["total_chunks"], rep["r1"]["n_artifacts"],
             rep["r1"]["error_lines"]) == (5, 3, 2, 1)
     assert rep["r1"]["first_error"] == "ERROR something broke"
-    rc = rows(L.rule_counts(parsed), "run_id", "applied_rule", "rule_count")
+    rc = rows(L.rule_counts(facts), "run_id", "applied_rule", "rule_count")
     assert ("r1", "rule-15", 2) in rc and ("r1", "15", 3) in rc
-    arts = rows(L.log_artifacts(parsed), "run_id", "chunk", "filename", "process_id")
+    arts = rows(L.log_artifacts(facts), "run_id", "chunk", "filename", "process_id")
     assert ("r1", 1, f"p_{U1}_1.csv", U1) in arts and len([a for a in arts if a[0] == "r1"]) == 2
 
     rl = [rule("r15")]
@@ -92,22 +130,22 @@ def test_parse_report_artifacts_and_verdict(spark):
     runs = spark.createDataFrame([("r1", "practice", "SUCCEEDED", None), ("r2", "practice", "SUCCEEDED", None),
                                   ("r3", "practice", "SUCCEEDED", None)],
                                  "run_id string, flow_name string, state string, started_at timestamp")
-    ents = L.artifacts_by_rule(L.log_artifacts(parsed), runs, rules.withColumn(
+    ents = L.artifacts_by_rule(L.log_artifacts(facts), runs, rules.withColumn(
         "outbound_prefix", F.lit("out/practice/")), "out")
     pid = L.process_id_check(ents, runs, rules)
-    v = rows(L.log_verdict(spark, runs, L.run_report(parsed), L.rule_counts(parsed), pid, rules, rl),
+    v = rows(L.log_verdict(spark, runs, L.run_report(summary, facts), L.rule_counts(facts), pid, rules, rl),
              "run_id", "verdict", "reason")
     assert v == [("r1", "PASS", None), ("r2", "FAIL", "rule_count below 1"),
                  ("r3", "FAIL", "artifact bucket is not the configured bucket")]
 
     counts = spark.createDataFrame([("r15", 3)], "rule_key string, candidate_count long")
-    strict = rows(L.reconcile_counts(spark, runs, L.rule_counts(parsed), counts, rules, rl, enforce=True),
+    strict = rows(L.reconcile_counts(spark, runs, L.rule_counts(facts), counts, rules, rl, enforce=True),
                   "run_id", "log_count", "verdict")
     assert strict == [("r1", 3, "PASS"), ("r2", 0, "FAIL"), ("r3", 4, "FAIL")]
-    lax = rows(L.reconcile_counts(spark, runs, L.rule_counts(parsed), counts, rules, rl, enforce=False),
+    lax = rows(L.reconcile_counts(spark, runs, L.rule_counts(facts), counts, rules, rl, enforce=False),
                "run_id", "verdict")
     assert lax[2] == ("r3", "WARN")
-    delta = rows(L.reconcile_counts(spark, runs, L.rule_counts(parsed), counts, rules, rl, full_scan=False),
+    delta = rows(L.reconcile_counts(spark, runs, L.rule_counts(facts), counts, rules, rl, full_scan=False),
                  "run_id", "verdict")
     assert delta[2] == ("r3", "SKIPPED")
 
@@ -116,13 +154,13 @@ def test_process_ids_must_be_unique(spark):
     lines = [("r1", "api", None, f"Chunk 1 written to s3://out/o/p_{U1}.csv", None),
              ("r1", "api", None, f"Chunk 2 written to s3://out/o/p_{U2}.csv", None),
              ("r2", "api", None, "Chunk 1 written to s3://out/o/p_batch.csv", None)]
-    parsed = L.parse_lines(caps(spark, lines))
+    _, facts = picked(caps(spark, lines))
     rl = [rule("k")]
     rules = rules_frame(spark, rl).withColumn("outbound_prefix", F.lit("o/"))
     runs = spark.createDataFrame([("r1", "practice"), ("r2", "practice"), ("r3", "practice")],
                                  "run_id string, flow_name string").withColumn("state", F.lit("SUCCEEDED")) \
         .withColumn("started_at", F.lit(None).cast("timestamp"))
-    pid = rows(L.process_id_check(L.artifacts_by_rule(L.log_artifacts(parsed), runs, rules, "out"), runs, rules),
+    pid = rows(L.process_id_check(L.artifacts_by_rule(L.log_artifacts(facts), runs, rules, "out"), runs, rules),
                "run_id", "n_process_ids", "reason")
     assert pid == [("r1", 2, "more than one process UUID"), ("r2", 0, "no process UUID in the output file names"),
                    ("r3", 0, "no output file under the rule prefix")]
