@@ -9,109 +9,88 @@ row-by-candidate loop.
 
 from __future__ import annotations
 
+import csv
+import io
 from collections import defaultdict
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.exprs import canon_id, casefold, normalise_prefix, text_norm
-from sluice.operators.artifacts import prefix_depth, under_prefix_join
+from sluice.operators.artifacts import under_prefix_join
 
 
 # ── SRC-5 / PRJ-2: reading delimited files with per-file headers ─────────
-def file_headers(spark: SparkSession, paths, sep: str = ",") -> DataFrame:
-    """First line of every file, read distributedly (first block only)."""
-    df = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_i"))
-    return (df.where(F.col("block") == 0).groupBy("file_path")
-            .agg(F.min_by("value", "_i").alias("header"))
-            .select("file_path", F.regexp_replace("header", "^﻿", "").alias("header")))
-
-
 def _norm_header(h: str) -> str:
-    return h.strip().lstrip("﻿").strip().lower()
+    return h.strip().lstrip("\ufeff").strip().lower()
+
+
+def _parsed(spark: SparkSession, paths, columns: list[str], sep: str, names: list[str] | None) -> DataFrame:
+    """One row per record of every file, and one (``row_no`` 0, null values)
+    for its header; a file is parsed whole, with the CSV rules for quotes and
+    line breaks, by the task that reads it."""
+    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file_path"), "content")
+    schema = ", ".join(["file_path string", "row_no long", *(f"`{c}` string" for c in columns), "missing_columns array<string>"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, raw in zip(b.column("file_path").to_pylist(), b.column("content").to_pylist()):
+                text = (raw or b"").decode("utf-8", "replace").lstrip("\ufeff")      # bad bytes become U+FFFD
+                rows = csv.reader(io.StringIO(text, newline=""), delimiter=sep)
+                head = names if names is not None else next((r for r in rows if r), None)
+                if head is None:
+                    continue
+                at: dict[str, int] = {}
+                for k, h in enumerate(head):
+                    at.setdefault(_norm_header(h), k)
+                where = [at.get(_norm_header(c)) for c in columns]
+                missing = [c for c, k in zip(columns, where) if k is None]
+                kept = [[None] * len(columns), *([r[k] if k is not None and k < len(r) and r[k] != "" else None for k in where] for r in rows if r)]
+                for a in range(0, len(kept), 10_000):
+                    part = kept[a: a + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([path] * len(part), pa.string()), pa.array(range(a, a + len(part)), pa.int64()),
+                        *(pa.array([r[k] for r in part], pa.string()) for k in range(len(columns))),
+                        pa.array([missing] * len(part), pa.list_(pa.string()))], ["file_path", "row_no", *columns, "missing_columns"])
+
+    return files.mapInArrow(run, schema)
 
 
 def read_outbound_files(spark: SparkSession, paths, columns: list[str], sep: str = ","):
     """Rows (as ``read_outbound``) and the checked-file table: every file with
     a header line — header-only files included — and its missing columns."""
-    rows = read_outbound(spark, paths, columns, sep)
-    heads = file_headers(spark, paths, sep)
-    sigs = [r["header"] for r in heads.select("header").distinct().collect()]   # distinct signatures only
-    sig_rows = []
-    for head in sigs:
-        have = {_norm_header(h.strip('"')) for h in head.split(sep)}
-        sig_rows.append((head, [c for c in columns if _norm_header(c) not in have]))
-    sig_df = F.broadcast(spark.createDataFrame(sig_rows, "header string, missing_columns array<string>"))
-    files = heads.join(sig_df, "header").select("file_path", "missing_columns")
-    return rows, files
+    parsed = _parsed(spark, paths, columns, sep, None)
+    return parsed.where("row_no > 0"), parsed.where("row_no = 0").select("file_path", "missing_columns")
 
 
 def read_outbound(spark: SparkSession, paths, columns: list[str], sep: str = ",", header: bool = True,
                   names: list[str] | None = None) -> DataFrame:
     """All-string rows of delimited files whose column order may differ per
-    file (H2).  Files are grouped by header signature; each group is one CSV
-    scan; configured ``columns`` are resolved per signature (trim,
-    case-insensitive) and missing ones come back null, listed in
-    ``missing_columns``.  Only the distinct signatures and the file list (which
-    the driver lists anyway) reach the driver, never file contents."""
-    if not header:
-        df = (spark.read.option("sep", sep).option("header", "false").schema(
-              ", ".join(f"`{n}` string" for n in names)).csv(paths))
-        return _finish(df, {c: c if c in (names or []) else None for c in columns})
-    heads = file_headers(spark, paths, sep).collect()
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in heads:
-        groups[r["header"]].append(r["file_path"])
-    out = None
-    for head, files in groups.items():
-        actual = [h for h in head.split(sep)]
-        by_norm = {}
-        for h in actual:
-            by_norm.setdefault(_norm_header(h.strip('"')), h.strip('"'))
-        mapping = {c: by_norm.get(_norm_header(c)) for c in columns}
-        df = (spark.read.option("sep", sep).option("header", "true").option("inferSchema", "false")
-              .option("enforceSchema", "false").csv(files))
-        part = _finish(df, mapping)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        schema = ", ".join(["file_path string", "row_no long"] + [f"`{c}` string" for c in columns]
-                           + ["missing_columns array<string>"])
-        return spark.createDataFrame([], schema)
-    return out
-
-
-def _finish(df: DataFrame, mapping: dict[str, str | None]) -> DataFrame:
-    cols = [F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("row_no")]
-    for want, have in mapping.items():
-        cols.append((F.col(f"`{have}`") if have else F.lit(None)).cast("string").alias(want))
-    missing = [w for w, h in mapping.items() if not h]
-    cols.append(F.array(*[F.lit(m) for m in missing]).cast("array<string>").alias("missing_columns"))
-    return df.select(*cols)
+    file (H2): configured ``columns`` are found in each file's own header (trim,
+    case-insensitive), absent ones are null and listed in ``missing_columns``.
+    ``row_no`` counts a file's records from 1.  Any legal file name works and no
+    file list passes through the driver; a file must fit one task's memory."""
+    return _parsed(spark, paths, columns, sep, None if header else list(names or [])).where("row_no > 0")
 
 
 # ── JOIN-3 / AGG-8 / AGG-9 / RECON-3 ─────────────────────────────────────
-# Above this many distinct rule prefixes, rows meet rules by an equi-join.
-MANY_PREFIXES = 32
-
-def rule_files(outbound: DataFrame, rules: DataFrame, bucket: str, prefixes: list[str] | None = None) -> DataFrame:
+def rule_files(outbound: DataFrame, rules: DataFrame, bucket: str, root: str | None = None) -> DataFrame:
     """Each outbound row with the rules whose prefix (in ``bucket``) holds its
-    file.  A registry of a few prefixes is matched with ``startswith``
-    against the broadcast rule table (cost: rows x prefixes, a bounded
-    factor); past ``MANY_PREFIXES`` distinct prefixes it becomes an equi-join
-    on the key's leading directories, one per prefix depth."""
+    file.  Only the distinct files meet the prefixes; rows then join on their
+    file.  ``root`` names a folder that stands for the bucket (mounted or local files)."""
     path = F.col("file_path")
-    rows = outbound.select("*", F.regexp_extract(path, r"^[a-z0-9]+://([^/]+)/", 1).alias("bucket"),
-                           F.regexp_replace(path, r"^[a-z0-9]+://[^/]+/", "").alias("key"))
+    files = outbound.select("file_path").distinct()
+    if root is None:
+        files = files.select("file_path", F.regexp_extract(path, r"^[a-z0-9]+://([^/]+)/", 1).alias("bucket"),
+                             F.regexp_replace(path, r"^[a-z0-9]+://[^/]+/", "").alias("key"))
+    else:
+        plain, top = F.regexp_replace(path, "^file:/+", "/"), root.rstrip("/") + "/"
+        files = files.where(plain.startswith(top)).select("file_path", F.lit(bucket).alias("bucket"), F.substring(plain, len(top) + 1, 1 << 20).alias("key"))
     r = rules.select("rule_key", F.lit(bucket).alias("target_bucket"),
                      normalise_prefix(F.col("outbound_prefix")).alias("prefix"))
-    if prefixes is not None and len(set(prefixes)) > MANY_PREFIXES:
-        j = under_prefix_join(rows, r, [prefix_depth(p) for p in prefixes], broadcast_targets=True)
-    else:
-        j = rows.join(F.broadcast(r), F.ltrim(rows["key"], F.lit("/")).startswith(r["prefix"])
-                      & (rows["bucket"] == r["target_bucket"]))
-    return j.drop("bucket", "key", "target_bucket", "prefix")
+    return outbound.join(under_prefix_join(files, r).select("file_path", "rule_key"), "file_path")
 
 
 def _keyed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
@@ -129,9 +108,8 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
     files count as checked; without it the checked files are those with rows."""
     if value_mode not in ("any", "all"):
         raise ValueError("value_mode must be 'any' or 'all'")
-    prefixes = [r.outbound_prefix for r in rule_list]
-    per_rule_rows = rule_files(outbound, rules, bucket, prefixes)
-    per_rule_files = rule_files(files, rules, bucket, prefixes) if files is not None else per_rule_rows
+    per_rule_rows = rule_files(outbound, rules, bucket)
+    per_rule_files = rule_files(files, rules, bucket) if files is not None else per_rule_rows
     by_map: dict[tuple, list] = defaultdict(list)
     for r in rule_list:
         by_map[(r.outbound_identity_map, r.outbound_column, r.outbound_expected_value)].append(r)
@@ -197,7 +175,7 @@ def first_matching_rows(candidates: DataFrame, outbound: DataFrame, rule: "objec
     cand_cols, out_cols = [a for a, _ in imap], [b for _, b in imap]
     c = _keyed(candidates.where(F.col("rule_key") == rule.key).select("rule_key", *cand_cols).distinct(),
                cand_cols, "_k")
-    o = _keyed(rule_files(outbound, rules.where(F.col("rule_key") == rule.key), bucket, [rule.outbound_prefix]),
+    o = _keyed(rule_files(outbound, rules.where(F.col("rule_key") == rule.key), bucket),
                out_cols, "_k")
     jk = ["rule_key"] + [f"_k{i}" for i in range(len(imap))]
     j = c.select(*jk).distinct().join(o, jk)

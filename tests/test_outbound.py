@@ -61,6 +61,25 @@ def test_header_only_files_count_as_checked(spark, files, tmp_path):
     assert m["n_files_checked"] == 4
 
 
+def test_odd_names_quoted_headers_and_line_breaks(spark, tmp_path):
+    d = tmp_path / "odd names"
+    d.mkdir()
+    for name in ("a b.csv", "a[1].csv", "a{x}+y.csv", "a%20c.csv"):
+        (d / name).write_text('"Practice,ID","Data Source"\r\n12,"auto\nmatic"\r\n"1,3",x\r\n')
+    got = rows(O.read_outbound(spark, str(d), ["practice,id", "Data Source", "Missing"]).select(
+        F.substring_index("file_path", "/", -1).alias("f"), "row_no", "practice,id", "Data Source", F.array_join("missing_columns", ";").alias("m")))
+    assert got == [(f, n, a, b, "Missing") for f in sorted(["a b.csv", "a[1].csv", "a{x}+y.csv", "a%20c.csv"])
+                   for n, a, b in ((1, "12", "auto\nmatic"), (2, "1,3", "x"))]
+
+
+def test_local_files_stand_for_a_bucket(spark, files):
+    root = os.path.dirname(os.path.dirname(files))
+    r = rule("k")
+    r = r.__class__(**{**r.__dict__, "outbound_prefix": "out/practice/"})
+    df = O.rule_files(O.read_outbound(spark, files, COLS), rules_frame(spark, [r]), "bkt", root=root)
+    assert df.count() == 5 and {x["rule_key"] for x in df.collect()} == {"k"}
+
+
 def _cands(spark):
     return spark.createDataFrame([("k", 12, 34), ("k", 5, 7), ("k", 1, 1)],
                                  "rule_key string, PracticeID long, LocationID long")
