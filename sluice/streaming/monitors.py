@@ -1,21 +1,25 @@
 """Structured Streaming versions of the reference's poll-until-deadline loops
 (SURVEY §2.8, STR-1..5).
 
-Each monitor is a streaming plan: event-time watermark, duplicate removal
-within the watermark, and a per-key state machine in
-``applyInPandasWithState`` with an event-time timeout for the deadline.  State
-per key is a handful of counters plus only the rows still open, never the
-key's whole history.  ``run_available_now`` drives a plan to completion into a
-parquet folder under ``spark.checkpoint.dir`` (shared storage on a cluster, so
-a lost executor or a restarted query resumes from its checkpoint).
+Every monitor decides in *event time*: events wait, per key, until the
+watermark has passed them, are then taken in event-time order, and the first
+one that settles the key gives its verdict; a key that nothing settles fails
+once the watermark has passed its first event by the deadline.  So the verdicts
+do not depend on how the events were cut into micro-batches.  A decided key
+leaves a small mark behind and never gets a second verdict.  State is kept per
+key: the counters so far and the events still ahead of the watermark.
+``run_available_now`` drives a plan to completion into a parquet folder under
+``spark.checkpoint.dir`` (shared storage on a cluster, so a lost executor or a
+restarted query resumes from its checkpoint).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sluice.functions.exprs import file_name, normalise_prefix
-from sluice.operators.artifacts import prefix_depth, under_prefix_join
+from sluice.operators.artifacts import under_prefix_join
 from sluice.session import checkpoint_dir, ship_package
 
 # ── fixed values: deadlines (seconds) and poll interval of the reference ──
@@ -51,228 +55,212 @@ def dedupe_events(events: DataFrame, ts_col: str, keys: list[str], delay: str =
     return events.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
 
 
-# ── STR-3: process reaches a terminal state or the deadline ───────────────
-TERMINAL_OUT = ("process_id string, verdict string, reason string, n_rows long, n_errors long, "
-                "n_in_progress long, n_loader long, loader_done boolean, decided_at timestamp")
-# State is kept per hash bucket of processes: a JSON map of the bucket's
-# in-flight processes (counters + rows still open) and of recently decided
-# ones (kept until their deadline has passed, so late rows are ignored).
-TERMINAL_STATE = "procs string"
-_FINAL = {"COMPLETED", "SUCCESS", "FAILED", "ERROR"}
-
+# ── the common machine ────────────────────────────────────────────────────
+MACHINE_STATE = "first_ms long, memo string, ahead string, decided boolean"
 
-def _decide(pid, p, loader, now_ms, expired):
-    """Verdict row for one process, or None while it is still undecided."""
-    first_ms, n_final, n_err, n_loader, done, opened = p["f"], p["n"], p["e"], p["l"], p["d"], p["o"]
-    in_prog = sum(1 for st, _ in opened.values() if st == "IN-PROGRESS")
-    n_load = n_loader + sum(1 for _, ld in opened.values() if ld)
-    if n_err > 0:
-        verdict, reason = "FAIL", "status rows report errors"
-    elif in_prog == 0 and n_load > 0 and done:
-        verdict, reason = "PASS", None
-    elif expired:
-        verdict = "FAIL"
-        reason = ("still IN-PROGRESS" if in_prog else f"no {loader} row" if n_load == 0
-                  else "loader did not complete")
-    else:
-        return None
-    return {"process_id": pid, "verdict": verdict, "reason": reason, "n_rows": n_final + len(opened),
-            "n_errors": n_err, "n_in_progress": in_prog, "n_loader": n_load, "loader_done": bool(done),
-            "decided_at": pd.Timestamp(now_ms if expired and verdict == "FAIL" and n_err == 0 else first_ms, unit="ms")}
 
+def _machine(read: Callable[[pd.DataFrame], list], step: Callable[[dict, list], dict | None],
+             expire: Callable[[dict], dict], names: list[str], deadline_s: int, merge: Callable[[list], list] | None = None):
+    """State function of a monitor.
 
-def _terminal_fn(loader: str, deadline_s: int):
+    ``read`` turns rows into events ``[time in ms, ...]`` that sort in order of
+    time, then content; ``step`` takes one event into the memo and returns the
+    verdict's columns if it settles the key; ``expire`` gives them at the deadline.
+    """
     dl = deadline_s * 1000
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         warnings.filterwarnings("ignore", category=FutureWarning)
-        procs = json.loads(state.get[0]) if state.exists else {}
-        wm = state.getCurrentWatermarkMs()
-        out = []
+        first, memo, ahead, decided = state.get if state.exists else (None, "{}", "[]", False)
+        if decided:
+            return
+        memo, ahead = json.loads(memo), json.loads(ahead)
         if not state.hasTimedOut:
-            frames = [p for p in pdfs if len(p)]
-            if frames:
-                pdf = pd.concat(frames) if len(frames) > 1 else frames[0]
-                pdf = pdf.sort_values(["event_time", "id"], kind="stable")
-                for pid, rid, sub, status, ms in zip(pdf["process_id"], pdf["id"], pdf["sub_process_name"],
-                                                     pdf["status"], _millis(pdf["event_time"])):
-                    p = procs.get(pid)
-                    if p is None:
-                        p = procs[pid] = {"f": ms, "n": 0, "e": 0, "l": 0, "d": False, "o": {}, "x": False}
-                    if p["x"] or ms > p["f"] + dl:
-                        continue        # decided, or after the deadline: the wait has already ended
-                    s = (status or "").strip().upper()
-                    rid = str(rid)
-                    p["o"].pop(rid, None)
-                    is_loader = sub == loader
-                    if s in _FINAL:
-                        p["n"] += 1
-                        if is_loader:
-                            p["l"] += 1
-                            p["d"] = p["d"] or s in ("COMPLETED", "SUCCESS")
-                        if s in ("FAILED", "ERROR"):
-                            p["e"] += 1
-                    else:
-                        p["o"][rid] = [s, is_loader]
-        for pid, p in list(procs.items()):
-            if p["x"]:
-                if p["f"] + dl < wm:
-                    del procs[pid]      # tombstone no longer needed
-                continue
-            row = _decide(pid, p, loader, wm, expired=p["f"] + dl <= wm)
-            if row is not None:
-                out.append(row)
-                p["x"], p["o"] = True, {}
-        if procs:
-            state.update((json.dumps(procs, separators=(",", ":")),))
-            pending = [p["f"] + dl for p in procs.values()]
-            state.setTimeoutTimestamp(max(min(pending) + 1, wm + 1))
-        else:
-            state.remove()
-        if out:
-            yield pd.DataFrame(out)
+            for pdf in pdfs:
+                ahead += read(pdf)
+        if merge:
+            ahead = merge(ahead)
+        ahead.sort(key=lambda e: [e[0], json.dumps(e[1:])])
+        wm, out, at, used = state.getCurrentWatermarkMs(), None, None, 0
+        for event in ahead:
+            if event[0] > wm or (first is not None and event[0] > first + dl):
+                break
+            used += 1
+            first = event[0] if first is None else first
+            out = step(memo, event)
+            if out:
+                at = event[0]
+                break
+        if out is None and first is not None and first + dl <= wm:
+            out, at = expire(memo), first + dl
+        if out is not None:
+            state.update((first, "{}", "[]", True))      # the mark that the key is decided
+            yield pd.DataFrame([{**dict(zip(names, key)), **out, "decided_at": pd.Timestamp(at, unit="ms")}])
+            return
+        ahead = ahead[used:]
+        state.update((first, json.dumps(memo), json.dumps(ahead), False))
+        due = [e[0] for e in ahead[:1]] + ([first + dl] if first is not None else [])
+        state.setTimeoutTimestamp(max(min(due) - 1, wm + 1))     # fires once the watermark reaches it
 
     return fn
 
 
+# ── STR-3: process reaches a terminal state or the deadline ───────────────
+TERMINAL_OUT = ("process_id string, verdict string, reason string, n_rows long, n_errors long, "
+                "n_in_progress long, n_loader long, loader_done boolean, decided_at timestamp")
+_FINAL = {"COMPLETED", "SUCCESS", "FAILED", "ERROR"}
+
+
+def _terminal_fn(loader: str, deadline_s: int):
+    def read(pdf: pd.DataFrame) -> list:
+        return [[ms, i, sub, (status or "").strip().upper()] for ms, i, sub, status in
+                zip(_millis(pdf["event_time"]), pdf["id"].astype(str).str.zfill(20), pdf["sub_process_name"], pdf["status"])]
+
+    def totals(memo: dict) -> dict:
+        rows = memo.get("rows", {}).values()       # the latest status of each row
+        loads = [s for s, load in rows if load]
+        return {"n_rows": len(rows), "n_errors": sum(s in ("FAILED", "ERROR") for s, _ in rows),
+                "n_in_progress": sum(s == "IN-PROGRESS" for s, _ in rows), "n_loader": len(loads),
+                "loader_done": any(s in ("COMPLETED", "SUCCESS") for s in loads)}
+
+    def step(memo: dict, event: list) -> dict | None:
+        _, rid, sub, status = event
+        rows = memo.setdefault("rows", {})
+        if rows.get(rid, [""])[0] not in _FINAL:      # a final row read again changes nothing
+            rows[rid] = [status, sub == loader]
+        t = totals(memo)
+        if t["n_errors"]:
+            return {"verdict": "FAIL", "reason": "status rows report errors", **t}
+        if t["loader_done"] and not t["n_in_progress"]:
+            return {"verdict": "PASS", "reason": None, **t}
+        return None
+
+    def expire(memo: dict) -> dict:
+        t = totals(memo)
+        reason = ("still IN-PROGRESS" if t["n_in_progress"] else f"no {loader} row" if not t["n_loader"] else "loader did not complete")
+        return {"verdict": "FAIL", "reason": reason, **t}
+
+    return _machine(read, step, expire, ["process_id"], deadline_s)
+
+
 def terminal_monitor(status_events: DataFrame, deadline_s: int = LOADER_DEADLINE, loader: str = "Data-Loader-File",
-                     delay: str = "10 minutes", buckets: int | None = None) -> DataFrame:
-    """STR-3 (+STR-5): one verdict per process — PASS when the loader
-    completed with nothing running and no errors, FAIL on errors at once, and
-    FAIL with the batch reason when the deadline passes first.
-
-    ``status_events``: (id, process_id, sub_process_name, status, event_time).
-    Processes are grouped into ``buckets`` hash buckets (default 16 per shuffle
-    partition) so one Python call handles many processes.
+                     delay: str = "10 minutes") -> DataFrame:
+    """STR-3 (+STR-5): one verdict per process — PASS at the event that leaves
+    the loader completed with nothing running and no errors, FAIL at the first
+    error, and FAIL with the batch reason when the deadline passes first.
+
+    ``status_events``: (id, process_id, sub_process_name, status, event_time);
+    an id may come again with a later status.
     """
-    spark = status_events.sparkSession
-    ship_package(spark)
-    nb = buckets or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ship_package(status_events.sparkSession)
     ev = dedupe_events(status_events.select("id", "process_id", "sub_process_name", "status", "event_time"),
-                       "event_time", ["id", "status"], delay)
-    ev = ev.withColumn("bucket", F.pmod(F.xxhash64("process_id"), F.lit(nb)))
-    return ev.groupBy("bucket").applyInPandasWithState(
-        _terminal_fn(loader, deadline_s), TERMINAL_OUT, TERMINAL_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+                       "event_time", ["id", "status", "event_time"], delay)
+    return ev.groupBy("process_id").applyInPandasWithState(
+        _terminal_fn(loader, deadline_s), TERMINAL_OUT, MACHINE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ── STR-4: a flag flips to an expected value or the deadline ─────────────
 FLAG_OUT = "record_key string, verdict string, last_value string, decided_at timestamp"
-FLAG_STATE = "first_ms long, last_ms long, last_value string, decided boolean"
 
 
 def _flag_fn(expected: set[str], deadline_s: int):
-    def fn(key, pdfs, state: GroupState):
-        warnings.filterwarnings("ignore", category=FutureWarning)
-        (rk,) = key
-        if state.hasTimedOut:
-            first_ms, last_ms, last, decided = state.get
-            state.remove()
-            if not decided:
-                yield pd.DataFrame([{"record_key": rk, "verdict": "FAIL", "last_value": last or "NULL",
-                                     "decided_at": pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")}])
-            return
-        first_ms, last_ms, last, decided = state.get if state.exists else (None, None, None, False)
-        for pdf in pdfs:
-            for v, ms in sorted(zip(pdf["value"], _millis(pdf["event_time"])), key=lambda x: x[1]):
-                first_ms = ms if first_ms is None else min(first_ms, ms)
-                if ms > first_ms + deadline_s * 1000:
-                    continue
-                if last_ms is None or ms >= last_ms:
-                    last_ms, last = ms, (v or "").strip().upper()
-        hit = not decided and last in expected
-        state.update((first_ms, last_ms, last, decided or hit))
-        state.setTimeoutTimestamp(first_ms + deadline_s * 1000)
-        if hit:
-            yield pd.DataFrame([{"record_key": rk, "verdict": "PASS", "last_value": last,
-                                 "decided_at": pd.Timestamp(last_ms, unit="ms")}])
-    return fn
+    def read(pdf: pd.DataFrame) -> list:
+        return [[ms, (v or "").strip().upper()] for ms, v in zip(_millis(pdf["event_time"]), pdf["value"])]
+
+    def step(memo: dict, event: list) -> dict | None:
+        memo["last"] = event[1]
+        return {"verdict": "PASS", "last_value": event[1]} if event[1] in expected else None
+
+    return _machine(read, step, lambda memo: {"verdict": "FAIL", "last_value": memo.get("last") or "NULL"}, ["record_key"], deadline_s)
 
 
 def flag_monitor(changes: DataFrame, expected_values, deadline_s: int = LOADER_DEADLINE,
                  delay: str = "10 minutes") -> DataFrame:
-    """STR-4: ``changes`` (record_key, value, event_time); PASS once the latest
-    value (strip, upper) is expected, FAIL at the deadline otherwise."""
+    """STR-4: ``changes`` (record_key, value, event_time); PASS at the first
+    value (strip, upper) that is expected, FAIL at the deadline otherwise."""
     ship_package(changes.sparkSession)
     exp = {str(v).strip().upper() for v in expected_values}
     ev = changes.select(F.col("record_key").cast("string"), F.col("value").cast("string"), "event_time")
     ev = ev.withWatermark("event_time", delay)
     return ev.groupBy("record_key").applyInPandasWithState(
-        _flag_fn(exp, deadline_s), FLAG_OUT, FLAG_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        _flag_fn(exp, deadline_s), FLAG_OUT, MACHINE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ── STR-2: the run log completes (sentinel) or the deadline ───────────────
 LOG_OUT = "run_id string, source string, verdict string, n_lines long, reason string, decided_at timestamp"
-LOG_STATE = "first_ms long, n_lines long, decided boolean"
 
 
 def _log_fn(deadline_s: int):
-    def fn(key, pdfs, state: GroupState):
-        warnings.filterwarnings("ignore", category=FutureWarning)
-        run_id, source = key
-        if state.hasTimedOut:
-            first_ms, n, decided = state.get
-            state.remove()
-            if not decided:
-                yield pd.DataFrame([{"run_id": run_id, "source": source, "verdict": "FAIL", "n_lines": n,
-                                     "reason": f"{n} event(s) but the completion line never appeared",
-                                     "decided_at": pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")}])
-            return
-        first_ms, n, decided = state.get if state.exists else (None, 0, False)
-        seen_ms = None
-        for pdf in pdfs:
-            n += len(pdf)
-            ts = pd.Series(_millis(pdf["event_time"]), index=pdf.index)
-            first_ms = int(ts.min()) if first_ms is None else min(first_ms, int(ts.min()))
-            hits = ts[pdf["is_sentinel"].fillna(False).astype(bool) & (ts <= first_ms + deadline_s * 1000)]
-            if len(hits):
-                seen_ms = int(hits.min()) if seen_ms is None else min(seen_ms, int(hits.min()))
-        hit = not decided and seen_ms is not None
-        state.update((first_ms, n, decided or hit))
-        state.setTimeoutTimestamp(first_ms + deadline_s * 1000)
-        if hit:
-            yield pd.DataFrame([{"run_id": run_id, "source": source, "verdict": "COMPLETE", "n_lines": n,
-                                 "reason": None, "decided_at": pd.Timestamp(seen_ms, unit="ms")}])
-    return fn
+    def read(pdf: pd.DataFrame) -> list:
+        # lines of one time are one event: how many, and whether the sentinel is among them
+        g = pd.DataFrame({"ms": _millis(pdf["event_time"]), "s": pdf["is_sentinel"].fillna(False).astype(bool).to_numpy()}).groupby("ms")["s"].agg(["size", "any"])
+        return [[int(ms), int(n), bool(hit)] for ms, n, hit in zip(g.index, g["size"], g["any"])]
+
+    def step(memo: dict, event: list) -> dict | None:
+        memo["n"] = memo.get("n", 0) + event[1]
+        return {"verdict": "COMPLETE", "n_lines": memo["n"], "reason": None} if event[2] else None
+
+    def expire(memo: dict) -> dict:
+        n = memo.get("n", 0)
+        return {"verdict": "FAIL", "n_lines": n, "reason": f"{n} event(s) but the completion line never appeared"}
+
+    def merge(ahead: list) -> list:
+        """Events of one time are one, however many batches they came in."""
+        out: dict[int, list] = {}
+        for ms, n, hit in ahead:
+            e = out.setdefault(ms, [ms, 0, False])
+            e[1] += n
+            e[2] = e[2] or hit
+        return list(out.values())
+
+    return _machine(read, step, expire, ["run_id", "source"], deadline_s, merge)
 
 
 def log_completion_monitor(lines: DataFrame, sentinel: str, deadline_s: int = LOG_DEADLINE,
                            delay: str = "10 minutes") -> DataFrame:
-    """STR-2: per (run, source), COMPLETE as soon as the sentinel line
-    arrives (line count so far), FAIL with the event count at the deadline."""
+    """STR-2: per (run, source), COMPLETE with the lines up to the time of the
+    first sentinel line, FAIL with the event count at the deadline."""
     ship_package(lines.sparkSession)
     ev = lines.select("run_id", "source", "event_time", F.col("message").rlike(sentinel).alias("is_sentinel"))
     ev = ev.withWatermark("event_time", delay)
     return ev.groupBy("run_id", "source").applyInPandasWithState(
-        _log_fn(deadline_s), LOG_OUT, LOG_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        _log_fn(deadline_s), LOG_OUT, MACHINE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ── STR-1: objects arriving under a prefix after a start time ─────────────
-def object_arrivals(inventory: DataFrame, targets: DataFrame, prefixes: list[str],
-                    pattern: str = r".*\.csv$") -> DataFrame:
-    """Stream-static join of an object-inventory stream with the searches
-    (search_id, target_bucket, prefix, since): objects under the prefix,
-    modified at/after ``since``, name matching ``pattern``."""
-    t = targets.withColumn("prefix", normalise_prefix(F.col("prefix")))
-    j = under_prefix_join(inventory, t, [prefix_depth(p) for p in prefixes])
-    j = j.where((F.col("last_modified") >= F.col("since")) & file_name(F.col("key")).rlike(pattern))
-    return j.select("search_id", "bucket", "key", "size", "last_modified")
+def object_arrivals(inventory: DataFrame, targets: DataFrame, pattern: str = r".*\.csv$", delay: str = "10 minutes") -> DataFrame:
+    """Stream-static join of an object-inventory stream with the distinct
+    prefixes of the searches (search_id, target_bucket, prefix, since): each
+    object once per prefix that holds it, however many searches share it."""
+    t = targets.select("target_bucket", normalise_prefix(F.col("prefix")).alias("prefix")).distinct()
+    j = under_prefix_join(inventory.withWatermark("last_modified", delay), t)
+    return j.where(file_name(F.col("key")).rlike(pattern)).select("bucket", "prefix", "key", "size", "last_modified")
 
 
 def object_verdicts(found: DataFrame, targets: DataFrame, clock, deadline_s: int = OBJECT_DEADLINE) -> DataFrame:
-    """Per search: FOUND (newest matching object), MISSING once the event-time
-    ``clock`` passed since + deadline, PENDING before."""
-    best = found.groupBy("search_id").agg(F.max_by("key", "last_modified").alias("key"),
-                                          F.max("last_modified").alias("last_modified"))
-    j = targets.select("search_id", "since").join(best, "search_id", "left")
+    """Per search: FOUND (newest object under its prefix, if at/after
+    ``since``), MISSING once the event-time ``clock`` (the stream's watermark)
+    passed since + deadline, PENDING before."""
+    newest = F.struct("last_modified", "key")
+    best = found.groupBy(F.col("bucket").alias("target_bucket"), "prefix").agg(F.max(newest).alias("o"))
+    t = targets.select("search_id", "target_bucket", normalise_prefix(F.col("prefix")).alias("prefix"), "since")
+    j = t.join(best, ["target_bucket", "prefix"], "left").withColumn("o", F.when(F.col("o.last_modified") >= F.col("since"), F.col("o")))
     expired = F.lit(clock).cast("timestamp") >= F.col("since") + F.make_dt_interval(secs=F.lit(deadline_s))
-    verdict = F.when(F.col("key").isNotNull(), "FOUND").when(expired, "MISSING").otherwise("PENDING")
-    return j.select("search_id", "key", "last_modified", verdict.alias("verdict"))
+    verdict = F.when(F.col("o").isNotNull(), "FOUND").when(F.coalesce(expired, F.lit(False)), "MISSING").otherwise("PENDING")
+    return j.select("search_id", "o.key", "o.last_modified", verdict.alias("verdict"))
 
 
 # ── driving a plan to completion ──────────────────────────────────────────
 def run_available_now(spark: SparkSession, plan: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Run a streaming plan over everything available, into parquet under the
     shared checkpoint folder, and return the written rows as a batch table."""
+    return run_with_clock(spark, plan, name, output_mode)[0]
+
+
+def run_with_clock(spark: SparkSession, plan: DataFrame, name: str, output_mode: str = "append",
+                   delay: dt.timedelta = dt.timedelta(minutes=10)) -> tuple[DataFrame, dt.datetime | None]:
+    """As ``run_available_now``, with the event-time clock the stream reached:
+    its greatest event time less the watermark delay (None without events)."""
     root = checkpoint_dir(spark).rstrip("/") + f"/sluice-streams/{name}-{uuid.uuid4().hex[:12]}"
     q = (plan.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", root + "/_checkpoint").option("path", root + "/data")
@@ -280,4 +268,10 @@ def run_available_now(spark: SparkSession, plan: DataFrame, name: str, output_mo
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.schema(plan.schema).parquet(root + "/data")
+    greatest = max((p["eventTime"]["max"] for p in map(_progress, q.recentProgress) if p.get("eventTime", {}).get("max")), default=None)
+    clock = dt.datetime.fromisoformat(greatest.replace("Z", "+00:00")) - delay if greatest else None
+    return spark.read.schema(plan.schema).parquet(root + "/data"), clock
+
+
+def _progress(p) -> dict:
+    return p if isinstance(p, dict) else json.loads(p.json)

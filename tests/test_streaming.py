@@ -74,7 +74,49 @@ def test_object_arrivals(spark, scratch):
     targets = spark.createDataFrame([("s1", "b", "out/p/", T(2024, 1, 1)), ("s2", "b", "none/", T(2024, 1, 1)),
                                      ("s3", "b", "none/", T(2024, 1, 1, 3))],
                                     "search_id string, target_bucket string, prefix string, since timestamp")
-    found = M.run_available_now(spark, M.object_arrivals(stream_of(spark, inv, os.path.join(scratch, "inv")), targets,
-                                                         ["out/p/", "none/"]), "o")
-    v = rows(M.object_verdicts(found, targets, T(2024, 1, 1, 3, 5), deadline_s=900), "search_id", "key", "verdict")
+    found, clock = M.run_with_clock(spark, M.object_arrivals(stream_of(spark, inv, os.path.join(scratch, "inv")), targets), "o",
+                                    delay=dt.timedelta(minutes=10))
+    assert clock == dt.datetime(2024, 1, 1, 2, 50, tzinfo=dt.timezone.utc)
+    v = rows(M.object_verdicts(found, targets, clock, deadline_s=900), "search_id", "key", "verdict")
     assert v == [("s1", "/out/p/b.csv", "FOUND"), ("s2", None, "MISSING"), ("s3", None, "PENDING")]
+
+
+def _batches(spark, df, folder, cuts):
+    """The rows of ``df`` in event-time order, as a stream of ``cuts`` micro-batches."""
+    rows_ = sorted(df.collect(), key=lambda r: r["event_time"])
+    size = -(-len(rows_) // cuts)
+    for k in range(cuts):
+        part = rows_[k * size: (k + 1) * size]
+        if part:
+            spark.createDataFrame(part, df.schema).coalesce(1).write.mode("append").parquet(folder)
+            import time
+            time.sleep(0.02)       # the file source takes files in order of their time
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1 if cuts > 1 else 1000).parquet(folder)
+
+
+def test_verdicts_do_not_depend_on_micro_batches(spark, scratch):
+    m = lambda k: T(2024, 1, 1) + dt.timedelta(minutes=k)
+    flags = spark.createDataFrame([("A", "Y", m(0)), ("A", "N", m(1)), ("A", "Y", m(2)), ("B", "Y", m(0)), ("B", "N", m(90)),
+                                   ("C", "N", m(5)), ("C", "N", m(300)), ("Z", "Y", m(900))],
+                                  "record_key string, value string, event_time timestamp")
+    status = spark.createDataFrame([
+        (1, "p", "Data-Loader-File", "Completed", m(0)), (2, "p", "File-Record", "FAILED", m(4)),       # settled before the failure
+        (3, "q", "File-Record", "In-Progress", m(0)), (4, "q", "Data-Loader-File", "Completed", m(1)), (3, "q", "File-Record", "Completed", m(9)),
+        (5, "r", "File-Record", "Completed", m(0)), (6, "r", "Data-Loader-File", "Completed", m(200)),   # after the deadline
+        (9, "z", "File-Record", "Completed", m(900))],
+        "id long, process_id string, sub_process_name string, status string, event_time timestamp")
+    lines = spark.createDataFrame([
+        ("r1", "api", "a", m(0)), ("r1", "api", "DONE", m(3)), ("r1", "api", "b", m(3)), ("r1", "api", "c", m(4)),
+        ("r2", "api", "a", m(0)), ("r2", "api", "DONE", m(30)), ("r9", "api", "a", m(900))],
+        "run_id string, source string, message string, event_time timestamp")
+    seen = []
+    for cuts in (1, 3, 8):
+        f = M.run_available_now(spark, M.flag_monitor(_batches(spark, flags, os.path.join(scratch, f"f{cuts}"), cuts), ("N",), 3600, "1 minute"), "f")
+        s = M.run_available_now(spark, M.terminal_monitor(_batches(spark, status, os.path.join(scratch, f"s{cuts}"), cuts), 3600, delay="1 minute"), "s")
+        g = M.run_available_now(spark, M.log_completion_monitor(_batches(spark, lines, os.path.join(scratch, f"l{cuts}"), cuts), "DONE", 600, "1 minute"), "l")
+        seen.append((rows(f), rows(s), rows(g)))
+    assert seen[0] == seen[1] == seen[2]
+    f, s, g = seen[0]
+    assert [r[:3] for r in f] == [("A", "PASS", "N"), ("B", "FAIL", "Y"), ("C", "PASS", "N")]
+    assert [r[:3] for r in s] == [("p", "PASS", None), ("q", "PASS", None), ("r", "FAIL", "no Data-Loader-File row")]
+    assert [(r[0], r[2], r[3]) for r in g] == [("r1", "COMPLETE", 3), ("r2", "FAIL", 1)]
