@@ -139,9 +139,12 @@ def rule_aliases(rule_id) -> Column:
     return F.array(*[F.format_string(fmt.replace("{}", "%s"), rid) for fmt in RULE_ALIAS_FORMATS])
 
 
-def label_or(c, default: str) -> Column:
-    """EXP-14: blank/null labels take a default."""
-    return F.coalesce(F.nullif(text_norm(c), F.lit("")), F.lit(default))
+def or_default(df, name: str, default: str) -> Column:
+    """EXP-14: null, blank and numeric zero take a default; other values stay
+    as they are (not stripped)."""
+    c, kind = F.col(name), df.schema[name].dataType
+    empty = c.isNull() | ((c == 0) if isinstance(kind, NumericType) else (c.cast("string") == ""))
+    return F.when(empty, F.lit(default)).otherwise(c.cast("string"))
 
 
 def pct_tenths(num, den) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.exprs import (
     EMPTY_ERROR_REASON, MISSING_ERROR_TYPE, MISSING_STATUS, MISSING_SUB_PROCESS,
-    SCHEMA_VALIDATION_ERROR, STATUS_COMPLETED, STATUS_ERRORED, first_lines, json_normalise, label_or,
+    SCHEMA_VALIDATION_ERROR, STATUS_COMPLETED, STATUS_ERRORED, first_lines, json_normalise, or_default,
     text_norm,
 )
 
@@ -25,6 +25,8 @@ NO_ROWS_REASON = "No records in process_status"
 NO_PAYLOAD_ID = "(no payload_response_id available)"
 NO_PAYLOAD_RECORD = "(no payload_response record for id={})"
 EMPTY_RESPONSE = "(response field is empty)"
+# A preview is at most 20 lines and so many characters (a JSON reason is one line).
+PREVIEW_CHARS = 2000
 LOADER_SUB_PROCESS = "Data-Loader-File"
 RECORD_SUB_PROCESS = "File-Record"
 
@@ -105,7 +107,8 @@ def error_details(splits: DataFrame, status: DataFrame, payloads: DataFrame) ->
     pr_id = F.coalesce(F.col("payload_response_id").cast("string"), F.lit(""))
     is_schema = F.lower(err) == SCHEMA_VALIDATION_ERROR
     rows = rows.select("*", err.alias("_err"), pr_id.alias("_pr"), is_schema.alias("_schema"),
-                       F.when(is_schema & (pr_id != ""), pr_id).alias("_key"))
+                       # rows that need no payload get a key of their own, so they spread
+                       F.when(is_schema & (pr_id != ""), pr_id).otherwise(F.concat(F.lit("\0"), F.xxhash64("id", "process_id").cast("string"))).alias("_key"))
     pl = dedupe_payloads(payloads).withColumnRenamed("payload_response_id", "_key")
     j = rows.join(pl, "_key", "left")
     resp = F.col("response")
@@ -115,9 +118,9 @@ def error_details(splits: DataFrame, status: DataFrame, payloads: DataFrame) ->
                      .otherwise(json_normalise(resp)))
     return j.select(
         "position", "split_process_id", "id",
-        label_or(F.col("sub_process_name"), MISSING_SUB_PROCESS).alias("sub_process"),
+        or_default(rows, "sub_process_name", MISSING_SUB_PROCESS).alias("sub_process"),
         F.col("sub_process_name"),
-        F.coalesce(F.col("business_value").cast("string"), F.lit("")).alias("business_value"),
+        or_default(rows, "business_value", "").alias("business_value"),
         text_norm(F.col("status")).alias("status"),
         F.when(F.col("_schema"), F.lit(SCHEMA_VALIDATION_ERROR))
          .otherwise(F.coalesce(F.nullif("_err", F.lit("")), F.lit(MISSING_ERROR_TYPE))).alias("error_type"),
@@ -126,7 +129,7 @@ def error_details(splits: DataFrame, status: DataFrame, payloads: DataFrame) ->
          .otherwise(F.coalesce(F.nullif("_err", F.lit("")), F.lit(EMPTY_ERROR_REASON))).alias("detailed_reason"),
         F.col("_pr").alias("payload_response_id"),
         F.coalesce(F.col("notes").cast("string"), F.lit("")).alias("notes"),
-    ).withColumn("reason_preview", first_lines(F.col("detailed_reason"), 20))
+    ).withColumn("reason_preview", F.left(first_lines(F.col("detailed_reason"), 20), F.lit(PREVIEW_CHARS)))
 
 
 def stuck_details(splits: DataFrame, status: DataFrame, n: int = 10) -> DataFrame:
@@ -139,8 +142,8 @@ def stuck_details(splits: DataFrame, status: DataFrame, n: int = 10) -> DataFram
         F.col("sub_process_name").asc_nulls_last(), F.col("id").asc())
     return (rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .select("position", "split_process_id", "rank", "id",
-                    label_or(F.col("sub_process_name"), MISSING_SUB_PROCESS).alias("sub_process"),
-                    F.coalesce(F.col("business_value").cast("string"), F.lit("")).alias("business_value"),
+                    or_default(rows, "sub_process_name", MISSING_SUB_PROCESS).alias("sub_process"),
+                    or_default(rows, "business_value", "").alias("business_value"),
                     F.coalesce(F.nullif(text_norm(F.col("status")), F.lit("")), F.lit(MISSING_STATUS)).alias("status")))
 
 
@@ -171,12 +174,10 @@ def consolidated_verdict(totals: DataFrame, comparison: DataFrame | None = None)
 
     ``comparison`` is an ``id_overlap`` row (status, overlap_pct_text, diff_pct_text).
     """
-    # the comparison is one row (a global aggregate): its three values are
-    # read on the driver and enter the plan as literals
-    cmp = comparison.select("status", "overlap_pct_text", "diff_pct_text").first() if comparison is not None else None
-    t = totals.select("*", F.lit(cmp["status"] if cmp else None).cast("string").alias("cmp_status"),
-                      F.lit(cmp["overlap_pct_text"] if cmp else None).cast("string").alias("overlap_pct_text"),
-                      F.lit(cmp["diff_pct_text"] if cmp else None).cast("string").alias("diff_pct_text"))
+    # the comparison is one row (a global aggregate) and enters as scalar subqueries
+    one = lambda c: comparison.select(c).scalar() if comparison is not None else F.lit(None).cast("string")
+    t = totals.select("*", one("status").alias("cmp_status"), one("overlap_pct_text").alias("overlap_pct_text"),
+                      one("diff_pct_text").alias("diff_pct_text"))
     details = F.concat_ws(", ",
                           F.when(F.col("total_errored") > 0, F.concat(F.col("total_errored").cast("string"), F.lit(" errored"))),
                           F.when(F.col("total_stuck") > 0, F.concat(F.col("total_stuck").cast("string"), F.lit(" stuck"))))
