@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Parts are streamed, so their size is free; their number bounds the list of cuts.
+MOST_PARTS = 10_000
+
+
 def with_copies(df: DataFrame, id_col: str, tie: str) -> DataFrame | None:
     """``df`` plus ``_part`` and ``_copy``, partitioned by part and sorted by
     (part, copies last, id with nulls first, tie).  None for an empty table."""
     spark = df.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probs = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    parts = min(MOST_PARTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    probs = F.lit([k / parts for k in range(1, parts)])
     head = df.agg(F.min(id_col).alias("low"), F.count(F.lit(1)).alias("n"), F.count(id_col).alias("ids"),
                   F.percentile_approx(id_col, probs, 10 * parts).alias("cuts")).first()
     if not head["n"]:

@@ -132,14 +132,11 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vector: str = "embedd
     groups = max(1, -(-asked.count() // QUERIES))
     asked = (asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(groups)))
              .groupBy("dim", "block").applyInPandas(_block, BLOCKS))
-    names = {r["dim"]: r["blocks"] for r in blocks.groupBy("dim").agg(F.collect_list("block").alias("blocks")).collect()}
-    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns])
-    here = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
-    there = None
-    for dim, found in names.items():      # the blocks that a query block must meet
-        one = asked.filter(F.col("q_dim") == dim).withColumn("block", F.explode(F.lit(found).cast("array<long>")))
-        there = one if there is None else there.unionByName(one)
-    met = here.hint("shuffle_merge").join(there.withColumnRenamed("q_dim", "dim"), ["dim", "block", "q_block"])
+    asked = asked.select(*[F.col(c).alias("dim" if c == "dim" else f"q_{c}") for c in asked.columns])
+    every_block = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<long>"))
+    here = blocks.withColumn("q_block", every_block(groups))
+    there = asked.withColumn("block", every_block(-(-n // BLOCK)))
+    met = here.hint("shuffle_merge").join(there, ["dim", "block", "q_block"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

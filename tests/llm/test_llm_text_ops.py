@@ -282,7 +282,7 @@ def test_index_list_blocks_skip_nothing_that_links():
     want = set()
     for a in range(m):
         for b in range(a + 1, m):
-            bound = min(pos[a], pos[b]) + 1 + min(n[a] - pos[a], n[b] - pos[b]) - 1
-            if cls[a] != cls[b] and 85 * max(n[a], n[b]) <= 100 * min(n[a], n[b]) and 185 * bound >= 85 * (n[a] + n[b]):
+            behind = min(n[a] - pos[a], n[b] - pos[b])
+            if cls[a] != cls[b] and 85 * max(n[a], n[b]) <= 100 * min(n[a], n[b]) and 185 * behind >= 85 * (n[a] + n[b]):
                 want.add((a, b))
     assert got == want
