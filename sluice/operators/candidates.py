@@ -15,6 +15,8 @@ to the planner and AQE, which broadcast only what they measured as small.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,28 @@ CANDIDATE_COLUMNS = [
 CANDIDATE_ORDER = ["PracticeID", "LocationID", "UserFieldRecID"]
 
 
+@dataclass(frozen=True)
+class EntityBinding:
+    """Where an entity other than the practice location lives: its table, its
+    key (the attributes' parent), the record type of its attributes, and the
+    further columns that its rules identify it by."""
+    entity: str
+    table: str
+    key: str
+    record_table: str
+    columns: tuple[str, ...]
+
+
+# ── fixed values: the entities with a table of their own ──────────────────
+BINDINGS = {b.entity: b for b in (EntityBinding("practitioner", "practitioners", "PractitionerID", "Practitioners", ("NationalProviderID",)),)}
+
+
+def _bound(rule) -> EntityBinding | None:
+    """The binding of a rule that does not work on practice locations."""
+    b = BINDINGS.get(rule.entity_type)
+    return b if b is not None and b.key in rule.candidate_identity_columns else None
+
+
 def _c(col, collation: str | None):
     """H8: string comparisons under an optional collation (e.g.
     ``UTF8_LCASE_RTRIM`` for a case- and trailing-blank-insensitive source)."""
@@ -130,12 +154,71 @@ def qualifying_for(spark: SparkSession, tables, rules, as_of: str, collation: st
                       trigger_values=sorted({r.trigger_value for r in rules}), collation=collation)
 
 
+def entity_columns(binding: EntityBinding, trigger_fields) -> list[str]:
+    return [binding.key, *binding.columns, *trigger_fields, "UserFieldRecID", "UserDefinedFieldID", "FieldName", "QualifyingValue", "DateFrom", "DateTo"]
+
+
+def qualifying_entity(spark: SparkSession, tables: dict[str, DataFrame], binding: EntityBinding, rules, as_of: str,
+                      collation: str | None = None) -> DataFrame:
+    """JOIN-1 for an entity with a table of its own: live rows whose trigger
+    column has the rule's value and that hold a qualifying attribute in
+    effect.  The attribute rows are cut first, as for practice locations."""
+    rules = list(rules)
+    for r in rules:
+        if not r.qualifying_udf_values:
+            raise ValueError(f"rule {r.key} has no qualifying values: its IN list would be empty")
+    k = lambda c: _c(c, collation)
+    triggers = sorted({r.trigger_field for r in rules})
+    wanted = spark.createDataFrame([(r.key, r.trigger_field, r.trigger_value, r.udf_field_name, v) for r in rules for v in r.qualifying_udf_values],
+                                   "rule_key string, trigger_field string, trigger_value string, _rf string, _rv string")
+    kinds = _live(tables["record_types"], collation).where(k("TableName") == binding.record_table).select("RecordTypeID")
+    fields = (_live(tables["user_defined_fields"], collation).where(k("FieldName").isin(sorted({r.udf_field_name for r in rules})))
+              .join(kinds, "RecordTypeID", "left_semi").select("UserDefinedFieldID", "FieldName"))
+    values = (_live(tables["user_fields"], collation).where(active_on("DateFrom", "DateTo", as_of))
+              .where(k("Value").isin(sorted({v for r in rules for v in r.qualifying_udf_values})))
+              .select("UserFieldRecID", F.col("ParentRecID").alias(binding.key), "UserDefinedFieldID", "Value", "DateFrom", "DateTo"))
+    attrs = values.join(fields, "UserDefinedFieldID").join(wanted, (k("FieldName") == F.col("_rf")) & (k("Value") == F.col("_rv")))
+    rows = (_live(tables[binding.table], collation)
+            .select(binding.key, *binding.columns, *triggers))
+    hit = F.coalesce(*[F.when(F.col("trigger_field") == t, k(t) == F.col("trigger_value")) for t in triggers])
+    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return (attrs.join(rows, binding.key).where(hit)
+            .select("rule_key", binding.key, *[blank(c) for c in (*binding.columns, *triggers)], "UserFieldRecID", "UserDefinedFieldID", "FieldName",
+                    F.coalesce("Value", F.lit("")).alias("QualifyingValue"), "DateFrom", "DateTo"))
+
+
+def _by_binding(rules) -> tuple[list, dict[EntityBinding, list]]:
+    """(rules on practice locations, rules of each bound entity)."""
+    own: dict[EntityBinding, list] = {}
+    rest = []
+    for r in rules:
+        b = _bound(r)
+        own.setdefault(b, []).append(r) if b else rest.append(r)
+    return rest, own
+
+
 def candidates(spark: SparkSession, tables, rules, as_of: str, top_n: int = 5,
                collation: str | None = None) -> DataFrame:
     """ORD-1 + SET-1: ``DISTINCT TOP n`` per rule, ordered by practice,
-    location and attribute row (remaining columns break ties)."""
+    location and attribute row (remaining columns break ties).  Rules of a
+    bound entity are ordered by its key; columns that a rule's entity lacks are null."""
     if not 1 <= top_n <= 1000:
         raise ValueError("top_n must be between 1 and 1000")
+    rules, bound = _by_binding(rules)
+    out = None
+    for b, own in bound.items():
+        found = qualifying_entity(spark, tables, b, own, as_of, collation).distinct()
+        order = [b.key, "UserFieldRecID", *[c for c in found.columns if c not in (b.key, "UserFieldRecID", "rule_key")]]
+        w = Window.partitionBy("rule_key").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        part = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if not rules:
+        return out
+    mine = _location_candidates(spark, tables, rules, as_of, top_n, collation)
+    return mine if out is None else mine.unionByName(out, allowMissingColumns=True)
+
+
+def _location_candidates(spark: SparkSession, tables, rules, as_of: str, top_n: int, collation: str | None) -> DataFrame:
     q = qualifying_for(spark, tables, rules, as_of, collation).distinct()
     order = CANDIDATE_ORDER + [c for c in CANDIDATE_COLUMNS if c not in CANDIDATE_ORDER]
     w = Window.partitionBy("rule_key").orderBy(*[F.col(c).asc_nulls_first() for c in order])
@@ -143,11 +226,20 @@ def candidates(spark: SparkSession, tables, rules, as_of: str, top_n: int = 5,
 
 
 def candidate_counts(spark: SparkSession, tables, rules, as_of: str, collation: str | None = None) -> DataFrame:
-    """AGG-1: ``COUNT(DISTINCT LocationID)`` per rule; rules without any
-    candidate report 0."""
+    """AGG-1: distinct locations (of a bound entity: distinct keys) per rule;
+    rules without any candidate report 0."""
+    rest, bound = _by_binding(rules)
+    out = counts_of(spark, qualifying_for(spark, tables, rest, as_of, collation), rest) if rest else None
+    for b, own in bound.items():
+        part = counts_of(spark, qualifying_entity(spark, tables, b, own, as_of, collation), own, b.key)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def counts_of(spark: SparkSession, found: DataFrame, rules, key: str = "LocationID") -> DataFrame:
+    """The counts of ``candidate_counts`` from the qualifying rows themselves."""
     rules = list(rules)
-    counts = (qualifying_for(spark, tables, rules, as_of, collation)
-              .groupBy("rule_key").agg(F.countDistinct("LocationID").alias("candidate_count")))
+    counts = found.groupBy("rule_key").agg(F.countDistinct(key).alias("candidate_count"))
     keys = F.broadcast(spark.createDataFrame([(r.key, r.rule_id) for r in rules], "rule_key string, rule_id int"))
     return (keys.join(counts, "rule_key", "left")
             .select("rule_key", "rule_id", F.coalesce("candidate_count", F.lit(0)).cast("long").alias("candidate_count")))

@@ -32,6 +32,11 @@ def final_state_rows(practices: DataFrame, locations_after: DataFrame, practice_
                     "PracticeArchived", F.col("Archived").alias("PracticeLocationArchived"), *keep))
 
 
+def entity_state_rows(after: DataFrame) -> DataFrame:
+    """The live rows of a bound entity's own table after the load."""
+    return after.where(F.col("Archived") == "N")
+
+
 def final_state(spark: SparkSession, candidates: DataFrame, state: DataFrame, rule_list) -> DataFrame:
     """RECON-6 per (rule, record): the row is found by the rule's key columns,
     the keys agree as text, and the final column (strip, upper) is one of the
@@ -115,25 +120,27 @@ def payload_echo(spark: SparkSession, status: DataFrame, payloads: DataFrame, ta
            .where(F.coalesce(F.col("payload_response_id"), F.lit("")) != "").distinct())
     pl = payloads.groupBy("payload_response_id").agg(
         F.min_by(F.struct("payload", "response"), F.coalesce("payload", F.lit(""))).alias("_p"))
-    j = ids.join(pl, "payload_response_id", "left")
+    # each payload is read once, down to what the rules ask of it; its text goes no further
     text = F.concat_ws("\n", F.coalesce("_p.payload", F.lit("")), F.coalesce("_p.response", F.lit("")))
-    tokens = F.regexp_extract_all(text, F.lit(rule_pattern), 1)
-    per_payload = j.select("process_id", "payload_response_id",
-                           (F.coalesce(F.col("_p.payload"), F.lit("")) != "").alias("present"),
-                           tokens.alias("tokens"), F.lower(text).alias("text_l"))
-    aliases = rule_alias_frame(spark, rule_list)
-    ali = aliases.groupBy("rule_key").agg(F.collect_set(F.lower("alias")).alias("aliases"))
+    names = sorted({r.final_column.lower() for r in rule_list})
+    read = pl.select("payload_response_id", (F.coalesce(F.col("_p.payload"), F.lit("")) != "").alias("present"),
+                     F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(rule_pattern), 1), F.lower)).alias("tokens"),
+                     F.filter(F.array(*[F.lit(n) for n in names]), lambda n: F.lower(text).contains(n)).alias("named"))
+    aliases = rule_alias_frame(spark, rule_list).select("rule_key", F.lower("alias").alias("token")).distinct()
+    echoed = (read.select("payload_response_id", F.explode("tokens").alias("token")).join(aliases, "token")
+              .groupBy("payload_response_id").agg(F.collect_set("rule_key").alias("echoed")))
+    facts = read.drop("tokens").join(echoed, "payload_response_id", "left")
+    per_payload = ids.join(facts, "payload_response_id", "left")
     flags = spark.createDataFrame([(r.key, r.final_column.lower()) for r in rule_list], "rule_key string, flag string")
-    rr = F.broadcast(rules.select("rule_key", "entity_type").join(ali, "rule_key").join(F.broadcast(flags), "rule_key"))
+    rr = rules.select("rule_key", "entity_type").join(flags, "rule_key")
     ent = rows.select("process_id", "entity_name").distinct()
-    pr = ent.join(rr, F.lower(ent["entity_name"]) == F.lower(rr["entity_type"])).select("process_id", "rule_key",
-                                                                                          "aliases", "flag")
+    pr = ent.join(rr, F.lower(ent["entity_name"]) == F.lower(rr["entity_type"])).select("process_id", "rule_key", "flag")
     pp = pr.join(per_payload, "process_id", "left")
     agg = pp.groupBy("process_id", "rule_key").agg(
         F.count("payload_response_id").alias("n_payloads"),
-        F.count_if(F.col("payload_response_id").isNotNull() & ~F.col("present")).alias("n_empty"),
-        F.coalesce(F.bool_or(F.arrays_overlap(F.transform("tokens", F.lower), "aliases")), F.lit(False)).alias("rule_echoed"),
-        F.coalesce(F.bool_or(F.col("text_l").contains(F.col("flag"))), F.lit(False)).alias("flag_mentioned"))
+        F.count_if(F.col("payload_response_id").isNotNull() & ~F.coalesce("present", F.lit(False))).alias("n_empty"),
+        F.coalesce(F.bool_or(F.array_contains("echoed", F.col("rule_key"))), F.lit(False)).alias("rule_echoed"),
+        F.coalesce(F.bool_or(F.array_contains("named", F.col("flag"))), F.lit(False)).alias("flag_mentioned"))
     bv = (rows.select("process_id", F.btrim(F.coalesce(F.col("business_value").cast("string"), F.lit(""))).alias("bv"))
           .distinct())
     guard = (targets.select("process_id", F.btrim("expected_value").alias("bv")).distinct()

@@ -99,17 +99,27 @@ def _keyed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
 
 
 def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules: DataFrame, bucket: str,
-                   value_mode: str = "any", files: DataFrame | None = None) -> DataFrame:
+                   value_mode: str = "any", files: DataFrame | None = None, own: DataFrame | None = None) -> DataFrame:
     """RECON-3 per candidate: files checked and matched, identity headers,
     expected value (``any``: some matched row per matched file; ``all``: every
     matched row).  Rules with different identity maps are planned separately
     and unioned (their number is the registry's).  ``files`` (file_path,
     missing_columns), e.g. from ``read_outbound_files``, makes header-only
-    files count as checked; without it the checked files are those with rows."""
+    files count as checked; without it the checked files are those with rows.
+
+    ``own`` (rule_key, file_set, file_path) limits each candidate to the files
+    of its own set: ``candidates`` then carry ``file_set`` (a run, or a search
+    that found a file), and the result has a row per candidate and set."""
     if value_mode not in ("any", "all"):
         raise ValueError("value_mode must be 'any' or 'all'")
-    per_rule_rows = rule_files(outbound, rules, bucket)
-    per_rule_files = rule_files(files, rules, bucket) if files is not None else per_rule_rows
+    own_key = ["file_set"] if own is not None else []
+    if own is not None:
+        sets = own.select("rule_key", "file_set", "file_path").distinct()
+        in_sets = lambda df: df.join(sets, "file_path")
+    else:
+        in_sets = lambda df: rule_files(df, rules, bucket)
+    per_rule_rows = in_sets(outbound)
+    per_rule_files = in_sets(files) if files is not None else per_rule_rows
     by_map: dict[tuple, list] = defaultdict(list)
     for r in rule_list:
         by_map[(r.outbound_identity_map, r.outbound_column, r.outbound_expected_value)].append(r)
@@ -118,17 +128,17 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
         keys = [r.key for r in rs]
         cand_cols = [a for a, _ in imap]
         out_cols = [b for _, b in imap]
-        c = _keyed(candidates.where(F.col("rule_key").isin(keys)).select("rule_key", *cand_cols).distinct(),
+        c = _keyed(candidates.where(F.col("rule_key").isin(keys)).select("rule_key", *own_key, *cand_cols).distinct(),
                    cand_cols, "_k")
         o = per_rule_rows.where(F.col("rule_key").isin(keys))
         id_missing = F.exists("missing_columns", lambda m: m.isin(out_cols))
         checked = per_rule_files.where(F.col("rule_key").isin(keys))
-        files_agg = checked.groupBy("rule_key").agg(
+        files_agg = checked.groupBy("rule_key", *own_key).agg(
             F.count_distinct("file_path").alias("files_checked"),
             F.count_distinct(F.when(id_missing, F.col("file_path"))).alias("_files_missing"))
         o = o.where(~id_missing)
         o = _keyed(o, out_cols, "_k")
-        jk = ["rule_key"] + [f"_k{i}" for i in range(len(imap))]
+        jk = ["rule_key", *own_key] + [f"_k{i}" for i in range(len(imap))]
         val = (F.col(vcol) if vcol else F.lit(None)).cast("string")
         val_missing = F.array_contains("missing_columns", vcol) if vcol else F.lit(False)
         good = casefold(val) == casefold(F.lit(expected or ""))
@@ -144,14 +154,14 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
             F.bool_and("_any").alias("value_any"), F.bool_and("_all").alias("value_all"),
             F.bool_or("_vmiss").alias("value_column_missing"))
         res = per_cand.select(
-            "rule_key", *[F.col(x).cast("string").alias(x) for x in cand_cols],
+            "rule_key", *own_key, *[F.col(x).cast("string").alias(x) for x in cand_cols],
             F.coalesce("files_matched", F.lit(0)).cast("long").alias("files_matched"),
             F.coalesce("matched_rows", F.lit(0)).cast("long").alias("matched_rows"),
             (F.col("value_any") if vcol else F.lit(None).cast("boolean")).alias("value_any"),
             (F.col("value_all") if vcol else F.lit(None).cast("boolean")).alias("value_all"),
             F.coalesce("value_column_missing", F.lit(False)).alias("value_column_missing"),
             F.lit(bool(vcol)).alias("_has_value"))
-        results.append(res.join(files_agg, "rule_key", "left"))
+        results.append(res.join(files_agg, ["rule_key", *own_key], "left"))
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r, allowMissingColumns=True)
@@ -167,23 +177,29 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
                       reason.alias("reason")).drop("files_checked", "_files_missing", "_has_value")
 
 
-def first_matching_rows(candidates: DataFrame, outbound: DataFrame, rule: "object", rules: DataFrame,
+def first_matching_rows(candidates: DataFrame, outbound: DataFrame, rule_list, rules: DataFrame,
                         bucket: str, n: int = 3) -> DataFrame:
-    """ORD-3: the first ``n`` matching rows per (candidate, file), by row
-    order; the window group limit keeps n rows per key before shuffling."""
-    imap = rule.outbound_identity_map
-    cand_cols, out_cols = [a for a, _ in imap], [b for _, b in imap]
-    c = _keyed(candidates.where(F.col("rule_key") == rule.key).select("rule_key", *cand_cols).distinct(),
-               cand_cols, "_k")
-    o = _keyed(rule_files(outbound, rules.where(F.col("rule_key") == rule.key), bucket),
-               out_cols, "_k")
-    jk = ["rule_key"] + [f"_k{i}" for i in range(len(imap))]
-    j = c.select(*jk).distinct().join(o, jk)
-    w = Window.partitionBy(*jk, "file_path").orderBy("row_no")
-    keep = [x for x in out_cols] + ([rule.outbound_column] if rule.outbound_column else [])
-    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-            .select("rule_key", *[F.col(f"_k{i}").alias(f"key_{cand_cols[i]}") for i in range(len(imap))],
-                    "file_path", "rank", "row_no", *dict.fromkeys(keep)))
+    """ORD-3: the first ``n`` matching rows per (candidate, file) of every rule,
+    by row order; the window group limit keeps n rows per key before shuffling.
+    Rules are planned together by identity map and value column."""
+    by_map: dict[tuple, list] = defaultdict(list)
+    for r in rule_list:
+        by_map[(r.outbound_identity_map, r.outbound_column)].append(r.key)
+    found = rule_files(outbound, rules, bucket)
+    out = None
+    for (imap, value), keys in by_map.items():
+        cand_cols, out_cols = [a for a, _ in imap], [b for _, b in imap]
+        mine = F.col("rule_key").isin(keys)
+        c = _keyed(candidates.where(mine).select("rule_key", *cand_cols).distinct(), cand_cols, "_k")
+        o = _keyed(found.where(mine), out_cols, "_k")
+        jk = ["rule_key"] + [f"_k{i}" for i in range(len(imap))]
+        w = Window.partitionBy(*jk, "file_path").orderBy("row_no")
+        keep = [*out_cols, *([value] if value else [])]
+        part = (c.select(*jk).distinct().join(o, jk).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+                .select("rule_key", *[F.col(f"_k{i}").alias(f"key_{cand_cols[i]}") for i in range(len(imap))],
+                        "file_path", "rank", "row_no", *dict.fromkeys(keep)))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def reconcile_rows(outbound: DataFrame, report: DataFrame, enforce: bool = True) -> DataFrame:

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.exprs import canon_id, process_uuid, text_norm
 from sluice.operators import candidates as cand
 from sluice.rules import SuppressionRule
 from sluice.sources.catalog import Catalog, oracle_with
 from sluice.sources.driver_views import ALL_VIEWS, AS_OF
 
-DIRECTORY_TABLES = ["practices", "practice_locations", "user_fields", "user_defined_fields",
+DIRECTORY_TABLES = ["practices", "practitioners", "practice_locations", "user_fields", "user_defined_fields",
                     "record_types", "practice_types", "status_sets"]
 
 
@@ -44,6 +45,18 @@ DRIVER_RULES = [
 ]
 
 
+# The registered practitioner rule's shape (its own trigger, key and final
+# column), with codes that the driver's attribute table holds.
+PRACTITIONER_RULES = [SuppressionRule(
+    key="practitioner_military", rule_id=15, description="practitioner binding", flow_name="practitioner", entity_type="practitioner",
+    trigger_field="ActiveMilitaryOrReserve", trigger_value="Y", udf_field_name="PROMO", qualifying_udf_values=("A", "R", "00003"),
+    candidate_identity_columns=("PractitionerID", "NationalProviderID"),
+    outbound_identity_map=(("NationalProviderID", "NationalProviderID"),), outbound_search_field="NationalProviderID",
+    outbound_column="ActiveMilitaryOrReserve", outbound_expected_value="N", outbound_prefix="outbound/practitioner_update/",
+    status_business_value_field="NationalProviderID", final_key_columns=("PractitionerID",),
+    final_column="ActiveMilitaryOrReserve", final_expected_values=("N",))]
+
+
 _CATALOGS: dict[tuple, Catalog] = {}
 
 
@@ -146,14 +159,61 @@ WHERE rank <= 5"""
 
 
 def q_candidate_counts(spark, sf_dir):
-    return cand.candidate_counts(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+    return cand.candidate_counts(spark, directory(spark, sf_dir), [*DRIVER_RULES, *PRACTITIONER_RULES], AS_OF)
+
+
+_PRACTITIONER = PRACTITIONER_RULES[0]
+_PRACTITIONER_SQL = f"""
+practitioner_fields AS (
+  SELECT d.UserDefinedFieldID, d.FieldName FROM user_defined_fields d
+  WHERE d.Archived = 'N' AND d.FieldName = '{_PRACTITIONER.udf_field_name}'
+    AND EXISTS (SELECT 1 FROM record_types t WHERE t.RecordTypeID = d.RecordTypeID AND t.Archived = 'N' AND t.TableName = 'Practitioners')),
+pract AS (
+  SELECT '{_PRACTITIONER.key}' AS rule_key, p.PractitionerID, COALESCE(p.NationalProviderID, '') AS NationalProviderID,
+         p.ActiveMilitaryOrReserve, v.UserFieldRecID, f.UserDefinedFieldID, f.FieldName, v.Value AS QualifyingValue, v.DateFrom, v.DateTo
+  FROM practitioners p, field_values v, practitioner_fields f
+  WHERE p.Archived = 'N' AND p.ActiveMilitaryOrReserve = 'Y' AND v.ParentRecID = p.PractitionerID
+    AND v.UserDefinedFieldID = f.UserDefinedFieldID AND v.Value IN ({", ".join(f"'{v}'" for v in _PRACTITIONER.qualifying_udf_values)}))"""
+
+
+def q_practitioner_candidates(spark, sf_dir):
+    df = cand.candidates(spark, directory(spark, sf_dir), PRACTITIONER_RULES, AS_OF, 5)
+    return df.select(*[c for c in df.columns if c not in ("DateFrom", "DateTo")], _ts_text("DateFrom"), _ts_text("DateTo"))
+
+
+O_PRACTITIONER_CANDIDATES = _with(*DIRECTORY_TABLES, extra=_QUALIFYING_SQL + "," + _PRACTITIONER_SQL) + f"""
+SELECT rule_key, PractitionerID, NationalProviderID, ActiveMilitaryOrReserve, UserFieldRecID, UserDefinedFieldID, FieldName,
+       QualifyingValue, CAST(rank AS INT) AS rank, {_sql_ts_text('DateFrom')}, {_sql_ts_text('DateTo')}
+FROM (SELECT *, row_number() OVER (PARTITION BY rule_key ORDER BY PractitionerID, UserFieldRecID) AS rank FROM (SELECT DISTINCT * FROM pract) d) x
+WHERE rank <= 5"""
+
 
+def q_practitioner_final_state(spark, sf_dir):
+    from sluice.operators import finalstate
 
-O_CANDIDATE_COUNTS = _with(*DIRECTORY_TABLES, extra=_QUALIFYING_SQL) + f"""
+    c = catalog(spark, sf_dir)
+    found = cand.qualifying_entity(spark, directory(spark, sf_dir), cand.BINDINGS["practitioner"], PRACTITIONER_RULES, AS_OF)
+    return finalstate.final_state(spark, found, finalstate.entity_state_rows(c["practitioners_after"]), PRACTITIONER_RULES)
+
+
+O_PRACTITIONER_FINAL_STATE = _with(*DIRECTORY_TABLES, "practitioners_after", extra=_QUALIFYING_SQL + "," + _PRACTITIONER_SQL) + """
+SELECT rule_key, CAST(PractitionerID AS VARCHAR) AS PractitionerID, found,
+       CASE WHEN found THEN COALESCE(NULLIF(v, ''), 'NULL') END AS actual_value,
+       CASE WHEN found AND v = 'N' THEN 'PASS' ELSE 'FAIL' END AS verdict,
+       CASE WHEN NOT found THEN 'final row not found'
+            WHEN v <> 'N' THEN 'expected ActiveMilitaryOrReserve in [''N''], found ' || COALESCE(NULLIF(v, ''), 'NULL') END AS reason
+FROM (SELECT c.rule_key, c.PractitionerID, a.PractitionerID IS NOT NULL AS found, upper(trim(COALESCE(a.ActiveMilitaryOrReserve, ''))) AS v
+      FROM (SELECT DISTINCT rule_key, PractitionerID FROM pract) c
+      LEFT JOIN (SELECT * FROM practitioners_after WHERE Archived = 'N') a ON a.PractitionerID = c.PractitionerID) x"""
+
+
+O_CANDIDATE_COUNTS = _with(*DIRECTORY_TABLES, extra=_QUALIFYING_SQL + "," + _PRACTITIONER_SQL) + f"""
 SELECT r.rule_key, CAST(r.rule_id AS INT) AS rule_id,
        CAST(COALESCE((SELECT COUNT(DISTINCT q.LocationID) FROM qualifying q WHERE q.rule_key = r.rule_key), 0) AS BIGINT)
          AS candidate_count
-FROM {RULES_SQL} r"""
+FROM {RULES_SQL} r
+UNION ALL
+SELECT '{_PRACTITIONER.key}', 15, (SELECT CAST(count(DISTINCT PractitionerID) AS BIGINT) FROM pract)"""
 
 
 def q_candidate_preconditions(spark, sf_dir):
@@ -194,6 +254,8 @@ GROUP BY udf.FieldName"""
 QUERIES = {
     "candidates_topn": q_candidates_topn,
     "candidate_counts": q_candidate_counts,
+    "practitioner_candidates": q_practitioner_candidates,
+    "practitioner_final_state": q_practitioner_final_state,
     "candidate_preconditions": q_candidate_preconditions,
     "code_audit": q_code_audit,
 }
@@ -201,6 +263,8 @@ QUERIES = {
 ORACLE = {
     "candidates_topn": O_CANDIDATES_TOPN,
     "candidate_counts": O_CANDIDATE_COUNTS,
+    "practitioner_candidates": O_PRACTITIONER_CANDIDATES,
+    "practitioner_final_state": O_PRACTITIONER_FINAL_STATE,
     "candidate_preconditions": O_CANDIDATE_PRECONDITIONS,
     "code_audit": O_CODE_AUDIT,
 }
@@ -639,25 +703,50 @@ def _outbound(spark, sf_dir):
     return rows.withColumn("missing_columns", F.array().cast("array<string>"))
 
 
+_SET_KEYS = ["rule_key", "PracticeID", "LocationID", "file_set"]
+
+
+def _file_path(bucket, key):
+    return F.concat(F.lit("s3://"), bucket, F.lit("/"), key)
+
+
+def _written_runs(spark, sf_dir, rules):
+    """The runs that wrote each record under its rule's prefix: (rule_key, _k0, _k1, run_id)."""
+    rows = ob.rule_files(_outbound(spark, sf_dir), rules, OUTBOUND_BUCKET)
+    return rows.select("rule_key", "run_id", canon_id(text_norm(F.col("PracticeID"))).alias("_k0"),
+                       canon_id(text_norm(F.col("BillingLocationID"))).alias("_k1")).distinct()
+
+
+def _with_runs(df, spark, sf_dir, rules):
+    """Records (rule_key, PracticeID, LocationID, ...) once per run that wrote them."""
+    keyed = df.select("*", canon_id(text_norm(F.col("PracticeID"), df.schema["PracticeID"].dataType)).alias("_k0"),
+                      canon_id(text_norm(F.col("LocationID"), df.schema["LocationID"].dataType)).alias("_k1"))
+    return keyed.join(_written_runs(spark, sf_dir, rules), ["rule_key", "_k0", "_k1"], "left").drop("_k0", "_k1")
+
+
 def _match(spark, sf_dir, mode):
-    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
-    return ob.match_outbound(cands, _outbound(spark, sf_dir), DRIVER_RULES, rules_frame(spark, DRIVER_RULES),
-                             OUTBOUND_BUCKET, value_mode=mode)
+    rules = rules_frame(spark, DRIVER_RULES)
+    runs, _, _, facts = _logs(spark, sf_dir)
+    own = _artifacts(runs, facts, rules).select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path"))
+    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF).select("rule_key", "PracticeID", "LocationID").distinct()
+    cands = _with_runs(cands, spark, sf_dir, rules).withColumnRenamed("run_id", "file_set")
+    return ob.match_outbound(cands, _outbound(spark, sf_dir), DRIVER_RULES, rules, OUTBOUND_BUCKET, value_mode=mode, own=own
+                             ).withColumnRenamed("file_set", "run_id")
 
 
 def q_outbound_match(spark, sf_dir):
     m = _match(spark, sf_dir, "any")
-    return m.select("rule_key", "PracticeID", "LocationID", "n_files_checked", "files_matched", "matched_rows",
+    return m.select("rule_key", "PracticeID", "LocationID", "run_id", "n_files_checked", "files_matched", "matched_rows",
                     F.when(F.col("files_matched") > 0, "PASS").otherwise("FAIL").alias("identity_verdict"))
 
 
 def q_outbound_expected_any(spark, sf_dir):
-    return _match(spark, sf_dir, "any").select("rule_key", "PracticeID", "LocationID",
+    return _match(spark, sf_dir, "any").select("rule_key", "PracticeID", "LocationID", "run_id",
                                                F.col("value_any").alias("value_ok"), "verdict", "reason")
 
 
 def q_outbound_expected_all(spark, sf_dir):
-    return _match(spark, sf_dir, "all").select("rule_key", "PracticeID", "LocationID",
+    return _match(spark, sf_dir, "all").select("rule_key", "PracticeID", "LocationID", "run_id",
                                                F.col("value_all").alias("value_ok"), "verdict", "reason")
 
 
@@ -683,34 +772,44 @@ orow AS (SELECT u.rule_key, o.*,
          FROM outbound_rows o JOIN {RULES_SQL} u
            ON starts_with(regexp_replace(o.file_path, '^[a-z0-9]+://[^/]+/', ''), u.outbound_prefix)
           AND regexp_extract(o.file_path, '^[a-z0-9]+://([^/]+)/', 1) = '{OUTBOUND_BUCKET}'),
-files AS (SELECT rule_key, count(DISTINCT file_path) AS files_checked FROM orow GROUP BY rule_key),
-pf AS (SELECT c.rule_key, c.k0, c.k1, o.file_path, count(*) AS n, bool_or(o.good) AS any_f, bool_and(o.good) AS all_f
-       FROM ck c JOIN orow o ON o.rule_key = c.rule_key AND o.k0 = c.k0 AND o.k1 = c.k1
-       GROUP BY c.rule_key, c.k0, c.k1, o.file_path),
-pc AS (SELECT rule_key, k0, k1, count(*) AS files_matched, sum(n) AS matched_rows,
+wr AS (SELECT DISTINCT rule_key, k0, k1, run_id FROM orow),
+ckr AS (SELECT ck.*, wr.run_id FROM ck LEFT JOIN wr ON wr.rule_key = ck.rule_key AND wr.k0 = ck.k0 AND wr.k1 = ck.k1)"""
+# The files of each set (a run's logged artifacts) and what its candidates find there.
+_MATCH_SQL = """
+srow AS (SELECT o.*, own.set_id FROM orow o JOIN own ON own.rule_key = o.rule_key AND own.file_path = o.file_path),
+files AS (SELECT rule_key, set_id, count(DISTINCT file_path) AS files_checked FROM srow GROUP BY rule_key, set_id),
+pf AS (SELECT c.rule_key, c.set_id, c.k0, c.k1, o.file_path, count(*) AS n, bool_or(o.good) AS any_f, bool_and(o.good) AS all_f
+       FROM cks c JOIN srow o ON o.rule_key = c.rule_key AND o.set_id = c.set_id AND o.k0 = c.k0 AND o.k1 = c.k1
+       GROUP BY ALL),
+pc AS (SELECT rule_key, set_id, k0, k1, count(*) AS files_matched, sum(n) AS matched_rows,
               bool_and(any_f) AS value_any, bool_and(all_f) AS value_all
-       FROM pf GROUP BY rule_key, k0, k1),
-m AS (SELECT c.rule_key, CAST(c.PracticeID AS VARCHAR) AS PracticeID, CAST(c.LocationID AS VARCHAR) AS LocationID,
+       FROM pf GROUP BY ALL),
+m AS (SELECT c.rule_key, CAST(c.PracticeID AS VARCHAR) AS PracticeID, CAST(c.LocationID AS VARCHAR) AS LocationID, c.set_id,
              CAST(COALESCE(f.files_checked, 0) AS BIGINT) AS n_files_checked,
              CAST(COALESCE(pc.files_matched, 0) AS BIGINT) AS files_matched,
              CAST(COALESCE(pc.matched_rows, 0) AS BIGINT) AS matched_rows, pc.value_any, pc.value_all
-      FROM ck c LEFT JOIN pc ON pc.rule_key = c.rule_key AND pc.k0 = c.k0 AND pc.k1 = c.k1
-                LEFT JOIN files f ON f.rule_key = c.rule_key)"""
+      FROM cks c LEFT JOIN pc ON pc.rule_key = c.rule_key AND pc.set_id = c.set_id AND pc.k0 = c.k0 AND pc.k1 = c.k1
+                 LEFT JOIN files f ON f.rule_key = c.rule_key AND f.set_id = c.set_id)"""
+_RUN_SETS_SQL = """
+own AS (SELECT DISTINCT rule_key, run_id AS set_id, 's3://' || bucket || '/' || key AS file_path FROM ent),
+cks AS (SELECT rule_key, PracticeID, LocationID, k0, k1, run_id AS set_id FROM ckr)"""
+_OUT_VIEWS = (*DIRECTORY_TABLES, *_LOG_VIEWS, "outbound_rows")
+_RUN_MATCH = _with(*_OUT_VIEWS, extra=",".join([_QUALIFYING_SQL, _LOG_SQL, _OUTBOUND_SQL, _RUN_SETS_SQL, _MATCH_SQL]))
 
 
 def _expected_sql(mode: str) -> str:
     v = f"value_{mode}"
-    return (_with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + f"""
-SELECT rule_key, PracticeID, LocationID, {v} AS value_ok,
+    return _RUN_MATCH + f"""
+SELECT rule_key, PracticeID, LocationID, set_id AS run_id, {v} AS value_ok,
        CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict, reason
 FROM (SELECT *, CASE WHEN n_files_checked = 0 THEN 'no outbound files were checked'
                      WHEN files_matched = 0 THEN 'record not found in any outbound file'
                      WHEN NOT COALESCE({v}, false) THEN 'unexpected value in a matched file' END AS reason
-      FROM m) x""")
+      FROM m) x"""
 
 
-O_OUTBOUND_MATCH = _with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + """
-SELECT rule_key, PracticeID, LocationID, n_files_checked, files_matched, matched_rows,
+O_OUTBOUND_MATCH = _RUN_MATCH + """
+SELECT rule_key, PracticeID, LocationID, set_id AS run_id, n_files_checked, files_matched, matched_rows,
        CASE WHEN files_matched > 0 THEN 'PASS' ELSE 'FAIL' END AS identity_verdict FROM m"""
 O_OUTBOUND_EXPECTED_ANY = _expected_sql("any")
 O_OUTBOUND_EXPECTED_ALL = _expected_sql("all")
@@ -718,19 +817,18 @@ O_OUTBOUND_EXPECTED_ALL = _expected_sql("all")
 
 def q_outbound_first3(spark, sf_dir):
     cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
-    return ob.first_matching_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES[0],
+    return ob.first_matching_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES,
                                   rules_frame(spark, DRIVER_RULES), OUTBOUND_BUCKET, 3)
 
 
-O_OUTBOUND_FIRST3 = _with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + f"""
+O_OUTBOUND_FIRST3 = _with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + """
 SELECT rule_key, key_PracticeID, key_LocationID, file_path, CAST(rank AS INT) AS rank, row_no,
        PracticeID, BillingLocationID, DataSource
 FROM (SELECT c.rule_key, c.k0 AS key_PracticeID, c.k1 AS key_LocationID, o.file_path, o.row_no,
              o.PracticeID, o.BillingLocationID, o.DataSource,
              row_number() OVER (PARTITION BY c.rule_key, c.k0, c.k1, o.file_path ORDER BY o.row_no) AS rank
       FROM (SELECT DISTINCT rule_key, k0, k1 FROM ck) c
-      JOIN orow o ON o.rule_key = c.rule_key AND o.k0 = c.k0 AND o.k1 = c.k1
-      WHERE c.rule_key = '{DRIVER_RULES[0].key}') x
+      JOIN orow o ON o.rule_key = c.rule_key AND o.k0 = c.k0 AND o.k1 = c.k1) x
 WHERE rank <= 3"""
 
 
@@ -750,7 +848,7 @@ FROM fr FULL JOIN report ON report.run_id = fr.run_id"""
 
 def _overlap(spark, sf_dir):
     c = catalog(spark, sf_dir)
-    src = (c["practice_locations"].where((F.col("Archived") == "N") & F.col("InDirectory").isin("F", "O"))
+    src = (c["practice_locations"].where(F.col("Archived") == "N")
            .select(F.col("LocationID").cast("string").alias("id")))
     out = c["outbound_rows"].select(F.col("BillingLocationID").alias("id"))
     return ob.id_overlap(src, out)
@@ -762,7 +860,7 @@ def q_id_overlap(spark, sf_dir):
 
 _OVERLAP_SQL = f"""
 s AS (SELECT DISTINCT {_canon_sql(_str_text_sql('CAST(LocationID AS VARCHAR)'))} AS id FROM practice_locations
-      WHERE Archived = 'N' AND InDirectory IN ('F', 'O')),
+      WHERE Archived = 'N'),
 o AS (SELECT DISTINCT {_canon_sql(_str_text_sql('BillingLocationID'))} AS id FROM outbound_rows),
 ocnt AS (SELECT (SELECT count(*) FROM s) AS ns, (SELECT count(*) FROM o) AS no,
                (SELECT count(*) FROM s JOIN o ON s.id = o.id) AS nc),
@@ -1104,80 +1202,88 @@ ORACLE.update({
 
 
 # ── stage-gated scenario verdict ─────────────────────────────────────────
-from sluice.functions.exprs import canon_id, text_norm  # noqa: E402
 from sluice.operators import verdict as vd  # noqa: E402
 from sluice.session import materialize  # noqa: E402
 
 
 def q_stage_verdict(spark, sf_dir):
+    """One row per (rule, record, run that wrote it).  A run whose trigger was
+    skipped has no log: an object that holds the record's search value is
+    looked up instead, its name gives the process id, and it alone is the
+    record's outbound file (RULE-6).  A count that differs from the source only
+    warns here: the driver's logs are not about its directory tables."""
     c = catalog(spark, sf_dir)
-    tables = directory(spark, sf_dir)
     rules = rules_frame(spark, DRIVER_RULES)
-    keys = ["rule_key", "PracticeID", "LocationID"]
     # shared by four stages: computed once, lineage cut in the shared folder
-    q = materialize(cand.qualifying_for(spark, tables, DRIVER_RULES, AS_OF), "qualifying")
-    pre = (cand.check_preconditions(spark, q, DRIVER_RULES)
-           .groupBy("rule_key", "PracticeID", "LocationID")
-           .agg(F.bool_and("passed").alias("_ok"),
-                F.min(F.when(~F.col("passed"), F.array_join("failed_checks", ","))).alias("_why")))
-    recs = pre.select(
-        "rule_key", F.col("PracticeID").cast("string").alias("PracticeID"),
-        F.col("LocationID").cast("string").alias("LocationID"),
-        canon_id(text_norm(F.col("PracticeID"), pre.schema["PracticeID"].dataType)).alias("_k0"),
-        canon_id(text_norm(F.col("LocationID"), pre.schema["LocationID"].dataType)).alias("_k1"),
-        F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("candidate_verdict"),
-        F.when(~F.col("_ok"), F.concat(F.lit("failed checks: "), F.col("_why"))).alias("candidate_reason"))
-    # the run that wrote each record: the run of the outbound rows holding it
-    orows = ob.rule_files(_outbound(spark, sf_dir), rules, OUTBOUND_BUCKET).select(
-        "rule_key", "run_id", canon_id(text_norm(F.col("PracticeID"))).alias("_k0"),
-        canon_id(text_norm(F.col("BillingLocationID"))).alias("_k1"))
-    runmap = orows.groupBy("rule_key", "_k0", "_k1").agg(F.min("run_id").alias("run_id"))
-    recs = recs.join(runmap, ["rule_key", "_k0", "_k1"], "left").drop("_k0", "_k1")
-
+    q = materialize(cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF), "qualifying")
+    pre = (cand.check_preconditions(spark, q, DRIVER_RULES).groupBy("rule_key", "PracticeID", "LocationID")
+           .agg(F.bool_and("passed").alias("_ok"), F.min(F.when(~F.col("passed"), F.array_join("failed_checks", ","))).alias("_why")))
     runs = c["runs"]
-    runs_v = runs.select("run_id", "state")
+    skipped = F.coalesce(F.col("state") == "SKIPPED_TRIGGER", F.lit(False))
+    search = F.concat_ws("/", "run_id", "rule_key", F.col("PracticeID").cast("string"), F.col("LocationID").cast("string"))
+    recs = materialize(_with_runs(pre, spark, sf_dir, rules).join(runs.select("run_id", "state", "started_at"), "run_id", "left")
+                       .withColumn("file_set", F.when(skipped, search).otherwise(F.col("run_id"))), "records")
+
     summary, facts = (materialize(t, "log_scan") for t in lg.scan_logs(c["run_log_captures"], C))      # small: per run and fact
     picks = lg.pick_source(summary)
     summary, facts = lg.picked(summary, picks), lg.picked(facts, picks)
     arts = _artifacts(runs, facts, rules)
     pid = lg.process_id_check(arts, runs, rules)
-    logv = lg.log_verdict(spark, runs, lg.run_report(summary, facts), lg.rule_counts(facts), pid, rules, DRIVER_RULES)
+    rc = lg.rule_counts(facts)
+    logv = lg.log_verdict(spark, runs, lg.run_report(summary, facts), rc, pid, rules, DRIVER_RULES)
+    counts = cand.counts_of(spark, q, DRIVER_RULES)
+    recon = lg.reconcile_counts(spark, runs, rc, counts, rules, DRIVER_RULES, enforce=False)
+
     inv = materialize(c["object_inventory"], "inventory")        # read by two stages
-    found = (ar.search_objects(inv, _search_targets(runs, rules))
-             .select(F.split("search_id", "/")[0].alias("run_id"), F.split("search_id", "/")[1].alias("rule_key"))
-             .distinct().withColumn("_found", F.lit(True)))
-    astate = (ar.check_artifacts(arts, inv, runs, picks)
-              .groupBy("run_id", "rule_key")
-              .agg(vd.worst("verdict").alias("outbound_file_verdict"),
-                   F.min(F.when(F.col("verdict") != "PASS", F.concat_ws(": ", "key", "state"))).alias("outbound_file_reason")))
-    content = ob.match_outbound(q, _outbound(spark, sf_dir), DRIVER_RULES, rules, OUTBOUND_BUCKET, "any").select(*keys, F.col("verdict").alias("outbound_content_verdict"),
-                                                  F.col("reason").alias("outbound_content_reason"))
-    term = st.terminal_state(c["process_status"], process_ids=pid.where(F.col("process_id").isNotNull()))
+    held = _outbound(spark, sf_dir).select(F.lit(OUTBOUND_BUCKET).alias("bucket"), F.regexp_replace("file_path", r"^[a-z0-9]+://[^/]+/", "").alias("key"),
+                                           canon_id(text_norm(F.col("PracticeID"))).alias("value"))
+    targets = recs.where(skipped).join(rules.select("rule_key", "outbound_prefix"), "rule_key").select(
+        F.col("file_set").alias("search_id"), F.lit(OUTBOUND_BUCKET).alias("target_bucket"), F.col("outbound_prefix").alias("prefix"),
+        F.col("started_at").alias("since"), canon_id(text_norm(F.col("PracticeID"), recs.schema["PracticeID"].dataType)).alias("must_contain"))
+    found = materialize(ar.search_objects(inv, targets, contents=held).select(
+        F.col("search_id").alias("file_set"), F.col("bucket").alias("_fb"), F.col("key").alias("_fk"), F.col("size").alias("_fsize"),
+        process_uuid(F.substring_index("key", "/", -1)).alias("_fpid")), "found")
+
+    astate = (ar.check_artifacts(arts, inv, runs, picks).groupBy("run_id", "rule_key")
+              .agg(vd.worst("verdict").alias("_av"),
+                   F.min(F.when(F.col("verdict") != "PASS", F.concat_ws(": ", "key", "state"))).alias("_ar")))
+    own = arts.select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path")).unionByName(
+        found.join(recs.select("rule_key", "file_set"), "file_set").select("rule_key", "file_set", _file_path(F.col("_fb"), F.col("_fk")).alias("file_path")))
+    content = (ob.match_outbound(recs.select("rule_key", "PracticeID", "LocationID", "file_set"), _outbound(spark, sf_dir), DRIVER_RULES, rules,
+                                 OUTBOUND_BUCKET, "any", own=own)
+               .select(*_SET_KEYS, F.col("verdict").alias("outbound_content_verdict"), F.col("reason").alias("outbound_content_reason")))
+    pids = pid.select("process_id").unionByName(found.select(F.col("_fpid").alias("process_id"))).where(F.col("process_id").isNotNull()).distinct()
+    term = st.terminal_state(c["process_status"], process_ids=pids)
     fstate = fs.final_state(spark, q, fs.final_state_rows(c["practices"], c["practice_locations_after"],
                                                           c["practice_types"]), DRIVER_RULES)
 
-    j = (recs.join(runs_v, "run_id", "left")
-         .join(logv.select("run_id", "rule_key", F.col("verdict").alias("_lv"), F.col("reason").alias("_lr")),
-               ["run_id", "rule_key"], "left")
-         .join(found, ["run_id", "rule_key"], "left")
+    j = (recs.withColumn("PracticeID", F.col("PracticeID").cast("string")).withColumn("LocationID", F.col("LocationID").cast("string"))
+         .join(logv.select("run_id", "rule_key", F.col("verdict").alias("_lv"), F.col("reason").alias("_lr")), ["run_id", "rule_key"], "left")
+         .join(recon.select("run_id", "rule_key", F.col("verdict").alias("_cv")), ["run_id", "rule_key"], "left")
+         .join(found, "file_set", "left")
          .join(astate, ["run_id", "rule_key"], "left")
-         .join(content, keys, "left")
-         .join(pid.select("run_id", "rule_key", "process_id"), ["run_id", "rule_key"], "left")
-         .join(term.select("process_id", F.col("verdict").alias("dataloader_verdict"),
-                           F.col("reason").alias("_dr")), "process_id", "left")
+         .join(content, _SET_KEYS, "left")
+         .join(pid.select("run_id", "rule_key", F.col("process_id").alias("_lpid")), ["run_id", "rule_key"], "left")
+         .withColumn("process_id", F.when(skipped, F.col("_fpid")).otherwise(F.col("_lpid")))
+         .join(term.select("process_id", F.col("verdict").alias("dataloader_verdict"), F.col("reason").alias("_dr")), "process_id", "left")
          .join(fstate.select("rule_key", "LocationID", F.col("verdict").alias("final_state_verdict"),
                              F.col("reason").alias("final_state_reason")), ["rule_key", "LocationID"], "left"))
     job_v, job_r = vd.job_stage(F.col("state"))
-    fallback = F.col("state") == "SKIPPED_TRIGGER"
+    no_object = F.when(F.col("_fk").isNull(), F.lit("no object found by prefix search")).when(
+        F.col("_fpid").isNull(), F.lit("no process UUID in the object name"))
+    empty = F.coalesce("_fsize", F.lit(0)) == 0
     j = j.select(
-        *keys, "run_id", "candidate_verdict", "candidate_reason",
+        "rule_key", "PracticeID", "LocationID", "run_id",
+        F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("candidate_verdict"),
+        F.when(~F.col("_ok"), F.concat(F.lit("failed checks: "), F.col("_why"))).alias("candidate_reason"),
         job_v.alias("job_verdict"), job_r.alias("job_reason"),
-        F.when(fallback, F.when(F.col("_found"), "PASS").otherwise("FAIL")).otherwise(F.col("_lv")).alias("run_log_verdict"),
-        F.when(fallback, F.when(F.col("_found").isNull(), F.lit("no object found by prefix search")))
-         .otherwise(F.col("_lr")).alias("run_log_reason"),
-        "outbound_file_verdict", "outbound_file_reason", "outbound_content_verdict", "outbound_content_reason",
-        F.when(F.col("process_id").isNull(), "FAIL").otherwise(F.coalesce("dataloader_verdict", F.lit("FAIL")))
-         .alias("dataloader_verdict"),
+        F.when(skipped, F.when(no_object.isNull(), "PASS").otherwise("FAIL"))
+         .when((F.col("_lv") == "PASS") & (F.col("_cv") != "PASS"), F.col("_cv")).otherwise(F.col("_lv")).alias("run_log_verdict"),
+        F.when(skipped, no_object).otherwise(F.col("_lr")).alias("run_log_reason"),
+        F.when(skipped, F.when(empty, "FAIL").otherwise("PASS")).otherwise(F.col("_av")).alias("outbound_file_verdict"),
+        F.when(skipped, F.when(empty, F.concat(F.col("_fk"), F.lit(": 0 bytes")))).otherwise(F.col("_ar")).alias("outbound_file_reason"),
+        "outbound_content_verdict", "outbound_content_reason",
+        F.when(F.col("process_id").isNull(), "FAIL").otherwise(F.coalesce("dataloader_verdict", F.lit("FAIL"))).alias("dataloader_verdict"),
         F.when(F.col("process_id").isNull(), F.lit("no process id for the run"))
          .when(F.col("dataloader_verdict").isNull(), F.lit("no status rows for the process"))
          .otherwise(F.col("_dr")).alias("dataloader_reason"),
@@ -1197,19 +1303,28 @@ pre AS (
         FROM qualifying) x
   GROUP BY rule_key, PracticeID, LocationID),
 recs AS (
-  SELECT pre.rule_key, CAST(pre.PracticeID AS VARCHAR) AS PracticeID, CAST(pre.LocationID AS VARCHAR) AS LocationID,
-         CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS candidate_verdict,
-         CASE WHEN NOT ok THEN 'failed checks: ' || why END AS candidate_reason,
-         (SELECT min(o.run_id) FROM orow o WHERE o.rule_key = pre.rule_key
-             AND o.k0 = {_canon_sql(_num_text_sql('pre.PracticeID'))}
-             AND o.k1 = {_canon_sql(_num_text_sql('pre.LocationID'))}) AS run_id
-  FROM pre),
-osearch AS (
-  SELECT DISTINCT r.run_id, u.rule_key
-  FROM runs r JOIN {RULES_SQL} u ON u.flow_name = r.flow_name
-  JOIN object_inventory i ON i.bucket = '{OUTBOUND_BUCKET}' AND starts_with(ltrim(i.key, '/'), u.outbound_prefix)
-  WHERE r.state = 'SKIPPED_TRIGGER' AND i.last_modified >= r.started_at
-    AND regexp_matches(string_split(i.key, '/')[-1], '.*\\.csv$')),
+  SELECT pre.rule_key, pre.PracticeID, pre.LocationID, pre.ok, pre.why, wr.run_id, r.state, r.started_at,
+         {_canon_sql(_num_text_sql('pre.PracticeID'))} AS k0, {_canon_sql(_num_text_sql('pre.LocationID'))} AS k1,
+         CASE WHEN r.state = 'SKIPPED_TRIGGER' THEN concat_ws('/', wr.run_id, pre.rule_key, pre.PracticeID, pre.LocationID) ELSE wr.run_id END AS set_id
+  FROM pre LEFT JOIN wr ON wr.rule_key = pre.rule_key AND wr.k0 = {_canon_sql(_num_text_sql('pre.PracticeID'))}
+                       AND wr.k1 = {_canon_sql(_num_text_sql('pre.LocationID'))}
+           LEFT JOIN runs r ON r.run_id = wr.run_id),
+cks AS (SELECT rule_key, PracticeID, LocationID, k0, k1, set_id FROM recs),
+held AS (SELECT DISTINCT regexp_replace(file_path, '^[a-z0-9]+://[^/]+/', '') AS key, {_canon_sql(_str_text_sql('PracticeID'))} AS k0
+         FROM outbound_rows),
+found AS (
+  SELECT set_id, bucket, key, size,
+         NULLIF(regexp_extract(string_split(key, '/')[-1], '{_re(C.process_id_in_filename)}', 0), '') AS fpid
+  FROM (SELECT s.set_id, i.*, row_number() OVER (PARTITION BY s.set_id ORDER BY i.last_modified, i.key) AS nth
+        FROM recs s JOIN {RULES_SQL} u ON u.rule_key = s.rule_key
+        JOIN object_inventory i ON i.bucket = '{OUTBOUND_BUCKET}' AND starts_with(ltrim(i.key, '/'), u.outbound_prefix)
+        JOIN held h ON h.key = i.key AND h.k0 = s.k0
+        WHERE s.state = 'SKIPPED_TRIGGER' AND i.last_modified >= s.started_at
+          AND regexp_matches(string_split(i.key, '/')[-1], '.*\\.csv$')) x
+  WHERE nth = 1),
+own AS (SELECT DISTINCT rule_key, run_id AS set_id, 's3://' || bucket || '/' || key AS file_path FROM ent
+        UNION SELECT s.rule_key, f.set_id, 's3://' || f.bucket || '/' || f.key FROM found f JOIN recs s ON s.set_id = f.set_id),
+{_MATCH_SQL},
 astate0 AS (
   SELECT ent.run_id, ent.rule_key, ent.key,
          CASE WHEN i.key IS NULL THEN 'not found' WHEN COALESCE(i.size, 0) = 0 THEN '0 bytes'
@@ -1237,8 +1352,15 @@ logv AS (
   FROM rr LEFT JOIN rep ON rep.run_id = rr.run_id AND rep.rule_key = rr.rule_key
           LEFT JOIN report ON report.run_id = rr.run_id
           LEFT JOIN pid ON pid.run_id = rr.run_id AND pid.rule_key = rr.rule_key),
+counts AS (SELECT rule_key, count(DISTINCT LocationID) AS n FROM qualifying GROUP BY rule_key),
+recon AS (
+  SELECT rr.run_id, rr.rule_key,
+         CASE WHEN rep.log_count IS NULL OR rep.log_count < 1 THEN 'FAIL'
+              WHEN rep.log_count <> COALESCE(counts.n, 0) THEN 'WARN' ELSE 'PASS' END AS cv
+  FROM rr LEFT JOIN rep ON rep.run_id = rr.run_id AND rep.rule_key = rr.rule_key
+          LEFT JOIN counts ON counts.rule_key = rr.rule_key),
 content AS (
-  SELECT rule_key, PracticeID, LocationID,
+  SELECT rule_key, PracticeID, LocationID, set_id,
          CASE WHEN n_files_checked = 0 THEN 'no outbound files were checked'
               WHEN files_matched = 0 THEN 'record not found in any outbound file'
               WHEN NOT COALESCE(value_any, false) THEN 'unexpected value in a matched file' END AS cr
@@ -1252,7 +1374,6 @@ term AS (
                count(*) FILTER (WHERE sub_process_name = 'Data-Loader-File') AS n_ld,
                COALESCE(bool_or(sub_process_name = 'Data-Loader-File' AND s IN ('COMPLETED', 'SUCCESS')), false) AS done
         FROM (SELECT *, upper(trim(COALESCE(status, ''))) AS s FROM process_status) t
-        WHERE process_id IN (SELECT process_id FROM pid WHERE process_id IS NOT NULL)
         GROUP BY process_id) a),
 fstate AS (
   SELECT p2.LocationID, COALESCE(p2.InDirectory, '') AS InDirectory
@@ -1266,35 +1387,43 @@ fin AS (
               THEN 'expected InDirectory in [''N''], found '
                    || CASE WHEN upper(trim(f.InDirectory)) = '' THEN 'NULL' ELSE upper(trim(f.InDirectory)) END END AS fr
   FROM (SELECT DISTINCT rule_key, LocationID FROM qualifying) c LEFT JOIN fstate f ON f.LocationID = c.LocationID),
+st_in AS (
+  SELECT s.rule_key, CAST(s.PracticeID AS VARCHAR) AS PracticeID, CAST(s.LocationID AS VARCHAR) AS LocationID, s.run_id, s.state, s.ok, s.why,
+         COALESCE(s.state = 'SKIPPED_TRIGGER', false) AS skipped, s.set_id,
+         logv.run_id IS NOT NULL AS logged, logv.lr, recon.cv, f.key AS fk, f.size AS fsize, f.fpid, a.outbound_file_verdict AS av,
+         a.outbound_file_reason AS ar, CASE WHEN COALESCE(s.state = 'SKIPPED_TRIGGER', false) THEN f.fpid ELSE pid.process_id END AS process_id
+  FROM recs s LEFT JOIN logv ON logv.run_id = s.run_id AND logv.rule_key = s.rule_key
+              LEFT JOIN recon ON recon.run_id = s.run_id AND recon.rule_key = s.rule_key
+              LEFT JOIN found f ON f.set_id = s.set_id
+              LEFT JOIN astate a ON a.run_id = s.run_id AND a.rule_key = s.rule_key
+              LEFT JOIN pid ON pid.run_id = s.run_id AND pid.rule_key = s.rule_key),
 st0 AS (
-  SELECT recs.rule_key, recs.PracticeID, recs.LocationID, recs.run_id,
-         candidate_verdict, candidate_reason,
-         CASE WHEN r.state IN ('SUCCEEDED', 'SKIPPED_TRIGGER') THEN 'PASS' ELSE 'FAIL' END AS job_verdict,
-         CASE WHEN r.state IS NULL THEN 'no run wrote the record'
-              WHEN r.state NOT IN ('SUCCEEDED', 'SKIPPED_TRIGGER') THEN 'job state ' || r.state END AS job_reason,
-         CASE WHEN r.state = 'SKIPPED_TRIGGER' THEN CASE WHEN os.run_id IS NOT NULL THEN 'PASS' ELSE 'FAIL' END
-              WHEN logv.run_id IS NULL THEN NULL
-              WHEN logv.lr IS NULL THEN 'PASS' ELSE 'FAIL' END AS run_log_verdict,
-         CASE WHEN r.state = 'SKIPPED_TRIGGER' THEN CASE WHEN os.run_id IS NULL THEN 'no object found by prefix search' END
-              ELSE logv.lr END AS run_log_reason,
-         a.outbound_file_verdict, a.outbound_file_reason,
+  SELECT s.rule_key, s.PracticeID, s.LocationID, s.run_id,
+         CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS candidate_verdict,
+         CASE WHEN NOT ok THEN 'failed checks: ' || why END AS candidate_reason,
+         CASE WHEN state IN ('SUCCEEDED', 'SKIPPED_TRIGGER') THEN 'PASS' ELSE 'FAIL' END AS job_verdict,
+         CASE WHEN state IS NULL THEN 'no run wrote the record'
+              WHEN state NOT IN ('SUCCEEDED', 'SKIPPED_TRIGGER') THEN 'job state ' || state END AS job_reason,
+         CASE WHEN skipped THEN CASE WHEN fk IS NOT NULL AND fpid IS NOT NULL THEN 'PASS' ELSE 'FAIL' END
+              WHEN NOT logged THEN NULL WHEN lr IS NOT NULL THEN 'FAIL'
+              WHEN cv <> 'PASS' THEN cv ELSE 'PASS' END AS run_log_verdict,
+         CASE WHEN skipped THEN CASE WHEN fk IS NULL THEN 'no object found by prefix search'
+                                     WHEN fpid IS NULL THEN 'no process UUID in the object name' END
+              ELSE lr END AS run_log_reason,
+         CASE WHEN skipped THEN CASE WHEN COALESCE(fsize, 0) = 0 THEN 'FAIL' ELSE 'PASS' END ELSE av END AS outbound_file_verdict,
+         CASE WHEN skipped THEN CASE WHEN COALESCE(fsize, 0) = 0 THEN fk || ': 0 bytes' END ELSE ar END AS outbound_file_reason,
          CASE WHEN ct.rule_key IS NULL THEN NULL WHEN ct.cr IS NULL THEN 'PASS' ELSE 'FAIL' END AS outbound_content_verdict,
          ct.cr AS outbound_content_reason,
-         CASE WHEN pid.process_id IS NULL OR term.process_id IS NULL THEN 'FAIL'
+         CASE WHEN s.process_id IS NULL OR term.process_id IS NULL THEN 'FAIL'
               WHEN term.tr IS NULL THEN 'PASS' ELSE 'FAIL' END AS dataloader_verdict,
-         CASE WHEN pid.process_id IS NULL THEN 'no process id for the run'
+         CASE WHEN s.process_id IS NULL THEN 'no process id for the run'
               WHEN term.process_id IS NULL THEN 'no status rows for the process' ELSE term.tr END AS dataloader_reason,
          CASE WHEN fin.rule_key IS NULL THEN NULL WHEN fin.fr IS NULL THEN 'PASS' ELSE 'FAIL' END AS final_state_verdict,
          fin.fr AS final_state_reason
-  FROM recs LEFT JOIN runs r ON r.run_id = recs.run_id
-            LEFT JOIN logv ON logv.run_id = recs.run_id AND logv.rule_key = recs.rule_key
-            LEFT JOIN osearch os ON os.run_id = recs.run_id AND os.rule_key = recs.rule_key
-            LEFT JOIN astate a ON a.run_id = recs.run_id AND a.rule_key = recs.rule_key
-            LEFT JOIN content ct ON ct.rule_key = recs.rule_key AND ct.PracticeID = recs.PracticeID
-                                AND ct.LocationID = recs.LocationID
-            LEFT JOIN pid ON pid.run_id = recs.run_id AND pid.rule_key = recs.rule_key
-            LEFT JOIN term ON term.process_id = pid.process_id
-            LEFT JOIN fin ON fin.rule_key = recs.rule_key AND fin.LocationID = recs.LocationID),
+  FROM st_in s LEFT JOIN content ct ON ct.rule_key = s.rule_key AND ct.PracticeID = s.PracticeID
+                                    AND ct.LocationID = s.LocationID AND ct.set_id = s.set_id
+               LEFT JOIN term ON term.process_id = s.process_id
+               LEFT JOIN fin ON fin.rule_key = s.rule_key AND fin.LocationID = s.LocationID),
 st1 AS (SELECT *, COALESCE(candidate_verdict, 'FAIL') AS candidate FROM st0),
 st2 AS (SELECT *, CASE WHEN candidate IN ('PASS', 'WARN') THEN COALESCE(job_verdict, 'FAIL') ELSE 'SKIPPED' END AS job FROM st1),
 st3 AS (SELECT *, CASE WHEN job IN ('PASS', 'WARN') THEN COALESCE(run_log_verdict, 'FAIL') ELSE 'SKIPPED' END AS run_log FROM st2),

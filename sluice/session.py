@@ -79,15 +79,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _tables_folder(spark: SparkSession) -> str:
+    return checkpoint_dir(spark).rstrip("/") + f"/sluice-tables/{spark.sparkContext.applicationId}"
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete the tables that this application's ``materialize`` calls wrote,
+    once their results are stored elsewhere."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_tables_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df, name: str = "table"):
     """Cut the lineage of a result that several plan branches reuse: write it
     once as a parquet table in the shared ``spark.checkpoint.dir`` and read
     it back (computed once, survives executor loss; never a local
-    checkpoint)."""
+    checkpoint).  ``release_tables`` deletes them."""
     import uuid
 
     spark = df.sparkSession
-    path = checkpoint_dir(spark).rstrip("/") + f"/sluice-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -31,7 +31,7 @@ DIRECTORY_VIEWS = {
         SELECT l_orderkey * 10 + l_linenumber AS UserFieldRecID,
                l_orderkey AS ParentRecID,
                l_partkey AS UserDefinedFieldID,
-               l_returnflag AS Value,
+               CASE WHEN l_linenumber = 6 THEN '0000' || CAST(l_partkey % 10 AS STRING) ELSE l_returnflag END AS Value,
                CASE WHEN l_linenumber = 7 THEN NULL ELSE l_shipdate END AS DateFrom,
                CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_shipdate + INTERVAL 365 DAY END AS DateTo,
                CASE WHEN l_linestatus = 'F' THEN 'N' ELSE 'Y' END AS Archived
@@ -44,7 +44,7 @@ DIRECTORY_VIEWS = {
         FROM {part}""",
     "record_types": """
         SELECT s_suppkey AS RecordTypeID,
-               CASE WHEN s_acctbal > 0 THEN 'PracticeLocations' ELSE 'Practitioners' END AS TableName,
+               CASE WHEN s_suppkey % 4 = 1 OR s_acctbal <= 0 THEN 'Practitioners' ELSE 'PracticeLocations' END AS TableName,
                CASE WHEN s_nationkey = 0 THEN 'Y' ELSE 'N' END AS Archived
         FROM {supplier}""",
     "practice_types": """
@@ -57,8 +57,21 @@ DIRECTORY_VIEWS = {
         SELECT r_regionkey AS StatusSetID,
                CASE WHEN r_name IN ('EUROPE', 'ASIA') THEN 'Location Types' ELSE 'Other Types' END AS StatusSetName
         FROM {region}""",
-    # State of the locations after the loader ran (JOIN-2): some rows gone,
-    # the flag suppressed, padded, blank or unchanged; an audit user.
+    # Practitioners and their state after the load: the flag cleared, padded,
+    # blank or unchanged, some archived meanwhile.
+    "practitioners": """
+        SELECT c_custkey AS PractitionerID,
+               CASE WHEN c_custkey % 12 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS STRING), 10, '0') END AS NationalProviderID,
+               CASE WHEN c_nationkey % 3 = 0 THEN 'N' ELSE 'Y' END AS ActiveMilitaryOrReserve,
+               CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Y' ELSE 'N' END AS Archived
+        FROM {customer}""",
+    "practitioners_after": """
+        SELECT c_custkey AS PractitionerID,
+               CASE c_custkey % 4 WHEN 0 THEN 'N' WHEN 1 THEN ' n' WHEN 2 THEN NULL ELSE 'Y' END AS ActiveMilitaryOrReserve,
+               CASE WHEN c_mktsegment = 'MACHINERY' OR c_custkey % 9 = 0 THEN 'Y' ELSE 'N' END AS Archived
+        FROM {customer}""",
+    # State of the locations after the loader ran (JOIN-2): some archived
+    # meanwhile, the flag suppressed, padded, blank or unchanged; an audit user.
     "practice_locations_after": """
         SELECT o_orderkey AS LocationID,
                o_custkey AS PracticeID,
@@ -66,22 +79,20 @@ DIRECTORY_VIEWS = {
                CASE o_orderpriority WHEN '1-URGENT' THEN 'N' WHEN '2-HIGH' THEN ' n '
                     WHEN '3-MEDIUM' THEN NULL ELSE o_orderstatus END AS InDirectory,
                CAST(o_custkey % 25 AS INT) AS LocationTypeID,
-               CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END AS Archived,
+               CASE WHEN o_orderkey % 11 = 0 OR (o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0) THEN 'Y' ELSE 'N' END AS Archived,
                CASE WHEN o_orderkey % 3 = 0 THEN 'svc-DataLoader' ELSE 'jsmith' END AS ModifiedBy,
                o_orderdate + INTERVAL 2000 DAY AS ModifiedAt
-        FROM {orders}
-        WHERE o_orderkey % 11 <> 0""",
+        FROM {orders}""",
 }
 
 # ── practitioner location snapshots before/after (JOIN-8) ─────────────────
 PRACTITIONER_VIEWS = {
     "practitioner_locations_before": """
-        SELECT o_orderkey AS PractitionerLocationRecID,
+        SELECT CASE WHEN o_orderkey % 17 = 0 THEN -o_orderkey ELSE o_orderkey END AS PractitionerLocationRecID,
                o_custkey AS PractitionerID,
                o_orderkey % 1000 AS LocationID,
                CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN ' y' ELSE 'N' END AS InDirectory
-        FROM {orders}
-        WHERE o_orderkey % 17 <> 0""",
+        FROM {orders}""",
     "practitioner_locations_after": """
         SELECT o_orderkey AS PractitionerLocationRecID,
                o_custkey AS PractitionerID,
@@ -92,8 +103,7 @@ PRACTITIONER_VIEWS = {
                CASE WHEN o_orderkey % 4 = 0 THEN 'DataLoader-svc' WHEN o_orderkey % 4 = 1 THEN NULL
                     ELSE 'editor' END AS AuditUser,
                o_orderdate AS AuditTime
-        FROM {orders}
-        WHERE o_orderkey % 13 <> 0""",
+        FROM {orders}""",
 }
 
 # ── process status, payloads and splits (FIXTURES.md "Process status") ───
@@ -113,7 +123,8 @@ STATUS_VIEWS = {
         SELECT event_id AS id,
                {_PROCESS_ID} AS process_id,
                CASE event_type WHEN 'purchase' THEN 'Data-Loader-File' WHEN 'view' THEN 'File-Record'
-                    WHEN 'click' THEN 'Validation' WHEN 'signup' THEN 'DL-Integration'
+                    WHEN 'click' THEN CASE WHEN event_id % 11 = 0 THEN ' Validation ' ELSE 'Validation' END
+                    WHEN 'signup' THEN CASE WHEN event_id % 5 = 1 THEN 'Data-Loader-File' ELSE 'DL-Integration' END
                     ELSE CASE WHEN event_id % 3 = 0 THEN 'Data-Loader-File'
                               WHEN event_id % 3 = 1 THEN NULL ELSE 'File-Record' END END AS sub_process_name,
                CASE event_type
@@ -147,21 +158,21 @@ STATUS_VIEWS = {
     # The entity each process is expected to be about (JOIN-11): usually one
     # of its rows' business values, sometimes an id it never mentions.
     "status_targets": f"""
-        SELECT {_PROCESS_ID} AS process_id,
-               CASE WHEN event_id % 3 = 0 THEN CAST(user_id + 1000 AS STRING) ELSE CAST(user_id AS STRING) END
+        SELECT process_id,
+               CASE WHEN max(event_id) % 3 = 0 THEN CAST(max(user_id) + 1000 AS STRING) ELSE CAST(max(user_id) AS STRING) END
                  AS expected_value
-        FROM {_EVENTS_H} AS e
-        WHERE event_id % 4 = 1""",
-    # The split manifest: one split per process, some splits without any
-    # status row, and some listed twice.
+        FROM (SELECT {_PROCESS_ID} AS process_id, event_id, user_id FROM {_EVENTS_H} AS e) AS p
+        GROUP BY process_id""",
+    # The split manifest: every process, those last seen on an id divisible
+    # by 3 listed again, and by 5 with a split that has no status row.
     "splits": f"""
-        SELECT event_id AS position,
-               CASE WHEN event_id % 4 = 1 THEN 'proc-missing-' || CAST(event_id AS STRING)
-                    ELSE {_PROCESS_ID} END AS split_process_id
-        FROM {_EVENTS_H} AS e
-        WHERE event_id % 4 = 0
-           OR (event_id % 4 = 1 AND user_id % 10 = 0)
-           OR (event_id % 4 = 2 AND user_id % 15 = 0)""",
+        SELECT CAST(m.last_id * 3 + c.copy AS BIGINT) AS position,
+               CASE WHEN c.copy = 2 THEN 'proc-missing-' || CAST(m.last_id AS STRING) ELSE m.process_id END AS split_process_id
+        FROM (SELECT process_id, max(event_id) AS last_id
+              FROM (SELECT {_PROCESS_ID} AS process_id, event_id FROM {_EVENTS_H} AS e) AS p
+              GROUP BY process_id) AS m
+        JOIN (SELECT CAST(r_regionkey AS BIGINT) AS copy FROM {{region}}) AS c
+          ON c.copy = 0 OR (c.copy = 1 AND m.last_id % 3 = 0) OR (c.copy = 2 AND m.last_id % 5 = 0)""",
 }
 
 # ── run-log captures (FIXTURES.md "Run logs") ─────────────────────────────
@@ -197,7 +208,8 @@ LOG_VIEWS = {
                     WHEN '1-URGENT' THEN 'INFO AppliedRule=' || CASE CAST(floor(o_orderkey / 3) AS BIGINT) % 5
                          WHEN 0 THEN '15' WHEN 1 THEN 'rule-7' WHEN 2 THEN '3' WHEN 3 THEN 'Rule_15'
                          ELSE CAST(o_orderkey % 20 AS STRING) END
-                         || ' rule_count=' || CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS STRING)
+                         || ' rule_count=' || CASE WHEN o_orderkey % 11 = 0 THEN '0'
+                              ELSE CAST(11 + CAST(floor(o_totalprice / 1000) AS BIGINT) % 6 AS STRING) END
                     WHEN '2-HIGH' THEN 'INFO records_to_s3=' || CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING)
                     WHEN '3-MEDIUM' THEN CASE WHEN {_QUEUED}
                          THEN 'INFO Chunk ' || CAST(o_orderkey % 3 + 1 AS STRING) || ' queued'
@@ -214,24 +226,23 @@ LOG_VIEWS = {
     "runs": f"""
         SELECT {_RUN} AS run_id,
                CASE WHEN o_custkey % 2 = 0 THEN 'practice' ELSE 'practitioner' END AS flow_name,
-               CASE o_custkey % 10 WHEN 3 THEN 'FAILED' WHEN 6 THEN 'SKIPPED_TRIGGER' ELSE 'SUCCEEDED' END AS state,
+               CASE WHEN o_custkey % 10 = 3 THEN 'FAILED' WHEN o_custkey % 10 IN (1, 6, 8) THEN 'SKIPPED_TRIGGER' ELSE 'SUCCEEDED' END AS state,
                min(o_orderdate) + INTERVAL 1000 DAY AS started_at,
                'directory-' || CASE WHEN o_custkey % 2 = 0 THEN 'practice' ELSE 'practitioner' END
                     || '-suppression-job' AS job_name
         FROM {{orders}}
         GROUP BY o_custkey % 40, o_custkey % 2, o_custkey % 10""",
-    # Object inventory of every written key: some keys never landed, some are
-    # empty, all carry the time the last chunk was written.
+    # Object inventory of every written key: some landed under another name
+    # only, some are empty, some are old copies from before the run.
     "object_inventory": f"""
-        SELECT {_BUCKET} AS bucket,
-               {_PREFIX} || {_FILE} AS key,
-               CAST(CASE WHEN min(o_orderkey) % 17 = 0 THEN 0 ELSE sum(CAST(floor(o_totalprice) AS BIGINT)) END
-                    AS BIGINT) AS size,
-               max(o_orderdate) + INTERVAL 1500 DAY AS last_modified
-        FROM {_ORDERS_H} AS o
-        WHERE o_orderpriority = '3-MEDIUM'
-        GROUP BY {_BUCKET}, {_PREFIX} || {_FILE}
-        HAVING min(o_orderkey) % 19 <> 0""",
+        SELECT bucket, CASE WHEN first_key % 8 = 3 THEN key || '.tmp' ELSE key END AS key,
+               CAST(CASE WHEN first_key % 10 = 1 THEN 0 ELSE total END AS BIGINT) AS size,
+               CASE WHEN first_key % 7 = 0 THEN last_day - INTERVAL 4000 DAY ELSE last_day + INTERVAL 1500 DAY END AS last_modified
+        FROM (SELECT {_BUCKET} AS bucket, {_PREFIX} || {_FILE} AS key, min(o_orderkey) AS first_key,
+                     sum(CAST(floor(o_totalprice) AS BIGINT)) AS total, max(o_orderdate) AS last_day
+              FROM {_ORDERS_H} AS o
+              WHERE o_orderpriority = '3-MEDIUM'
+              GROUP BY {_BUCKET}, {_PREFIX} || {_FILE}) AS g""",
 }
 
 # Object write events (one per chunk written; a key written twice is
@@ -243,25 +254,31 @@ LOG_VIEWS["object_events"] = f"""
         WHERE o_orderpriority = '3-MEDIUM'"""
 
 # ── outbound file rows (FIXTURES.md "Outbound files") ─────────────────────
-# One row per written record: all values are strings; ids are zero-padded on
-# some rows; TaxIDNumber sometimes in scientific notation.
+# One row per written record, and a second one in the same file for some, in
+# a later run's file for others: all values are strings; ids are
+# zero-padded on some rows and lost on a few; TaxIDNumber sometimes in
+# scientific notation.
+_COPY_RUN = "((o_custkey % 40 + CASE WHEN copy = 1 AND o_orderkey % 7 = 0 THEN 2 ELSE 0 END) % 40)"
+_COPY_H = f"md5('run-' || CAST({_COPY_RUN} AS STRING) || CASE WHEN {_COPY_RUN} = 5 THEN '-' || CAST(o_orderkey % 2 AS STRING) ELSE '' END)"
 OUTBOUND_VIEWS = {
     "outbound_rows": f"""
-        SELECT 's3://outbound-bucket/outbound/practice_update/practice_' || {_UUID} || '_part'
-                    || CAST(o_orderkey % 4 AS STRING) || '.csv' AS file_path,
-               o_orderkey AS row_no,
-               {_RUN} AS run_id,
+        SELECT 's3://outbound-bucket/outbound/' || CASE WHEN o_orderstatus = 'O' THEN 'practitioner_update' ELSE 'practice_update' END
+                    || '/practice_' || {_UUID} || '_part' || CAST(o_orderkey % 4 AS STRING) || '.csv' AS file_path,
+               o_orderkey * 2 + copy AS row_no,
+               'jr_' || lpad(CAST(run_no AS STRING), 3, '0') AS run_id,
                CASE WHEN o_orderkey % 2 = 0 THEN lpad(CAST(o_custkey AS STRING), 8, '0')
                     ELSE CAST(o_custkey AS STRING) END AS PracticeID,
                CASE WHEN o_orderkey % 9 = 0 THEN '8.41E+08' ELSE 'TX' || lpad(CAST(o_custkey AS STRING), 7, '0') END AS TaxIDNumber,
                CAST(o_orderkey AS STRING) AS BillingLocationServiceRecID,
-               CASE WHEN o_orderkey % 5 = 0 THEN ' ' || lpad(CAST(o_orderkey AS STRING), 9, '0')
+               CASE WHEN o_orderkey % 10 = 3 THEN '' WHEN o_orderkey % 5 = 0 THEN ' ' || lpad(CAST(o_orderkey AS STRING), 9, '0')
                     ELSE CAST(o_orderkey AS STRING) END AS BillingLocationID,
                'Service' AS BillingServiceTypeName,
                o_orderpriority AS BillingServiceCategoryTypeName,
-               CASE o_orderkey % 6 WHEN 0 THEN 'Directory-Auto ' WHEN 1 THEN 'manual' ELSE 'directory-auto' END AS DataSource
-        FROM {_ORDERS_H} AS o
-        WHERE o_orderstatus <> 'P' AND o_orderkey % 10 <> 3""",
+               CASE (o_orderkey + copy) % 6 WHEN 0 THEN 'Directory-Auto ' WHEN 1 THEN 'manual' ELSE 'directory-auto' END AS DataSource
+        FROM (SELECT orders.*, c.copy, {_COPY_RUN} AS run_no, {_COPY_H} AS _h
+              FROM {{orders}}
+              JOIN (SELECT CAST(r_regionkey AS BIGINT) AS copy FROM {{region}}) AS c
+                ON c.copy = 0 OR (c.copy = 1 AND (o_orderkey % 7 = 0 OR o_orderkey % 4 = 0))) AS w""",
 }
 
 ALL_VIEWS: dict[str, str] = {**DIRECTORY_VIEWS, **PRACTITIONER_VIEWS, **STATUS_VIEWS, **LOG_VIEWS, **OUTBOUND_VIEWS}

@@ -137,3 +137,36 @@ def test_collation_option(spark, directory):
     assert exact == [("r1", 0), ("r_none", 0)]
     loose = rows(C.candidate_counts(spark, d, RULES, AS_OF, collation="UTF8_LCASE_RTRIM"), "rule_key", "candidate_count")
     assert loose == [("r1", 2), ("r_none", 0)]
+
+
+def test_the_library_rules_run_unfiltered(spark, directory):
+    """Both registered rules at once: practice locations and practitioners."""
+    from sluice.operators import finalstate as FS
+    from sluice.rules import DIRECTORY_RULES
+
+    mk = spark.createDataFrame
+    tables = dict(directory)
+    tables["practitioners"] = mk([("N1", "npi1", "Y", "N"), ("N2", "npi2", "N", "N"), ("N3", None, "Y", "N"), ("N4", "npi4", "Y", "Y")],
+                                 "PractitionerID string, NationalProviderID string, ActiveMilitaryOrReserve string, Archived string")
+    tables["record_types"] = tables["record_types"].unionByName(mk([("RX", "Practitioners", "N")], "RecordTypeID string, TableName string, Archived string"),
+                                                                allowMissingColumns=True)
+    tables["user_defined_fields"] = tables["user_defined_fields"].unionByName(
+        mk([("DX", "Claim Hold Reason", "RX", "N")], "UserDefinedFieldID string, FieldName string, RecordTypeID string, Archived string"), allowMissingColumns=True)
+    tables["user_fields"] = tables["user_fields"].unionByName(mk(
+        [("X1", "N1", "DX", "00009", T(2020, 1, 1), None, "N"), ("X2", "N1", "DX", "00001", T(2020, 1, 1), None, "N"), ("X3", "N2", "DX", "00001", T(2020, 1, 1), None, "N"),
+         ("X4", "N3", "DX", "00004", T(2020, 1, 1), None, "N"), ("X5", "N4", "DX", "00001", T(2020, 1, 1), None, "N"), ("X6", "N3", "DX", "00001", T(2025, 1, 1), None, "N")],
+        "UserFieldRecID string, ParentRecID string, UserDefinedFieldID string, Value string, DateFrom timestamp, DateTo timestamp, Archived string"))
+    rules = list(DIRECTORY_RULES)
+    counts = {r["rule_key"]: r["candidate_count"] for r in C.candidate_counts(spark, tables, rules, AS_OF).collect()}
+    bound = next(r for r in rules if r.entity_type == "practitioner")
+    assert len(counts) == len(rules) and counts[bound.key] == 1
+    top = C.candidates(spark, tables, rules, AS_OF).where(F.col("rule_key") == bound.key)
+    assert rows(top, "PractitionerID", "NationalProviderID", "UserFieldRecID", "rank") == [("N1", "npi1", "X1", 1), ("N1", "npi1", "X2", 2)]
+    after = mk([("N1", " n ", "N")], "PractitionerID string, ActiveMilitaryOrReserve string, Archived string")
+    found = C.qualifying_entity(spark, tables, C.BINDINGS["practitioner"], [bound], AS_OF)
+    assert rows(FS.final_state(spark, found, FS.entity_state_rows(after), [bound]), "PractitionerID", "verdict") == [("N1", "PASS")]
+
+
+def test_an_empty_value_list_is_an_error(spark, directory):
+    with pytest.raises(ValueError):
+        C.candidate_counts(spark, directory, [rule("k", values=())], AS_OF)

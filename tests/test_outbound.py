@@ -116,7 +116,7 @@ def test_first_rows_and_row_reconciliation(spark):
                                "file_path string, row_no long, run_id string, PracticeID string, "
                                "BillingLocationID string, DataSource string")
     cands = spark.createDataFrame([("k", 12, 34)], "rule_key string, PracticeID long, LocationID long")
-    first = rows(O.first_matching_rows(cands, ob, r, rules, "b", 3), "file_path", "rank", "row_no")
+    first = rows(O.first_matching_rows(cands, ob, [r], rules, "b", 3), "file_path", "rank", "row_no")
     assert first == [("s3://b/o/f0.csv", 1, 0), ("s3://b/o/f0.csv", 2, 2), ("s3://b/o/f0.csv", 3, 4),
                      ("s3://b/o/f1.csv", 1, 1), ("s3://b/o/f1.csv", 2, 3), ("s3://b/o/f1.csv", 3, 5)]
     rep = spark.createDataFrame([("r1", 9), ("r2", 1), ("r3", None)], "run_id string, records_to_s3 long")
@@ -125,6 +125,23 @@ def test_first_rows_and_row_reconciliation(spark):
     assert rows(O.reconcile_rows(ob, rep, enforce=False), "run_id", "verdict")[1] == ("r2", "WARN")
 
 
+def test_each_run_answers_for_its_own_files(spark):
+    r = rule("k")
+    r = r.__class__(**{**r.__dict__, "outbound_prefix": "o/", "outbound_expected_value": "auto"})
+    rules = rules_frame(spark, [r])
+    ob = spark.createDataFrame([("s3://b/o/f1.csv", 1, "12", "34", "auto"), ("s3://b/o/f2.csv", 1, "12", "34", "manual"),
+                                ("s3://b/o/f2.csv", 2, "7", "8", "auto")],
+                               "file_path string, row_no long, PracticeID string, BillingLocationID string, DataSource string"
+                               ).withColumn("missing_columns", F.array().cast("array<string>"))
+    own = spark.createDataFrame([("k", "A", "s3://b/o/f1.csv"), ("k", "B", "s3://b/o/f2.csv")], "rule_key string, file_set string, file_path string")
+    cands = spark.createDataFrame([("k", "A", 12, 34), ("k", "B", 12, 34), ("k", "A", 7, 8), ("k", "B", 7, 8), ("k", "C", 7, 8)],
+                                  "rule_key string, file_set string, PracticeID long, LocationID long")
+    got = rows(O.match_outbound(cands, ob, [r], rules, "b", own=own), "file_set", "PracticeID", "n_files_checked", "verdict", "reason")
+    assert got == [("A", "12", 1, "PASS", None), ("A", "7", 1, "FAIL", "record not found in any outbound file"),
+                   ("B", "12", 1, "FAIL", "unexpected value in a matched file"), ("B", "7", 1, "PASS", None),
+                   ("C", "7", 0, "FAIL", "no outbound files were checked")]
+
+
 def test_id_overlap(spark):
     src = spark.createDataFrame([("001",), ("2",), ("3",), ("3",)], "id string")
     out = spark.createDataFrame([("1",), ("2",), ("4",), ("5",)], "id string")

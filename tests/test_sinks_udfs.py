@@ -44,3 +44,15 @@ def test_newest_log_files(spark):
     got = rows(L.newest_log_files(listing, runs, ["logs", "results"], ["*{run_id}*", "output*.log", "output.logs"],
                                   r"run-(r\d+)"), "run_id", "path")
     assert got == [("r1", "logs/run-r1.log"), ("r2", "logs/output1.log"), ("r3", "logs/output1.log")]
+
+
+def test_materialized_tables_can_be_released(spark):
+    import os
+
+    from sluice.session import _tables_folder, materialize, release_tables
+
+    df = materialize(spark.range(5), "five")
+    folder = _tables_folder(spark).replace("file:", "")
+    assert df.count() == 5 and os.listdir(folder)
+    release_tables(spark)
+    assert not os.path.exists(folder)
