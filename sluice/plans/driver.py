@@ -1080,7 +1080,7 @@ def q_stream_terminal(spark, sf_dir):
 
 
 O_STREAM_TERMINAL = _with("process_status", extra=f"""
-ev AS (SELECT id, process_id, sub_process_name, upper(trim(COALESCE(status, ''))) AS s, epoch_ms(updated_at) AS ms FROM process_status),
+ev AS (SELECT id, process_id, sub_process_name, upper(trim(COALESCE(status, ''))) AS s, epoch_us(updated_at) // 1000 AS ms FROM process_status),
 wm AS (SELECT max(ms) - {_DELAY_MS} AS wm FROM ev),
 seen AS (SELECT *, min(ms) OVER (PARTITION BY process_id) AS first_ms FROM ev, wm WHERE ms <= wm),
 run AS (
@@ -1118,7 +1118,7 @@ def q_stream_log_done(spark, sf_dir):
 
 
 O_STREAM_LOG_DONE = _with("run_log_captures", extra=f"""
-ev AS (SELECT run_id, source, epoch_ms(CAST(modified_at AS TIMESTAMP)) + (line_no % 86400) * 1000 AS ms,
+ev AS (SELECT run_id, source, epoch_us(CAST(modified_at AS TIMESTAMP)) // 1000 + (line_no % 86400) * 1000 AS ms,
               regexp_matches(message, '{_re(C.sentinel)}') AS hit FROM run_log_captures),
 wm AS (SELECT max(ms) - {_DELAY_MS} AS wm FROM ev),
 seen AS (SELECT *, min(ms) OVER (PARTITION BY run_id, source) AS first_ms FROM ev, wm WHERE ms <= wm),
@@ -1173,7 +1173,7 @@ def q_stream_flag(spark, sf_dir):
 
 O_STREAM_FLAG = _with(*DIRECTORY_TABLES, "practice_locations_after", extra=_QUALIFYING_SQL + f""",
 ev AS (SELECT CAST(a.LocationID AS VARCHAR) AS record_key, upper(trim(COALESCE(a.InDirectory, ''))) AS v,
-              epoch_ms(CAST(a.ModifiedAt AS TIMESTAMP)) AS ms
+              epoch_us(CAST(a.ModifiedAt AS TIMESTAMP)) // 1000 AS ms
        FROM practice_locations_after a WHERE a.LocationID IN (SELECT LocationID FROM qualifying)),
 wm AS (SELECT max(ms) - {_DELAY_MS} AS wm FROM ev),
 seen AS (SELECT *, min(ms) OVER (PARTITION BY record_key) AS first_ms FROM ev, wm WHERE ms <= wm),
