@@ -1,8 +1,10 @@
 """Operator 6: toxicity by weak supervision.
 
 *Voters.*  Lexicon voters are words and word stems, mined from a bounded sample
-of labelled rows: a word (or a stem at least so many times) far likelier in
-toxic rows, and there in varied company (after many different words), so that
+of labelled rows: a word (or a stem at least so many times, in words that are no
+entries themselves) far likelier in toxic rows, by more than chance explains
+however rare it is (false-discovery control over all words tried), and there in
+varied company (after many different words), so that
 the vocabulary of one much-copied toxic text does not count.  Pattern voters look
 at the whole text (several lexicon words, one of them repeated, one at the start,
 their density, one in capitals or before an exclamation mark).  A voter votes
@@ -32,12 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import text as T
+from sluice.session import materialize
 
 #: Bounds of the training sample (rows of each label) and of the lexicon.
 SAMPLE_ROWS = 10_000
-MAX_WORDS = 200
-#: A lexicon entry: least rows and different words before it, least share of the toxic rows, least ratio of its rates, least z-score.
-LEAST_ROWS, LEAST_COMPANY, LEAST_SHARE, LEAST_RATIO, LEAST_Z = 5, 5, 0.02, 8.0, 7.0
+MAX_WORDS, MAX_STEMS = 400, 100
+#: A lexicon entry: least rows and different words before it, least ratio of its rates, and the share of chance finds among all entries kept.
+LEAST_ROWS, LEAST_COMPANY, LEAST_RATIO, FALSE_SHARE = 5, 5, 8.0, 0.01
 #: Entries that are looked at more closely (their company), the best first.
 CANDIDATES = 2000
 #: Lengths of stems, and how often a text must hold one.
@@ -62,48 +65,55 @@ def sample_rows(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str, i
 Lexicon = list[tuple[str, int]]
 
 
-def entries(words: list[str]) -> dict[tuple[str, int], int]:
-    """Lexicon entries that a text's words satisfy (word or stem, times)."""
-    counts = Counter(words)
+def stems_of(counts: Counter, known: frozenset[str]) -> dict[tuple[str, int], int]:
+    """Stems that a text's words satisfy so many times; ``known`` words do not count."""
     stems: Counter = Counter()
     for w, n in counts.items():
-        for size in STEMS:
-            if len(w) > size:
-                stems[w[:size]] += n
-    out = {(f"{w}$", 1): n for w, n in counts.items()}
-    for stem, n in stems.items():
-        for times in TIMES:
-            if n >= times:
-                out[stem, times] = n
-    return out
+        if w not in known:
+            for size in STEMS:
+                if len(w) > size:
+                    stems[w[:size]] += n
+    return {(stem, times): n for stem, n in stems.items() for times in TIMES if n >= times}
 
 
-def mine_lexicon(sample: DataFrame) -> Lexicon:
-    """Entries that mark toxic rows, the most telling first; of entries that
-    extend each other only the most telling."""
-    totals = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    if not n1 or not n0:
-        return []
+def _threshold(evidence: DataFrame) -> float:
+    """Least evidence (nats, column ``e`` of all entries tried) at which at most
+    ``FALSE_SHARE`` of the entries kept are chance finds (Benjamini-Hochberg)."""
+    steps = {r["s"]: r["count"] for r in evidence.groupBy(F.floor(F.least("e", F.lit(200.0)) * 8).alias("s")).count().collect()}
+    tried, above, least = sum(steps.values()), 0, np.inf
+    for s in sorted(steps, reverse=True):
+        above += steps[s]
+        if np.exp(-s / 8) * tried <= FALSE_SHARE * above:
+            least = s / 8
+    return least
+
+
+def _telling(sample: DataFrame, n1: int, n0: int, known: frozenset[str] | None) -> list[tuple[str, int]]:
+    """Whole words (``known`` None), or stems of words not ``known``, that mark
+    toxic rows in varied company, the most telling first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of each label that hold each entry, added up by slice."""
         for b in T.slices(batches, "text"):
             rows: tuple[Counter, Counter] = (Counter(), Counter())
             for t, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-                rows[y].update(entries(WORD.findall(t.lower())).keys())
+                words = Counter(WORD.findall(t.lower()))
+                rows[y].update([(f"{w}$", 1) for w in words] if known is None else stems_of(words, known).keys())
             keys = list(rows[0].keys() | rows[1].keys())
             yield pa.RecordBatch.from_arrays([
                 pa.array([k for k, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int32()),
                 pa.array([rows[1][k] for k in keys], pa.int64()), pa.array([rows[0][k] for k in keys], pa.int64())], ["entry", "times", "c1", "c0"])
 
-    both = (F.col("c1") + F.col("c0")) / (n1 + n0)
-    z = (F.col("p1") - F.col("p0")) / F.sqrt(both * (1 - both) * (1 / n1 + 1 / n0) + 1e-12)
-    stats = (sample.mapInArrow(count, "entry string, times int, c1 long, c0 long").groupBy("entry", "times").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
-             .filter(F.col("c1") >= LEAST_ROWS).withColumn("p1", F.col("c1") / n1).withColumn("p0", (F.col("c0") + 0.5) / n0)
-             .withColumn("z", z).filter((F.col("p1") >= LEAST_SHARE) & (F.col("p1") >= LEAST_RATIO * F.col("p0")) & (F.col("z") >= LEAST_Z))
-             .withColumn("gain", F.col("p1") * F.log(F.col("p1") / F.col("p0"))))
-    ranked = [(r["entry"], r["times"]) for r in stats.orderBy(F.col("gain").desc(), "entry", "times").limit(CANDIDATES).collect()]
+    # Chance that so many of an entry's rows are toxic if it fell on rows of either
+    # label alike: at most exp(-e) (Chernoff's bound of the binomial tail).
+    share, toxic = F.col("c1") / (F.col("c1") + F.col("c0")), n1 / (n1 + n0)
+    e = F.when(share <= toxic, 0.0).otherwise(F.col("c1") * F.log(share / toxic) + F.when(F.col("c0") > 0, F.col("c0") * F.log((1 - share) / (1 - toxic))).otherwise(0.0))
+    stats = materialize(sample.mapInArrow(count, "entry string, times int, c1 long, c0 long").groupBy("entry", "times")
+                        .agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0")).filter(F.col("c1") >= LEAST_ROWS)
+                        .withColumn("p1", F.col("c1") / n1).withColumn("p0", (F.col("c0") + 0.5) / n0).withColumn("e", e), "lexicon-entries")
+    gain = F.col("p1") * F.log(F.col("p1") / F.col("p0"))
+    kept = stats.filter((F.col("p1") >= LEAST_RATIO * F.col("p0")) & (F.col("e") >= _threshold(stats)))
+    ranked = [(r["entry"], r["times"]) for r in kept.orderBy(gain.desc(), "entry", "times").limit(CANDIDATES).collect()]
     wanted = {e for e, _ in ranked}
 
     def company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,20 +123,31 @@ def mine_lexicon(sample: DataFrame) -> Lexicon:
             for t in b.column("text").to_pylist():
                 last = ""
                 for w in WORD.findall(t.lower()):
-                    for e in (f"{w}$", *(w[:size] for size in STEMS if len(w) > size)):
+                    for e in (f"{w}$",) if known is None else () if w in known else [w[:size] for size in STEMS if len(w) > size]:
                         if e in wanted:
                             seen.add((e, last))
                     last = w
             yield pa.RecordBatch.from_arrays([pa.array([e for e, _ in seen], pa.string()), pa.array([x for _, x in seen], pa.string())], ["entry", "before"])
 
     varied = {r["entry"] for r in sample.filter("y = 1").mapInArrow(company, "entry string, before string").groupBy("entry")
-              .agg(F.approx_count_distinct("before").alias("n")).filter(F.col("n") >= LEAST_COMPANY).collect()}
-    out: Lexicon = []
-    for e, times in ranked:
-        stem = e.rstrip("$")
-        if e in varied and len(out) < MAX_WORDS and not any(stem.startswith(x.rstrip("$")) or x.startswith(stem) for x, _ in out):
-            out.append((e, times))
-    return out
+              .agg(F.approx_count_distinct("before").alias("n")).filter(F.col("n") >= LEAST_COMPANY).collect()} if wanted else set()
+    return [(e, times) for e, times in ranked if e in varied]
+
+
+def mine_lexicon(sample: DataFrame) -> Lexicon:
+    """Entries that mark toxic rows, the most telling first: whole words, each
+    for itself, then stems of other words; of stems that extend each other only
+    the most telling."""
+    totals = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    n1, n0 = totals.get(1, 0), totals.get(0, 0)
+    if not n1 or not n0:
+        return []
+    words = _telling(sample, n1, n0, None)[:MAX_WORDS]
+    stems: Lexicon = []
+    for e, times in _telling(sample, n1, n0, frozenset(e[:-1] for e, _ in words)):
+        if len(stems) < MAX_STEMS and not any(e.startswith(x) or x.startswith(e) for x, _ in stems):
+            stems.append((e, times))
+    return words + stems
 
 
 class Voters:
@@ -177,9 +198,11 @@ class LabelModel:
         """Posterior of *toxic* for each row of votes ``v`` (rows x voters)."""
         v = v.astype(np.float64)
         n, m = v.shape
-        # Rows with most votes begin as toxic; EM moves from there.
+        # Rows with most votes begin as toxic; EM moves from there.  A rare voter
+        # begins at its rate among the rows with votes, so that the silence of many says little.
         self.weight = np.ones(m)
-        self.p1, self.p0 = np.full(m, 0.3), np.full(m, 0.01)
+        self.p1 = np.clip(v.sum(axis=0) / max(v.any(axis=1).sum(), 1), 1e-4, 0.3)
+        self.p0 = self.p1 / 30
         for _ in range(3):
             for _ in range(rounds):
                 q = self.posterior(v)
@@ -223,7 +246,7 @@ def linear(x: np.ndarray, q: np.ndarray, rounds: int = 400, rate: float = 0.05,
 def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text", id_col: str = "doc_id",
           label: str = "toxic", rows: int = SAMPLE_ROWS) -> tuple[Lexicon, np.ndarray]:
     """(lexicon, weights of the linear model)."""
-    sample = sample_rows(docs, labels, fit_on, text, id_col, label, rows)
+    sample = materialize(sample_rows(docs, labels, fit_on, text, id_col, label, rows), "toxic-sample")
     words = mine_lexicon(sample)
     votes = Voters(words)
     width = votes.width

@@ -108,6 +108,42 @@ def test_toxicity_held_out(spark, data):
     assert (held[held["toxic"] == 1]["predicted"] == 1).mean() > 0.5
 
 
+def _toxic_table(spark, words_of, toxic=3000, seed=5):
+    """(documents, labels): as many clean rows as toxic ones, all of filler,
+    the toxic ones with the words that ``words_of(random, k)`` gives."""
+    rng = random.Random(seed)
+    rows, marks = [], []
+    for k in range(2 * toxic):
+        words = [f"filler{rng.randrange(400)}" for _ in range(40)]
+        for w in words_of(rng, k) if k % 2 else ():
+            words.insert(rng.randrange(len(words)), w)
+        rows.append((k, " ".join(words)))
+        marks.append((k, k % 2))
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame(marks, "doc_id long, toxic int")
+
+
+def test_toxicity_many_rare_words(spark):
+    Q.prepare(spark)
+    rare = ["".join(random.Random(k).choices("bcdfghklmnprst", k=7)) for k in range(150)]
+    docs, labels = _toxic_table(spark, lambda rng, k: rng.sample(rare, 2))      # each in 1.3 % of the toxic rows
+    lexicon, w = toxicity.train(docs, labels, F.col("doc_id") < 5000)
+    assert len({e for e, _ in lexicon} & {f"{x}$" for x in rare}) > 140
+    assert not any(e.startswith("filler") for e, _ in lexicon)
+    held = toxicity.score(docs.filter("doc_id >= 5000"), (lexicon, w)).toPandas()
+    assert ((held["score"] >= 0.7) == (held["doc_id"] % 2 == 1)).mean() > 0.95
+
+
+def test_toxicity_inflected_words(spark):
+    Q.prepare(spark)
+    forms = ["idiot", "idiots", "idiotic", "moron", "morons"]
+    docs, labels = _toxic_table(spark, lambda rng, k: [rng.choices(forms, [6, 1, 1, 6, 1])[0]], 1200)
+    model = toxicity.train(docs, labels, F.lit(True))
+    assert {f"{x}$" for x in forms} <= {e for e, _ in model[0]}
+    tried = spark.createDataFrame([(k, f"filler1 filler2 {x} filler3 filler4") for k, x in enumerate(forms)] + [(9, "filler1 filler2 filler3")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(tried, model).collect()}
+    assert min(score[k] for k in range(5)) >= 0.7 > score[9]
+
+
 def test_label_model_discounts_correlated_voters():
     rng = np.random.default_rng(3)
     y = rng.random(6000) < 0.2
