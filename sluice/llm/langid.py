@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from sluice.llm import text as T
 
 ORDER = 4
-#: Bounds of the training sample: rows of each language, and characters of each such text (longer ones are left out).
+#: Bounds of the training sample: rows of each language, characters of each such text (of longer ones, as many windows).
 SAMPLE_ROWS = 1500
 SAMPLE_CHARS = 20_000
+WINDOWS = 10
 #: Grams of the highest order that each language's model keeps, the most frequent first.
 MAX_GRAMS = 200_000
 REJECT = 8.0
@@ -161,17 +162,26 @@ class Model:
         return value / np.maximum(n, 1)[:, None], letters
 
 
+def windows(text: Column, key: Column) -> Column:
+    """A text of at most ``SAMPLE_CHARS``, or a window at a hashed place of each
+    of ``WINDOWS`` equal parts of a longer one."""
+    size, part = SAMPLE_CHARS // WINDOWS, F.length(text) / WINDOWS
+    place = lambda k: F.pmod(F.xxhash64(F.lit("window"), F.lit(k), key), F.lit(1_000_000)) / 1_000_000
+    cut = [text.substr((1 + F.floor(part * k + place(k) * (part - size))).cast("int"), F.lit(size)) for k in range(WINDOWS)]
+    return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(F.concat_ws("\n", *cut))
+
+
 def training_rows(docs: DataFrame, fit_on: Column, text: str, lang: str, id_col: str, rows: int) -> DataFrame:
     """A bounded sample of rows with ``lang``, ``text`` and ``part`` (0..9)."""
     docs = docs.select(id_col, text, lang)
-    labelled = docs.filter(fit_on & F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (F.length(text) > 0))
+    labelled = docs.filter(fit_on & F.col(lang).isNotNull() & (F.length(text) > 0))
     counts = labelled.groupBy(lang).count().collect()
     if not counts:
         return docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.lit(0).alias("part")).limit(0)
     rate = F.create_map(*[F.lit(x) for r in counts for x in (r[lang], min(1.0, rows / r["count"]))])
     draw = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1_000_000)) / 1_000_000
     return labelled.filter(draw < rate[F.col(lang)]).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(10)).alias("part"))
+        F.col(lang).alias("lang"), windows(F.col(text), F.col(id_col)).alias("text"), F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(10)).alias("part"))
 
 
 def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang", id_col: str = "doc_id",

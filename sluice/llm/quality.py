@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from sluice.llm import text as T
 
-#: Bounds of the training sample: rows of each label, lines of a row (rows with more are left out).
+#: Bounds of the training sample: rows of each label, lines of a row (of longer rows, as many in hashed runs).
 SAMPLE_ROWS = 2500
 SAMPLE_LINES = 200
+RUNS = 5
 FEATURES = ("one", "length", "upper", "digit", "symbol", "space", "repeat", "word_length", "symbol_ends", "marked_words",
             "distinct", "same_as_last", "blank", "wide")
 OWN = len(FEATURES)
@@ -184,12 +185,25 @@ def _logit(q: np.ndarray) -> np.ndarray:
     return np.log(q / (1 - q))
 
 
+def runs_of(lines: int, seed: int) -> list[tuple[int, int]]:
+    """All lines of a text as one run (first, end), or of one with more than
+    ``SAMPLE_LINES`` a run at a hashed place of each of ``RUNS`` equal parts."""
+    if lines <= SAMPLE_LINES:
+        return [(0, lines)]
+    size, part = SAMPLE_LINES // RUNS, lines / RUNS
+    place = T.mix64((np.arange(RUNS) + (seed & 0xFFFFFFFF)).astype(np.uint64)) / 2.0**64
+    first = (part * np.arange(RUNS) + place * (part - size)).astype(np.int64)
+    return [(a, a + size) for a in first.tolist()]
+
+
 def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text", id_col: str = "doc_id",
           label: str = "quality", rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float, float] | None:
     """(weights, transitions, slope, intercept) from a bounded sample of the
     labelled rows that ``fit_on`` (over the id) admits; None without rows of
     both labels."""
-    known = labels.filter(F.col(label).isin(0, 1) & fit_on).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
+    # Rates are those of the rows that can be drawn: labels of documents that are there.
+    known = (labels.filter(F.col(label).isin(0, 1) & fit_on).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
+             .join(docs.select(id_col), id_col, "left_semi"))
     counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     if len(counts) < 2:
         return None
@@ -197,31 +211,42 @@ def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text"
     rate = F.when(F.col("_y") == 1, min(1.0, rows / counts[1])).otherwise(min(1.0, rows / counts[0]))
     # The sample is bounded, so it may be broadcast to where the texts are.
     chosen = F.broadcast(known.filter(draw < rate).select(F.col(id_col).alias("_id"), "_y"))
-    few = F.size(F.split(F.coalesce("text", F.lit("")), "\n")) <= SAMPLE_LINES
     docs = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("text"))
-    sample = docs.join(chosen, F.col("_doc") == F.col("_id")).filter(few).select(F.coalesce("text", F.lit("")).alias("text"), "_y")
+    sample = docs.join(chosen, F.col("_doc") == F.col("_id")).select(
+        F.coalesce("text", F.lit("")).alias("text"), "_y", F.xxhash64(F.lit("lines"), "_doc").alias("_seed"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(batches, "text"):
             own, per_doc, size = line_features(*T.utf8(b.column("text")))
-            ends = np.cumsum(per_doc)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([own[e - k: e].astype("<f4").tobytes() for k, e in zip(per_doc, ends)], pa.binary()),
-                pa.array([size[e - k: e].astype("<i4").tobytes() for k, e in zip(per_doc, ends)], pa.binary()), b.column("_y")], ["own", "size", "_y"])
+            one, two, runs = [], [], []
+            for k, e, seed in zip(per_doc.tolist(), np.cumsum(per_doc).tolist(), b.column("_seed").to_pylist()):
+                parts = runs_of(k, seed)
+                at = np.concatenate([np.arange(max(s - 1, 0), min(z + 1, k)) for s, z in parts]) + e - k     # each run and the lines around it
+                one.append(own[at].astype("<f4").tobytes())
+                two.append(size[at].astype("<i4").tobytes())
+                runs.append(np.array([(s > 0, z - s, z < k) for s, z in parts], "<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(two, pa.binary()), pa.array(runs, pa.binary()), b.column("_y")], ["own", "size", "runs", "_y"])
 
-    got = sample.mapInArrow(features, "own binary, size binary, _y int").toArrow()
+    got = sample.mapInArrow(features, "own binary, size binary, runs binary, _y int").toArrow()
     if len(set(got["_y"].to_pylist())) < 2:
         return None
     packed, sizes, y = got["own"].to_pylist(), got["size"].to_pylist(), np.asarray(got["_y"]).astype(np.int64)
     order = sorted(range(len(y)), key=lambda k: (y[k], packed[k]))     # the same model whatever the order of arrival
     own = np.concatenate([np.frombuffer(packed[k], "<f4").reshape(-1, OWN) for k in order]).astype(np.float64)
-    per_doc = np.array([len(sizes[k]) // 4 for k in order])
     y = y[order]
-    weight = np.ones(len(y))
-    x = with_neighbours(own, per_doc)
-    w, t = fit(x, per_doc, y, weight)
-    p, _ = marginals(x @ w, t, per_doc)
-    size = np.concatenate([np.frombuffer(sizes[k], "<i4") for k in order]) + 1e-6
+    # Each run is a chain; the lines around it only give its first and last line their neighbours.
+    runs = [np.frombuffer(got["runs"][k].as_py(), "<i4").reshape(-1, 3) for k in order]
+    chains = np.array([len(r) for r in runs])
+    before, per_run, after = np.concatenate(runs).astype(np.int64).T
+    inner = np.ones(len(own), bool)
+    edge = np.cumsum(before + per_run + after)
+    inner[(edge - 1)[after > 0]] = False
+    inner[(edge - before - per_run - after)[before > 0]] = False
+    x = with_neighbours(own, before + per_run + after)[inner]
+    w, t = fit(x, per_run, np.repeat(y, chains), np.repeat(1 / chains, chains))     # a document weighs 1, whatever its runs
+    p, _ = marginals(x @ w, t, per_run)
+    size = np.concatenate([np.frombuffer(sizes[k], "<i4") for k in order])[inner] + 1e-6
+    per_doc = np.add.reduceat(per_run, np.cumsum(chains) - chains)
     first = np.cumsum(per_doc) - per_doc
     q = np.add.reduceat(p[:, 1] * size, first) / np.add.reduceat(size, first)
     # each label weighs as much as the other: the score is no matter of how rare bad documents are

@@ -55,6 +55,50 @@ def test_language_edges(spark):
     assert langid.identify(train.limit(0), model, limits).count() == 0
 
 
+def test_language_of_long_texts_only(spark):
+    Q.prepare(spark)
+    rng = random.Random(2)
+    word = {"en": "the cat sat on mat and dog with its bone".split(), "de": "der hund und die katze sind heute nicht da gewesen".split(),
+            "fi": "koira kissa istuu matolla eikä tänään ollut täällä".split()}
+    text = lambda lang, n: " ".join(rng.choices(word[lang], k=n))
+    schema = "doc_id long, text string, lang string"
+    long = lambda lang: text(lang, 5000)
+    assert len(long("fi")) > langid.SAMPLE_CHARS
+    mixed = [(k, long("fi") if k % 3 == 2 else text(("en", "de")[k % 3], 40), ("en", "de", "fi")[k % 3]) for k in range(90)]
+    only = [(k, long(x), x) for k in range(40) for x in [("en", "de")[k % 2]]]
+    for rows in (mixed, only):
+        df = spark.createDataFrame(rows, schema)
+        model, limits = langid.train(df, F.lit(True))
+        got = langid.identify(df, model, limits, prefix="p_").toPandas()
+        assert (got["lang"] == got["p_lang_pred"]).all() and not got["p_rejected"].any()
+
+
+def test_training_windows(spark):
+    text = "".join(chr(0x4e00 + k) for k in range(20_000)) + "abc"      # every character stands for its place
+    got = spark.createDataFrame([(7, text), (8, text[:20_000]), (9, "")], "id long, text string").select("id", langid.windows(F.col("text"), F.col("id")).alias("w")).collect()
+    got = {r["id"]: r["w"] for r in got}
+    assert got[8] == text[:20_000] and got[9] == ""
+    parts = got[7].split("\n")
+    places = [text.index(p) for p in parts]
+    assert all(len(p) == 2000 for p in parts) and all(b - a >= 2000 for a, b in zip(places, places[1:])) and len(parts) == langid.WINDOWS
+
+
+def test_quality_of_long_texts_only(spark):
+    Q.prepare(spark)
+    rng = random.Random(4)
+    good = lambda: " ".join(rng.choices("we went home and then had some tea with them".split(), k=9)).capitalize() + "."
+    bad = lambda: " ".join(rng.choices("### $$ 99 >> BUY || 00 %% @@".split(), k=9))
+    rows = [(k, "\n".join((good if k % 2 else bad)() for _ in range(quality.SAMPLE_LINES + 1 + 7 * k))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(k, 1) for k in range(1000, 9000)], "doc_id long, quality int")
+    model = quality.train(docs, labels, F.col("doc_id") != 0)
+    got = quality.score(docs, model).toPandas()
+    assert ((got["score"] >= 0.7) == (got["doc_id"] % 2 == 1)).all()
+    for n in (0, 1, 200, 201, 205, 5000):
+        runs = quality.runs_of(n, -n)
+        assert sum(z - a for a, z in runs) == min(n, 200) and all(a <= z <= n for a, z in runs) and all(x[1] <= y[0] for x, y in zip(runs, runs[1:]))
+
+
 def test_quality_held_out(spark, data):
     got = Q.op8_quality(spark, SF).toPandas().merge(data[1], on="doc_id")
     held = got[got["held_out"]]
