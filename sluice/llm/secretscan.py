@@ -43,7 +43,8 @@ CANDIDATE_LEAST = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 #: Encodings from the narrowest alphabet on; a candidate takes the first that holds all its characters.
 ENCODINGS = {
-    "hex": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "hex": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base32lower": "abcdefghijklmnopqrstuvwxyz234567",
+    "base36": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "base36lower": "abcdefghijklmnopqrstuvwxyz0123456789",
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",

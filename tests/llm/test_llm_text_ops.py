@@ -207,6 +207,16 @@ def test_randomness_battery_controls_false_discoveries(spark):
     assert 0.35 < np.mean(uniform) < 0.65
 
 
+def test_random_tokens_of_one_case(spark):
+    rng = random.Random(4)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    tokens = ["".join(rng.choices(a, k=n)) for a in (lower + digits, lower.upper() + digits, lower + "234567") for n in (32, 64, 96) for _ in range(60)]
+    df = spark.createDataFrame([(k, f"see {t} here") for k, t in enumerate(tokens)], "doc_id long, text string")
+    hits = {r["doc_id"] for r in secretscan.find_secrets(df).collect() if any(s["kind"] == 3 for s in r["spans"])}
+    for k in range(0, len(tokens), 60):
+        assert len(hits & set(range(k, k + 60))) > 48
+
+
 def _brute(rows, percent=85):
     table = {c: c + 32 for c in range(65, 91)}
     sets = []
