@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators (thin: production
-parameters, whole tables).  None has an oracle in SQL; each is tested
-against a brute-force version in ``tests/llm``."""
+parameters, whole tables).  Those that SQL can express have an oracle in
+``oracles``; all are tested against a brute-force version in ``tests/llm``."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, fingerprints, idfiles, langid, packing, quality, secretscan, setjoin, topk, toxicity
+from sluice.llm import (
+    bpe, fingerprints, hardneg, idfiles, langid, lexical, oracles, packing, quality, rulecascade, secretscan, setjoin, topk, toxicity)
 from sluice.llm.text import crc_bucket
 from sluice.session import checkpoint_dir, ship_package
 
@@ -82,6 +83,21 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.withColumn("label", label))
+
+
+def op13_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rulecascade.judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", *rulecascade.BASE, "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op2_jaccard_join, op3_secrets, op4_best_fit_packing, op5_bpe, op6_toxicity, op7_language_id, op8_quality, op9_token_files, op10_top_k)}
-ORACLE: dict[str, str] = {}
+    op1_fingerprints, op2_jaccard_join, op3_secrets, op4_best_fit_packing, op5_bpe, op6_toxicity, op7_language_id, op8_quality, op9_token_files,
+    op10_top_k, op11_lexical_search, op12_hard_negatives, op13_rule_cascade)}
+ORACLE: dict[str, str] = oracles.ORACLE
