@@ -9,60 +9,21 @@ row-by-candidate loop.
 
 from __future__ import annotations
 
-import csv
-import io
 from collections import defaultdict
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.exprs import canon_id, casefold, normalise_prefix, text_norm
 from sluice.operators.artifacts import under_prefix_join
+from sluice.sources.delimited import read_delimited
 
 
 # ── SRC-5 / PRJ-2: reading delimited files with per-file headers ─────────
-def _norm_header(h: str) -> str:
-    return h.strip().lstrip("\ufeff").strip().lower()
-
-
-def _parsed(spark: SparkSession, paths, columns: list[str], sep: str, names: list[str] | None) -> DataFrame:
-    """One row per record of every file, and one (``row_no`` 0, null values)
-    for its header; a file is parsed whole, with the CSV rules for quotes and
-    line breaks, by the task that reads it."""
-    files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file_path"), "content")
-    schema = ", ".join(["file_path string", "row_no long", *(f"`{c}` string" for c in columns), "missing_columns array<string>"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for path, raw in zip(b.column("file_path").to_pylist(), b.column("content").to_pylist()):
-                text = (raw or b"").decode("utf-8", "replace").lstrip("\ufeff")      # bad bytes become U+FFFD
-                rows = csv.reader(io.StringIO(text, newline=""), delimiter=sep)
-                head = names if names is not None else next((r for r in rows if r), None)
-                if head is None:
-                    continue
-                at: dict[str, int] = {}
-                for k, h in enumerate(head):
-                    at.setdefault(_norm_header(h), k)
-                where = [at.get(_norm_header(c)) for c in columns]
-                missing = [c for c, k in zip(columns, where) if k is None]
-                kept = [[None] * len(columns), *([r[k] if k is not None and k < len(r) and r[k] != "" else None for k in where] for r in rows if r)]
-                for a in range(0, len(kept), 10_000):
-                    part = kept[a: a + 10_000]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([path] * len(part), pa.string()), pa.array(range(a, a + len(part)), pa.int64()),
-                        *(pa.array([r[k] for r in part], pa.string()) for k in range(len(columns))),
-                        pa.array([missing] * len(part), pa.list_(pa.string()))], ["file_path", "row_no", *columns, "missing_columns"])
-
-    return files.mapInArrow(run, schema)
-
-
 def read_outbound_files(spark: SparkSession, paths, columns: list[str], sep: str = ","):
     """Rows (as ``read_outbound``) and the checked-file table: every file with
     a header line — header-only files included — and its missing columns."""
-    parsed = _parsed(spark, paths, columns, sep, None)
-    return parsed.where("row_no > 0"), parsed.where("row_no = 0").select("file_path", "missing_columns")
+    return read_delimited(spark, paths, columns, sep)
 
 
 def read_outbound(spark: SparkSession, paths, columns: list[str], sep: str = ",", header: bool = True,
@@ -70,9 +31,9 @@ def read_outbound(spark: SparkSession, paths, columns: list[str], sep: str = ","
     """All-string rows of delimited files whose column order may differ per
     file (H2): configured ``columns`` are found in each file's own header (trim,
     case-insensitive), absent ones are null and listed in ``missing_columns``.
-    ``row_no`` counts a file's records from 1.  Any legal file name works and no
-    file list passes through the driver; a file must fit one task's memory."""
-    return _parsed(spark, paths, columns, sep, None if header else list(names or [])).where("row_no > 0")
+    ``row_no`` counts a file's records from 1.  Files of any size are read in
+    splits, and no file list passes through the driver."""
+    return read_delimited(spark, paths, columns, sep, None if header else list(names or []))[0]
 
 
 # ── JOIN-3 / AGG-8 / AGG-9 / RECON-3 ─────────────────────────────────────
@@ -98,6 +59,20 @@ def _keyed(df: DataFrame, cols: list[str], prefix: str) -> DataFrame:
                             for i, c in enumerate(cols)])
 
 
+def relevant_rows(candidates: DataFrame, outbound: DataFrame, rule_list) -> DataFrame:
+    """The outbound rows that carry some candidate's identity: all that the
+    record checks need.  One pass over the rows; only these few go on."""
+    out = None
+    for imap in dict.fromkeys(r.outbound_identity_map for r in rule_list):
+        keys = [r.key for r in rule_list if r.outbound_identity_map == imap]
+        cand_cols, out_cols = [a for a, _ in imap], [b for _, b in imap]
+        k = [f"_k{i}" for i in range(len(imap))]
+        wanted = _keyed(candidates.where(F.col("rule_key").isin(keys)).select(*cand_cols), cand_cols, "_k").select(*k).distinct()
+        part = _keyed(outbound, out_cols, "_k").join(wanted, k, "left_semi").select(*outbound.columns)
+        out = part if out is None else out.unionByName(part).dropDuplicates(["file_path", "row_no"])
+    return out
+
+
 def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules: DataFrame, bucket: str,
                    value_mode: str = "any", files: DataFrame | None = None, own: DataFrame | None = None) -> DataFrame:
     """RECON-3 per candidate: files checked and matched, identity headers,
@@ -119,7 +94,7 @@ def match_outbound(candidates: DataFrame, outbound: DataFrame, rule_list, rules:
     else:
         in_sets = lambda df: rule_files(df, rules, bucket)
     per_rule_rows = in_sets(outbound)
-    per_rule_files = in_sets(files) if files is not None else per_rule_rows
+    per_rule_files = in_sets(files if files is not None else outbound.select("file_path", "missing_columns").distinct())
     by_map: dict[tuple, list] = defaultdict(list)
     for r in rule_list:
         by_map[(r.outbound_identity_map, r.outbound_column, r.outbound_expected_value)].append(r)

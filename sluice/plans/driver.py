@@ -695,7 +695,11 @@ WHERE nth = 1"""
 
 
 # ── outbound files ────────────────────────────────────────────────────────
+import uuid  # noqa: E402
+
 from sluice.operators import outbound as ob  # noqa: E402
+from sluice.session import checkpoint_dir, materialize  # noqa: E402
+from sluice.sources import delimited as dl  # noqa: E402
 
 
 def _outbound(spark, sf_dir):
@@ -710,27 +714,30 @@ def _file_path(bucket, key):
     return F.concat(F.lit("s3://"), bucket, F.lit("/"), key)
 
 
-def _written_runs(spark, sf_dir, rules):
+def _written_runs(rows, spark, rules):
     """The runs that wrote each record under its rule's prefix: (rule_key, _k0, _k1, run_id)."""
-    rows = ob.rule_files(_outbound(spark, sf_dir), rules, OUTBOUND_BUCKET)
+    rows = ob.rule_files(rows, rules, OUTBOUND_BUCKET)
     return rows.select("rule_key", "run_id", canon_id(text_norm(F.col("PracticeID"))).alias("_k0"),
                        canon_id(text_norm(F.col("BillingLocationID"))).alias("_k1")).distinct()
 
 
-def _with_runs(df, spark, sf_dir, rules):
-    """Records (rule_key, PracticeID, LocationID, ...) once per run that wrote them."""
+def _with_runs(df, rows, spark, rules):
+    """Records (rule_key, PracticeID, LocationID, ...) once per run that wrote them into ``rows``."""
     keyed = df.select("*", canon_id(text_norm(F.col("PracticeID"), df.schema["PracticeID"].dataType)).alias("_k0"),
                       canon_id(text_norm(F.col("LocationID"), df.schema["LocationID"].dataType)).alias("_k1"))
-    return keyed.join(_written_runs(spark, sf_dir, rules), ["rule_key", "_k0", "_k1"], "left").drop("_k0", "_k1")
+    return keyed.join(_written_runs(rows, spark, rules), ["rule_key", "_k0", "_k1"], "left").drop("_k0", "_k1")
 
 
-def _match(spark, sf_dir, mode):
+def _match(spark, sf_dir, mode, outbound=None, files=None):
     rules = rules_frame(spark, DRIVER_RULES)
+    outbound = _outbound(spark, sf_dir) if outbound is None else outbound
+    files = materialize(outbound.select("file_path", "missing_columns").distinct() if files is None else files, "files")
     runs, _, _, facts = _logs(spark, sf_dir)
     own = _artifacts(runs, facts, rules).select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path"))
-    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF).select("rule_key", "PracticeID", "LocationID").distinct()
-    cands = _with_runs(cands, spark, sf_dir, rules).withColumnRenamed("run_id", "file_set")
-    return ob.match_outbound(cands, _outbound(spark, sf_dir), DRIVER_RULES, rules, OUTBOUND_BUCKET, value_mode=mode, own=own
+    cands = materialize(cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF).select("rule_key", "PracticeID", "LocationID").distinct(), "candidates")
+    rows = materialize(ob.relevant_rows(cands, outbound, DRIVER_RULES), "outbound-rows")
+    cands = _with_runs(cands, rows, spark, rules).withColumnRenamed("run_id", "file_set")
+    return ob.match_outbound(cands, rows, DRIVER_RULES, rules, OUTBOUND_BUCKET, value_mode=mode, files=files, own=own
                              ).withColumnRenamed("file_set", "run_id")
 
 
@@ -812,12 +819,76 @@ O_OUTBOUND_MATCH = _RUN_MATCH + """
 SELECT rule_key, PracticeID, LocationID, set_id AS run_id, n_files_checked, files_matched, matched_rows,
        CASE WHEN files_matched > 0 THEN 'PASS' ELSE 'FAIL' END AS identity_verdict FROM m"""
 O_OUTBOUND_EXPECTED_ANY = _expected_sql("any")
+# Over the files: rows of a file without the identity column match nothing, and its sets fail.
+_MISSING_ID = "instr('0123456789abcdef', substr(md5(file_path), 1, 1)) = 16"
+O_OUTBOUND_FILE_MATCH = _with(*_OUT_VIEWS, extra=",".join([_QUALIFYING_SQL, _LOG_SQL, _OUTBOUND_SQL, _RUN_SETS_SQL]).replace(
+    "wr AS (SELECT DISTINCT rule_key, k0, k1, run_id FROM orow)", f"wr AS (SELECT DISTINCT rule_key, k0, k1, run_id FROM orow WHERE NOT {_MISSING_ID})")
+    + "," + _MATCH_SQL.replace("JOIN srow o ON", f"JOIN (SELECT * FROM srow WHERE NOT {_MISSING_ID}) o ON")) + f"""
+SELECT rule_key, PracticeID, LocationID, run_id, n_files_checked, files_matched, value_ok,
+       CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict, reason
+FROM (SELECT m.rule_key, m.PracticeID, m.LocationID, m.set_id AS run_id, n_files_checked, files_matched, value_any AS value_ok,
+             CASE WHEN n_files_checked = 0 THEN 'no outbound files were checked'
+                  WHEN EXISTS (SELECT 1 FROM srow s WHERE s.rule_key = m.rule_key AND s.set_id = m.set_id AND {_MISSING_ID.replace('file_path', 's.file_path')})
+                  THEN 'identity column missing from a checked file'
+                  WHEN files_matched = 0 THEN 'record not found in any outbound file'
+                  WHEN NOT COALESCE(value_any, false) THEN 'unexpected value in a matched file' END AS reason
+      FROM m) x"""
 O_OUTBOUND_EXPECTED_ALL = _expected_sql("all")
 
 
+# The same rows as real delimited files: headers drift from file to file
+# (order, case, blanks, missing columns), and a note holds quotes and line breaks.
+FILE_COLUMNS = ["run_id", "PracticeID", "TaxIDNumber", "BillingLocationID", "DataSource", "Note"]
+FILE_PARTS = 2
+_DRIFT = "instr('0123456789abcdef', substr(md5(file_path), 1, 1)) - 1"
+_NOTE = "'said \"' || BillingServiceCategoryTypeName || '\",' || chr(10) || CASE WHEN row_no % 3 = 0 THEN '' ELSE 'line two' END"
+_FILE_VIEW = f"SELECT *, {_DRIFT} AS drift, {_NOTE} AS Note FROM outbound_rows"
+
+
+def _outbound_files(spark, sf_dir):
+    """Write the outbound rows as files and read them back: (rows, files), file paths as the log names them."""
+    rows = spark.sql(_FILE_VIEW.replace("outbound_rows", "{outbound_rows}"), outbound_rows=catalog(spark, sf_dir)["outbound_rows"])
+    drift = F.col("drift")
+    cases = [(drift < 8, FILE_COLUMNS, FILE_COLUMNS),
+             (drift < 12, [f" {c.upper()}" for c in reversed(FILE_COLUMNS)], list(reversed(FILE_COLUMNS))),
+             (drift < 15, *[[c for c in FILE_COLUMNS if c != "TaxIDNumber"]] * 2),
+             (F.lit(True), *[[c for c in FILE_COLUMNS if c != "BillingLocationID"]] * 2)]
+    head, values = F.when(F.lit(False), F.array(F.lit(""))), F.when(F.lit(False), F.array(F.lit("")))
+    for when, names, cols in cases:
+        head, values = head.when(when, F.array(*(F.lit(n) for n in names))), values.when(when, F.array(*cols))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/outbound-files/{uuid.uuid4().hex[:12]}"
+    dl.write_delimited(rows.withColumn("_head", head).withColumn("_values", values), folder, "file_path", "row_no", "_head", "_values", FILE_PARTS)
+    read, files = ob.read_outbound_files(spark, f"{folder}/*/*", FILE_COLUMNS)
+    plain = F.url_decode(F.replace(F.regexp_extract("file_path", "/name=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    part = F.regexp_extract("file_path", "/part=([0-9]+)/", 1).cast("int")
+    return tuple(df.withColumn("part", part).withColumn("file_path", plain) for df in (read, files))
+
+
+def q_outbound_file_rows(spark, sf_dir):
+    read, _ = _outbound_files(spark, sf_dir)
+    return read.select("file_path", "part", "row_no", *FILE_COLUMNS, F.array_join("missing_columns", ",").alias("missing"))
+
+
+def q_outbound_file_match(spark, sf_dir):
+    read, files = _outbound_files(spark, sf_dir)
+    rows = read.withColumn("row_no", F.col("row_no") * FILE_PARTS + F.col("part"))
+    return _match(spark, sf_dir, "any", rows.drop("part"), files.select("file_path", "missing_columns").distinct()).select(
+        "rule_key", "PracticeID", "LocationID", "run_id", "n_files_checked", "files_matched", F.col("value_any").alias("value_ok"), "verdict", "reason")
+
+
+_FILE_VALUES = ", ".join(
+    f"NULLIF(CASE WHEN drift {t} THEN NULL ELSE {c} END, '') AS {c}" if t else f"NULLIF({c}, '') AS {c}"
+    for c, t in zip(FILE_COLUMNS, ("", "", "IN (12, 13, 14)", "= 15", "", "")))
+O_OUTBOUND_FILE_ROWS = _with("outbound_rows") + f"""
+SELECT file_path, CAST(row_no % {FILE_PARTS} AS INTEGER) AS part,
+       row_number() OVER (PARTITION BY file_path, row_no % {FILE_PARTS} ORDER BY row_no) AS row_no, {_FILE_VALUES},
+       CASE WHEN drift IN (12, 13, 14) THEN 'TaxIDNumber' WHEN drift = 15 THEN 'BillingLocationID' ELSE '' END AS missing
+FROM ({_FILE_VIEW}) f"""
+
+
 def q_outbound_first3(spark, sf_dir):
     cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
-    return ob.first_matching_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES,
+    return ob.first_matching_rows(cands, ob.relevant_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES), DRIVER_RULES,
                                   rules_frame(spark, DRIVER_RULES), OUTBOUND_BUCKET, 3)
 
 
@@ -903,7 +974,7 @@ QUERIES.update({
     "object_search": q_object_search,
     "outbound_match": q_outbound_match,
     "outbound_expected_any": q_outbound_expected_any,
-    "outbound_expected_all": q_outbound_expected_all,
+    "outbound_expected_all": q_outbound_expected_all, "outbound_file_rows": q_outbound_file_rows, "outbound_file_match": q_outbound_file_match,
     "outbound_first3": q_outbound_first3,
     "outbound_rowcount": q_outbound_rowcount,
     "id_overlap": q_id_overlap,
@@ -914,7 +985,7 @@ ORACLE.update({
     "object_search": O_OBJECT_SEARCH,
     "outbound_match": O_OUTBOUND_MATCH,
     "outbound_expected_any": O_OUTBOUND_EXPECTED_ANY,
-    "outbound_expected_all": O_OUTBOUND_EXPECTED_ALL,
+    "outbound_expected_all": O_OUTBOUND_EXPECTED_ALL, "outbound_file_rows": O_OUTBOUND_FILE_ROWS, "outbound_file_match": O_OUTBOUND_FILE_MATCH,
     "outbound_first3": O_OUTBOUND_FIRST3,
     "outbound_rowcount": O_OUTBOUND_ROWCOUNT,
     "id_overlap": O_ID_OVERLAP,
@@ -1221,7 +1292,10 @@ def q_stage_verdict(spark, sf_dir):
     runs = c["runs"]
     skipped = F.coalesce(F.col("state") == "SKIPPED_TRIGGER", F.lit(False))
     search = F.concat_ws("/", "run_id", "rule_key", F.col("PracticeID").cast("string"), F.col("LocationID").cast("string"))
-    recs = materialize(_with_runs(pre, spark, sf_dir, rules).join(runs.select("run_id", "state", "started_at"), "run_id", "left")
+    outbound = _outbound(spark, sf_dir)
+    files = outbound.select("file_path", "missing_columns").distinct()
+    written = materialize(ob.relevant_rows(q, outbound, DRIVER_RULES), "outbound-rows")
+    recs = materialize(_with_runs(pre, written, spark, rules).join(runs.select("run_id", "state", "started_at"), "run_id", "left")
                        .withColumn("file_set", F.when(skipped, search).otherwise(F.col("run_id"))), "records")
 
     summary, facts = (materialize(t, "log_scan") for t in lg.scan_logs(c["run_log_captures"], C))      # small: per run and fact
@@ -1249,8 +1323,8 @@ def q_stage_verdict(spark, sf_dir):
                    F.min(F.when(F.col("verdict") != "PASS", F.concat_ws(": ", "key", "state"))).alias("_ar")))
     own = arts.select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path")).unionByName(
         found.join(recs.select("rule_key", "file_set"), "file_set").select("rule_key", "file_set", _file_path(F.col("_fb"), F.col("_fk")).alias("file_path")))
-    content = (ob.match_outbound(recs.select("rule_key", "PracticeID", "LocationID", "file_set"), _outbound(spark, sf_dir), DRIVER_RULES, rules,
-                                 OUTBOUND_BUCKET, "any", own=own)
+    content = (ob.match_outbound(recs.select("rule_key", "PracticeID", "LocationID", "file_set"), written, DRIVER_RULES, rules,
+                                 OUTBOUND_BUCKET, "any", files=files, own=own)
                .select(*_SET_KEYS, F.col("verdict").alias("outbound_content_verdict"), F.col("reason").alias("outbound_content_reason")))
     pids = pid.select("process_id").unionByName(found.select(F.col("_fpid").alias("process_id"))).where(F.col("process_id").isNotNull()).distinct()
     term = st.terminal_state(c["process_status"], process_ids=pids)
