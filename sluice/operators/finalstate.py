@@ -38,31 +38,28 @@ def entity_state_rows(after: DataFrame) -> DataFrame:
 
 
 def final_state(spark: SparkSession, candidates: DataFrame, state: DataFrame, rule_list) -> DataFrame:
-    """RECON-6 per (rule, record): the row is found by the rule's key columns,
-    the keys agree as text, and the final column (strip, upper) is one of the
-    expected values; a blank value is reported as NULL."""
+    """JOIN-7 + RECON-6, one row per (rule, record): the state row is found by
+    the rule's key columns and its final column (strip, upper) is one of the
+    expected values; a blank value is reported as NULL.  State rows of one key
+    that agree count once; rows that differ fail with their values' range."""
     out = None
     groups: dict[tuple, list] = {}
     for r in rule_list:
         groups.setdefault((r.final_key_columns, r.final_column, tuple(r.final_expected_values)), []).append(r)
     for (keys, col, expected), rs in groups.items():
         c = candidates.where(F.col("rule_key").isin([r.key for r in rs])).select("rule_key", *keys).distinct()
-        s = state.select(*keys, F.col(col).alias("_final"), F.lit(True).alias("_found"),
-                         *[F.col(k).alias(f"_s_{k}") for k in keys])
+        value = flag(F.col(col))
+        s = state.select(*keys, F.when(value == "", "NULL").otherwise(value).alias("_v")).groupBy(*keys).agg(
+            F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.lit(True).alias("_found"))
         j = c.join(s, list(keys), "left")
         found = F.coalesce("_found", F.lit(False))
-        actual = flag(F.col("_final"))
-        keys_equal = F.lit(True)
-        for k in keys:
-            keys_equal = keys_equal & (text_of(c, k) == text_norm(F.col(f"_s_{k}"), c.schema[k].dataType))
+        one = F.col("_low") == F.col("_high")
         exp = [str(v).strip().upper() for v in expected]
         reason = (F.when(~found, F.lit("final row not found"))
-                  .when(~keys_equal, F.lit("final row key differs"))
-                  .when(~actual.isin(exp), F.concat(F.lit(f"expected {col} in {sorted(exp)}, found "),
-                                                     F.when(actual == "", "NULL").otherwise(actual))))
+                  .when(~one, F.concat(F.lit(f"final rows differ in {col}: "), "_low", F.lit(" .. "), "_high"))
+                  .when(~F.col("_low").isin([e or "NULL" for e in exp]), F.concat(F.lit(f"expected {col} in {sorted(exp)}, found "), "_low")))
         part = j.select("rule_key", *[F.col(k).cast("string").alias(k) for k in keys],
-                        found.alias("found"),
-                        F.when(~found, F.lit(None)).when(actual == "", "NULL").otherwise(actual).alias("actual_value"),
+                        found.alias("found"), F.when(found & one, F.col("_low")).alias("actual_value"),
                         F.when(reason.isNull(), "PASS").otherwise("FAIL").alias("verdict"), reason.alias("reason"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out

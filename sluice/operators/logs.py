@@ -14,11 +14,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.exprs import UUID_PATTERN, file_name, normalise_prefix
+from sluice.operators.artifacts import ancestors
 from sluice.rules import rule_alias_frame
+from sluice.sources.files import read_lines
 
 # ── fixed values: source order of the log retrieval ──────────────────────
 SOURCE_ORDER = ("api", "manager", "file")
@@ -162,7 +164,7 @@ def source_health(summary: DataFrame) -> DataFrame:
                 .when(F.col("stream_ok"), F.lit(True))
                 .otherwise(F.col("mentions_run")))
     failure = (F.when(F.col("n_lines") == 0, F.lit("no lines"))
-               .when(~F.col("has_sentinel"), F.lit("completion line never appeared"))
+               .when(~F.col("has_sentinel"), F.lit("no completion line"))
                .when((src == "file") & F.col("wrong_stream").isNotNull(),
                      F.concat(F.lit("declared stream '"), F.col("wrong_stream"), F.lit("' is not run '"),
                               rid, F.lit("'"))))
@@ -171,11 +173,16 @@ def source_health(summary: DataFrame) -> DataFrame:
                       verified.alias("run_verified"), failure.alias("failure"))
 
 
+def flag_text(value: str | None) -> str:
+    """An option as it is compared: no outer blanks, lower case."""
+    return str(value if value is not None else "").strip().lower()
+
+
 def pick_source(summary: DataFrame, mode: str = "auto") -> DataFrame:
     """ORD-6: the first usable source per run (api, manager, file); without a
     run id only ``file``; an explicit mode uses that source only.  Skipped
     sources are listed with their reason, in source order."""
-    mode = (mode or "auto").strip().lower()
+    mode = flag_text(mode) or VALID_MODES[0]
     if mode not in VALID_MODES:
         raise ValueError(f"log source {mode!r} is none of {', '.join(VALID_MODES)}")
     expected = SOURCE_ORDER if mode == "auto" else (mode,)
@@ -251,11 +258,15 @@ def runs_rules(runs: DataFrame, rules: DataFrame) -> DataFrame:
 
 def artifacts_by_rule(artifacts: DataFrame, runs: DataFrame, rules: DataFrame, bucket: str) -> DataFrame:
     """JOIN-9 + FLT-5/9: artifacts under each rule's prefix (leading '/'
-    ignored), with the bucket and strict-prefix checks as columns."""
+    ignored; rules of equal prefixes share them, of nested ones the longest
+    wins), with the bucket and strict-prefix checks as columns."""
     rr = runs_rules(runs, rules).withColumn("prefix", normalise_prefix(F.col("outbound_prefix")))
-    j = artifacts.join(rr, "run_id")
-    under = F.ltrim(F.col("key"), F.lit("/")).startswith(F.col("prefix"))
-    return j.where(under).select(
+    # Each key's directories meet the prefixes of the run's rules; of nested prefixes the deepest keeps the key.
+    j = artifacts.withColumn("_dir", F.explode(ancestors(F.col("key")))).join(
+        rr.select("run_id", "rule_key", "prefix", F.col("prefix").alias("_dir")), ["run_id", "_dir"])
+    depth = Window.partitionBy("run_id", "bucket", "key")
+    j = j.withColumn("_deepest", F.max(F.length("prefix")).over(depth)).where(F.length("prefix") == F.col("_deepest"))
+    return j.select(
         "run_id", "rule_key", "position", "chunk", "bucket", "key", "filename", "process_id",
         (F.col("bucket") == F.lit(bucket)).alias("bucket_ok"),
         F.col("key").startswith(F.col("prefix")).alias("prefix_ok"))
@@ -402,3 +413,17 @@ def newest_log_files(listing: DataFrame, runs: DataFrame, directories: list[str]
         gr = F.struct(F.lit(gen_rank[0]).alias("dir_rank"), F.lit(gen_rank[1]).alias("pat_rank"))
         path = F.when(F.col("_p").isNotNull() & (F.col("_r") < gr), F.col("_p")).otherwise(F.lit(gen_path))
     return out.select("run_id", path.alias("path"))
+
+
+def newest_log_captures(listing: DataFrame, runs: DataFrame, directories: list[str], patterns: list[str], run_id_pattern: str) -> DataFrame:
+    """SRC-4 + ORD-5: the lines of each run's newest log file as captures of
+    source ``file``.  Only the chosen files are opened.  ``listing`` may name a file's
+    place by ``stored`` where that differs from its ``path``; a file chosen by several runs is read once."""
+    stored = F.col("stored") if "stored" in listing.columns else F.col("path")
+    chosen = newest_log_files(listing, runs, directories, patterns, run_id_pattern).where(F.col("path").isNotNull())
+    files = listing.select("path", stored.alias("stored"), "size", "modified_at").join(chosen.select("path").distinct(), "path", "left_semi")
+    lines = read_lines(files, "stored").select(
+        "path", "modified_at", _line_no(F.lit(0), F.col("offset")), F.col("line").alias("message"))
+    return lines.join(chosen, "path").select(
+        "run_id", F.lit("file").alias("source"), F.substring_index("path", "/", -1).alias("file_name"), "modified_at", "line_no", "message",
+        F.lit(None).cast("string").alias("declared_stream"))

@@ -29,6 +29,8 @@ EMPTY_RESPONSE = "(response field is empty)"
 PREVIEW_CHARS = 2000
 LOADER_SUB_PROCESS = "Data-Loader-File"
 RECORD_SUB_PROCESS = "File-Record"
+# Different errors listed per process, the commonest first.
+MAX_ERRORS = 5
 
 
 def classify(status: DataFrame) -> DataFrame:
@@ -50,13 +52,14 @@ def process_counters(status: DataFrame) -> DataFrame:
     )
 
 
-def split_results(splits: DataFrame, status: DataFrame) -> DataFrame:
+def split_results(splits: DataFrame, status: DataFrame | None = None, counters: DataFrame | None = None) -> DataFrame:
     """AGG-2 + JOIN-6: one row per listed split (duplicates stay duplicates).
 
     PASS iff the split has rows and none errored or stuck; a split without
-    rows fails with its own reason.
+    rows fails with its own reason.  ``counters`` (as ``process_counters``
+    gives them, or an incremental run) may be given instead of the status rows.
     """
-    counters = process_counters(status)
+    counters = process_counters(status) if counters is None else counters
     j = splits.join(counters, splits["split_process_id"] == counters["process_id"], "left")
     total = F.coalesce("total_sub_processes", F.lit(0)).cast("long")
     errored = F.coalesce("errored", F.lit(0)).cast("long")
@@ -206,6 +209,7 @@ def terminal_state(status: DataFrame, loader: str = LOADER_SUB_PROCESS, record:
         keys = ["process_id"] + (["business_value"] if "business_value" in process_ids.columns else [])
         c = c.join(process_ids.select(*keys).distinct(), keys, "left_semi")
     name = F.col("sub_process_name")
+    statuses = lambda sub: F.array_join(F.sort_array(F.collect_set(F.when(name == sub, F.col("status_norm")))), ",")
     agg = c.groupBy("process_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if("is_errored").alias("n_errors"),
@@ -214,9 +218,15 @@ def terminal_state(status: DataFrame, loader: str = LOADER_SUB_PROCESS, record:
         F.count_if(name == record).alias("n_record"),
         F.coalesce(F.bool_or((name == loader) & F.col("status_norm").isin("COMPLETED", "SUCCESS")),
                    F.lit(False)).alias("loader_done"),
-        F.array_join(F.sort_array(F.collect_set(F.when(name == loader, F.col("status_norm")))), ",")
-         .alias("loader_statuses"),
-    )
+        statuses(loader).alias("loader_statuses"), statuses(record).alias("record_statuses"))
+    # The commonest errors of each process: counted first, so a list never holds more than MAX_ERRORS.
+    text = F.coalesce(F.nullif(text_norm(F.col("error")), F.lit("")) if "error" in c.columns else F.lit(None), F.col("status_norm"))
+    counted = c.where("is_errored").groupBy("process_id", text.alias("_e")).agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.row_number().over(Window.partitionBy("process_id").orderBy(F.desc("_n"), "_e"))
+    entry = F.concat("_e", F.lit(" ("), F.col("_n").cast("string"), F.lit(")"))
+    listed = (counted.withColumn("_rank", rank).where(F.col("_rank") <= MAX_ERRORS).groupBy("process_id")
+              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_rank", entry.alias("e")))), lambda x: x["e"]), "; ").alias("errors")))
+    agg = agg.join(listed, "process_id", "left").withColumn("errors", F.coalesce("errors", F.lit("")))
     verdict_reason = (F.when(F.col("n_errors") > 0, F.lit("status rows report errors"))
                       .when(F.col("n_in_progress") > 0, F.lit("still IN-PROGRESS"))
                       .when(F.col("n_loader") == 0, F.lit(f"no {loader} row"))

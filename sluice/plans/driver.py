@@ -9,12 +9,16 @@ BIGINT.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.exprs import canon_id, process_uuid, text_norm
 from sluice.operators import candidates as cand
+from sluice.operators import increments as inc
 from sluice.rules import SuppressionRule
+from sluice.session import materialize, scratch_folder
 from sluice.sources.catalog import Catalog, oracle_with
 from sluice.sources.driver_views import ALL_VIEWS, AS_OF
 
@@ -401,8 +405,14 @@ def q_terminal_state(spark, sf_dir):
     return st.terminal_state(status)
 
 
-O_TERMINAL_STATE = _with("process_status") + """
-SELECT *, CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict
+O_TERMINAL_STATE = _with("process_status", extra="""
+errs AS (
+  SELECT process_id, string_agg(e || ' (' || CAST(n AS VARCHAR) || ')', '; ' ORDER BY place) AS errors
+  FROM (SELECT *, row_number() OVER (PARTITION BY process_id ORDER BY n DESC, e) AS place
+        FROM (SELECT process_id, COALESCE(NULLIF(trim(COALESCE(error, '')), ''), upper(trim(COALESCE(status, '')))) AS e, count(*) AS n
+              FROM process_status WHERE upper(trim(COALESCE(status, ''))) IN ('FAILED', 'ERROR') GROUP BY ALL) g) r
+  WHERE place <= 5 GROUP BY process_id)""") + """
+SELECT b.*, COALESCE(errs.errors, '') AS errors, CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict
 FROM (
   SELECT *, CASE WHEN n_errors > 0 THEN 'status rows report errors'
                  WHEN n_in_progress > 0 THEN 'still IN-PROGRESS'
@@ -418,9 +428,26 @@ FROM (
            COALESCE(bool_or(sub_process_name = 'Data-Loader-File' AND s IN ('COMPLETED', 'SUCCESS')), false)
              AS loader_done,
            COALESCE(array_to_string(list_sort(list(DISTINCT s) FILTER (WHERE sub_process_name = 'Data-Loader-File')), ','), '')
-             AS loader_statuses
+             AS loader_statuses,
+           COALESCE(array_to_string(list_sort(list(DISTINCT s) FILTER (WHERE sub_process_name = 'File-Record')), ','), '')
+             AS record_statuses
     FROM (SELECT *, upper(trim(COALESCE(status, ''))) AS s FROM process_status) t
-    GROUP BY process_id) a) b"""
+    GROUP BY process_id) a) b LEFT JOIN errs ON errs.process_id = b.process_id"""
+
+
+def _half_time(status):
+    """The middle of the status rows' time span, to the second."""
+    low, high = status.agg(F.min(F.unix_timestamp("updated_at")), F.max(F.unix_timestamp("updated_at"))).first()
+    return dt.datetime.fromtimestamp((low + high) // 2, dt.timezone.utc).replace(tzinfo=None), dt.datetime.fromtimestamp(high + 1, dt.timezone.utc).replace(tzinfo=None)
+
+
+def q_split_status_incremental(spark, sf_dir):
+    """Two delta runs, the second one repeated: the same answer as the full scan."""
+    splits, status, _ = _status_inputs(spark, sf_dir)
+    folder = scratch_folder(spark, "totals")
+    for until in (*_half_time(status), _half_time(status)[1]):
+        counters = inc.split_counters(spark, folder).advance(status, "updated_at", st.process_counters, until)
+    return st.split_results(splits, counters=counters)
 
 QUERIES.update({
     "split_status": q_split_status,
@@ -429,6 +456,7 @@ QUERIES.update({
     "failure_breakdown": q_failure_breakdown,
     "stuck_top10": q_stuck_top10,
     "terminal_state": q_terminal_state,
+    "split_status_incremental": q_split_status_incremental,
 })
 ORACLE.update({
     "split_status": O_SPLIT_STATUS,
@@ -437,12 +465,14 @@ ORACLE.update({
     "failure_breakdown": O_FAILURE_BREAKDOWN,
     "stuck_top10": O_STUCK_TOP10,
     "terminal_state": O_TERMINAL_STATE,
+    "split_status_incremental": O_SPLIT_STATUS,
 })
 
 
 # ── run logs ──────────────────────────────────────────────────────────────
 from sluice.operators import logs as lg  # noqa: E402
 from sluice.rules import rules_frame  # noqa: E402
+from sluice.sources import files, sinks  # noqa: E402
 
 OUTBOUND_BUCKET = "outbound-bucket"
 C = lg.DEFAULT_CONTRACT
@@ -464,6 +494,40 @@ def q_log_source_pick(spark, sf_dir):
     return _logs(spark, sf_dir)[1]
 
 
+# The ``file`` source as real log files: an early copy that lacks every second
+# line and, for two runs of three, a later whole one, both in the first folder;
+# the newest copies lie in the second folder, which counts only where the first has none.
+LOG_FOLDERS = ("primary", "archive")
+_RUN_NO = "CAST(substr(run_id, 4) AS INT)"
+_LOG_COPIES = (("primary", "1", f"line_no % 2 = 0 AND {_RUN_NO} % 5 <> 4"), ("primary", "2", f"{_RUN_NO} % 3 <> 0 AND {_RUN_NO} % 5 <> 4"), ("archive", "3", "true"))
+_NEWEST_COPY = f"({_RUN_NO} % 5 = 4 OR {_RUN_NO} % 3 <> 0 OR line_no % 2 = 0)"
+
+
+def _log_files(spark, lines):
+    """Write the copies one after the other; their listing with logical paths."""
+    folder = scratch_folder(spark, "log-files")
+    for where, copy, some in _LOG_COPIES:
+        name = F.concat(F.lit("output-"), "run_id", F.lit(f"-{copy}.log"))
+        (lines.where(some).select(F.lit(where).alias("folder"), name.alias("name"), "line_no", F.col("message").alias("value"))
+         .repartition("name").sortWithinPartitions("folder", "name", "line_no").drop("line_no")
+         .write.mode("append").partitionBy("folder", "name").text(folder))
+    listing = files.list_files(spark, folder)
+    part = lambda c: F.regexp_extract("path", f"/{c}=([^/]*)/", 1)
+    plain = ~F.substring_index("path", "/", -1).rlike("^[._]")      # no checksum or commit files
+    return (listing.where((part("name") != "") & plain)
+            .select(F.col("path").alias("stored"), F.concat_ws("/", part("folder"), part("name")).alias("path"), "size", "modified_at"))
+
+
+def q_log_file_pick(spark, sf_dir):
+    """The choice among sources when ``file`` is each run's newest log file on disk."""
+    captures = catalog(spark, sf_dir)["run_log_captures"]
+    listing = _log_files(spark, captures.where(F.col("source") == "file"))
+    found = lg.newest_log_captures(listing, captures.select("run_id").distinct(), list(LOG_FOLDERS), ["output-{run_id}-*.log"], r"(jr_[0-9]+)")
+    line_no = F.struct(F.lit(0).cast("long").alias("seq"), F.col("line_no").cast("long").alias("pos"))
+    others = captures.where(F.col("source") != "file").withColumn("line_no", line_no)
+    return lg.pick_source(lg.log_summary(others.unionByName(found), C))
+
+
 def q_log_report(spark, sf_dir):
     return lg.run_report(*_logs(spark, sf_dir)[2:])
 
@@ -477,12 +541,32 @@ def q_artifact_by_rule(spark, sf_dir):
     return _artifacts(runs, facts, rules_frame(spark, DRIVER_RULES))
 
 
+def _nested_rules(spark):
+    """The registry with one rule's prefix around the others'."""
+    prefix = F.when(F.col("rule_key") == "practice_f_z", "outbound/").otherwise(F.col("outbound_prefix"))
+    return rules_frame(spark, DRIVER_RULES).withColumn("outbound_prefix", prefix)
+
+
+def q_artifact_longest_prefix(spark, sf_dir):
+    runs, _, _, facts = _logs(spark, sf_dir)
+    return _artifacts(runs, facts, _nested_rules(spark))
+
+
 def q_process_id_unique(spark, sf_dir):
     runs, _, _, facts = _logs(spark, sf_dir)
     rules = rules_frame(spark, DRIVER_RULES)
     return lg.process_id_check(_artifacts(runs, facts, rules), runs, rules)
 
 
+def q_result_tables(spark, sf_dir):
+    """A verdict table written by rule and run, one run's part written again, and read back."""
+    verdicts = materialize(q_process_id_unique(spark, sf_dir), "verdicts")
+    path = scratch_folder(spark, "results")
+    sinks.write_results(verdicts, path, ("rule_key", "run_id"))
+    sinks.write_results(verdicts.where("run_id < 'jr_020'"), path, ("rule_key", "run_id"))
+    return spark.read.parquet(path).select(*verdicts.columns)
+
+
 def q_log_verdict(spark, sf_dir):
     runs, _, summary, facts = _logs(spark, sf_dir)
     rules = rules_frame(spark, DRIVER_RULES)
@@ -517,7 +601,7 @@ h2 AS (
          CASE WHEN source = 'api' THEN true WHEN source = 'manager' THEN text_has_run
               WHEN stream_ok THEN true ELSE mentions_run END AS verified,
          CASE WHEN n_lines = 0 THEN 'no lines'
-              WHEN NOT has_sentinel THEN 'completion line never appeared'
+              WHEN NOT has_sentinel THEN 'no completion line'
               WHEN source = 'file' AND wrong_stream IS NOT NULL
                    THEN 'declared stream ''' || wrong_stream || ''' is not run ''' || run_id || '''' END AS failure
   FROM h),
@@ -585,9 +669,20 @@ rep AS (SELECT rc.run_id, al.rule_key, arg_max(rc.rule_count, rc.value_line) AS
 
 _LOG_VIEWS = ("run_log_captures", "runs")
 O_LOG_SOURCE_PICK = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM picks"
+_FILE_CAPTURES = f"""
+SELECT run_id, source, file_name, modified_at, line_no, message, CASE WHEN source <> 'file' THEN declared_stream END AS declared_stream
+FROM ({ALL_VIEWS['run_log_captures']}) AS lines WHERE source <> 'file' OR {_NEWEST_COPY}"""
+O_LOG_FILE_PICK = (oracle_with({**ALL_VIEWS, "run_log_captures": _FILE_CAPTURES}, list(_LOG_VIEWS)).rstrip("\n") + ",\n" + _LOG_SQL
+                   + "\nSELECT * FROM picks")
 O_LOG_REPORT = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM report"
 O_LOG_RULE_COUNTS = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * EXCLUDE (value_line) FROM rc"
 O_ARTIFACT_BY_RULE = _with(*_LOG_VIEWS, extra=_LOG_SQL) + "SELECT * FROM ent"
+O_ARTIFACT_LONGEST_PREFIX = _with(*_LOG_VIEWS, extra=_LOG_SQL) + f"""
+SELECT run_id, rule_key, position, chunk, bucket, key, filename, process_id, bucket = '{OUTBOUND_BUCKET}' AS bucket_ok, starts_with(key, prefix) AS prefix_ok
+FROM (SELECT a.*, r.rule_key, r.p AS prefix
+      FROM arts a JOIN (SELECT *, CASE WHEN rule_key = 'practice_f_z' THEN 'outbound/' ELSE prefix END AS p FROM rr) r ON r.run_id = a.run_id
+      WHERE starts_with(ltrim(a.key, '/'), r.p)
+      QUALIFY length(r.p) = max(length(r.p)) OVER (PARTITION BY a.run_id, a.bucket, a.key)) x"""
 O_PROCESS_ID_UNIQUE = _with(*_LOG_VIEWS, extra=_LOG_SQL) + """
 SELECT run_id, rule_key, n_files, n_process_ids, process_id, process_id_range, bucket_ok, prefix_ok,
        CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS verdict, reason FROM pid"""
@@ -622,7 +717,8 @@ FROM rr LEFT JOIN rep ON rep.run_id = rr.run_id AND rep.rule_key = rr.rule_key
         LEFT JOIN counts ON counts.rule_key = rr.rule_key"""
 
 QUERIES.update({
-    "log_source_pick": q_log_source_pick,
+    "artifact_longest_prefix": q_artifact_longest_prefix, "result_tables": q_result_tables,
+    "log_source_pick": q_log_source_pick, "log_file_pick": q_log_file_pick,
     "log_report": q_log_report,
     "log_rule_counts": q_log_rule_counts,
     "artifact_by_rule": q_artifact_by_rule,
@@ -631,7 +727,8 @@ QUERIES.update({
     "rule_count_recon": q_rule_count_recon,
 })
 ORACLE.update({
-    "log_source_pick": O_LOG_SOURCE_PICK,
+    "artifact_longest_prefix": O_ARTIFACT_LONGEST_PREFIX, "result_tables": O_PROCESS_ID_UNIQUE,
+    "log_source_pick": O_LOG_SOURCE_PICK, "log_file_pick": O_LOG_FILE_PICK,
     "log_report": O_LOG_REPORT,
     "log_rule_counts": O_LOG_RULE_COUNTS,
     "artifact_by_rule": O_ARTIFACT_BY_RULE,
@@ -695,10 +792,7 @@ WHERE nth = 1"""
 
 
 # ── outbound files ────────────────────────────────────────────────────────
-import uuid  # noqa: E402
-
 from sluice.operators import outbound as ob  # noqa: E402
-from sluice.session import checkpoint_dir, materialize  # noqa: E402
 from sluice.sources import delimited as dl  # noqa: E402
 
 
@@ -728,16 +822,17 @@ def _with_runs(df, rows, spark, rules):
     return keyed.join(_written_runs(rows, spark, rules), ["rule_key", "_k0", "_k1"], "left").drop("_k0", "_k1")
 
 
-def _match(spark, sf_dir, mode, outbound=None, files=None):
+def _match(spark, sf_dir, mode, outbound=None, checked=None):
     rules = rules_frame(spark, DRIVER_RULES)
     outbound = _outbound(spark, sf_dir) if outbound is None else outbound
-    files = materialize(outbound.select("file_path", "missing_columns").distinct() if files is None else files, "files")
+    checked = materialize(outbound.select("file_path", "missing_columns").distinct() if checked is None else checked, "files")
     runs, _, _, facts = _logs(spark, sf_dir)
-    own = _artifacts(runs, facts, rules).select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path"))
+    arts = materialize(_artifacts(runs, facts, rules).select("rule_key", "run_id", "bucket", "key"), "artifacts")
+    own = arts.select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path"))
     cands = materialize(cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF).select("rule_key", "PracticeID", "LocationID").distinct(), "candidates")
     rows = materialize(ob.relevant_rows(cands, outbound, DRIVER_RULES), "outbound-rows")
     cands = _with_runs(cands, rows, spark, rules).withColumnRenamed("run_id", "file_set")
-    return ob.match_outbound(cands, rows, DRIVER_RULES, rules, OUTBOUND_BUCKET, value_mode=mode, files=files, own=own
+    return ob.match_outbound(cands, rows, DRIVER_RULES, rules, OUTBOUND_BUCKET, value_mode=mode, files=checked, own=own
                              ).withColumnRenamed("file_set", "run_id")
 
 
@@ -856,7 +951,7 @@ def _outbound_files(spark, sf_dir):
     head, values = F.when(F.lit(False), F.array(F.lit(""))), F.when(F.lit(False), F.array(F.lit("")))
     for when, names, cols in cases:
         head, values = head.when(when, F.array(*(F.lit(n) for n in names))), values.when(when, F.array(*cols))
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/outbound-files/{uuid.uuid4().hex[:12]}"
+    folder = scratch_folder(spark, "outbound-files")
     dl.write_delimited(rows.withColumn("_head", head).withColumn("_values", values), folder, "file_path", "row_no", "_head", "_values", FILE_PARTS)
     read, files = ob.read_outbound_files(spark, f"{folder}/*/*", FILE_COLUMNS)
     plain = F.url_decode(F.replace(F.regexp_extract("file_path", "/name=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
@@ -1022,6 +1117,34 @@ SELECT rule_key, CAST(LocationID AS VARCHAR) AS LocationID, found,
 FROM fj"""
 
 
+def q_final_state_conflicts(spark, sf_dir):
+    """The final state with repeated state rows, some of which disagree."""
+    c = catalog(spark, sf_dir)
+    q = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
+    state = fs.final_state_rows(c["practices"], c["practice_locations_after"], c["practice_types"])
+    again = state.where("LocationID % 2 = 0").withColumn("InDirectory", F.when(F.col("LocationID") % 4 == 0, F.lit(" y")).otherwise(F.col("InDirectory")))
+    return fs.final_state(spark, q, state.unionByName(again), DRIVER_RULES)
+
+
+O_FINAL_STATE_CONFLICTS = _with(*DIRECTORY_TABLES, "practice_locations_after", extra=_QUALIFYING_SQL) + """,
+once AS (
+  SELECT p2.LocationID, COALESCE(p2.InDirectory, '') AS InDirectory
+  FROM practices p JOIN practice_locations_after p2 ON p2.PracticeID = p.PracticeID
+  JOIN practice_types pt ON pt.PracticeTypeID = p2.LocationTypeID
+  WHERE p.Archived = 'N' AND p2.Archived = 'N'),
+fstate AS (
+  SELECT LocationID, COALESCE(NULLIF(upper(trim(InDirectory)), ''), 'NULL') AS v FROM once
+  UNION ALL SELECT LocationID, CASE WHEN LocationID % 4 = 0 THEN 'Y' ELSE COALESCE(NULLIF(upper(trim(InDirectory)), ''), 'NULL') END FROM once WHERE LocationID % 2 = 0),
+keyed AS (SELECT LocationID, min(v) AS low, max(v) AS high FROM fstate GROUP BY LocationID),
+fj AS (SELECT c.rule_key, c.LocationID, k.LocationID IS NOT NULL AS found, low, high
+       FROM (SELECT DISTINCT rule_key, LocationID FROM qualifying) c LEFT JOIN keyed k ON k.LocationID = c.LocationID)
+SELECT rule_key, CAST(LocationID AS VARCHAR) AS LocationID, found, CASE WHEN low = high THEN low END AS actual_value,
+       CASE WHEN found AND low = high AND low = 'N' THEN 'PASS' ELSE 'FAIL' END AS verdict,
+       CASE WHEN NOT found THEN 'final row not found' WHEN low <> high THEN 'final rows differ in InDirectory: ' || low || ' .. ' || high
+            WHEN low <> 'N' THEN 'expected InDirectory in [''N''], found ' || low END AS reason
+FROM fj"""
+
+
 def _before_after(spark, sf_dir):
     c = catalog(spark, sf_dir)
     before, after = c["practitioner_locations_before"], c["practitioner_locations_after"]
@@ -1201,7 +1324,7 @@ agg AS (SELECT run_id, source, any_value(hit_ms) AS hit_ms, any_value(first_ms)
 verdicts AS (SELECT *, COALESCE(hit_ms, first_ms + {LOG_STREAM_DEADLINE * 1000}) AS at_ms
              FROM agg WHERE hit_ms IS NOT NULL OR first_ms + {LOG_STREAM_DEADLINE * 1000} <= wm)""") + f"""
 SELECT run_id, source, CASE WHEN hit_ms IS NULL THEN 'FAIL' ELSE 'COMPLETE' END AS verdict, n_lines,
-       CASE WHEN hit_ms IS NULL THEN CAST(n_lines AS VARCHAR) || ' event(s) but the completion line never appeared' END AS reason,
+       CASE WHEN hit_ms IS NULL THEN CAST(n_lines AS VARCHAR) || ' event(s), none of them the completion line' END AS reason,
        {_DECIDED_SQL}
 FROM verdicts"""
 
@@ -1274,7 +1397,6 @@ ORACLE.update({
 
 # ── stage-gated scenario verdict ─────────────────────────────────────────
 from sluice.operators import verdict as vd  # noqa: E402
-from sluice.session import materialize  # noqa: E402
 
 
 def q_stage_verdict(spark, sf_dir):
@@ -1522,5 +1644,7 @@ SELECT rule_key, PracticeID, LocationID, run_id, {', '.join(_STAGE_NAMES)},
             WHEN {' OR '.join(f"{s} = 'WARN'" for s in _STAGE_NAMES)} THEN 'WARN' ELSE 'PASS' END AS verdict
 FROM st7"""
 
+QUERIES["final_state_conflicts"] = q_final_state_conflicts
+ORACLE["final_state_conflicts"] = O_FINAL_STATE_CONFLICTS
 QUERIES["stage_verdict"] = q_stage_verdict
 ORACLE["stage_verdict"] = O_STAGE_VERDICT

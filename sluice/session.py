@@ -79,13 +79,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _tables_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/") + f"/sluice-tables/{spark.sparkContext.applicationId}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder name in the shared folder, below this application's tables."""
+    import uuid
+
+    return f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def release_tables(spark: SparkSession) -> None:
-    """Delete the tables that this application's ``materialize`` calls wrote,
-    once their results are stored elsewhere."""
+    """Delete what this application wrote below its tables' folder
+    (``materialize``, ``scratch_folder``), once its results are stored elsewhere."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(_tables_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -96,10 +109,8 @@ def materialize(df, name: str = "table"):
     once as a parquet table in the shared ``spark.checkpoint.dir`` and read
     it back (computed once, survives executor loss; never a local
     checkpoint).  ``release_tables`` deletes them."""
-    import uuid
-
     spark = df.sparkSession
-    path = f"{_tables_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -202,7 +202,7 @@ def _log_fn(deadline_s: int):
 
     def expire(memo: dict) -> dict:
         n = memo.get("n", 0)
-        return {"verdict": "FAIL", "n_lines": n, "reason": f"{n} event(s) but the completion line never appeared"}
+        return {"verdict": "FAIL", "n_lines": n, "reason": f"{n} event(s), none of them the completion line"}
 
     def merge(ahead: list) -> list:
         """Events of one time are one, however many batches they came in."""

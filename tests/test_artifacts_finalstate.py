@@ -123,15 +123,30 @@ def test_payload_echo(spark):
                    ("p3", 0, False, False, True, "FAIL")]
 
 
-def test_inventory_from_files(spark, scratch):
-    import os
-
-    os.makedirs(os.path.join(scratch, "out", "p"))
-    for name, data in (("out/p/a.csv", b"x,y\n1,2\n"), ("out/p/b.csv", b"z\n"), ("out/p/empty.csv", b"")):
-        with open(os.path.join(scratch, name), "wb") as fh:
-            fh.write(data)
-    inv = A.inventory_from_files(spark, scratch, "bkt")
-    got = rows(inv, "bucket", "key", "size")
-    # contents are never read; empty files are not listed by the file source (kept in a real inventory)
-    assert ("bkt", "out/p/a.csv", 8) in got and ("bkt", "out/p/b.csv", 2) in got
-    assert all(k != "out/p/empty.csv" or s == 0 for _, k, s in got)
+def test_search_over_time_slots_equals_a_plain_walk(spark, monkeypatch):
+    import datetime as dt
+    import random
+
+    monkeypatch.setattr(A, "SEARCH_SLOTS", 9)
+    rng = random.Random(3)
+    t = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=k)
+    objects = [("b", f"out/{rng.choice('pq')}/f{k}.csv", k, t(rng.choice([5, 7, 7, 300, rng.randint(0, 100_000)]))) for k in range(300)]
+    searches = [(f"s{k}", "b", rng.choice(["out/", "out/p/", "/out/q/", "none/"]), t(rng.choice([0, 7, 8, 299, rng.randint(0, 120_000)]))) for k in range(120)]
+    inv = spark.createDataFrame(objects, "bucket string, key string, size long, last_modified timestamp")
+    asked = spark.createDataFrame(searches, "search_id string, target_bucket string, prefix string, since timestamp")
+    want = []
+    for sid, b, prefix, since in searches:
+        fit = sorted((at, key, size) for _, key, size, at in objects if key.startswith(prefix.lstrip("/")) and at >= since)
+        want += [(sid, b, fit[0][1], fit[0][2])] if fit else []
+    assert rows(A.search_objects(inv, asked), "search_id", "bucket", "key", "size") == sorted(want)
+    assert A.search_objects(inv.limit(0), asked).count() == 0
+
+
+def test_state_rows_of_one_key_count_once_or_conflict(spark):
+    r = rule("k")
+    r = r.__class__(**{**r.__dict__, "final_key_columns": ("LocationID",), "final_column": "InDirectory", "final_expected_values": ("N",)})
+    cands = spark.createDataFrame([("k", 1), ("k", 2), ("k", 3), ("k", 4)], "rule_key string, LocationID long")
+    state = spark.createDataFrame([(1, "N"), (1, "Y"), (2, "N"), (2, " n"), (3, ""), (3, None)], "LocationID long, InDirectory string")
+    got = rows(FS.final_state(spark, cands, state, [r]), "LocationID", "actual_value", "verdict", "reason")
+    assert got == [("1", None, "FAIL", "final rows differ in InDirectory: N .. Y"), ("2", "N", "PASS", None),
+                   ("3", "NULL", "FAIL", "expected InDirectory in ['N'], found NULL"), ("4", None, "FAIL", "final row not found")]

@@ -79,7 +79,7 @@ def test_pick_source_order_and_ownership(spark):
     ])
     got = rows(L.pick_source(L.log_summary(c)), "run_id", "source", "run_verified", "failures", "state")
     assert got == [
-        ("r1", "manager", False, "api: completion line never appeared", "OK"),
+        ("r1", "manager", False, "api: no completion line", "OK"),
         ("r2", "api", True, "", "OK"),
         ("r3", "file", True, "api: no lines; manager: no lines", "OK"),
         ("r4", None, False, "api: no lines; manager: no lines; file: declared stream 'r5' is not run 'r4'", "FAIL"),
