@@ -1329,12 +1329,19 @@ SELECT run_id, source, CASE WHEN hit_ms IS NULL THEN 'FAIL' ELSE 'COMPLETE' END
 FROM verdicts"""
 
 
+# The driver's runs start long before their objects' dates: a deadline that separates them.
+OBJECT_STREAM_DEADLINE = 520 * 86400
+
+
 def q_stream_objects(spark, sf_dir):
     c = catalog(spark, sf_dir)
     targets = _search_targets(c["runs"], rules_frame(spark, DRIVER_RULES)).withColumn("since", F.col("since").cast("timestamp"))
+    beat = c["object_events"].agg(F.max("last_modified").cast("timestamp").alias("since")).select(
+        F.lit(None).cast("string").alias("search_id"), F.lit("").alias("target_bucket"), F.lit("").alias("prefix"), "since")
+    stored = materialize(targets.unionByName(beat), "searches")
+    searches = spark.readStream.schema(stored.schema).parquet(stored.inputFiles()[0].rsplit("/", 1)[0])
     objs = c.stream_view("object_events").withColumn("last_modified", F.col("last_modified").cast("timestamp"))
-    found, clock = mon.run_with_clock(spark, mon.object_arrivals(objs, targets), "objects")
-    out = mon.object_verdicts(found, targets, clock, mon.OBJECT_DEADLINE)
+    out = mon.run_available_now(spark, mon.object_monitor(objs, searches, OBJECT_STREAM_DEADLINE), "objects")
     return out.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -1342,16 +1349,14 @@ O_STREAM_OBJECTS = _with("runs", "object_events", extra=f"""
 clock AS (SELECT max(last_modified) - INTERVAL 10 MINUTE AS t FROM object_events),
 best AS (
   SELECT r.run_id || '/' || u.rule_key AS search_id, r.started_at AS since,
-         max({{'t': i.last_modified, 'k': i.key}}) AS o
+         min({{'t': i.last_modified, 'k': i.key}}) FILTER (WHERE i.key IS NOT NULL) AS o
   FROM runs r JOIN {RULES_SQL} u ON u.flow_name = r.flow_name
   LEFT JOIN object_events i ON i.bucket = '{OUTBOUND_BUCKET}' AND starts_with(ltrim(i.key, '/'), u.outbound_prefix)
         AND regexp_matches(string_split(i.key, '/')[-1], '.*\\.csv$')
-  WHERE r.state = 'SKIPPED_TRIGGER' GROUP BY ALL),
-ok AS (SELECT *, o.t IS NOT NULL AND o.t >= since AS found FROM best)""") + f"""
-SELECT search_id, CASE WHEN found THEN o.k END AS key,
-       CASE WHEN found THEN strftime(o.t, '%Y-%m-%d %H:%M:%S') END AS last_modified,
-       CASE WHEN found THEN 'FOUND' WHEN clock.t >= since + INTERVAL {mon.OBJECT_DEADLINE} SECOND THEN 'MISSING' ELSE 'PENDING' END AS verdict
-FROM ok, clock"""
+        AND i.last_modified >= r.started_at AND i.last_modified <= r.started_at + INTERVAL {OBJECT_STREAM_DEADLINE} SECOND
+  WHERE r.state = 'SKIPPED_TRIGGER' GROUP BY ALL)""") + f"""
+SELECT search_id, o.k AS key, strftime(o.t, '%Y-%m-%d %H:%M:%S') AS last_modified, CASE WHEN o.k IS NULL THEN 'MISSING' ELSE 'FOUND' END AS verdict
+FROM best, clock WHERE since + INTERVAL {OBJECT_STREAM_DEADLINE} SECOND <= clock.t"""
 
 
 def q_stream_flag(spark, sf_dir):

@@ -17,18 +17,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
 import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sluice.functions.exprs import file_name, normalise_prefix
-from sluice.operators.artifacts import under_prefix_join
-from sluice.session import checkpoint_dir, ship_package
+from sluice.operators.artifacts import ancestors
+from sluice.session import scratch_folder, ship_package
 
 # ── fixed values: deadlines (seconds) and poll interval of the reference ──
 OBJECT_DEADLINE = 900
@@ -111,52 +111,125 @@ TERMINAL_OUT = ("process_id string, verdict string, reason string, n_rows long,
 _FINAL = {"COMPLETED", "SUCCESS", "FAILED", "ERROR"}
 
 
-def _terminal_fn(loader: str, deadline_s: int):
-    def read(pdf: pd.DataFrame) -> list:
-        return [[ms, i, sub, (status or "").strip().upper()] for ms, i, sub, status in
-                zip(_millis(pdf["event_time"]), pdf["id"].astype(str).str.zfill(20), pdf["sub_process_name"], pdf["status"])]
+TERMINAL_FIELDS = [c.split()[0] for c in TERMINAL_OUT.split(", ")]
+COUNTS = ("n_rows", "n_errors", "n_in_progress", "n_loader", "n_done")
+#: How long after its verdict a process id is known to be decided.
+KEEP_MARKS_S = 90 * 86400
 
-    def totals(memo: dict) -> dict:
-        rows = memo.get("rows", {}).values()       # the latest status of each row
-        loads = [s for s, load in rows if load]
-        return {"n_rows": len(rows), "n_errors": sum(s in ("FAILED", "ERROR") for s, _ in rows),
-                "n_in_progress": sum(s == "IN-PROGRESS" for s, _ in rows), "n_loader": len(loads),
-                "loader_done": any(s in ("COMPLETED", "SUCCESS") for s in loads)}
 
-    def step(memo: dict, event: list) -> dict | None:
-        _, rid, sub, status = event
-        rows = memo.setdefault("rows", {})
-        if rows.get(rid, [""])[0] not in _FINAL:      # a final row read again changes nothing
-            rows[rid] = [status, sub == loader]
-        t = totals(memo)
-        if t["n_errors"]:
-            return {"verdict": "FAIL", "reason": "status rows report errors", **t}
-        if t["loader_done"] and not t["n_in_progress"]:
-            return {"verdict": "PASS", "reason": None, **t}
-        return None
+class TerminalProcessor(StatefulProcessor):
+    """The process machine on keyed state: one map entry per status row,
+    running counters, the events still ahead of the watermark, and a mark.
 
-    def expire(memo: dict) -> dict:
-        t = totals(memo)
-        reason = ("still IN-PROGRESS" if t["n_in_progress"] else f"no {loader} row" if not t["n_loader"] else "loader did not complete")
-        return {"verdict": "FAIL", "reason": reason, **t}
+    An event costs one map look-up and a few additions, however many rows
+    its process has; a timer fires when the watermark reaches the next event or
+    the deadline, and another one drops the mark of a decided process."""
 
-    return _machine(read, step, expire, ["process_id"], deadline_s)
+    def __init__(self, loader: str, deadline_s: int, keep_s: int) -> None:
+        self.loader, self.deadline, self.keep = loader, deadline_s * 1000, keep_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getMapState("rows", "id string", "status string, loads boolean")
+        self.counts = handle.getValueState("counts", "first_ms long, timer long, " + ", ".join(f"{c} long" for c in COUNTS))
+        self.ahead = handle.getListState("ahead", "ms long, id string, loads boolean, status string")
+        self.mark = handle.getValueState("mark", "until long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if self.mark.exists():
+            if self.mark.get()[0] > timerValues.getCurrentWatermarkInMs():
+                return
+            self.mark.clear()
+        new = [(int(r["ms"]), str(r["id"]).zfill(20), r["sub_process_name"] == self.loader, (r["status"] or "").strip().upper()) for r in rows]
+        if not new:
+            return
+        self.ahead.appendList(new)
+        held = self.counts.get()
+        held = list(held) if held else [None, None, 0, 0, 0, 0, 0]
+        self._wake(held, min(e[0] for e in new))
+        self.counts.update(tuple(held))
+        yield from ()
+
+    def _wake(self, held: list, due: int) -> None:
+        """A timer for ``due``, unless an earlier one is set."""
+        if held[1] is None or due < held[1]:
+            if held[1] is not None:
+                self.handle.deleteTimer(held[1] - 1)
+            held[1] = due
+            self.handle.registerTimer(due - 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        if self.mark.exists():
+            if self.mark.get()[0] <= now:
+                self.mark.clear()
+            return
+        held = list(self.counts.get() or [None, None, 0, 0, 0, 0, 0])
+        waiting, out, used = sorted(tuple(e) for e in self.ahead.get()), None, 0
+        first, n = held[0], dict(zip(COUNTS, held[2:]))
+        for ms, rid, loads, status in waiting:
+            if ms > now or (first is not None and ms > first + self.deadline):
+                break
+            used += 1
+            first = ms if first is None else first
+            self._count(n, rid, loads, status)
+            if n["n_errors"]:
+                out = ("FAIL", "status rows report errors", ms)
+            elif n["n_done"] and not n["n_in_progress"]:
+                out = ("PASS", None, ms)
+            if out:
+                break
+        if out is None and first is not None and first + self.deadline <= now:
+            out = ("FAIL", "still IN-PROGRESS" if n["n_in_progress"] else f"no {self.loader} row" if not n["n_loader"] else "loader did not complete",
+                   first + self.deadline)
+        if out is None:
+            self.ahead.put(waiting[used:]) if waiting[used:] else self.ahead.clear()
+            held = [first, None, *(n[c] for c in COUNTS)]
+            due = [e[0] for e in waiting[used: used + 1]] + ([first + self.deadline] if first is not None else [])
+            self._wake(held, max(min(due), now + 1))
+            self.counts.update(tuple(held))
+            return
+        for state in (self.rows, self.counts, self.ahead):
+            state.clear()
+        until = max(out[2], now) + self.keep
+        self.mark.update((until,))
+        self.handle.registerTimer(until)
+        yield Row(*TERMINAL_FIELDS)(key[0], out[0], out[1], n["n_rows"], n["n_errors"], n["n_in_progress"], n["n_loader"], n["n_done"] > 0,
+                                    dt.datetime.fromtimestamp(out[2] / 1000, dt.timezone.utc))
+
+    def _count(self, n: dict, rid: str, loads: bool, status: str) -> None:
+        """Take a row's newest status into the counters; a final row read again changes nothing."""
+        before = self.rows.getValue((rid,)) if n["n_rows"] and self.rows.containsKey((rid,)) else None
+        if before is not None and before[0] in _FINAL:
+            return
+        for entry, by in ((before, -1), ((status, loads), 1)):
+            if entry is not None:
+                n["n_rows"] += by
+                n["n_errors"] += by * (entry[0] in ("FAILED", "ERROR"))
+                n["n_in_progress"] += by * (entry[0] == "IN-PROGRESS")
+                n["n_loader"] += by * bool(entry[1])
+                n["n_done"] += by * (bool(entry[1]) and entry[0] in ("COMPLETED", "SUCCESS"))
+        self.rows.updateValue((rid,), (status, loads))
+
+    def close(self) -> None:
+        pass
 
 
 def terminal_monitor(status_events: DataFrame, deadline_s: int = LOADER_DEADLINE, loader: str = "Data-Loader-File",
-                     delay: str = "10 minutes") -> DataFrame:
+                     delay: str = "10 minutes", keep_s: int = KEEP_MARKS_S) -> DataFrame:
     """STR-3 (+STR-5): one verdict per process — PASS at the event that leaves
     the loader completed with nothing running and no errors, FAIL at the first
     error, and FAIL with the batch reason when the deadline passes first.
 
     ``status_events``: (id, process_id, sub_process_name, status, event_time);
-    an id may come again with a later status.
-    """
+    an id may come again with a later status.  A process id must not come back
+    later than ``keep_s`` after its verdict.  Needs the RocksDB state store, which
+    ``run_available_now`` sets."""
     ship_package(status_events.sparkSession)
     ev = dedupe_events(status_events.select("id", "process_id", "sub_process_name", "status", "event_time"),
                        "event_time", ["id", "status", "event_time"], delay)
-    return ev.groupBy("process_id").applyInPandasWithState(
-        _terminal_fn(loader, deadline_s), TERMINAL_OUT, MACHINE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return ev.withColumn("ms", F.unix_millis("event_time")).groupBy("process_id").transformWithState(
+        TerminalProcessor(loader, deadline_s, keep_s), TERMINAL_OUT, "Append", "EventTime")
 
 
 # ── STR-4: a flag flips to an expected value or the deadline ─────────────
@@ -228,50 +301,47 @@ def log_completion_monitor(lines: DataFrame, sentinel: str, deadline_s: int = LO
 
 
 # ── STR-1: objects arriving under a prefix after a start time ─────────────
-def object_arrivals(inventory: DataFrame, targets: DataFrame, pattern: str = r".*\.csv$", delay: str = "10 minutes") -> DataFrame:
-    """Stream-static join of an object-inventory stream with the distinct
-    prefixes of the searches (search_id, target_bucket, prefix, since): each
-    object once per prefix that holds it, however many searches share it."""
-    t = targets.select("target_bucket", normalise_prefix(F.col("prefix")).alias("prefix")).distinct()
-    j = under_prefix_join(inventory.withWatermark("last_modified", delay), t)
-    return j.where(file_name(F.col("key")).rlike(pattern)).select("bucket", "prefix", "key", "size", "last_modified")
-
-
-def object_verdicts(found: DataFrame, targets: DataFrame, clock, deadline_s: int = OBJECT_DEADLINE) -> DataFrame:
-    """Per search: FOUND (newest object under its prefix, if at/after
-    ``since``), MISSING once the event-time ``clock`` (the stream's watermark)
-    passed since + deadline, PENDING before."""
-    newest = F.struct("last_modified", "key")
-    best = found.groupBy(F.col("bucket").alias("target_bucket"), "prefix").agg(F.max(newest).alias("o"))
-    t = targets.select("search_id", "target_bucket", normalise_prefix(F.col("prefix")).alias("prefix"), "since")
-    j = t.join(best, ["target_bucket", "prefix"], "left").withColumn("o", F.when(F.col("o.last_modified") >= F.col("since"), F.col("o")))
-    expired = F.lit(clock).cast("timestamp") >= F.col("since") + F.make_dt_interval(secs=F.lit(deadline_s))
-    verdict = F.when(F.col("o").isNotNull(), "FOUND").when(F.coalesce(expired, F.lit(False)), "MISSING").otherwise("PENDING")
-    return j.select("search_id", "o.key", "o.last_modified", verdict.alias("verdict"))
+def object_monitor(objects: DataFrame, searches: DataFrame, deadline_s: int = OBJECT_DEADLINE, pattern: str = r".*\.csv$",
+                   delay: str = "10 minutes") -> DataFrame:
+    """One verdict per search, from the stream itself: FOUND with the first
+    object under its prefix within the deadline after ``since``, MISSING when the
+    watermark passes the deadline without one.
+
+    ``objects`` (bucket, key, last_modified) and ``searches`` (search_id,
+    target_bucket, prefix, since) are streams that meet in an outer interval join;
+    its state holds an object no longer than the deadline.  The watermark is the
+    slower stream's: searches that come seldom need a heartbeat (a row with the
+    time as ``since`` and no ``search_id``)."""
+    o = (objects.where(file_name(F.col("key")).rlike(pattern)).withWatermark("last_modified", delay)
+         .select("bucket", "key", "last_modified", F.explode(ancestors(F.col("key"))).alias("_dir")))
+    s = searches.select("search_id", "target_bucket", normalise_prefix(F.col("prefix")).alias("prefix"), "since").withWatermark("since", delay)
+    within = (F.col("last_modified") >= F.col("since")) & (F.col("last_modified") <= F.expr(f"since + INTERVAL {int(deadline_s)} SECONDS"))
+    met = s.join(o, (s["target_bucket"] == o["bucket"]) & (s["prefix"] == o["_dir"]) & within, "leftOuter")
+    found = F.when(F.col("key").isNotNull(), F.struct((F.col("last_modified") + F.make_dt_interval(secs=F.lit(0))).alias("at"), "key"))
+    first = met.select("search_id", "since", found.alias("o")).groupBy("search_id", "since").agg(F.min("o").alias("o"), F.max("search_id").alias("_asked"))
+    # Heartbeats leave only here: a filter on the id itself would be pushed below the watermark.
+    return first.where(F.col("_asked").isNotNull()).select(
+        "search_id", "o.key", F.col("o.at").alias("last_modified"), F.when(F.col("o").isNull(), "MISSING").otherwise("FOUND").alias("verdict"))
 
 
 # ── driving a plan to completion ──────────────────────────────────────────
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available_now(spark: SparkSession, plan: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Run a streaming plan over everything available, into parquet under the
     shared checkpoint folder, and return the written rows as a batch table."""
-    return run_with_clock(spark, plan, name, output_mode)[0]
-
-
-def run_with_clock(spark: SparkSession, plan: DataFrame, name: str, output_mode: str = "append",
-                   delay: dt.timedelta = dt.timedelta(minutes=10)) -> tuple[DataFrame, dt.datetime | None]:
-    """As ``run_available_now``, with the event-time clock the stream reached:
-    its greatest event time less the watermark delay (None without events)."""
-    root = checkpoint_dir(spark).rstrip("/") + f"/sluice-streams/{name}-{uuid.uuid4().hex[:12]}"
-    q = (plan.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", root + "/_checkpoint").option("path", root + "/data")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    root = scratch_folder(spark, f"stream-{name}")
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ROCKSDB)        # read when the query starts
+    try:
+        q = (plan.writeStream.format("parquet").outputMode(output_mode)
+             .option("checkpointLocation", root + "/_checkpoint").option("path", root + "/data")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
     if q.exception():
         raise q.exception()
-    greatest = max((p["eventTime"]["max"] for p in map(_progress, q.recentProgress) if p.get("eventTime", {}).get("max")), default=None)
-    clock = dt.datetime.fromisoformat(greatest.replace("Z", "+00:00")) - delay if greatest else None
-    return spark.read.schema(plan.schema).parquet(root + "/data"), clock
-
-
-def _progress(p) -> dict:
-    return p if isinstance(p, dict) else json.loads(p.json)
+    return spark.read.schema(plan.schema).parquet(root + "/data")

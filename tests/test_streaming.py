@@ -67,20 +67,6 @@ def test_flag_and_log_monitors(spark, scratch):
     assert rows(out, "run_id", "verdict", "n_lines") == [("r1", "COMPLETE", 2), ("r2", "FAIL", 2)]
 
 
-def test_object_arrivals(spark, scratch):
-    inv = spark.createDataFrame([("b", "out/p/a.csv", 5, T(2024, 1, 1, 1)), ("b", "/out/p/b.csv", 5, T(2024, 1, 1, 2)),
-                                 ("b", "out/q/c.csv", 5, T(2024, 1, 1, 3)), ("b", "out/p/old.csv", 5, T(2023, 1, 1))],
-                                "bucket string, key string, size long, last_modified timestamp")
-    targets = spark.createDataFrame([("s1", "b", "out/p/", T(2024, 1, 1)), ("s2", "b", "none/", T(2024, 1, 1)),
-                                     ("s3", "b", "none/", T(2024, 1, 1, 3))],
-                                    "search_id string, target_bucket string, prefix string, since timestamp")
-    found, clock = M.run_with_clock(spark, M.object_arrivals(stream_of(spark, inv, os.path.join(scratch, "inv")), targets), "o",
-                                    delay=dt.timedelta(minutes=10))
-    assert clock == dt.datetime(2024, 1, 1, 2, 50, tzinfo=dt.timezone.utc)
-    v = rows(M.object_verdicts(found, targets, clock, deadline_s=900), "search_id", "key", "verdict")
-    assert v == [("s1", "/out/p/b.csv", "FOUND"), ("s2", None, "MISSING"), ("s3", None, "PENDING")]
-
-
 def _batches(spark, df, folder, cuts):
     """The rows of ``df`` in event-time order, as a stream of ``cuts`` micro-batches."""
     rows_ = sorted(df.collect(), key=lambda r: r["event_time"])
@@ -120,3 +106,30 @@ def test_verdicts_do_not_depend_on_micro_batches(spark, scratch):
     assert [r[:3] for r in f] == [("A", "PASS", "N"), ("B", "FAIL", "Y"), ("C", "PASS", "N")]
     assert [r[:3] for r in s] == [("p", "PASS", None), ("q", "PASS", None), ("r", "FAIL", "no Data-Loader-File row")]
     assert [(r[0], r[2], r[3]) for r in g] == [("r1", "COMPLETE", 3), ("r2", "FAIL", 1)]
+
+
+def test_object_deadline_is_an_outcome_of_the_stream(spark, scratch):
+    m = lambda k: T(2024, 1, 1) + dt.timedelta(minutes=k)
+    inv = spark.createDataFrame([("b", "out/p/early.csv", m(0)), ("b", "out/p/a.csv", m(10)), ("b", "/out/p/b.csv", m(11)), ("b", "out/p/sub/c.csv", m(12)),
+                                 ("b", "out/q/late.csv", m(60)), ("b", "out/q/x.tmp", m(21)), ("other", "out/q/y.csv", m(21)), ("b", "zz/clock.csv", m(500))],
+                                "bucket string, key string, event_time timestamp")
+    asked = spark.createDataFrame([("s1", "b", "out/p/", m(5)), ("s2", "b", "/out", m(5)), ("s3", "b", "out/q/", m(20)), ("s4", "b", "none/", m(6)),
+                                   ("s5", "b", "out/p/", m(490)), (None, "", "", m(500))],
+                                  "search_id string, target_bucket string, prefix string, event_time timestamp")
+    seen = []
+    for cuts in (1, 3, 8):
+        objects = _batches(spark, inv, os.path.join(scratch, f"i{cuts}"), cuts).withColumnRenamed("event_time", "last_modified")
+        searches = _batches(spark, asked, os.path.join(scratch, f"q{cuts}"), cuts).withColumnRenamed("event_time", "since")
+        seen.append(rows(M.run_available_now(spark, M.object_monitor(objects, searches, 900, delay="1 minute"), "o"), "search_id", "key", "verdict"))
+    assert seen[0] == seen[1] == seen[2] == [("s1", "out/p/a.csv", "FOUND"), ("s2", "out/p/a.csv", "FOUND"), ("s3", None, "MISSING"), ("s4", None, "MISSING")]
+
+
+def test_marks_of_decided_processes_expire(spark, scratch):
+    m = lambda k: T(2024, 1, 1) + dt.timedelta(minutes=k)
+    status = spark.createDataFrame([
+        (1, "p", "Data-Loader-File", "Completed", m(0)), (2, "p", "File-Record", "FAILED", m(30)), (3, "x", "File-Record", "Completed", m(100)),
+        (4, "x", "File-Record", "Completed", m(300)), (5, "p", "File-Record", "FAILED", m(400)), (6, "z", "File-Record", "Completed", m(900))],
+        "id long, process_id string, sub_process_name string, status string, event_time timestamp")
+    src = _batches(spark, status, os.path.join(scratch, "marks"), 6)
+    got = M.run_available_now(spark, M.terminal_monitor(src, 3600, delay="1 minute", keep_s=7200), "m")
+    assert sorted((r["decided_at"], r["verdict"]) for r in got.where("process_id = 'p'").collect())[0][1] == "PASS" and got.where("process_id = 'p'").count() == 2
