@@ -296,3 +296,56 @@ def test_index_list_blocks_skip_nothing_that_links():
             if cls[a] != cls[b] and 85 * max(n[a], n[b]) <= 100 * min(n[a], n[b]) and 185 * behind >= 85 * (n[a] + n[b]):
                 want.add((a, b))
     assert got == want
+
+
+def test_signatures_let_every_link_pass():
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 40, 65, 500, 3000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for drop, add in ((0, 0), (n // 20, n // 20), (0, n // 8), (n // 8, 0), (n // 2, n // 2)):
+            other = np.concatenate([base[drop:], rng.integers(0, 1 << 63, add, dtype=np.uint64)])
+            a, b = np.unique(base), np.unique(other)
+            both = len(np.intersect1d(a, b))
+            links = 100 * both >= 85 * (len(a) + len(b) - both)
+            passes = setjoin.may_link(len(a), setjoin.signature(a), len(b), setjoin.signature(b), 85)
+            assert passes or not links
+            if n >= 500 and drop == n // 2:
+                assert not passes
+
+
+def test_one_class_and_an_outsider_skip_blocks():
+    import time
+
+    m = 32_000
+    node, cls = np.arange(m + 1), np.zeros(m + 1, np.int64)
+    cls[-1] = 1
+    n, pos = np.full(m + 1, 400, np.int32), np.zeros(m + 1, np.int32)
+    begun = time.perf_counter()
+    got = sum(len(x) for x, _ in setjoin.list_pairs(node, cls, n, pos, 85))
+    assert got == m and time.perf_counter() - begun < 2
+
+
+def test_hub_round_does_not_depend_on_batches(spark):
+    Q.prepare(spark)
+    rng = random.Random(9)
+    rows = []
+    for token in range(60):
+        for node in rng.sample(range(400), rng.choice([1, 1, 2, 7, 90])):
+            entry = (token, node, 100 + node % 30, rng.randint(0, 14))
+            rows += [entry] * rng.choice([1, 1, 3])         # tasks give a set again
+    want_lists, want_pairs = set(), set()
+    for token in range(60):
+        held = sorted({r for r in rows if r[0] == token}, key=lambda r: (r[3], r[1]))
+        if len(held) > 1:
+            want_lists |= set(held)
+            for r in held[1:]:
+                need = -(-(r[2] + held[0][2]) * 85 // 185)
+                if max(r[2], held[0][2]) * 85 <= min(r[2], held[0][2]) * 100 and r[2] - r[3] >= need and held[0][2] - held[0][3] >= need:
+                    want_pairs.add((min(r[1], held[0][1]), max(r[1], held[0][1])))
+    df = spark.createDataFrame(rows, "token long, node long, n int, pos int")
+    for size in ("1", "7", "2000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got = setjoin._hub_round(df, 85).collect()
+        assert {(r["token"], r["node"], r["n"], r["pos"]) for r in got if r["token"] is not None} == want_lists
+        assert sum(r["token"] is not None for r in got) == len(want_lists)
+        assert {(r["a"], r["b"]) for r in got if r["a"] is not None} == want_pairs
