@@ -34,14 +34,13 @@ ORDER = 4
 SAMPLE_ROWS = 1500
 SAMPLE_CHARS = 20_000
 WINDOWS = 10
-#: Grams of the highest order that each language's model keeps, the most frequent first.
-MAX_GRAMS = 200_000
 REJECT = 8.0
 FOREIGN = 0.75
 #: Size of the character set that unseen characters are taken from.
 UNSEEN = 1 << 16
 _U = np.uint64
 _fold: np.ndarray | None = None
+_letter: np.ndarray | None = None
 
 
 def fold_table() -> np.ndarray:
@@ -57,6 +56,14 @@ def fold_table() -> np.ndarray:
     return _fold
 
 
+def letter_table() -> np.ndarray:
+    """Which code points are letters (marks alone make no text)."""
+    global _letter
+    if _letter is None:
+        _letter = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), bool, 0x110000)
+    return _letter
+
+
 def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(folded characters of all texts, offsets); each text is a blank and its
     words with single blanks between."""
@@ -154,7 +161,7 @@ class Model:
         """(cross-entropy per character by language, letters) of each text."""
         chars, off = fold(texts)
         n = np.diff(off)
-        letters = np.add.reduceat(np.append(chars != 32, False).astype(np.int64), off[:-1]) * (n > 0) if len(n) else np.zeros(0, np.int64)
+        letters = np.add.reduceat(np.append(letter_table()[chars], False).astype(np.int64), off[:-1]) * (n > 0) if len(n) else np.zeros(0, np.int64)
         value = np.zeros((len(n), len(self.languages)))
         if len(chars) and len(n):
             score = self._score(grams(chars, off))
@@ -172,16 +179,18 @@ def windows(text: Column, key: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, fit_on: Column, text: str, lang: str, id_col: str, rows: int) -> DataFrame:
-    """A bounded sample of rows with ``lang``, ``text`` and ``part`` (0..9)."""
+    """A bounded sample of documents with ``lang``, ``text`` and ``part`` (0..9); rows of one id and language count as one (the smallest text)."""
     docs = docs.select(id_col, text, lang)
     labelled = docs.filter(fit_on & F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = labelled.groupBy(lang).count().collect()
+    counts = labelled.groupBy(lang).agg(F.approx_count_distinct(id_col).alias("count")).collect()
     if not counts:
         return docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.lit(0).alias("part")).limit(0)
     rate = F.create_map(*[F.lit(x) for r in counts for x in (r[lang], min(1.0, rows / r["count"]))])
     draw = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1_000_000)) / 1_000_000
-    return labelled.filter(draw < rate[F.col(lang)]).select(
-        F.col(lang).alias("lang"), windows(F.col(text), F.col(id_col)).alias("text"), F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(10)).alias("part"))
+    drawn = labelled.filter(draw < rate[F.col(lang)]).groupBy(id_col, lang).agg(F.min(windows(F.col(text), F.col(id_col))).alias("_window"))
+    return drawn.select(
+        F.col(lang).alias("lang"), F.col("_window").alias("text"), F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(10)).alias("part"))
+
 
 
 def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
@@ -198,11 +207,8 @@ def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang
                 key, n = np.unique(grams(*fold([texts[k] for k in np.flatnonzero(langs == name)])), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
-    from pyspark.sql import Window
-
-    top = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    table = (sample.filter("part > 0").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-             .withColumn("_at", F.row_number().over(top)).filter(F.col("_at") <= MAX_GRAMS).drop("_at").toArrow())
+    # All grams of the sample: at most ``rows`` times ``SAMPLE_CHARS`` of each language.
+    table = sample.filter("part > 0").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = np.asarray(table["lang"].to_pylist(), object)
     gram, n = np.asarray(table["gram"]).astype(_U), np.asarray(table["n"])
     names = sorted(set(langs))
@@ -263,7 +269,7 @@ def identify(docs: DataFrame, model: Model, limits: dict[str, tuple[float, float
 
     names = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
     docs = docs.drop(*names)
-    shared = docs.sparkSession.sparkContext.broadcast((model, limits))     # bounded by MAX_GRAMS a language
+    shared = docs.sparkSession.sparkContext.broadcast((model, limits))     # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value

@@ -212,8 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text"
     # The sample is bounded, so it may be broadcast to where the texts are.
     chosen = F.broadcast(known.filter(draw < rate).select(F.col(id_col).alias("_id"), "_y"))
     docs = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("text"))
-    sample = docs.join(chosen, F.col("_doc") == F.col("_id")).select(
-        F.coalesce("text", F.lit("")).alias("text"), "_y", F.xxhash64(F.lit("lines"), "_doc").alias("_seed"))
+    # Rows of a repeated id count as one, so the sample is bounded by documents.
+    sample = docs.join(chosen, F.col("_doc") == F.col("_id")).groupBy("_id", "_y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).select(
+        "text", "_y", F.xxhash64(F.lit("lines"), "_id").alias("_seed"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(batches, "text"):

@@ -18,8 +18,12 @@ vote is weighted by one over its sum of positive correlations, and the
 estimation is repeated.
 
 *Classifier.*  A linear model over the voters' votes, counts and density is
-trained on the posterior labels and gives the score.  Only counts, a bounded
-word list and the sample's vote matrix reach the driver.
+trained on the posterior labels and gives the score.  Only counts, the
+sample's telling words and its sparse votes reach the driver.
+
+Null texts are empty; without toxic and clean sample rows the lexicon is empty
+and every score low.  Ties of the lexicon's order go by the entry; equal votes
+leave the model the same whatever order they arrive in.
 """
 
 from __future__ import annotations
@@ -30,19 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import text as T
 from sluice.session import materialize
 
-#: Bounds of the training sample (rows of each label) and of the lexicon.
+#: Bound of the training sample (rows of each label); it bounds the lexicon too.
 SAMPLE_ROWS = 10_000
-MAX_WORDS, MAX_STEMS = 400, 100
 #: A lexicon entry: least rows and different words before it, least ratio of its rates, and the share of chance finds among all entries kept.
 LEAST_ROWS, LEAST_COMPANY, LEAST_RATIO, FALSE_SHARE = 5, 5, 8.0, 0.01
-#: Entries that are looked at more closely (their company), the best first.
-CANDIDATES = 2000
 #: Lengths of stems, and how often a text must hold one.
 STEMS = range(4, 10)
 TIMES = (2, 3, 4)
@@ -51,14 +53,17 @@ WORD = re.compile(r"\w+")
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str, id_col: str, label: str, rows: int) -> DataFrame:
-    """Bounded sample of labelled rows: ``text`` and ``y``."""
-    known = labels.filter(F.col(label).isin(0, 1) & fit_on).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
+    """Bounded sample of labelled documents: ``text`` and ``y``.  Rates are those
+    of labels that have a document; rows of a repeated id count as one (its
+    greatest label, its smallest text), rows without an id or a label not at all."""
+    known = (labels.filter(F.col(label).isin(0, 1) & fit_on).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
+             .join(docs.select(id_col), id_col, "left_semi"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     draw = F.pmod(F.xxhash64(F.lit("toxic"), id_col), F.lit(1_000_000)) / 1_000_000
     rate = F.when(F.col("y") == 1, min(1.0, rows / counts.get(1, 1))).otherwise(min(1.0, rows / counts.get(0, 1)))
     chosen = F.broadcast(known.filter(draw < rate).select(F.col(id_col).alias("_id"), "y"))   # bounded by 2 * rows
     docs = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return docs.join(chosen, F.col("_doc") == F.col("_id")).select("text", "y")
+    return docs.join(chosen, F.col("_doc") == F.col("_id")).groupBy("_id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
 #: (text, least times): a whole word is "word$", a stem "stem".
@@ -113,7 +118,7 @@ def _telling(sample: DataFrame, n1: int, n0: int, known: frozenset[str] | None)
                         .withColumn("p1", F.col("c1") / n1).withColumn("p0", (F.col("c0") + 0.5) / n0).withColumn("e", e), "lexicon-entries")
     gain = F.col("p1") * F.log(F.col("p1") / F.col("p0"))
     kept = stats.filter((F.col("p1") >= LEAST_RATIO * F.col("p0")) & (F.col("e") >= _threshold(stats)))
-    ranked = [(r["entry"], r["times"]) for r in kept.orderBy(gain.desc(), "entry", "times").limit(CANDIDATES).collect()]
+    ranked = [(r["entry"], r["times"]) for r in kept.orderBy(gain.desc(), "entry", "times").collect()]
     wanted = {e for e, _ in ranked}
 
     def company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,11 +147,16 @@ def mine_lexicon(sample: DataFrame) -> Lexicon:
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return []
-    words = _telling(sample, n1, n0, None)[:MAX_WORDS]
+    words = _telling(sample, n1, n0, None)
     stems: Lexicon = []
+    taken: set[str] = set()          # chosen stems and all that they begin with
+    chosen: set[str] = set()
     for e, times in _telling(sample, n1, n0, frozenset(e[:-1] for e, _ in words)):
-        if len(stems) < MAX_STEMS and not any(e.startswith(x) or x.startswith(e) for x, _ in stems):
+        heads = {e[:k] for k in range(1, len(e) + 1)}
+        if e not in taken and not heads & chosen:
             stems.append((e, times))
+            chosen.add(e)
+            taken |= heads
     return words + stems
 
 
@@ -194,49 +204,94 @@ class LabelModel:
     def __init__(self, prior: float, start: np.ndarray | None = None):
         self.prior, self.start = min(max(prior, 0.005), 0.5), start
 
-    def fit(self, v: np.ndarray, rounds: int = 30) -> np.ndarray:
-        """Posterior of *toxic* for each row of votes ``v`` (rows x voters)."""
-        v = v.astype(np.float64)
-        n, m = v.shape
+    def fit(self, v: "Votes | np.ndarray", rounds: int = 30) -> np.ndarray:
+        """Posterior of *toxic* for each row of votes."""
+        v = v if isinstance(v, Votes) else Votes.of(v)
+        n, m = v.rows, v.width
         # Rows with most votes begin as toxic; EM moves from there.  A rare voter
         # begins at its rate among the rows with votes, so that the silence of many says little.
         self.weight = np.ones(m)
-        self.p1 = np.clip(v.sum(axis=0) / max(v.any(axis=1).sum(), 1), 1e-4, 0.3)
+        self.p1 = np.clip(v.totals(np.ones(n)) / max((np.diff(v.first) > 0).sum(), 1), 1e-4, 0.3)
         self.p0 = self.p1 / 30
+        together = v.pairs()
         for _ in range(3):
             for _ in range(rounds):
                 q = self.posterior(v)
-                self.p1 = (q @ v + 1) / (q.sum() + 4)
-                self.p0 = ((1 - q) @ v + 0.05) / ((1 - q).sum() + 10)
+                self.p1 = (v.totals(q) + 1) / (q.sum() + 4)
+                self.p0 = (v.totals(1 - q) + 0.05) / ((1 - q).sum() + 10)
                 self.p1 = np.maximum(self.p1, self.p0)      # a vote never speaks for *clean*
                 self.prior = min(max((q.sum() + 1) / (n + 2), 0.001), 0.9)
             q = self.posterior(v)
-            r = v - (q[:, None] * self.p1 + (1 - q)[:, None] * self.p0)
-            cov = r.T @ r / n
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            self.correlation = cov / sd[:, None] / sd
-            strong = np.where(np.abs(self.correlation) > 0.2, np.maximum(self.correlation, 0), 0)
-            np.fill_diagonal(strong, 1)
-            self.weight = 1 / strong.sum(axis=1)
+            # Residual correlations of the voters that ever vote together; others' are not positive.
+            yes, no = v.totals(q), v.totals(1 - q)
+            qq, qr, rr = (q * q).sum(), (q * (1 - q)).sum(), ((1 - q) ** 2).sum()
+
+            def residual(i, j, both):
+                mixed = self.p1[j] * yes[i] + self.p0[j] * no[i] + self.p1[i] * yes[j] + self.p0[i] * no[j]
+                model = self.p1[i] * self.p1[j] * qq + (self.p1[i] * self.p0[j] + self.p0[i] * self.p1[j]) * qr + self.p0[i] * self.p0[j] * rr
+                return (both - mixed + model) / max(n, 1)
+
+            every = np.arange(m)
+            sd = np.sqrt(np.maximum(residual(every, every, yes + no), 1e-9))
+            i, j, both = together
+            self.correlation = (i, j, residual(i, j, both) / (sd[i] * sd[j]))
+            strong = np.where(self.correlation[2] > 0.2, self.correlation[2], 0.0)
+            self.weight = 1 / (1 + np.bincount(i, strong, m) + np.bincount(j, strong, m))
         return self.posterior(v)
 
-    def posterior(self, v: np.ndarray) -> np.ndarray:
+    def posterior(self, v: "Votes") -> np.ndarray:
         # Abstaining says little: only votes and the voters' joint silence count.
         yes, no = np.log(self.p1 / self.p0), np.log((1 - self.p1) / (1 - self.p0))
-        logit = np.log(self.prior / (1 - self.prior)) + (v * (yes - no) * self.weight).sum(axis=1) + (no * self.weight).sum()
+        logit = np.log(self.prior / (1 - self.prior)) + v.sums((yes - no) * self.weight) + (no * self.weight).sum()
         return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
 
-def features(v: np.ndarray, found: np.ndarray, share: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.ones((len(v), 1)), v, np.log1p(found)[:, None], np.minimum(share * 10, 1)[:, None]], axis=1)
+class Votes:
+    """Votes of many rows, sparse: the voters of row k are ``voter[first[k]: first[k + 1]]``."""
+
+    def __init__(self, voter: np.ndarray, first: np.ndarray, width: int):
+        self.voter, self.first, self.width, self.rows = voter.astype(np.int64), first.astype(np.int64), width, len(first) - 1
+        self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
+
+    @classmethod
+    def of(cls, v: np.ndarray) -> "Votes":
+        row, voter = np.nonzero(v)
+        return cls(voter, np.searchsorted(row, np.arange(len(v) + 1)), v.shape[1])
+
+    def sums(self, w: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each row's voters."""
+        return np.bincount(self.row, w[self.voter], self.rows)
+
+    def totals(self, q: np.ndarray) -> np.ndarray:
+        """Sum of the rows' weights of each voter."""
+        return np.bincount(self.voter, q[self.row], self.width).astype(np.float64)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, rows) of the voters i < j that vote together, offset by offset within the rows."""
+        found = np.zeros(0, np.int64)
+        rows = np.zeros(0, np.int64)
+        size = np.diff(self.first)[self.row] if len(self.row) else np.zeros(0, np.int64)
+        place = np.arange(len(self.voter)) - self.first[self.row]
+        for step in range(1, int(size.max(initial=1))):
+            at = np.flatnonzero(place + step < size)
+            key, n = np.unique(self.voter[at] * self.width + self.voter[at + step], return_counts=True)
+            found, where = np.unique(np.concatenate([found, key]), return_inverse=True)
+            rows = np.bincount(where, np.concatenate([rows, n]), len(found)).astype(np.int64)
+        return found // self.width, found % self.width, rows
+
+
+def extra(found: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Features beside the votes: one, lexicon words found, their share."""
+    return np.stack([np.ones(len(found)), np.log1p(found), np.minimum(share * 10, 1)], axis=1)
 
 
-def linear(x: np.ndarray, q: np.ndarray, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> np.ndarray:
-    """Logistic regression on soft labels (Adam)."""
-    w, m, s = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
+def linear(v: Votes, x: np.ndarray, q: np.ndarray, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> np.ndarray:
+    """Logistic regression on soft labels (Adam): weights of ``x``, then of the votes."""
+    k0 = x.shape[1]
+    w, m, s = (np.zeros(k0 + v.width) for _ in range(3))
     for k in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (q - p) / max(len(x), 1) - ridge * w
+        p = 1 / (1 + np.exp(-np.clip(x @ w[:k0] + v.sums(w[k0:]), -30, 30)))
+        g = np.concatenate([x.T @ (q - p), v.totals(q - p)]) / max(len(x), 1) - ridge * w
         m += 0.1 * (g - m)
         s += 0.01 * (g * g - s)
         w += rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.99**k)) + 1e-8)
@@ -255,17 +310,23 @@ def train(docs: DataFrame, labels: DataFrame, fit_on: Column, text: str = "text"
         for b in T.slices(batches, "text"):
             got = [votes(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                pa.array([np.packbits(v).tobytes() for v, _, _ in got], pa.binary()),
+                pa.array([np.flatnonzero(v).astype(np.int32) for v, _, _ in got], pa.list_(pa.int32())),
                 pa.array([f for _, f, _ in got], pa.float64()), pa.array([s for _, _, s in got], pa.float64()), b.column("y")], ["v", "found", "share", "y"])
 
-    got = sample.mapInArrow(vote, "v binary, found double, share double, y int").toArrow()
+    # Bounded by the sample: the few votes of at most ``rows`` documents of each label.
+    got = sample.mapInArrow(vote, "v array<int>, found double, share double, y int").toArrow()
     if not got.num_rows:
         return words, np.append([-6.0], np.zeros(width + 2))
-    raw = np.frombuffer(b"".join(got["v"].to_pylist()), np.uint8).reshape(got.num_rows, -1)
-    v = np.unpackbits(raw, axis=1)[:, :width].astype(np.float64)
+    # The same model whatever the order of arrival.
+    lists = got["v"].combine_chunks()
+    sizes = np.asarray(pc.list_value_length(lists)).astype(np.int64)
     found, share, y = (np.asarray(got[c]).astype(np.float64) for c in ("found", "share", "y"))
+    start = np.cumsum(sizes) - sizes
+    flat = np.asarray(lists.flatten()).astype(np.int64)
+    order = sorted(range(len(y)), key=lambda k: (y[k], share[k], found[k], flat[start[k]: start[k] + sizes[k]].tolist()))
+    v = Votes(np.concatenate([flat[start[k]: start[k] + sizes[k]] for k in order]), np.concatenate([[0], np.cumsum(sizes[order])]), width)
     q = LabelModel(float(y.mean())).fit(v)
-    return words, linear(features(v, found, share), q)
+    return words, linear(v, extra(found[order], share[order]), q)
 
 
 def score(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text: str = "text", name: str = "score") -> DataFrame:
@@ -281,7 +342,8 @@ def score(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in T.slices(batches, text):
             got = [votes(t) for t in T.text_column(b, text).to_pylist()]
-            x = features(np.stack([v for v, _, _ in got]).reshape(-1, width).astype(np.float64), np.array([f for _, f, _ in got]), np.array([s for _, _, s in got]))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))))], [*b.schema.names, name])
+            x = extra(np.array([f for _, f, _ in got]), np.array([s for _, _, s in got]))
+            logit = x @ w[:x.shape[1]] + Votes.of(np.stack([v for v, _, _ in got]).reshape(-1, width)).sums(w[x.shape[1]:])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))))], [*b.schema.names, name])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))

@@ -260,3 +260,61 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got.get(x, x) == find(x) for x in parent)
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sparse_votes_equal_dense_ones():
+    rng = np.random.default_rng(5)
+    toxic = rng.random(600) < 0.3
+    v = rng.random((600, 9)) < np.where(toxic[:, None], 0.4, 0.02)
+    v[:, 8] = v[:, 7]                                            # two voters that always agree
+    votes = toxicity.Votes.of(v)
+    w, q = rng.normal(size=9), rng.random(600)
+    assert np.allclose(votes.sums(w), v @ w) and np.allclose(votes.totals(q), q @ v)
+    i, j, n = votes.pairs()
+    both = v.T.astype(int) @ v.astype(int)
+    assert {(a, b): k for a, b, k in zip(i.tolist(), j.tolist(), n.tolist())} == {(a, b): both[a, b] for a in range(9) for b in range(a + 1, 9) if both[a, b]}
+    model = toxicity.LabelModel(0.3)
+    post = model.fit(votes)
+    assert ((post > 0.5) == toxic).mean() > 0.9
+    r = v - (post[:, None] * model.p1 + (1 - post)[:, None] * model.p0)
+    cov = r.T @ r / len(v)
+    want = cov / np.sqrt(np.outer(np.diag(cov), np.diag(cov)))
+    for a, b, c in zip(*model.correlation):
+        assert abs(want[a, b] - c) < 0.05
+    assert model.weight[7] < 0.6 and model.weight[8] < 0.6 and model.weight[0] > 0.8
+
+
+def test_a_thousand_toxic_words_are_all_voters(spark):
+    Q.prepare(spark)
+    rng = random.Random(1)
+    words, plain = [f"bad{'abcdefghij'[k % 10]}{k}x" for k in range(1000)], [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(rng.choice(plain) for _ in range(30)), 0) for k in range(1500)]
+    for k in range(1500):
+        text = [rng.choice(plain) for _ in range(30)]
+        for x in rng.sample(words, 12):
+            text.insert(rng.randint(1, 30), x)
+        rows.append((2000 + k, " ".join(text), 1))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    lexicon = toxicity.mine_lexicon(toxicity.sample_rows(docs, labels, F.lit(True), "text", "doc_id", "toxic", 5000).cache())
+    assert sum(e.rstrip("$") in set(words) for e, _ in lexicon) > 900
+
+
+def test_samples_count_a_repeated_id_once(spark):
+    Q.prepare(spark)
+    many = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("word text "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    few = spark.range(40).select((F.col("id") + 100).alias("doc_id"), F.lit("other text here").alias("text"), F.lit("en").alias("lang"))
+    docs = many.unionByName(few)
+    labels = docs.select("doc_id").distinct().select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"), (F.col("doc_id") % 2).cast("int").alias("quality"))
+    assert toxicity.sample_rows(docs, labels, F.lit(True), "text", "doc_id", "toxic", 100).count() == 41
+    assert langid.training_rows(docs, F.lit(True), "text", "lang", "doc_id", 100).count() == 41
+    assert quality.train(docs, labels, F.lit(True), rows=100) is not None
+
+
+def test_a_text_of_marks_alone_has_no_language(spark):
+    Q.prepare(spark)
+    docs = spark.createDataFrame([(k, "les mots de la phrase", "fr") for k in range(30)] + [(k + 50, "words of the sentence", "en") for k in range(30)]
+                                 + [(900, "́̀ ̈", None), (901, "é", None)], "doc_id long, text string, lang string")
+    model, limits = langid.train(docs, F.lit(True))
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs.drop("lang"), model, limits).collect()}
+    assert got[900] == "und" and got[901] != "und"
