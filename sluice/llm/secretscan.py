@@ -52,6 +52,8 @@ ENCODINGS = {
 _INDEX = {name: {c: k for k, c in enumerate(alphabet)} for name, alphabet in ENCODINGS.items()}
 LENGTH_CLASSES = (20, 24, 32, 48, 64)
 BINS = 100
+#: Chi-squared of five parts (four degrees of freedom) beyond which p-values are not spread evenly: 1 %.
+UNEVEN = 13.28
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -175,6 +177,19 @@ def scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
     return docs.select(id_col, text).mapInArrow(run, f"doc_id long, base {SPAN}, cand {CAND}")
 
 
+def _random_share(n: np.ndarray, above: np.ndarray, edge: int) -> float:
+    """Random strings in each bin of p-values.  Theirs are spread evenly, so the
+    upper half shows how many there are, if it is even (chi-squared, five parts).  If
+    not, names and other text reach into it, and no more than the sparsest of
+    its upper ends is sure to be random, less two standard deviations."""
+    ends = np.linspace(edge, BINS, 6).astype(int)
+    parts = np.array([n[a:b].sum() for a, b in zip(ends, ends[1:])])
+    even = parts.sum() / 5
+    if even and ((parts - even) ** 2).sum() / even > UNEVEN:
+        return max(0.0, min((above[a] - 2 * math.sqrt(above[a])) / (BINS - a) for a in ends[:-1].tolist()))
+    return above[edge] / (BINS - edge)
+
+
 def thresholds(scanned: DataFrame, q: float = 0.05, random_from: float = 0.5) -> dict[int, float]:
     """Least joint p to accept, by class, at false-discovery rate ``q``."""
     rows = (scanned.select(F.explode("cand").alias("c"))
@@ -186,8 +201,7 @@ def thresholds(scanned: DataFrame, q: float = 0.05, random_from: float = 0.5) ->
     out = {}
     for cls, n in counts.items():
         above = n[::-1].cumsum()[::-1]                       # candidates with p in this bin or a higher one
-        edge = int(BINS * random_from)
-        per_bin = above[edge] / (BINS - edge)                # random strings in each bin
+        per_bin = _random_share(n, above, int(BINS * random_from))
         text = np.maximum(above - per_bin * np.arange(BINS, 0, -1), 0)
         ok = np.flatnonzero((text <= q * above) & (above > 0))
         # Random strings with a joint p below 1 % are given up; bin 0 is where text lies.

@@ -349,3 +349,17 @@ def test_hub_round_does_not_depend_on_batches(spark):
         assert {(r["token"], r["node"], r["n"], r["pos"]) for r in got if r["token"] is not None} == want_lists
         assert sum(r["token"] is not None for r in got) == len(want_lists)
         assert {(r["a"], r["b"]) for r in got if r["a"] is not None} == want_pairs
+
+
+def test_mixed_case_names_are_no_secrets(spark):
+    """Made-up identifiers alone: next to none is taken for a random token; random tokens alone are found."""
+    Q.prepare(spark)
+    rng = random.Random(12)
+    parts = ["Count", "Stream", "Md5", "Sha256", "Read", "Buffer", "Http2", "Parse", "Utf8", "Index", "Node", "Value", "Cache", "Map", "Row", "V2", "Table", "Key", "Base64", "Json"]
+    names = ["".join(rng.choice(parts) for _ in range(rng.randint(4, 8))) for _ in range(12_000)]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    tokens = ["".join(rng.choice(letters) for _ in range(rng.choice([24, 32, 40]))) for _ in range(1500)]
+    table = lambda words: spark.createDataFrame([(k, f"see {w} here") for k, w in enumerate(words)], "doc_id long, text string")
+    found = lambda df: sum(any(s["kind"] == secretscan.KINDS.index("random") for s in r["spans"]) for r in secretscan.find_secrets(df).collect())
+    assert found(table(names)) <= len(names) * 0.002
+    assert found(table(tokens)) >= len(tokens) * 0.9
