@@ -915,7 +915,7 @@ SELECT rule_key, PracticeID, LocationID, set_id AS run_id, n_files_checked, file
        CASE WHEN files_matched > 0 THEN 'PASS' ELSE 'FAIL' END AS identity_verdict FROM m"""
 O_OUTBOUND_EXPECTED_ANY = _expected_sql("any")
 # Over the files: rows of a file without the identity column match nothing, and its sets fail.
-_MISSING_ID = "instr('0123456789abcdef', substr(md5(file_path), 1, 1)) = 16"
+_MISSING_ID = "instr('0123456789abcdef', substr(md5(file_path), 1, 1)) >= 14"
 O_OUTBOUND_FILE_MATCH = _with(*_OUT_VIEWS, extra=",".join([_QUALIFYING_SQL, _LOG_SQL, _OUTBOUND_SQL, _RUN_SETS_SQL]).replace(
     "wr AS (SELECT DISTINCT rule_key, k0, k1, run_id FROM orow)", f"wr AS (SELECT DISTINCT rule_key, k0, k1, run_id FROM orow WHERE NOT {_MISSING_ID})")
     + "," + _MATCH_SQL.replace("JOIN srow o ON", f"JOIN (SELECT * FROM srow WHERE NOT {_MISSING_ID}) o ON")) + f"""
@@ -945,8 +945,8 @@ def _outbound_files(spark, sf_dir):
     rows = spark.sql(_FILE_VIEW.replace("outbound_rows", "{outbound_rows}"), outbound_rows=catalog(spark, sf_dir)["outbound_rows"])
     drift = F.col("drift")
     cases = [(drift < 8, FILE_COLUMNS, FILE_COLUMNS),
-             (drift < 12, [f" {c.upper()}" for c in reversed(FILE_COLUMNS)], list(reversed(FILE_COLUMNS))),
-             (drift < 15, *[[c for c in FILE_COLUMNS if c != "TaxIDNumber"]] * 2),
+             (drift < 11, [f" {c.upper()}" for c in reversed(FILE_COLUMNS)], list(reversed(FILE_COLUMNS))),
+             (drift < 13, *[[c for c in FILE_COLUMNS if c != "TaxIDNumber"]] * 2),
              (F.lit(True), *[[c for c in FILE_COLUMNS if c != "BillingLocationID"]] * 2)]
     head, values = F.when(F.lit(False), F.array(F.lit(""))), F.when(F.lit(False), F.array(F.lit("")))
     for when, names, cols in cases:
@@ -973,11 +973,11 @@ def q_outbound_file_match(spark, sf_dir):
 
 _FILE_VALUES = ", ".join(
     f"NULLIF(CASE WHEN drift {t} THEN NULL ELSE {c} END, '') AS {c}" if t else f"NULLIF({c}, '') AS {c}"
-    for c, t in zip(FILE_COLUMNS, ("", "", "IN (12, 13, 14)", "= 15", "", "")))
+    for c, t in zip(FILE_COLUMNS, ("", "", "IN (11, 12)", ">= 13", "", "")))
 O_OUTBOUND_FILE_ROWS = _with("outbound_rows") + f"""
 SELECT file_path, CAST(row_no % {FILE_PARTS} AS INTEGER) AS part,
        row_number() OVER (PARTITION BY file_path, row_no % {FILE_PARTS} ORDER BY row_no) AS row_no, {_FILE_VALUES},
-       CASE WHEN drift IN (12, 13, 14) THEN 'TaxIDNumber' WHEN drift = 15 THEN 'BillingLocationID' ELSE '' END AS missing
+       CASE WHEN drift IN (11, 12) THEN 'TaxIDNumber' WHEN drift >= 13 THEN 'BillingLocationID' ELSE '' END AS missing
 FROM ({_FILE_VIEW}) f"""
 
 
@@ -1330,7 +1330,7 @@ FROM verdicts"""
 
 
 # The driver's runs start long before their objects' dates: a deadline that separates them.
-OBJECT_STREAM_DEADLINE = 520 * 86400
+OBJECT_STREAM_DEADLINE = 495 * 86400
 
 
 def q_stream_objects(spark, sf_dir):

@@ -26,6 +26,12 @@ REACHED = {
     "rule_count_recon": ("verdict", {"PASS", "FAIL"}),
     "payload_rule_echo": ("reason", {None, "payload empty", "rule not echoed in payload", "flag column not named in payload", "batch-level process row"}),
     "before_after_summary": ("verdict", {"PASS", "FAIL", "WARN"}),
+    "outbound_file_match": ("reason", {None, "identity column missing from a checked file", "record not found in any outbound file"}),
+    "outbound_file_rows": ("missing", {"", "TaxIDNumber", "BillingLocationID"}),
+    "stream_objects": ("verdict", {"FOUND", "MISSING"}),
+    "final_state_conflicts": ("split_part(reason, ':', 1)", {None, "final rows differ in InDirectory"}),
+    "artifact_longest_prefix": ("rule_key", {"practice_f_z", "practice_f_ar"}),
+    "log_file_pick": ("source", {"api", "manager", "file"}),
     "split_status": ("status", {"PASS", "FAIL"}),
     "code_audit": ("n_not_code < n_values", {True}),
 }
