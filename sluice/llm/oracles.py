@@ -1,5 +1,32 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+OP2 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT rid, doc_id, list_distinct(CASE
+           WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM docs
+), held AS (
+  SELECT rid, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.rid AS x, b.rid AS y
+  FROM held a JOIN held b ON a.shingle = b.shingle AND a.rid <> b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT rid, rid AS other FROM sets
+  UNION
+  SELECT r.rid, l.y FROM reach r JOIN links l ON l.x = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach r JOIN sets s ON s.rid = r.rid JOIN sets o ON o.rid = r.other
+GROUP BY s.rid, s.doc_id, len(s.s)
+"""
+
 OP10 = r"""
 WITH v AS (
   SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
@@ -109,4 +136,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE = {"op10_top_k": OP10, "op11_lexical_search": OP11, "op12_hard_negatives": OP12, "op13_rule_cascade": OP13}
+ORACLE = {"op2_jaccard_join": OP2, "op10_top_k": OP10, "op11_lexical_search": OP11, "op12_hard_negatives": OP12, "op13_rule_cascade": OP13}
