@@ -2,17 +2,16 @@
 
 Vectors become integers, floor(256 x).  All rows are stored in blocks of about
 ``BLOCK`` rows in vertical layout (dimension by dimension); the query rows are
-taken from these into blocks of ``QUERIES``.  A task takes one candidate block
-and one query block and accumulates each query's scores a few dimensions at a
-time.  After each step the mass that remains bounds what a candidate can still
-gain (Cauchy-Schwarz: the norm of the query's dimensions left times that of
-the candidate's), and the candidates that cannot reach the query's k-th best
-any more are compacted away; the first k-th best comes from finishing the most
-promising candidates at once.  The k best of each block meet in a window per query.
-
-Blocks meet on an equal key, (candidate block, query block): each side is
-repeated once per block of the other, which is what comparing a stated query
-set with all rows takes.
+taken from these into blocks of ``QUERIES``.  A block of candidates accumulates
+each query's scores a few dimensions at a time.  After each step the mass that
+remains bounds what a candidate can still gain (Cauchy-Schwarz: the norm of the
+query's dimensions left times that of the candidate's), and the candidates that
+cannot reach the query's k-th best any more are compacted away.  The first k-th
+best of a task comes from finishing the most promising candidates at once; it
+is carried from block to block.  The k best of each task meet in a window per query.
+
+Candidates stay where they are stored.  The query blocks go to them in rounds
+of at most ``ROUND_BYTES``, by checked sums; each round reads the blocks once.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +30,8 @@ from sluice.session import materialize
 BLOCK = 8192
 QUERIES = 512
 STEP = 16
+#: Bytes of query blocks that are sent to all candidate blocks at once.
+ROUND_BYTES = 16 << 20
 EMPTY = "query_id long, rank int, vec_id long, score long"
 _EXACT = float(2**53)
 
@@ -61,9 +63,11 @@ def _open(dim: int, kind: str, ids: bytes, rows: bytes, data: bytes) -> tuple[np
     return np.frombuffer(ids, "<i8"), np.frombuffer(rows, "<i8"), np.frombuffer(data, kind).reshape(dim, -1)
 
 
-def block_top(cand: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def block_top(cand: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int,
+              floors: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, candidate places, scores) of the k best candidates of a block
-    for each query; ``cand`` is (dimensions, rows), ``queries`` (queries, dimensions)."""
+    for each query; ``cand`` is (dimensions, rows), ``queries`` (queries, dimensions).
+    Candidates that score below a query's floor may be left out."""
     dim, n = cand.shape
     top = float(np.abs(cand.astype(np.float64)).max(initial=0)) * float(np.abs(queries.astype(np.float64)).max(initial=0)) * dim
     if top >= _EXACT:      # beyond exact floating point: whole numbers of any size
@@ -83,13 +87,13 @@ def block_top(cand: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.n
             x = queries[q]
             alive = np.flatnonzero(rows != own[q])
             score = begun[q - a][alive]
-            floor = -np.inf
+            floor = -np.inf if floors is None else floors[q]
             for s, z in enumerate(cuts[1:]):
                 if s:
                     score = score + x[cuts[s]: z] @ cand[cuts[s]: z, alive]
-                if z == dim or len(alive) <= k:
+                if z == dim or not len(alive) or (floor == -np.inf and len(alive) <= k):
                     continue
-                if floor == -np.inf:
+                if floor == -np.inf and len(alive) > k:
                     lead = np.argpartition(-score, k - 1)[:k]
                     floor = (score[lead] + x[z:] @ cand[z:, alive[lead]]).min()
                 # The slack covers the rounding of the norms; scores themselves are exact.
@@ -99,6 +103,46 @@ def block_top(cand: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.n
             yield q, alive[best], score[best].astype(np.int64)
 
 
+class Best:
+    """The k best of each query of a block so far, over many candidate blocks."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.score = np.full((n, k), np.iinfo(np.int64).min)
+        self.ids = np.zeros((n, k), np.int64)
+        self.held = np.zeros(n, np.int64)
+
+    def floors(self) -> np.ndarray:
+        return np.where(self.held == self.score.shape[1], self.score[:, -1].astype(np.float64), -np.inf)
+
+    def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        n = self.held[q]
+        scores, ids = np.concatenate([self.score[q, :n], scores]), np.concatenate([self.ids[q, :n], ids])
+        # ~x turns the order of whole numbers round, the lowest one included.
+        at = np.lexsort((ids, ~scores))[: self.score.shape[1]]
+        self.held[q] = len(at)
+        self.score[q, : len(at)], self.ids[q, : len(at)] = scores[at], ids[at]
+
+
+def rounds(asked: DataFrame, every_bytes: int) -> list[DataFrame]:
+    """Query blocks dealt into parts of at most ``every_bytes`` (or of a single block)."""
+    size = F.sum(F.length("data") + 16 * F.length("ids"))
+    parts = max(1, -(-(asked.agg(size).first()[0] or 0) // every_bytes))
+    while True:
+        part = F.pmod(F.xxhash64("dim", "block"), F.lit(parts))
+        sizes = asked.groupBy(part).agg(size, F.count(F.lit(1))).collect()
+        if all(b <= every_bytes or n == 1 for _, b, n in sizes):
+            return [asked.filter(part == p) for p, _, _ in sizes]
+        parts *= 2
+
+
+def _sent(part: DataFrame) -> Broadcast:
+    """The query blocks of a round by dimension, for every task."""
+    by_dim: dict[int, list] = {}
+    for r in part.collect():
+        by_dim.setdefault(r["dim"], []).append(r.asDict())
+    return part.sparkSession.sparkContext.broadcast(by_dim)
+
+
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vector: str = "embedding", id_col: str = "vec_id") -> DataFrame:
     """The k highest integer inner products of each query (rows whose id is
     divisible by ``every``) with every other row of the same dimension:
@@ -130,28 +174,35 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vector: str = "embedd
 
     asked = blocks.mapInArrow(query_rows, "dim int, vec_id long, row long, v array<long>")
     groups = max(1, -(-asked.count() // QUERIES))
-    asked = (asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(groups)))
-             .groupBy("dim", "block").applyInPandas(_block, BLOCKS))
-    asked = asked.select(*[F.col(c).alias("dim" if c == "dim" else f"q_{c}") for c in asked.columns])
-    every_block = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<long>"))
-    here = blocks.withColumn("q_block", every_block(groups))
-    there = asked.withColumn("block", every_block(-(-n // BLOCK)))
-    met = here.hint("shuffle_merge").join(there, ["dim", "block", "q_block"])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for j in range(b.num_rows):
-                r = {c: b.column(c)[j].as_py() for c in b.schema.names}
-                ids, row, cand = _open(r["dim"], r["kind"], r["ids"], r["rows"], r["data"])
-                q_ids, q_row, q = _open(r["dim"], r["q_kind"], r["q_ids"], r["q_rows"], r["q_data"])
-                found = list(block_top(cand, ids, row, np.ascontiguousarray(q.T), q_row, k))
-                size = [len(at) for _, at, _ in found]
-                who = np.repeat([x for x, _, _ in found], size)
-                at = np.concatenate([x for _, x, _ in found])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(who), r["dim"], np.int32)), pa.array(q_row[who]), pa.array(q_ids[who]), pa.array(ids[at]), pa.array(np.concatenate([s for _, _, s in found]))],
-                    ["dim", "row", "query_id", "vec_id", "score"])
-
-    best = met.mapInArrow(search, "dim int, row long, query_id long, vec_id long, score long")
+    asked = materialize(asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(groups)))
+                        .groupBy("dim", "block").applyInPandas(_block, BLOCKS), "query-blocks")
+    if asked.isEmpty():
+        return spark.createDataFrame([], EMPTY)
+
+    def searching(sent: Broadcast):
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            open_, best = {}, {}
+            for r in (r for b in batches for r in b.to_pylist()):
+                dim = r["dim"]
+                if dim not in open_:
+                    open_[dim] = [_open(dim, *(q[c] for c in ("kind", "ids", "rows", "data"))) for q in sent.value.get(dim, ())]
+                    best[dim] = [Best(len(ids), k) for ids, _, _ in open_[dim]]
+                ids, row, cand = _open(dim, r["kind"], r["ids"], r["rows"], r["data"])
+                for (_, q_row, q), top in zip(open_[dim], best[dim]):
+                    for x, at, scores in block_top(cand, ids, row, np.ascontiguousarray(q.T), q_row, k, top.floors()):
+                        if len(at):
+                            top.add(x, scores, ids[at])
+            for dim in open_:
+                for (q_ids, q_row, _), top in zip(open_[dim], best[dim]):
+                    who, at = np.nonzero(np.arange(k) < top.held[:, None])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(who), dim, np.int32)), pa.array(q_row[who]), pa.array(q_ids[who]), pa.array(top.ids[who, at]), pa.array(top.score[who, at])],
+                        ["dim", "row", "query_id", "vec_id", "score"])
+        return search
+
+    found = None
+    for part in rounds(asked, ROUND_BYTES):
+        some = blocks.mapInArrow(searching(_sent(part)), "dim int, row long, query_id long, vec_id long, score long")
+        found = some if found is None else found.unionByName(some)
     w = Window.partitionBy("dim", "row").orderBy(F.col("score").desc(), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -236,6 +236,20 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_many_blocks_and_rounds(spark, monkeypatch):
+    """Small blocks and rounds: floors are carried over blocks, ties lie in different ones."""
+    Q.prepare(spark)
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    monkeypatch.setattr(topk, "ROUND_BYTES", 700)
+    rng = np.random.default_rng(5)
+    rows = [(int(k), [float(x) for x in rng.normal(size=40)]) for k in range(400)]
+    rows += [(1000 + k, rows[50][1]) for k in range(30)] + [(2000 + 50 * k, [1.0, -0.5]) for k in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    assert sorted(tuple(r) for r in topk.top_k(df).collect()) == _top(rows, 5, 50)
+    assert topk.top_k(df.filter("vec_id % 50 != 0")).count() == 0
+
+
 def test_top_k_beyond_exact_floats(spark):
     Q.prepare(spark)
     rows = [(k, [1e6 + k / 7, -5e6 + k, float(k)]) for k in range(120)]
