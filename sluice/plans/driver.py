@@ -801,9 +801,6 @@ def _outbound(spark, sf_dir):
     return rows.withColumn("missing_columns", F.array().cast("array<string>"))
 
 
-_SET_KEYS = ["rule_key", "PracticeID", "LocationID", "file_set"]
-
-
 def _file_path(bucket, key):
     return F.concat(F.lit("s3://"), bucket, F.lit("/"), key)
 
@@ -1401,95 +1398,26 @@ ORACLE.update({
 
 
 # ── stage-gated scenario verdict ─────────────────────────────────────────
-from sluice.operators import verdict as vd  # noqa: E402
+from sluice.operators import scenario as sc  # noqa: E402
 
 
-def q_stage_verdict(spark, sf_dir):
-    """One row per (rule, record, run that wrote it).  A run whose trigger was
-    skipped has no log: an object that holds the record's search value is
-    looked up instead, its name gives the process id, and it alone is the
-    record's outbound file (RULE-6).  A count that differs from the source only
-    warns here: the driver's logs are not about its directory tables."""
+def _scenario(spark, sf_dir, rules, rows, state):
+    """The library's scenario on the driver tables.  A count that differs from
+    the source only warns: the driver's logs are not about its directory tables."""
     c = catalog(spark, sf_dir)
-    rules = rules_frame(spark, DRIVER_RULES)
-    # shared by four stages: computed once, lineage cut in the shared folder
-    q = materialize(cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF), "qualifying")
-    pre = (cand.check_preconditions(spark, q, DRIVER_RULES).groupBy("rule_key", "PracticeID", "LocationID")
-           .agg(F.bool_and("passed").alias("_ok"), F.min(F.when(~F.col("passed"), F.array_join("failed_checks", ","))).alias("_why")))
-    runs = c["runs"]
-    skipped = F.coalesce(F.col("state") == "SKIPPED_TRIGGER", F.lit(False))
-    search = F.concat_ws("/", "run_id", "rule_key", F.col("PracticeID").cast("string"), F.col("LocationID").cast("string"))
-    outbound = _outbound(spark, sf_dir)
-    files = outbound.select("file_path", "missing_columns").distinct()
-    written = materialize(ob.relevant_rows(q, outbound, DRIVER_RULES), "outbound-rows")
-    recs = materialize(_with_runs(pre, written, spark, rules).join(runs.select("run_id", "state", "started_at"), "run_id", "left")
-                       .withColumn("file_set", F.when(skipped, search).otherwise(F.col("run_id"))), "records")
-
-    summary, facts = (materialize(t, "log_scan") for t in lg.scan_logs(c["run_log_captures"], C))      # small: per run and fact
-    picks = lg.pick_source(summary)
-    summary, facts = lg.picked(summary, picks), lg.picked(facts, picks)
-    arts = _artifacts(runs, facts, rules)
-    pid = lg.process_id_check(arts, runs, rules)
-    rc = lg.rule_counts(facts)
-    logv = lg.log_verdict(spark, runs, lg.run_report(summary, facts), rc, pid, rules, DRIVER_RULES)
-    counts = cand.counts_of(spark, q, DRIVER_RULES)
-    recon = lg.reconcile_counts(spark, runs, rc, counts, rules, DRIVER_RULES, enforce=False)
-
-    inv = materialize(c["object_inventory"], "inventory")        # read by two stages
-    held = _outbound(spark, sf_dir).select(F.lit(OUTBOUND_BUCKET).alias("bucket"), F.regexp_replace("file_path", r"^[a-z0-9]+://[^/]+/", "").alias("key"),
-                                           canon_id(text_norm(F.col("PracticeID"))).alias("value"))
-    targets = recs.where(skipped).join(rules.select("rule_key", "outbound_prefix"), "rule_key").select(
-        F.col("file_set").alias("search_id"), F.lit(OUTBOUND_BUCKET).alias("target_bucket"), F.col("outbound_prefix").alias("prefix"),
-        F.col("started_at").alias("since"), canon_id(text_norm(F.col("PracticeID"), recs.schema["PracticeID"].dataType)).alias("must_contain"))
-    found = materialize(ar.search_objects(inv, targets, contents=held).select(
-        F.col("search_id").alias("file_set"), F.col("bucket").alias("_fb"), F.col("key").alias("_fk"), F.col("size").alias("_fsize"),
-        process_uuid(F.substring_index("key", "/", -1)).alias("_fpid")), "found")
-
-    astate = (ar.check_artifacts(arts, inv, runs, picks).groupBy("run_id", "rule_key")
-              .agg(vd.worst("verdict").alias("_av"),
-                   F.min(F.when(F.col("verdict") != "PASS", F.concat_ws(": ", "key", "state"))).alias("_ar")))
-    own = arts.select("rule_key", F.col("run_id").alias("file_set"), _file_path(F.col("bucket"), F.col("key")).alias("file_path")).unionByName(
-        found.join(recs.select("rule_key", "file_set"), "file_set").select("rule_key", "file_set", _file_path(F.col("_fb"), F.col("_fk")).alias("file_path")))
-    content = (ob.match_outbound(recs.select("rule_key", "PracticeID", "LocationID", "file_set"), written, DRIVER_RULES, rules,
-                                 OUTBOUND_BUCKET, "any", files=files, own=own)
-               .select(*_SET_KEYS, F.col("verdict").alias("outbound_content_verdict"), F.col("reason").alias("outbound_content_reason")))
-    pids = pid.select("process_id").unionByName(found.select(F.col("_fpid").alias("process_id"))).where(F.col("process_id").isNotNull()).distinct()
-    term = st.terminal_state(c["process_status"], process_ids=pids)
-    fstate = fs.final_state(spark, q, fs.final_state_rows(c["practices"], c["practice_locations_after"],
-                                                          c["practice_types"]), DRIVER_RULES)
-
-    j = (recs.withColumn("PracticeID", F.col("PracticeID").cast("string")).withColumn("LocationID", F.col("LocationID").cast("string"))
-         .join(logv.select("run_id", "rule_key", F.col("verdict").alias("_lv"), F.col("reason").alias("_lr")), ["run_id", "rule_key"], "left")
-         .join(recon.select("run_id", "rule_key", F.col("verdict").alias("_cv")), ["run_id", "rule_key"], "left")
-         .join(found, "file_set", "left")
-         .join(astate, ["run_id", "rule_key"], "left")
-         .join(content, _SET_KEYS, "left")
-         .join(pid.select("run_id", "rule_key", F.col("process_id").alias("_lpid")), ["run_id", "rule_key"], "left")
-         .withColumn("process_id", F.when(skipped, F.col("_fpid")).otherwise(F.col("_lpid")))
-         .join(term.select("process_id", F.col("verdict").alias("dataloader_verdict"), F.col("reason").alias("_dr")), "process_id", "left")
-         .join(fstate.select("rule_key", "LocationID", F.col("verdict").alias("final_state_verdict"),
-                             F.col("reason").alias("final_state_reason")), ["rule_key", "LocationID"], "left"))
-    job_v, job_r = vd.job_stage(F.col("state"))
-    no_object = F.when(F.col("_fk").isNull(), F.lit("no object found by prefix search")).when(
-        F.col("_fpid").isNull(), F.lit("no process UUID in the object name"))
-    empty = F.coalesce("_fsize", F.lit(0)) == 0
-    j = j.select(
-        "rule_key", "PracticeID", "LocationID", "run_id",
-        F.when(F.col("_ok"), "PASS").otherwise("FAIL").alias("candidate_verdict"),
-        F.when(~F.col("_ok"), F.concat(F.lit("failed checks: "), F.col("_why"))).alias("candidate_reason"),
-        job_v.alias("job_verdict"), job_r.alias("job_reason"),
-        F.when(skipped, F.when(no_object.isNull(), "PASS").otherwise("FAIL"))
-         .when((F.col("_lv") == "PASS") & (F.col("_cv") != "PASS"), F.col("_cv")).otherwise(F.col("_lv")).alias("run_log_verdict"),
-        F.when(skipped, no_object).otherwise(F.col("_lr")).alias("run_log_reason"),
-        F.when(skipped, F.when(empty, "FAIL").otherwise("PASS")).otherwise(F.col("_av")).alias("outbound_file_verdict"),
-        F.when(skipped, F.when(empty, F.concat(F.col("_fk"), F.lit(": 0 bytes")))).otherwise(F.col("_ar")).alias("outbound_file_reason"),
-        "outbound_content_verdict", "outbound_content_reason",
-        F.when(F.col("process_id").isNull(), "FAIL").otherwise(F.coalesce("dataloader_verdict", F.lit("FAIL"))).alias("dataloader_verdict"),
-        F.when(F.col("process_id").isNull(), F.lit("no process id for the run"))
-         .when(F.col("dataloader_verdict").isNull(), F.lit("no status rows for the process"))
-         .otherwise(F.col("_dr")).alias("dataloader_reason"),
-        "final_state_verdict", "final_state_reason")
-    return vd.fold_stages(j)
+    rows = c[rows].withColumn("missing_columns", F.array().cast("array<string>"))
+    inputs = sc.ScenarioInputs(directory(spark, sf_dir), c["runs"], c["run_log_captures"], c["object_inventory"], rows, c["process_status"], state(c))
+    return sc.suppression_scenario(spark, inputs, rules, AS_OF, OUTBOUND_BUCKET, C, enforce_counts=False)
+
+
+def q_stage_verdict(spark, sf_dir):
+    return _scenario(spark, sf_dir, DRIVER_RULES, "outbound_rows",
+                     lambda c: {"": fs.final_state_rows(c["practices"], c["practice_locations_after"], c["practice_types"])})
+
+
+def q_practitioner_stage_verdict(spark, sf_dir):
+    return _scenario(spark, sf_dir, PRACTITIONER_RULES, "practitioner_outbound_rows",
+                     lambda c: {"practitioner": fs.entity_state_rows(c["practitioners_after"])})
 
 
 _STAGE_SQL = f"""
@@ -1637,10 +1565,44 @@ st6 AS (SELECT *, CASE WHEN outbound_content IN ('PASS', 'WARN') THEN COALESCE(d
 st7 AS (SELECT *, CASE WHEN dataloader IN ('PASS', 'WARN') THEN COALESCE(final_state_verdict, 'FAIL')
                        ELSE 'SKIPPED' END AS final_state FROM st6)"""
 
+# Practitioners: their own records, file rows, counts and final state, under the
+# names that the later steps read (PracticeID: the provider id, LocationID: the key).
+_P_RULES = _sql_values([(r.key, r.rule_id, r.flow_name, r.outbound_prefix) for r in PRACTITIONER_RULES], ["rule_key", "rule_id", "flow_name", "outbound_prefix"])
+_P_ALIASES = _sql_values([(r.key, a) for r in PRACTITIONER_RULES for a in sorted(r.rule_ids_accepted)], ["rule_key", "alias"])
+_P_KEY = _canon_sql(_str_text_sql('NationalProviderID'))
+_P_RECORDS_SQL = f"""
+orow AS (SELECT u.rule_key, o.*, {_P_KEY} AS k0, '' AS k1, lower(trim(COALESCE(o.ActiveMilitaryOrReserve, ''))) = 'n' AS good
+         FROM practitioner_outbound_rows o JOIN {_P_RULES} u
+           ON starts_with(regexp_replace(o.file_path, '^[a-z0-9]+://[^/]+/', ''), u.outbound_prefix)
+          AND regexp_extract(o.file_path, '^[a-z0-9]+://([^/]+)/', 1) = '{OUTBOUND_BUCKET}'),
+pre AS (
+  SELECT rule_key, NationalProviderID AS PracticeID, PractitionerID AS LocationID, {_P_KEY} AS k0, trim(NationalProviderID) <> '' AS ok,
+         CASE WHEN trim(NationalProviderID) = '' THEN 'identity:NationalProviderID' END AS why
+  FROM (SELECT DISTINCT rule_key, NationalProviderID, PractitionerID FROM pract) x),
+recs AS (
+  SELECT pre.*, '' AS k1, w.run_id, r.state, r.started_at,
+         CASE WHEN r.state = 'SKIPPED_TRIGGER' THEN concat_ws('/', w.run_id, pre.rule_key, pre.PracticeID, pre.LocationID) ELSE w.run_id END AS set_id
+  FROM pre LEFT JOIN (SELECT DISTINCT rule_key, k0, run_id FROM orow) w ON w.rule_key = pre.rule_key AND w.k0 = pre.k0 AND pre.k0 <> ''
+           LEFT JOIN runs r ON r.run_id = w.run_id),
+cks AS (SELECT rule_key, PracticeID, LocationID, k0, k1, set_id FROM recs WHERE set_id IS NOT NULL),
+held AS (SELECT DISTINCT regexp_replace(file_path, '^[a-z0-9]+://[^/]+/', '') AS key, {_P_KEY} AS k0 FROM practitioner_outbound_rows),"""
+_P_FINAL_SQL = """
+counts AS (SELECT rule_key, count(DISTINCT PractitionerID) AS n FROM pract GROUP BY rule_key),"""
+_P_FIN_SQL = """
+fin AS (
+  SELECT c.rule_key, CAST(c.PractitionerID AS VARCHAR) AS LocationID,
+         CASE WHEN a.PractitionerID IS NULL THEN 'final row not found'
+              WHEN upper(trim(COALESCE(a.ActiveMilitaryOrReserve, ''))) <> 'N'
+              THEN 'expected ActiveMilitaryOrReserve in [''N''], found ' || COALESCE(NULLIF(upper(trim(COALESCE(a.ActiveMilitaryOrReserve, ''))), ''), 'NULL') END AS fr
+  FROM (SELECT DISTINCT rule_key, PractitionerID FROM pract) c
+  LEFT JOIN (SELECT * FROM practitioners_after WHERE Archived = 'N') a ON a.PractitionerID = c.PractitionerID),
+"""
+_between = lambda a, b: _STAGE_SQL[_STAGE_SQL.index(a):_STAGE_SQL.index(b)]
+_P_STAGE_SQL = (_P_RECORDS_SQL + "\n" + _between("found AS (", "counts AS (").replace(RULES_SQL, _P_RULES) + _P_FINAL_SQL.strip() + "\n"
+                + _between("recon AS (", "fstate AS (") + _P_FIN_SQL.strip() + "\n" + _STAGE_SQL[_STAGE_SQL.index("st_in AS ("):])
+
 _STAGE_NAMES = ["candidate", "job", "run_log", "outbound_file", "outbound_content", "dataloader", "final_state"]
-O_STAGE_VERDICT = _with(*DIRECTORY_TABLES, *_LOG_VIEWS, "object_inventory", "outbound_rows", "process_status",
-                        "practice_locations_after",
-                        extra=_QUALIFYING_SQL + "," + _LOG_SQL + "," + _OUTBOUND_SQL + "," + _STAGE_SQL) + f"""
+_STAGE_OUT = f"""
 SELECT rule_key, PracticeID, LocationID, run_id, {', '.join(_STAGE_NAMES)},
        COALESCE({', '.join(f"CASE WHEN {s} = 'FAIL' THEN '{s}' END" for s in _STAGE_NAMES)}) AS first_failed_stage,
        COALESCE({', '.join(f"CASE WHEN {s} = 'FAIL' THEN COALESCE({s}_reason, 'no result') END" for s in _STAGE_NAMES)})
@@ -1648,8 +1610,17 @@ SELECT rule_key, PracticeID, LocationID, run_id, {', '.join(_STAGE_NAMES)},
        CASE WHEN {' OR '.join(f"{s} = 'FAIL'" for s in _STAGE_NAMES)} THEN 'FAIL'
             WHEN {' OR '.join(f"{s} = 'WARN'" for s in _STAGE_NAMES)} THEN 'WARN' ELSE 'PASS' END AS verdict
 FROM st7"""
+_STAGE_VIEWS = (*DIRECTORY_TABLES, *_LOG_VIEWS, "object_inventory", "process_status")
+O_STAGE_VERDICT = _with(*_STAGE_VIEWS, "outbound_rows", "practice_locations_after",
+                        extra=_QUALIFYING_SQL + "," + _LOG_SQL + "," + _OUTBOUND_SQL + "," + _STAGE_SQL) + _STAGE_OUT
+O_PRACTITIONER_STAGE_VERDICT = _with(
+    *_STAGE_VIEWS, "practitioner_outbound_rows", "practitioners_after",
+    extra=_QUALIFYING_SQL + "," + _PRACTITIONER_SQL + "," + _LOG_SQL.replace(RULES_SQL, _P_RULES).replace(_ALIASES_SQL, _P_ALIASES) + "," + _P_STAGE_SQL
+) + _STAGE_OUT.replace("PracticeID, LocationID", "PracticeID AS NationalProviderID, LocationID AS PractitionerID")
 
 QUERIES["final_state_conflicts"] = q_final_state_conflicts
 ORACLE["final_state_conflicts"] = O_FINAL_STATE_CONFLICTS
 QUERIES["stage_verdict"] = q_stage_verdict
 ORACLE["stage_verdict"] = O_STAGE_VERDICT
+QUERIES["practitioner_stage_verdict"] = q_practitioner_stage_verdict
+ORACLE["practitioner_stage_verdict"] = O_PRACTITIONER_STAGE_VERDICT

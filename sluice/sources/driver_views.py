@@ -260,6 +260,10 @@ LOG_VIEWS["object_events"] = f"""
 # scientific notation.
 _COPY_RUN = "((o_custkey % 40 + CASE WHEN copy = 1 AND o_orderkey % 7 = 0 THEN 2 ELSE 0 END) % 40)"
 _COPY_H = f"md5('run-' || CAST({_COPY_RUN} AS STRING) || CASE WHEN {_COPY_RUN} = 5 THEN '-' || CAST(o_orderkey % 2 AS STRING) ELSE '' END)"
+_WRITTEN = f"""(SELECT orders.*, c.copy, {_COPY_RUN} AS run_no, {_COPY_H} AS _h
+              FROM {{orders}}
+              JOIN (SELECT CAST(r_regionkey AS BIGINT) AS copy FROM {{region}}) AS c
+                ON c.copy = 0 OR (c.copy = 1 AND (o_orderkey % 7 = 0 OR o_orderkey % 4 = 0)))"""
 OUTBOUND_VIEWS = {
     "outbound_rows": f"""
         SELECT 's3://outbound-bucket/outbound/' || CASE WHEN o_orderstatus = 'O' THEN 'practitioner_update' ELSE 'practice_update' END
@@ -275,10 +279,17 @@ OUTBOUND_VIEWS = {
                'Service' AS BillingServiceTypeName,
                o_orderpriority AS BillingServiceCategoryTypeName,
                CASE (o_orderkey + copy) % 6 WHEN 0 THEN 'Directory-Auto ' WHEN 1 THEN 'manual' ELSE 'directory-auto' END AS DataSource
-        FROM (SELECT orders.*, c.copy, {_COPY_RUN} AS run_no, {_COPY_H} AS _h
-              FROM {{orders}}
-              JOIN (SELECT CAST(r_regionkey AS BIGINT) AS copy FROM {{region}}) AS c
-                ON c.copy = 0 OR (c.copy = 1 AND (o_orderkey % 7 = 0 OR o_orderkey % 4 = 0))) AS w""",
+        FROM {_WRITTEN} AS w""",
+    # The practitioner flow's rows: the provider id padded, plain or lost.
+    "practitioner_outbound_rows": f"""
+        SELECT 's3://outbound-bucket/outbound/' || CASE WHEN o_orderstatus = 'O' THEN 'practitioner_update' ELSE 'practice_update' END
+                    || '/practice_' || {_UUID} || '_part' || CAST(o_orderkey % 4 AS STRING) || '.csv' AS file_path,
+               o_orderkey * 2 + copy AS row_no,
+               'jr_' || lpad(CAST(run_no AS STRING), 3, '0') AS run_id,
+               CASE WHEN o_orderkey % 10 = 3 THEN '' WHEN o_orderkey % 2 = 0 THEN ' ' || CAST(o_custkey AS STRING)
+                    ELSE lpad(CAST(o_custkey AS STRING), 10, '0') END AS NationalProviderID,
+               CASE (o_orderkey + copy) % 8 WHEN 0 THEN 'Y' WHEN 1 THEN ' n' ELSE 'N' END AS ActiveMilitaryOrReserve
+        FROM {_WRITTEN} AS w""",
 }
 
 ALL_VIEWS: dict[str, str] = {**DIRECTORY_VIEWS, **PRACTITIONER_VIEWS, **STATUS_VIEWS, **LOG_VIEWS, **OUTBOUND_VIEWS}

@@ -14,6 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events benchmark"
 
 REACHED = {
     "stage_verdict": ("first_failed_stage", {"candidate", "job", "run_log", "outbound_file", "outbound_content", "dataloader"}),
+    "practitioner_stage_verdict": ("first_failed_stage", {None, "job", "run_log", "outbound_file", "outbound_content", "dataloader"}),
     "artifact_state": ("state", {"ok", "not found", "0 bytes", "stale"}),
     "outbound_expected_any": ("reason", {None, "no outbound files were checked", "record not found in any outbound file",
                                          "unexpected value in a matched file"}),
