@@ -1,14 +1,9 @@
-"""Stage-gated scenario verdicts (RULE-5/6, SNK-1).
-
-The reference runs its scenario steps in order and skips a step whose
-prerequisite did not complete.  Here every (rule, record, run) row carries
-one verdict column per stage; ``fold_stages`` applies the gate: a stage is
-evaluated only if every earlier stage is PASS or WARN, else it is SKIPPED.
+"""Parts of the scenario's verdicts (RULE-5/6, SNK-1); ``scenario`` folds the
+stages: one is evaluated only if those it waits for are PASS or WARN, else it is SKIPPED.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # ── fixed values: the scenario stages, in order ───────────────────────────
@@ -30,23 +25,3 @@ def job_stage(state: F.Column) -> tuple[F.Column, F.Column]:
     reason = (F.when(state.isNull(), F.lit("no run wrote the record"))
               .when(~state.isin("SUCCEEDED", "SKIPPED_TRIGGER"), F.concat(F.lit("job state "), state)))
     return verdict, reason
-
-
-def fold_stages(df: DataFrame, stages=STAGES) -> DataFrame:
-    """``df`` has ``<stage>_verdict`` / ``<stage>_reason`` columns; a missing
-    stage result counts as FAIL ("no result")."""
-    gate = F.lit(True)
-    cols = []
-    for s in stages:
-        v = F.when(gate, F.coalesce(F.col(f"{s}_verdict"), F.lit("FAIL"))).otherwise(F.lit("SKIPPED"))
-        cols.append(v.alias(s))
-        gate = gate & v.isin(*OK)
-    out = df.select("*", *cols)
-    first = F.coalesce(*[F.when(F.col(s) == "FAIL", F.lit(s)) for s in stages])
-    reason = F.coalesce(*[F.when(F.col(s) == "FAIL", F.coalesce(F.col(f"{s}_reason"), F.lit("no result")))
-                          for s in stages])
-    any_warn = F.greatest(*[(F.col(s) == "WARN").cast("int") for s in stages]) == 1
-    overall = F.when(first.isNotNull(), "FAIL").when(any_warn, "WARN").otherwise("PASS")
-    drop = [c for s in stages for c in (f"{s}_verdict", f"{s}_reason")]
-    return out.select("*", first.alias("first_failed_stage"), reason.alias("reason"),
-                      overall.alias("verdict")).drop(*drop)
