@@ -113,103 +113,141 @@ _FINAL = {"COMPLETED", "SUCCESS", "FAILED", "ERROR"}
 
 TERMINAL_FIELDS = [c.split()[0] for c in TERMINAL_OUT.split(", ")]
 COUNTS = ("n_rows", "n_errors", "n_in_progress", "n_loader", "n_done")
+HELD = ("until", "first_ms", "timer", *COUNTS, "rows", "many_rows", "ahead", "many_ahead")
+#: Rows, and events ahead, that a process keeps in its one value.
+INLINE = 64
 #: How long after its verdict a process id is known to be decided.
 KEEP_MARKS_S = 90 * 86400
 
 
 class TerminalProcessor(StatefulProcessor):
-    """The process machine on keyed state: one map entry per status row,
-    running counters, the events still ahead of the watermark, and a mark.
+    """The process machine on keyed state: running counters, the newest status
+    of each row, the events still ahead of the watermark, and a mark.
 
-    An event costs one map look-up and a few additions, however many rows
-    its process has; a timer fires when the watermark reaches the next event or
-    the deadline, and another one drops the mark of a decided process."""
+    Every call to the state store is a round trip, so a process keeps all it
+    has in one value, read and written once per call; only rows and events
+    beyond the first ``INLINE`` go to a map and a list of their own.  So an event costs
+    the same however many rows its process has.  A timer fires when the watermark
+    reaches the next event or the deadline, and another one drops the mark of a
+    decided process."""
 
     def __init__(self, loader: str, deadline_s: int, keep_s: int) -> None:
         self.loader, self.deadline, self.keep = loader, deadline_s * 1000, keep_s * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        # ``until``: set once decided; ``many_rows``, ``many_ahead``: whether the map and the list hold anything.
+        self.held = handle.getValueState("held", "until long, first_ms long, timer long, " + ", ".join(f"{c} long" for c in COUNTS)
+                                         + ", rows string, many_rows boolean, ahead string, many_ahead boolean")
         self.rows = handle.getMapState("rows", "id string", "status string, loads boolean")
-        self.counts = handle.getValueState("counts", "first_ms long, timer long, " + ", ".join(f"{c} long" for c in COUNTS))
         self.ahead = handle.getListState("ahead", "ms long, id string, loads boolean, status string")
-        self.mark = handle.getValueState("mark", "until long")
+
+    def _read(self) -> dict:
+        found = self.held.get()
+        held = dict(zip(HELD, found or (None, None, None, *[0] * len(COUNTS), "{}", False, "[]", False)))
+        return held | {"rows": json.loads(held["rows"]), "ahead": json.loads(held["ahead"])}
+
+    def _write(self, held: dict) -> None:
+        self.held.update(tuple((held | {"rows": json.dumps(held["rows"]), "ahead": json.dumps(held["ahead"])}).values()))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self.mark.exists():
-            if self.mark.get()[0] > timerValues.getCurrentWatermarkInMs():
+        held = self._read()
+        if held["until"] is not None:
+            if held["until"] > timerValues.getCurrentWatermarkInMs():
                 return
-            self.mark.clear()
+            held["until"] = None
         new = [(int(r["ms"]), str(r["id"]).zfill(20), r["sub_process_name"] == self.loader, (r["status"] or "").strip().upper()) for r in rows]
         if not new:
             return
-        self.ahead.appendList(new)
-        held = self.counts.get()
-        held = list(held) if held else [None, None, 0, 0, 0, 0, 0]
+        if len(held["ahead"]) + len(new) <= INLINE:
+            held["ahead"] += new
+        else:
+            self.ahead.appendList(new)
+            held["many_ahead"] = True
         self._wake(held, min(e[0] for e in new))
-        self.counts.update(tuple(held))
+        self._write(held)
         yield from ()
 
-    def _wake(self, held: list, due: int) -> None:
+    def _wake(self, held: dict, due: int) -> None:
         """A timer for ``due``, unless an earlier one is set."""
-        if held[1] is None or due < held[1]:
-            if held[1] is not None:
-                self.handle.deleteTimer(held[1] - 1)
-            held[1] = due
+        if held["timer"] is None or due < held["timer"]:
+            if held["timer"] is not None:
+                self.handle.deleteTimer(held["timer"] - 1)
+            held["timer"] = due
             self.handle.registerTimer(due - 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        if self.mark.exists():
-            if self.mark.get()[0] <= now:
-                self.mark.clear()
+        held = self._read()
+        if held["until"] is not None:
+            if held["until"] <= now:
+                self.held.clear()
             return
-        held = list(self.counts.get() or [None, None, 0, 0, 0, 0, 0])
-        waiting, out, used = sorted(tuple(e) for e in self.ahead.get()), None, 0
-        first, n = held[0], dict(zip(COUNTS, held[2:]))
+        waiting = sorted([*map(tuple, held["ahead"]), *(tuple(e) for e in (self.ahead.get() if held["many_ahead"] else ()))])
+        first, out, used, changed = held["first_ms"], None, 0, {}
         for ms, rid, loads, status in waiting:
             if ms > now or (first is not None and ms > first + self.deadline):
                 break
             used += 1
             first = ms if first is None else first
-            self._count(n, rid, loads, status)
-            if n["n_errors"]:
+            self._count(held, changed, rid, loads, status)
+            if held["n_errors"]:
                 out = ("FAIL", "status rows report errors", ms)
-            elif n["n_done"] and not n["n_in_progress"]:
+            elif held["n_done"] and not held["n_in_progress"]:
                 out = ("PASS", None, ms)
             if out:
                 break
         if out is None and first is not None and first + self.deadline <= now:
-            out = ("FAIL", "still IN-PROGRESS" if n["n_in_progress"] else f"no {self.loader} row" if not n["n_loader"] else "loader did not complete",
+            out = ("FAIL", "still IN-PROGRESS" if held["n_in_progress"] else f"no {self.loader} row" if not held["n_loader"] else "loader did not complete",
                    first + self.deadline)
         if out is None:
-            self.ahead.put(waiting[used:]) if waiting[used:] else self.ahead.clear()
-            held = [first, None, *(n[c] for c in COUNTS)]
+            self._keep(held, changed, waiting[used:])
+            held["first_ms"], held["timer"] = first, None
             due = [e[0] for e in waiting[used: used + 1]] + ([first + self.deadline] if first is not None else [])
             self._wake(held, max(min(due), now + 1))
-            self.counts.update(tuple(held))
+            self._write(held)
             return
-        for state in (self.rows, self.counts, self.ahead):
-            state.clear()
+        if held["many_rows"]:
+            self.rows.clear()
+        if held["many_ahead"]:
+            self.ahead.clear()
         until = max(out[2], now) + self.keep
-        self.mark.update((until,))
+        self.held.update((until, None, None, *[0] * len(COUNTS), "{}", False, "[]", False))
         self.handle.registerTimer(until)
-        yield Row(*TERMINAL_FIELDS)(key[0], out[0], out[1], n["n_rows"], n["n_errors"], n["n_in_progress"], n["n_loader"], n["n_done"] > 0,
+        yield Row(*TERMINAL_FIELDS)(key[0], out[0], out[1], held["n_rows"], held["n_errors"], held["n_in_progress"], held["n_loader"], held["n_done"] > 0,
                                     dt.datetime.fromtimestamp(out[2] / 1000, dt.timezone.utc))
 
-    def _count(self, n: dict, rid: str, loads: bool, status: str) -> None:
+    def _count(self, held: dict, changed: dict, rid: str, loads: bool, status: str) -> None:
         """Take a row's newest status into the counters; a final row read again changes nothing."""
-        before = self.rows.getValue((rid,)) if n["n_rows"] and self.rows.containsKey((rid,)) else None
+        before = changed.get(rid) or held["rows"].get(rid)
+        if before is None and held["many_rows"] and self.rows.containsKey((rid,)):
+            before = self.rows.getValue((rid,))
         if before is not None and before[0] in _FINAL:
             return
         for entry, by in ((before, -1), ((status, loads), 1)):
             if entry is not None:
-                n["n_rows"] += by
-                n["n_errors"] += by * (entry[0] in ("FAILED", "ERROR"))
-                n["n_in_progress"] += by * (entry[0] == "IN-PROGRESS")
-                n["n_loader"] += by * bool(entry[1])
-                n["n_done"] += by * (bool(entry[1]) and entry[0] in ("COMPLETED", "SUCCESS"))
-        self.rows.updateValue((rid,), (status, loads))
+                held["n_rows"] += by
+                held["n_errors"] += by * (entry[0] in ("FAILED", "ERROR"))
+                held["n_in_progress"] += by * (entry[0] == "IN-PROGRESS")
+                held["n_loader"] += by * bool(entry[1])
+                held["n_done"] += by * (bool(entry[1]) and entry[0] in ("COMPLETED", "SUCCESS"))
+        changed[rid] = (status, loads)
+
+    def _keep(self, held: dict, changed: dict, waiting: list) -> None:
+        """The rows and events of a process that stays open: the first in its value, the others in the map and the list."""
+        for rid, entry in changed.items():
+            if rid in held["rows"] or len(held["rows"]) < INLINE and not held["many_rows"]:
+                held["rows"][rid] = entry
+            else:
+                self.rows.updateValue((rid,), entry)
+                held["many_rows"] = True
+        if len(waiting) > INLINE:
+            self.ahead.put(waiting)
+            held["ahead"], held["many_ahead"] = [], True
+            return
+        if held["many_ahead"]:
+            self.ahead.clear()
+        held["ahead"], held["many_ahead"] = waiting, False
 
     def close(self) -> None:
         pass

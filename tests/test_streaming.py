@@ -133,3 +133,93 @@ def test_marks_of_decided_processes_expire(spark, scratch):
     src = _batches(spark, status, os.path.join(scratch, "marks"), 6)
     got = M.run_available_now(spark, M.terminal_monitor(src, 3600, delay="1 minute", keep_s=7200), "m")
     assert sorted((r["decided_at"], r["verdict"]) for r in got.where("process_id = 'p'").collect())[0][1] == "PASS" and got.where("process_id = 'p'").count() == 2
+
+
+class _Store:
+    """A state handle in memory that counts the calls made to it."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = 0, {}, set()
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            return getattr(self, "do_" + name)(*args)
+
+        return call
+
+    def getValueState(self, name, schema):
+        return _State(self, name)
+
+    getMapState = getListState = lambda self, name, *schemas: _State(self, name)
+    do_registerTimer = lambda self, at: self.timers.add(at)
+    do_deleteTimer = lambda self, at: self.timers.discard(at)
+
+
+class _State:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def __getattr__(self, call):
+        held, name = self.store.values, self.name
+        self.store.calls += 1
+        return {
+            "exists": lambda: name in held, "get": lambda: held.get(name, () if name == "ahead" else None), "clear": lambda: held.pop(name, None) and None,
+            "update": lambda v: held.update({name: v}), "put": lambda v: held.update({name: list(v)}),
+            "appendList": lambda v: held.update({name: [*held.get(name, []), *v]}), "containsKey": lambda k: k in held.get(name, {}),
+            "getValue": lambda k: held.get(name, {}).get(k), "updateValue": lambda k, v: held.setdefault(name, {}).update({k: v})}[call]
+
+
+class _Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def _fire(p, store, now):
+    out = []
+    while due := [t for t in store.timers if t < now]:
+        out += [tuple(r) for r in p.handleExpiredTimer(("p",), _Clock(now), None)]
+        store.timers -= set(due[:1])
+    return out
+
+
+def _status_row(k, sub, status, minute):
+    return {"id": k, "sub_process_name": sub, "status": status, "ms": minute * 60_000}
+
+
+def test_a_process_settled_at_once_costs_few_state_calls():
+    store = _Store()
+    p = M.TerminalProcessor("Data-Loader-File", 3600, 86400)
+    p.init(store)
+    store.calls = 0
+    assert list(p.handleInputRows(("p",), iter([_status_row(k, "File-Record", "Completed", k) for k in range(3)]
+                                               + [_status_row(3, "Data-Loader-File", "Completed", 3)]), _Clock(0))) == []
+    assert [r[:4] for r in _fire(p, store, 10 * 60_000)] == [("p", "PASS", None, 4)]
+    assert store.calls <= 6       # value read and written twice, a timer for the events and one for the mark
+    store.calls = 0
+    list(p.handleInputRows(("p",), iter([_status_row(9, "File-Record", "FAILED", 11)]), _Clock(10 * 60_000)))
+    assert store.calls == 1 and _fire(p, store, 20 * 60_000) == []
+
+
+def test_rows_and_events_beyond_the_inline_ones():
+    n = 3 * M.INLINE
+    got = []
+    for cuts in (1, 2, n):
+        store = _Store()
+        p = M.TerminalProcessor("Data-Loader-File", 10 ** 6, 86400)
+        p.init(store)
+        # every row runs, then all end but for the last one, whose end comes with the loader's
+        events = [_status_row(k, "File-Record", "In-Progress", k) for k in range(n)] + [_status_row(k, "File-Record", "Completed", n + k) for k in range(n)]
+        events.append(_status_row(n, "Data-Loader-File", "Success", 2 * n))
+        size, out = -(-len(events) // cuts), []
+        for a in range(0, len(events), size):
+            part = events[a: a + size]
+            list(p.handleInputRows(("p",), iter(part), _Clock(max(a - 1, 0) * 60_000)))
+            # the watermark stays behind the last events, so some are ahead of it
+            out += _fire(p, store, part[len(part) // 2]["ms"])
+        out += _fire(p, store, 10 * n * 60_000)
+        got.append(out)
+    assert got[0] == got[1] == got[2] and [r[:8] for r in got[0]] == [("p", "PASS", None, n + 1, 0, 0, 1, True)]
