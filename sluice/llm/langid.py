@@ -1,15 +1,15 @@
 """Operator 7: language identification by Kneser-Ney character models.
 
 Texts are folded to lower-case letters with single blanks between words.  For
-each language, n-gram types are counted over a bounded sample of labelled
-rows, and an interpolated Kneser-Ney model of order ``ORDER`` is estimated
+each language, n-gram types are counted over the whole texts of all labelled
+rows but a tenth, and an interpolated Kneser-Ney model of order ``ORDER`` is estimated
 (lower orders count in how many contexts a gram continues).  All models
 together are sorted arrays: per order the gram hashes (characters packed into
 64 bits), the log-probability of the gram in every language, and the
 log back-off mass of each context.  A text gets the language of lowest
 cross-entropy per character.
 
-Rejection is calibrated on sample rows that the models did not see: a text is
+Rejection is calibrated on that tenth, which the models did not see: a text is
 rejected if it has no letters, or if its cross-entropy in the best language is
 above that language's mean by more than ``REJECT`` standard deviations of
 texts of its length and also by more than ``FOREIGN`` of the way to the mean that
@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import text as T
+from sluice.session import materialize
 
 ORDER = 4
-#: Bounds of the training sample: rows of each language, characters of each such text (of longer ones, as many windows).
+#: Of a sample, if one is asked for: rows of each language, characters of each such text (of longer ones, as many windows).
 SAMPLE_ROWS = 1500
 SAMPLE_CHARS = 20_000
 WINDOWS = 10
@@ -178,25 +179,35 @@ def windows(text: Column, key: Column) -> Column:
     return F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(F.concat_ws("\n", *cut))
 
 
-def training_rows(docs: DataFrame, fit_on: Column, text: str, lang: str, id_col: str, rows: int) -> DataFrame:
-    """A bounded sample of documents with ``lang``, ``text`` and ``part`` (0..9); rows of one id and language count as one (the smallest text)."""
+def training_rows(docs: DataFrame, fit_on: Column, text: str, lang: str, id_col: str, rows: int | None = None) -> DataFrame:
+    """Labelled documents with ``lang``, ``text`` and ``part`` (0..9); rows of one id and language count as one (the smallest text).
+    With ``rows``, only a bounded sample of them."""
     docs = docs.select(id_col, text, lang)
     labelled = docs.filter(fit_on & F.col(lang).isNotNull() & (F.length(text) > 0))
+    part = F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(10)).alias("part")
+    if rows is None:
+        # Only the texts of repeated ids are moved to be compared.
+        again = materialize(labelled.groupBy(id_col, lang).count().filter("count > 1").select(F.col(id_col).alias("_again"), F.col(lang).alias("_lang")), "repeated-ids")
+        if not again.isEmpty():
+            same = labelled[id_col].eqNullSafe(again["_again"]) & (labelled[lang] == again["_lang"])
+            many = labelled.join(again, same, "left_semi").groupBy(id_col, lang).agg(F.min(text).alias(text))
+            labelled = labelled.join(again, same, "left_anti").unionByName(many)
+        return labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), part)
     counts = labelled.groupBy(lang).agg(F.approx_count_distinct(id_col).alias("count")).collect()
     if not counts:
         return docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.lit(0).alias("part")).limit(0)
     rate = F.create_map(*[F.lit(x) for r in counts for x in (r[lang], min(1.0, rows / r["count"]))])
     draw = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1_000_000)) / 1_000_000
     drawn = labelled.filter(draw < rate[F.col(lang)]).groupBy(id_col, lang).agg(F.min(windows(F.col(text), F.col(id_col))).alias("_window"))
-    return drawn.select(
-        F.col(lang).alias("lang"), F.col("_window").alias("text"), F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(10)).alias("part"))
+    return drawn.select(F.col(lang).alias("lang"), F.col("_window").alias("text"), part)
 
 
 
 def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
-          rows: int = SAMPLE_ROWS) -> tuple[Model, dict[str, tuple[float, float, float]]]:
+          rows: int | None = None) -> tuple[Model, dict[str, tuple[float, float, float]]]:
     """(model, per language: mean cross-entropy, its spread per square root of
-    a character, and how far above it the best other model is)."""
+    a character, and how far above it the best other model is), from all rows
+    that ``fit_on`` admits or, with ``rows``, from a bounded sample of them."""
     sample = training_rows(docs, fit_on, text, lang, id_col, rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,14 +218,15 @@ def train(docs: DataFrame, fit_on: Column, text: str = "text", lang: str = "lang
                 key, n = np.unique(grams(*fold([texts[k] for k in np.flatnonzero(langs == name)])), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
-    # All grams of the sample: at most ``rows`` times ``SAMPLE_CHARS`` of each language.
+    # Each distinct gram of a language once: a number that levels off as texts are added.
     table = sample.filter("part > 0").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    langs = np.asarray(table["lang"].to_pylist(), object)
+    coded = table["lang"].combine_chunks().dictionary_encode()
+    langs, values = np.asarray(coded.indices), coded.dictionary.to_pylist()
     gram, n = np.asarray(table["gram"]).astype(_U), np.asarray(table["n"])
-    names = sorted(set(langs))
+    names = sorted(values)
     counts = []
     for name in names:
-        at = np.flatnonzero(langs == name)
+        at = np.flatnonzero(langs == values.index(name))
         at = at[np.argsort(gram[at])]
         counts.append((gram[at], n[at]))
     model = Model(names, counts)
@@ -269,7 +281,7 @@ def identify(docs: DataFrame, model: Model, limits: dict[str, tuple[float, float
 
     names = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
     docs = docs.drop(*names)
-    shared = docs.sparkSession.sparkContext.broadcast((model, limits))     # bounded by the sample
+    shared = docs.sparkSession.sparkContext.broadcast((model, limits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value

@@ -332,3 +332,18 @@ def test_a_text_of_marks_alone_has_no_language(spark):
     model, limits = langid.train(docs, F.lit(True))
     got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs.drop("lang"), model, limits).collect()}
     assert got[900] == "und" and got[901] != "und"
+
+
+def test_language_models_are_trained_on_every_row(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: "".join(letters[k // 26 ** j % 26] for j in range(4))
+    n = langid.SAMPLE_ROWS + 700
+    rows = [(k, word(7 * k), "en") for k in range(n)] + [(n, " ".join(word(7 * k) for k in range(n, n + 6000)), "fi")]
+    rows.append((3, "zzzz", "en"))          # a repeated id counts once, with its smallest text
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, limits = langid.train(docs, F.lit(True))
+    kept = docs.filter(F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(10)) > 0).filter("text <> 'zzzz'").toPandas()
+    assert len(kept) > langid.SAMPLE_ROWS
+    want = {lang: set(langid.grams(*langid.fold(part["text"].tolist())).tolist()) for lang, part in kept.groupby("lang")}
+    assert set(model.keys[langid.ORDER].tolist()) == set().union(*want.values())
+    assert model.languages == sorted(want)
