@@ -19,11 +19,16 @@ two for a split) are put together by file and record number.
 from __future__ import annotations
 
 import csv
+import functools
 import io
+import re
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +66,28 @@ def quoted_after(line: str, quoted: bool, sep: str) -> bool:
         i, opens = min(ends) + 1, True
 
 
+@functools.cache
+def _line_patterns(sep: str) -> tuple[re.Pattern, re.Pattern]:
+    """The inside of a quoted field as far as it goes, and whole fields up to one that stays open."""
+    s, inside = re.escape(sep), '(?:[^"]++|"")*+'
+    field = f'(?:"{inside}"[^{s}]*+|[^"{s}][^{s}]*+|)'
+    return re.compile(inside), re.compile(f'(?:{field}{s})*+"{inside}\\Z')
+
+
+def line_stays_quoted(line: str, quoted: bool, sep: str) -> bool:
+    """``quoted_after`` for a line without its end and without carriage returns."""
+    inside, opens = _line_patterns(sep)
+    at = 0
+    if quoted:
+        at = inside.match(line).end()
+        if at == len(line):
+            return True
+        at = line.find(sep, at) + 1
+        if not at:
+            return False
+    return opens.match(line, at) is not None
+
+
 def _physical(lines: Iterable[str]) -> Iterator[str]:
     """Lines with their ends, cut at lone carriage returns too."""
     for line in lines:
@@ -71,27 +98,31 @@ def _physical(lines: Iterable[str]) -> Iterator[str]:
 
 
 def _lines(spark: SparkSession, paths) -> DataFrame:
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    # Paths stay encoded until a split is done, not decoded once for each line.
     return spark.read.option("lineSep", "\n").text(paths).select(
-        path.alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("idx"),
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("idx"),
         F.col("value").cast("binary").alias("value"))      # decoded here: bad bytes become U+FFFD
 
 
+def _texts(values: pa.Array) -> list[str]:
+    values = pc.fill_null(values, b"") if values.null_count else values
+    try:
+        return values.cast(pa.string()).to_numpy(zero_copy_only=False).tolist()
+    except pa.ArrowInvalid:
+        return [v.decode("utf-8", "replace") for v in values.to_pylist()]
+
+
 def _by_split(batches: Iterator[pa.RecordBatch], *extra: str) -> Iterator[tuple[tuple, Iterator[list[str]]]]:
     """((file, block, extra columns), batches of its lines) in the order of the rows."""
     def runs() -> Iterator[tuple[tuple, list[str]]]:
         for b in batches:
             if not b.num_rows:
                 continue
-            files, blocks = b.column("file_path").to_pylist(), b.column("block").to_pylist()
-            text = [(v or b"").decode("utf-8", "replace") for v in b.column("value").to_pylist()]
-            at = 0
-            while at < len(text):
-                to = at + 1
-                while to < len(text) and blocks[to] == blocks[at] and files[to] == files[at]:
-                    to += 1
-                yield (files[at], blocks[at], *(b.column(c)[at].as_py() for c in extra)), text[at:to]
-                at = to
+            text = _texts(b.column("value"))
+            file, block = np.asarray(b.column("file_path").dictionary_encode().indices), np.asarray(b.column("block"))
+            cuts = [0, *(np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1).tolist(), len(text)]
+            for at, to in zip(cuts, cuts[1:]):
+                yield tuple(b.column(c)[at].as_py() for c in ("file_path", "block", *extra)), text[at:to]
 
     source = runs()
     ahead = next(source, None)
@@ -118,7 +149,8 @@ def _survey(block: int, parts: Iterator[list[str]], sep: str) -> tuple[bool, boo
     first: list[str] = []
     lead: list[str] | None = []
     first_done, lead_done, lead_size, top = False, False, 0, block == 0
-    for line in (line for part in parts for line in part):
+    source = (line for part in parts for line in part)
+    for line in source:
         if top:
             line, top = line.lstrip("\ufeff"), False
         plain = '"' not in line and "\r" not in line
@@ -127,6 +159,10 @@ def _survey(block: int, parts: Iterator[list[str]], sep: str) -> tuple[bool, boo
             if plain:
                 begun[case] = int(not ends[case] and line != "")
                 continue
+            if "\r" not in line:
+                begun[case] += not ends[case]
+                ends[case] = line_stays_quoted(line, ends[case], sep)
+                continue
             for piece in _physical([line]):
                 begun[case] += not ends[case] and piece not in ("\n", "\r", "\r\n")
                 ends[case] = quoted_after(piece, ends[case], sep)
@@ -140,6 +176,22 @@ def _survey(block: int, parts: Iterator[list[str]], sep: str) -> tuple[bool, boo
                 lead = lead if lead_size <= HEADER_TAIL else None
             lead_done = not ends[1]
         count = [n + k for n, k in zip(count, begun)]
+        if ends[0] == ends[1] and first_done and lead_done:
+            break
+    # The cases have met: from here on they are one.
+    open_, records = ends[0], 0
+    for line in source:
+        if "\r" in line:
+            for piece in _physical([line]):
+                records += not open_ and piece not in ("\n", "\r", "\r\n")
+                open_ = quoted_after(piece, open_, sep)
+            continue
+        records += not open_ and line != ""
+        if '"' in line:
+            open_ = line_stays_quoted(line, open_, sep)
+    if ends[0] == ends[1]:
+        ends = [open_, open_]
+    count = [n + records for n in count]
     return ends[0], ends[1], count[0], count[1], "\n".join(first) if first else None, "\n".join(lead) if lead is not None else None
 
 
@@ -239,6 +291,7 @@ def _parsed(spark: SparkSession, paths, columns: list[str], sep: str, names: lis
     splits = materialize(_surveyed(lines, sep).groupBy("file_path").applyInPandas(_chained(sep, names), SPLITS), "splits")
     sent = splits.count() <= MAX_SENT_SPLITS
     facts = splits.select("file_path", "block", "quoted", "ends_quoted", "base", "header")
+    splits = splits.withColumn("file_path", F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))))
     met = lines.join(F.broadcast(facts) if sent else facts, ["file_path", "block"])
     if not sent:      # rows were moved: back into the order of their lines
         met = met.sortWithinPartitions("file_path", "block", "idx")
@@ -247,17 +300,17 @@ def _parsed(spark: SparkSession, paths, columns: list[str], sep: str, names: lis
     schema = ", ".join(["file_path string, row_no long, piece long, text string", *(f"`{c}` string" for c in columns), "missing_columns array<string>"])
 
     def frame(file: str, rows: list[tuple], missing: list[str]) -> pa.RecordBatch:
-        cols = list(zip(*rows))
+        cols, same = list(zip(*rows)), pa.array(np.zeros(len(rows), np.int64))
         return pa.RecordBatch.from_arrays([
-            pa.array([file] * len(rows), pa.string()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-            *(pa.array(c, pa.string()) for c in cols[3:]), pa.array([missing] * len(rows), pa.list_(pa.string()))], out_names)
+            pa.array([file], pa.string()).take(same), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
+            *(pa.array(c, pa.string()) for c in cols[3:]), pa.array([missing], pa.list_(pa.string())).take(same)], out_names)
 
     def picked(fields: list[str], where: list[int | None]) -> list[str | None]:
         return [fields[k] if k is not None and k < len(fields) and fields[k] != "" else None for k in where]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, block, quoted, ends, base, header), parts in _by_split(batches, "quoted", "ends_quoted", "base", "header"):
-            where = _places(header, columns)
+            file, where = unquote(file), _places(header, columns)
             missing = [c for c, k in zip(columns, where) if k is None]
             rows, n = [], base
             for kind, value in _split_records(parts, block, quoted, ends, sep):

@@ -88,3 +88,35 @@ def test_quoted_after():
             lead = '"' if quoted else ""
             record = list(csv.reader(io.StringIO(lead + text + "\n\x00end", newline="")))
             assert D.quoted_after(text, quoted, ",") == ("\n\x00end" in record[-1][-1]), (text, quoted)
+
+
+def test_line_stays_quoted_equals_quoted_after():
+    rng = random.Random(5)
+    for _ in range(20_000):
+        line = "".join(rng.choice('ab"",;') for _ in range(rng.randrange(12)))
+        for quoted in (False, True):
+            for sep in ",;":
+                assert D.line_stays_quoted(line, quoted, sep) == D.quoted_after(line + "\n", quoted, sep), (line, quoted, sep)
+
+
+def test_a_survey_reads_most_lines_once(monkeypatch):
+    read = []
+    monkeypatch.setattr(D, "quoted_after", lambda *a, old=D.quoted_after: read.append(a) or old(*a))
+    lines = ["id,note", *(x for k in range(1000) for x in (f'{k},"said ""{k}"",', 'line two"'))]
+    assert D._survey(0, iter([lines]), ",")[:3] == (False, False, 1001)
+    assert len(read) < 10
+
+
+def test_survey_equals_the_line_by_line_one():
+    rng = random.Random(6)
+    for _ in range(3000):
+        lines = ["".join(rng.choice('ab"",\r') for _ in range(rng.randrange(7))) for _ in range(rng.randrange(9))]
+        want = []
+        for case in (False, True):
+            open_, n = case, 0
+            for piece in D._physical(lines):
+                n += not open_ and piece not in ("\n", "\r", "\r\n")
+                open_ = D.quoted_after(piece, open_, ",")
+            want.append((open_, n))
+        got = D._survey(9, iter([lines]), ",")
+        assert (got[0], got[2]) == want[0] and (got[1], got[3]) == want[1], lines
