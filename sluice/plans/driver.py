@@ -979,9 +979,10 @@ FROM ({_FILE_VIEW}) f"""
 
 
 def q_outbound_first3(spark, sf_dir):
-    cands = cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF)
-    return ob.first_matching_rows(cands, ob.relevant_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES), DRIVER_RULES,
-                                  rules_frame(spark, DRIVER_RULES), OUTBOUND_BUCKET, 3)
+    # Both are used in several places of the plan: stored, so the rows are made once and only the few that matter go on.
+    cands = materialize(cand.qualifying_for(spark, directory(spark, sf_dir), DRIVER_RULES, AS_OF).select("rule_key", "PracticeID", "LocationID").distinct(), "candidates")
+    rows = materialize(ob.relevant_rows(cands, _outbound(spark, sf_dir), DRIVER_RULES), "outbound-rows")
+    return ob.first_matching_rows(cands, rows, DRIVER_RULES, rules_frame(spark, DRIVER_RULES), OUTBOUND_BUCKET, 3)
 
 
 O_OUTBOUND_FIRST3 = _with(*DIRECTORY_TABLES, "outbound_rows", extra=_QUALIFYING_SQL + "," + _OUTBOUND_SQL) + """

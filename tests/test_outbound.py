@@ -150,3 +150,11 @@ def test_id_overlap(spark):
     assert (r["overlap_pct_text"], r["diff_pct_text"], r["status"]) == ("66.7%", "33.3%", "FAIL")
     same = O.id_overlap(src, src).first()
     assert (same["overlap_pct_text"], same["status"]) == ("100.0%", "PASS")
+
+
+def test_first_rows_read_the_orders_once(spark):
+    """The final plan works on the stored relevant rows, not on the view again."""
+    from sluice.plans import driver
+
+    plan = driver.q_outbound_first3(spark, "/root/testdata/sf0.001")
+    assert not [f for f in plan.inputFiles() if "/orders.parquet" in f or "/lineitem.parquet" in f]
