@@ -121,17 +121,30 @@ def log_summary(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -
     in_text = F.coalesce(msg.contains(rid), F.lit(False))
     in_name = F.coalesce(F.col("file_name").contains(rid), F.lit(False))
     stream = F.btrim("declared_stream")
-    return parse_lines(captures, contract).groupBy("run_id", "source").agg(
+    error_at = F.when(F.col("is_error"), F.col("line_no"))
+    # In two steps: the smallest stream name of a group is text, for which Spark would sort every line;
+    # lines counted by stream name are hashed, and only these few counts go on.
+    counts = parse_lines(captures, contract).groupBy("run_id", "source", "declared_stream").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.coalesce(F.bool_or("is_sentinel"), F.lit(False)).alias("has_sentinel"),
+        F.bool_or("is_sentinel").alias("has_sentinel"),
         F.bool_or(in_text).alias("text_has_run"),
         F.bool_or(in_text | in_name).alias("mentions_run"),
-        F.min(F.when(stream != F.btrim(rid), F.col("declared_stream"))).alias("wrong_stream"),
-        F.coalesce(F.bool_or(stream == F.btrim(rid)), F.lit(False)).alias("stream_ok"),
         F.sum("records").alias("records_to_s3"),
         F.count("chunk").alias("total_chunks"),
         F.count_if("is_error").alias("error_lines"),
-        F.min_by(F.left("message", F.lit(160)), F.when(F.col("is_error"), F.col("line_no"))).alias("first_error"))
+        F.min_by(F.left("message", F.lit(160)), error_at).alias("first_error"),
+        F.min(error_at).alias("first_error_at"))
+    return counts.groupBy("run_id", "source").agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.coalesce(F.bool_or("has_sentinel"), F.lit(False)).alias("has_sentinel"),
+        F.bool_or("text_has_run").alias("text_has_run"),
+        F.bool_or("mentions_run").alias("mentions_run"),
+        F.min(F.when(stream != F.btrim(rid), F.col("declared_stream"))).alias("wrong_stream"),
+        F.coalesce(F.bool_or(stream == F.btrim(rid)), F.lit(False)).alias("stream_ok"),
+        F.sum("records_to_s3").alias("records_to_s3"),
+        F.sum("total_chunks").alias("total_chunks"),
+        F.sum("error_lines").alias("error_lines"),
+        F.min_by("first_error", "first_error_at").alias("first_error"))
 
 
 def log_facts(captures: DataFrame, contract: LogContract = DEFAULT_CONTRACT) -> DataFrame:

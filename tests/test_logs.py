@@ -171,3 +171,19 @@ def test_incremental_watermark(spark):
         .select(F.to_timestamp("t").alias("t"))
     assert L.incremental(df, "t", "9999-12-31").count() == 2
     assert L.incremental(df, "t", "2024-01-15 00:00:00").count() == 1
+
+
+def test_picking_a_source_sorts_no_lines(spark):
+    """Lines are counted by hashing; only the counts may be sorted."""
+    from sluice.operators import logs as lg
+
+    lines = spark.createDataFrame(
+        [("jr_1", "file", "f.log", k, "Chunk 1 written to s3://b/k", name) for k, name in enumerate(["jr_2", " jr_1 ", "jr_0", None, "jr_2"])]
+        + [("jr_1", "api", None, 9, "ERROR b", None), ("jr_1", "api", None, 3, "ERROR a", None), (None, "api", None, 1, "x", None)],
+        "run_id string, source string, file_name string, line_no long, message string, declared_stream string")
+    summary = lg.log_summary(lines)
+    got = {(r["run_id"], r["source"]): r.asDict() for r in summary.collect()}
+    assert {k: (v["n_lines"], v["wrong_stream"], v["stream_ok"], v["first_error"], v["total_chunks"], v["error_lines"]) for k, v in got.items()} == {
+        ("jr_1", "file"): (5, "jr_0", True, None, 5, 0), ("jr_1", "api"): (2, None, False, "ERROR a", 0, 2), (None, "api"): (1, None, False, None, 0, 0)}
+    plan = lg.pick_source(summary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.rfind("SortAggregate") < plan.rfind("HashAggregate")      # the lines themselves go into a hashed one
